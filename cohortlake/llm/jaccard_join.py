@@ -19,6 +19,9 @@ Jaccard distance is a metric. The space is cut twice:
 Document pivots alone cannot cut this space: unrelated documents are all at
 distance 1 from each other, so every window would hold every region.
 
+A parity sketch of each document bounds the distance of a pair from below, so
+that whole sets are only fetched for pairs that can be linked.
+
 Copies (equal shingle sets) are one point. Links are decided on whole sets of
 64-bit shingle hashes, with integers; nothing is capped or sampled. The sample
 only sets the order, on which no result depends.
@@ -48,6 +51,8 @@ MOST_COMMON = 200_000
 PIVOTS = 2
 #: Bits of the runtime filter on the documents that a candidate names.
 FILTER_BITS = 1 << 23
+#: Bits of a document's parity sketch. Two sketches differ in at most as many bits as the sets differ in shingles.
+PARITIES = 2048
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
 
 
@@ -80,6 +85,11 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
     return np.unique(mixed)
 
 
+def parities(shingles: np.ndarray) -> bytes:
+    """Of each of PARITIES classes of shingles, whether the set holds an odd number."""
+    return np.packbits(np.bincount((shingles >> np.uint64(40)).astype(np.int64) % PARITIES, minlength=PARITIES) & 1).tobytes()
+
+
 def prefix_length(size: int, percent: int) -> int:
     return size + percent * size // -100 + 1
 
@@ -127,10 +137,11 @@ def _features(docs: DataFrame, width: int, percent: int, keys: np.ndarray, count
                 "doc_id": batch["doc_id"].to_numpy(),
                 "n": [len(s) for s in sets],
                 "set_id": [np.int64(np.uint64(xxhash.xxh64_intdigest(s.tobytes())).view(np.int64)) for s in sets],
+                "parity": [parities(s) for s in sets],
                 "prefix": [in_order(s, keys, counts, prefix_length(len(s), percent) if len(s) else 0).view(np.int64) for s in sets],
             })
 
-    return docs.mapInPandas(features, "doc_id long, n long, set_id long, prefix array<long>")
+    return docs.mapInPandas(features, "doc_id long, n long, set_id long, parity binary, prefix array<long>")
 
 
 def _allowed(percent: int, size_a, at_a, size_b, at_b):
@@ -175,6 +186,21 @@ def _region_pass(percent: int, pivots: int):
     return run
 
 
+def may_link(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and parity sketches of points (rep, n, parity) allow to be linked; it loses no link."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch[c]), np.uint8).reshape(len(batch), PARITIES // 8) for c in ("x", "y"))
+            apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            total = (batch["n_a"] + batch["n_b"]).to_numpy()
+            yield batch.loc[(100 + percent) * apart <= (100 - percent) * total, ["a", "b"]]
+
+    x = points.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("parity").alias("x"))
+    y = points.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("parity").alias("y"))
+    return pairs.select("a", "b").join(y, "b").join(x, "a").mapInPandas(run, "a long, b long")
+
+
 def verified(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
     """Exact common and united shingles of pairs (a, b) of doc_ids: a, b, common, united."""
     spark = docs.sparkSession
@@ -251,7 +277,8 @@ def jaccard_components(documents: DataFrame, width: int = 5, percent: int = 80,
         _region_pass(percent, pivots), "s long, a long, b long, n long, at long, kind int"
     )
     passed = materialize(passed, "jaccard-regions")
-    pairs = passed.where("kind = 0").select("a", "b").distinct()
+    sketches = materialize(features.select(F.col("doc_id").alias("rep"), "set_id", "n", "parity").join(points, ["rep", "set_id", "n"], "left_semi").dropDuplicates(["rep"]), "jaccard-sketches")
+    pairs = materialize(may_link(passed.where("kind = 0").select("a", "b").distinct(), sketches, percent), "jaccard-pairs")
     checked = materialize(verified(docs, pairs, width), "jaccard-checked")
     linked = F.expr(f"100 * common >= {percent} * united")
     # Copies of a text that repeat a doc_id tie their sets together.
@@ -277,7 +304,7 @@ def jaccard_components(documents: DataFrame, width: int = 5, percent: int = 80,
         f" and {100 + percent} * least(n_x - at_x, n_y - at_y) >= {percent} * (n_x + n_y)"
     ).select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b")).distinct()
     known = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    again = materialize(again.join(known, ["a", "b"], "left_anti"), "jaccard-again")
+    again = materialize(may_link(again.join(known, ["a", "b"], "left_anti"), sketches, percent), "jaccard-again")
     if not again.isEmpty():
         # The triangle window: a pivot that both were measured against.
         far = checked.select("a", "b", (1 - F.col("common") / F.col("united")).alias("d"))
