@@ -51,8 +51,8 @@ MOST_COMMON = 200_000
 PIVOTS = 2
 #: Bits of the runtime filter on the documents that a candidate names.
 FILTER_BITS = 1 << 23
-#: Bits of a document's parity sketch. Two sketches differ in at most as many bits as the sets differ in shingles.
-PARITIES = 2048
+#: Power of two of the bits of a short document's parity sketch; long ones have 2 to 4 bits a shingle.
+LEAST_PARITIES = 11
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
 
 
@@ -86,8 +86,23 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
 
 
 def parities(shingles: np.ndarray) -> bytes:
-    """Of each of PARITIES classes of shingles, whether the set holds an odd number."""
-    return np.packbits(np.bincount((shingles >> np.uint64(40)).astype(np.int64) % PARITIES, minlength=PARITIES) & 1).tobytes()
+    """For each of a power of two of classes of shingles, whether the set holds an odd number.
+
+    Two sketches differ in at most as many bits as the sets differ in shingles.
+    A longer sketch is folded to a shorter one by XOR of its halves.
+    """
+    classes = 1 << max(LEAST_PARITIES, (2 * len(shingles)).bit_length())
+    at = (shingles >> np.uint64(20)).astype(np.int64) & (classes - 1)
+    return np.packbits(np.bincount(at, minlength=classes).astype(np.uint8) & 1).tobytes()
+
+
+def bits_apart(x: bytes, y: bytes) -> int:
+    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 def prefix_length(size: int, percent: int) -> int:
@@ -191,8 +206,7 @@ def may_link(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch[c]), np.uint8).reshape(len(batch), PARITIES // 8) for c in ("x", "y"))
-            apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            apart = np.fromiter(map(bits_apart, batch["x"], batch["y"]), np.int64, len(batch))
             total = (batch["n_a"] + batch["n_b"]).to_numpy()
             yield batch.loc[(100 + percent) * apart <= (100 - percent) * total, ["a", "b"]]
 
