@@ -3,14 +3,31 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 from .jaccard_join import jaccard_components
+from .quality_rules import judge
+from .toxicity import THRESHOLD, fit, score
+
+#: Rows whose labels may be learned; the others are held out.
+LEARNABLE = "pmod(crc32(cast(doc_id as string)), 3) <> 1"
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join,)}
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "documents"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit(documents, table(spark, sf_dir, "labels"), F.expr(LEARNABLE))
+    scored = documents.select("doc_id", (~F.expr(LEARNABLE)).alias("held_out"), score(model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op3_quality_rules, op4_toxicity)}
 ORACLE_SQL: dict[str, str] = {}
