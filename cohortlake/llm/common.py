@@ -61,6 +61,11 @@ def in_chunks(batches: Iterator[pd.DataFrame], column: str = "text", most: int =
             yield batch.iloc[start:]
 
 
+def strings(values) -> pd.Series:
+    """Python strings as they are, which Arrow takes as one array."""
+    return pd.Series(list(values), dtype=object)
+
+
 def small_batches(spark: SparkSession, size: str = "4m") -> None:
     """Bound the bytes of an Arrow batch, as whole texts can be long."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)

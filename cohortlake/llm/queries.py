@@ -6,14 +6,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .decontaminate import contamination
 from .jaccard_join import jaccard_components
+from .packing import pack
 from .quality_rules import judge
+from .token_counts import token_counts
 from .toxicity import THRESHOLD, fit, score
 
+#: The vocabulary file of the queries on tokens.
+VOCABULARY = "byte_bpe_50k.json"
 #: Rows whose labels may be learned; the others are held out.
 LEARNABLE = "pmod(crc32(cast(doc_id as string)), 3) <> 1"
 
 
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
+
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), width=4, percent=85)
 
@@ -29,5 +40,17 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op3_quality_rules, op4_toxicity)}
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), near_span=26)
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), vocabulary())
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), vocabulary())
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op3_quality_rules, op4_toxicity, op5_benchmark_decontamination, op7_packing, op8_token_counts)}
 ORACLE_SQL: dict[str, str] = {}
