@@ -16,7 +16,7 @@ import re
 import numpy as np
 
 #: Distinct cuts that a worker remembers between batches.
-MOST_REMEMBERED = 400_000
+MOST_REMEMBERED = 250_000
 _JOINED = re.compile(r"\s (?:\s|\Z)")
 _LOADED: dict[str, Encoder] = {}
 

@@ -60,7 +60,7 @@ class WordHashes(dict):
     """64-bit hash of a word, remembered."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 150_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value

@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import token_files, warc
 from .common import table
 from .decontaminate import contamination
+from .html_text import extract_text
 from .jaccard_join import jaccard_components
 from .packing import pack
 from .quality_rules import judge
 from .token_counts import token_counts
 from .toxicity import THRESHOLD, fit, score
+from .url_filter import judge_urls
 
 #: The vocabulary file of the queries on tokens.
 VOCABULARY = "byte_bpe_50k.json"
@@ -29,6 +32,10 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
 
@@ -44,6 +51,10 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), near_span=26)
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary())
 
@@ -52,5 +63,19 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), vocabulary())
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op3_quality_rules, op4_toxicity, op5_benchmark_decontamination, op7_packing, op8_token_counts)}
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"), vocabulary())
+
+
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_ngram_jaccard_join, op2_url_filters, op3_quality_rules, op4_toxicity, op5_benchmark_decontamination,
+        op6_warc, op7_packing, op8_token_counts, op9_token_files, op10_html_extraction,
+    )
+}
 ORACLE_SQL: dict[str, str] = {}

@@ -61,7 +61,7 @@ class Model:
 
     def features(self, word: str) -> tuple[str, ...]:
         if (found := self._words.get(word)) is None:
-            if len(self._words) > 300_000:
+            if len(self._words) > 150_000:
                 self._words.clear()
             found = self._words[word] = tuple(f for f in word_features(word) if f in self.weights)
         return found
