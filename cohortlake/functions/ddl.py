@@ -1,0 +1,26 @@
+"""Schemas from DDL without a session."""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import types as T
+
+_SIMPLE = {"STRING": T.StringType, "BIGINT": T.LongType, "DOUBLE": T.DoubleType, "BOOLEAN": T.BooleanType, "DATE": T.DateType, "TIMESTAMP": T.TimestampType}
+
+
+def _parts(text: str) -> list[str]:
+    """Cut at commas outside angle brackets."""
+    return [x.strip() for x in re.split(r",(?![^<]*>)", text)]
+
+
+def _type(text: str) -> T.DataType:
+    if m := re.fullmatch(r"ARRAY<(.*)>", text):
+        return T.ArrayType(_type(m[1]))
+    if m := re.fullmatch(r"STRUCT<(.*)>", text):
+        return struct(m[1].replace(": ", " "))
+    return _SIMPLE[text]()
+
+
+def struct(text: str) -> T.StructType:
+    return T.StructType([T.StructField(name, _type(kind)) for name, kind in (x.split(" ", 1) for x in _parts(text))])
