@@ -212,7 +212,7 @@ def may_link(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
 
     x = points.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("parity").alias("x"))
     y = points.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("parity").alias("y"))
-    return pairs.select("a", "b").join(y, "b").join(x, "a").mapInPandas(run, "a long, b long")
+    return pairs.select("a", "b").join(y, "b").join(x, "a").mapInPandas(run, "a long, b long").distinct()
 
 
 def verified(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
@@ -291,7 +291,7 @@ def jaccard_components(documents: DataFrame, width: int = 5, percent: int = 80,
         _region_pass(percent, pivots), "s long, a long, b long, n long, at long, kind int"
     )
     passed = materialize(passed, "jaccard-regions")
-    sketches = materialize(features.select(F.col("doc_id").alias("rep"), "set_id", "n", "parity").join(points, ["rep", "set_id", "n"], "left_semi").dropDuplicates(["rep"]), "jaccard-sketches")
+    sketches = materialize(features.select(F.col("doc_id").alias("rep"), "set_id", "n", "parity").join(points, ["rep", "set_id", "n"], "left_semi").dropDuplicates(["rep", "set_id"]), "jaccard-sketches")
     pairs = materialize(may_link(passed.where("kind = 0").select("a", "b").distinct(), sketches, percent), "jaccard-pairs")
     checked = materialize(verified(docs, pairs, width), "jaccard-checked")
     linked = F.expr(f"100 * common >= {percent} * united")
@@ -321,7 +321,10 @@ def jaccard_components(documents: DataFrame, width: int = 5, percent: int = 80,
     again = materialize(may_link(again.join(known, ["a", "b"], "left_anti"), sketches, percent), "jaccard-again")
     if not again.isEmpty():
         # The triangle window: a pivot that both were measured against.
+        # A doc_id that stands for several texts has no one distance.
+        several = points.groupBy("rep").count().where("count > 1").select("rep")
         far = checked.select("a", "b", (1 - F.col("common") / F.col("united")).alias("d"))
+        far = far.join(several, far["a"] == several["rep"], "left_anti").join(several, far["b"] == several["rep"], "left_anti")
         near = far.groupBy("b").agg(F.min(F.struct("a", "d")).alias("to"))
         of = lambda c: near.select(F.col("b").alias(c), F.col("to").alias(f"to_{c}"))
         again = again.join(of("a"), "a", "left").join(of("b"), "b", "left").where(
