@@ -17,18 +17,19 @@ def read_pages(spark: SparkSession, paths: list[str], schema: StructType = BRONZ
     return spark.read.schema(schema).option("mode", "FAILFAST").json(paths)
 
 
-def _marker_files(spark: SparkSession, root: str) -> tuple:
-    """The file system, and the statuses of the marker files: a few for each year.
+def _skipped_files(spark: SparkSession, root: str) -> tuple:
+    """The file system, and the statuses of the files that Spark's readers skip: underscored markers and pages of no bytes.
 
-    Spark's readers skip names that begin with an underscore, so these are listed apart.
+    Only statuses are looked at, of one folder level; no content.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/*/_*.json")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/*/*")
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return files, list(files.globStatus(path) or [])
+    found = [s for s in files.globStatus(path) or [] if (s.getLen() == 0 or s.getPath().getName().startswith("_")) and s.isFile()]
+    return files, found
 
 
 def read_reports(spark: SparkSession, root: str) -> DataFrame:
-    files, found = _marker_files(spark, root)
+    files, found = _skipped_files(spark, root)
     texts = []
     for status in found:
         if status.getPath().getName() == REPORT_NAME:
@@ -41,9 +42,9 @@ def read_reports(spark: SparkSession, root: str) -> DataFrame:
 def landing_inventory(spark: SparkSession, root: str, pattern: str = "*/*") -> DataFrame:
     """path, name, folder, length, modified of every file; contents are not read."""
     files = spark.read.format("binaryFile").load(f"{root}/{pattern}").select("path", "length", F.col("modificationTime").alias("modified"))
-    marks = [(s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in _marker_files(spark, root)[1]]
-    marked = spark.createDataFrame(marks, "path STRING, length BIGINT, millis BIGINT").select("path", "length", F.timestamp_millis("millis").alias("modified"))
-    files = files.unionByName(marked)
+    skipped = [(s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in _skipped_files(spark, root)[1] if not s.getPath().getName().endswith(".crc")]
+    skipped = spark.createDataFrame(skipped, "path STRING, length BIGINT, millis BIGINT").select("path", "length", F.timestamp_millis("millis").alias("modified"))
+    files = files.unionByName(skipped)
     return files.select("path", F.regexp_extract("path", "([^/]+)$", 1).alias("name"), F.regexp_extract("path", "([^/]+)/[^/]+$", 1).alias("folder"), "length", "modified")
 
 
