@@ -1,7 +1,7 @@
 """Packing of documents into training sequences by multiway differencing.
 
-A document's ids (with the end id) are cut into pieces of a quarter of the
-capacity and a rest. Pieces are dealt into groups of bounded size by a hash of
+A document's ids (with the end id) are cut into full sequences, then pieces of a
+quarter of the capacity, and a rest. Pieces are dealt into groups of bounded size by a hash of
 document and start, which no document or source can overfill. In each group the
 Karmarkar-Karp method starts with one partial partition for each piece, merges
 the two with the largest imbalance so that the heavy window of one meets the
@@ -17,6 +17,7 @@ pieces, repeated rows too; a null doc_id stays null. Other columns are ignored.
 from __future__ import annotations
 
 import heapq
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -31,7 +32,7 @@ from .encoding import encoder
 CAPACITY = 2048
 END_ID = 1
 #: Mean pieces of a group. The window count of a group is about a quarter of it.
-GROUP = 600
+GROUP = 200
 _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, lot long"
 
 
@@ -64,11 +65,14 @@ def windows_of(sizes: list[int], capacity: int) -> list[list[int]]:
     """Items in as few near-equal windows as the method fits into the capacity."""
     if not sizes:
         return []
-    count = max(1, -(-sum(sizes) // capacity))
+    full = [[i] for i, size in enumerate(sizes) if size == capacity]
+    rest = [i for i, size in enumerate(sizes) if size < capacity]
+    own = [sizes[i] for i in rest]
+    count = max(1, -(-sum(own) // capacity))
     while True:
-        found = difference(sizes, count)
-        if all(sum(sizes[i] for i in x) <= capacity for x in found):
-            return [x for x in found if x]
+        found = difference(own, count)
+        if all(sum(own[i] for i in x) <= capacity for x in found):
+            return full + [[rest[i] for i in x] for x in found if x]
         count += 1
 
 
@@ -86,8 +90,9 @@ def cut_pieces(documents: DataFrame, vocabulary: str, capacity: int = CAPACITY,
                 ids += end
                 total = len(ids) // 4
                 known = None if pd.isna(doc_id) else int(doc_id)
-                for start in range(0, total, quarter):
-                    piece = ids[4 * start : 4 * (start + quarter)]
+                whole = total // capacity * capacity
+                for start in itertools.chain(range(0, whole, capacity), range(whole, total, quarter)):
+                    piece = ids[4 * start : 4 * (start + (capacity if start < whole else quarter))]
                     rows.append((known, start, len(piece) // 4, zlib.crc32(piece), total, zlib.crc32(f"{known},{start}".encode()), *([piece] if with_ids else [])))
             frame = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "lot", *(["ids"] if with_ids else [])])
             frame["doc_id"] = frame["doc_id"].astype("Int64")
