@@ -13,8 +13,8 @@ from __future__ import annotations
 import itertools
 import os
 import re
-
-import numpy as np
+import sys
+from array import array
 
 #: Distinct cuts that a worker remembers between batches. Beyond them it keeps the
 #: first half: frequent cuts come early.
@@ -23,8 +23,16 @@ _JOINED = re.compile(r"\s (?:\s|\Z)")
 _LOADED: dict[str, Encoder] = {}
 
 
+def _bytes(ids: list[int]) -> bytes:
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 class Encoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = MOST_REMEMBERED):
+        self.most = most
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -39,15 +47,15 @@ class Encoder:
 
     def whole(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text, by the library alone."""
-        return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [_bytes(x.ids) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def count(self, texts: list[str]) -> list[int]:
         return [len(x) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        if len(self.known) > MOST_REMEMBERED:
-            self.known = dict(itertools.islice(self.known.items(), MOST_REMEMBERED // 2))
+        if len(self.known) > self.most:
+            self.known = dict(itertools.islice(self.known.items(), self.most // 2))
         whole, cuts, new = {}, {}, {}
         for i, text in enumerate(texts):
             if not text:
@@ -67,8 +75,9 @@ class Encoder:
         return [starts.get(i, b"") + b"".join(map(get, cuts.get(i, ()))) for i in range(len(texts))]
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder of this vocabulary file."""
+def encoder(path: str, most: int = MOST_REMEMBERED) -> Encoder:
+    """The worker's encoder of this vocabulary file, which remembers at most so many cuts."""
     if path not in _LOADED:
         _LOADED[path] = Encoder(path)
+    _LOADED[path].most = most
     return _LOADED[path]

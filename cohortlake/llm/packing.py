@@ -32,7 +32,9 @@ from .encoding import encoder
 CAPACITY = 2048
 END_ID = 1
 #: Mean pieces of a group. The window count of a group is about a quarter of it.
-GROUP = 200
+GROUP = 120
+#: Cuts that a worker remembers while it encodes, of about 250 bytes each.
+REMEMBERED = 1_200_000
 _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, lot long"
 
 
@@ -83,7 +85,7 @@ def cut_pieces(documents: DataFrame, vocabulary: str, capacity: int = CAPACITY,
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        of = encoder(vocabulary)
+        of = encoder(vocabulary, REMEMBERED)
         for batch in in_chunks(batches):
             rows = []
             for doc_id, ids in zip(batch["doc_id"], of.encode(list(batch["text"])), strict=True):
