@@ -11,10 +11,11 @@ Jaccard distance is a metric. The space is cut twice:
    inequality those of its first |x| - ceil(t|x|) + 1 shingles.
 2. Inside a region the first documents in the global order are pivots, and
    exact distances to them are computed. What is linked to a pivot is settled
-   with it. Documents of a region that are not yet in one component form a
-   smaller region, which is joined again: only between components, only where
-   sizes and positions allow the link, and only inside the window
-   |d(x,p) - d(y,p)| <= radius of the region's pivot.
+   with it. Documents of regions that hold several components are joined again:
+   they get narrower regions, by the exact frequencies of shingles among
+   themselves, and are compared only between components, only where sizes and
+   positions allow the link, and only inside the window
+   |d(x,p) - d(y,p)| <= radius of a pivot that both were measured against.
 
 Document pivots alone cannot cut this space: unrelated documents are all at
 distance 1 from each other, so every window would hold every region.
@@ -215,12 +216,11 @@ def may_link(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b").join(y, "b").join(x, "a").mapInPandas(run, "a long, b long").distinct()
 
 
-def verified(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
-    """Exact common and united shingles of pairs (a, b) of doc_ids: a, b, common, united."""
+def sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """doc_id, shingles (bytes) of the documents whose id is in ids(id), and of a few others that the runtime filter lets pass."""
     spark = docs.sparkSession
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
     slot = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
-    words = ids.groupBy((slot / 32).cast("long").alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(pmod(xxhash64(id), {FILTER_BITS}L), 32) as int))")).alias("bits")).toPandas()
+    words = ids.groupBy(F.shiftright(slot, 5).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(pmod(xxhash64(id), {FILTER_BITS}L), 32) as int))")).alias("bits")).toPandas()
     bits = np.zeros(FILTER_BITS // 32, np.uint32)
     bits[words["w"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
     shared = spark.sparkContext.broadcast(bits)
@@ -233,7 +233,12 @@ def verified(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
             if len(own):
                 yield pd.DataFrame({"doc_id": own["doc_id"].to_numpy(), "shingles": [shingle_set(t, width).tobytes() for t in own["text"]]})
 
-    named = docs.where("doc_id is not null").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("slot")).mapInPandas(sets, "doc_id long, shingles binary")
+    return docs.where("doc_id is not null").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("slot")).mapInPandas(sets, "doc_id long, shingles binary")
+
+
+def verified(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+    """Exact common and united shingles of pairs (a, b) of doc_ids: a, b, common, united."""
+    named = sets_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")), width)
 
     def overlaps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -268,6 +273,30 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def narrower_regions(docs: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
+    """s, rep, n, at, component: the regions of members (rep, component) among themselves.
+
+    The order is that of the members' own exact frequencies, rare first. A shingle
+    that no other member holds comes before all others and needs no region.
+    """
+    def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = [np.frombuffer(x, np.int64) for x in batch["shingles"]]
+            yield pd.DataFrame({"rep": batch["doc_id"].to_numpy(), "set": batch["set"].to_numpy(), "n": [len(s) for s in sets], "s": sets})
+
+    found = sets_of(docs, members.select(F.col("rep").alias("id")), width).distinct()
+    found = found.join(members.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").withColumn("set", F.xxhash64("shingles"))
+    found = materialize(found, "jaccard-members")
+    rows = found.mapInPandas(hashes, "rep long, set long, n long, s array<long>").select("rep", "set", "n", F.explode("s").alias("s")).repartition("s")
+    shared = rows.groupBy("s").agg(F.count("*").alias("held")).where("held > 1")
+    own = rows.join(shared, "s").groupBy("rep", "set", "n").agg(F.sort_array(F.collect_list(F.struct("held", "s"))).alias("common"))
+    # The members' other shingles take the first places.
+    alone = F.col("n") - F.size("common")
+    prefix = F.expr(f"n - ((n * {percent} + 99) div 100) + 1") - alone
+    first = own.where(prefix > 0).select("rep", "n", alone.alias("alone"), F.posexplode(F.slice("common", F.lit(1), prefix.cast("int"))).alias("k", "x"))
+    return materialize(first.select(F.col("x.s").alias("s"), "rep", "n", (F.col("alone") + F.col("k")).cast("long").alias("at")).join(members, "rep"), "jaccard-narrow")
+
+
 def jaccard_components(documents: DataFrame, width: int = 5, percent: int = 80, pivots: int = PIVOTS) -> DataFrame:
     """doc_id, n_shingles, component_id per row of documents.
 
@@ -310,7 +339,8 @@ def jaccard_components(documents: DataFrame, width: int = 5, percent: int = 80,
         .groupBy("s").agg(F.count("*").alias("parts"), F.min("n").alias("least")).where("parts > 1")
     )
     member = member.join(open_regions.select("s", "least"), "s").where(f"{100 + percent} * (n - at) >= {percent} * (n + greatest(least, n * {percent} div 100))")
-    member = materialize(member.drop("least"), "jaccard-open")
+    member = materialize(member.select("rep", "component").distinct(), "jaccard-open")
+    member = narrower_regions(docs, member, width, percent)
     x = member.select("s", *[F.col(c).alias(f"{c}_x") for c in ("rep", "n", "at", "component")])
     y = member.select("s", *[F.col(c).alias(f"{c}_y") for c in ("rep", "n", "at", "component")])
     again = x.join(y, "s").where(
