@@ -165,6 +165,30 @@ def test_differencing_of_unmarked_pages(spark, data):
     assert texts == {r[0]: html_text.text_of(r[1]) for r in table.select("page_id", "html").collect()} and all(texts.values())
 
 
+@pytest.mark.parametrize("partitions", ["1", "4"])
+def test_copies_are_no_neighbours(spark, monkeypatch, partitions):
+    page = lambda *own: "<div>Welcome</div>" + "".join(f"<p>{x}</p>" for x in own) + "<div>Bye</div>"
+    rows = [(i, f"http://h/b/{i:03d}", page("copied")) for i in range(50)] + [(60, "http://h/a", page("one")), (61, "http://h/c/1", page("copied", "more"))]
+    rows += [(70, "http://only/1", page("x")), (71, "http://only/2", page("x")), (72, "http://mark/1", page("y")), (73, "http://mark/2", page("y").replace("<p>", "<article><p>")), (74, "http://mark/3", page("z"))]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        found = {r.page_id: r.text for r in html_text.extract_text(pages(spark, ODD + rows)).collect() if r.page_id is None or r.page_id not in (5, 6)}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[60] == "one" and found[61] == "more"
+    assert {found[i] for i in range(10, 50)} == {"copied"}
+    assert found[70] == found[71] == "Welcome\nx\nBye"
+    assert found[72] == "y" and found[73] == "y\nBye" and found[74] == "z"
+
+
+def test_equal_pages_keep_their_text(spark):
+    found = {r.page_id: r.text for r in html_text.extract_text(pages(spark, ODD)).collect()}
+    assert found[3] == found[4] == "same"
+
+
 @pytest.mark.parametrize("cells", [html_text.MOST_CELLS, 6])
 def test_alignment_is_a_longest_common_subsequence(monkeypatch, cells):
     monkeypatch.setattr(html_text, "MOST_CELLS", cells)
