@@ -1,7 +1,9 @@
 """WARC archives of pages: writing with revisit records, and reading with segment reassembly.
 
 Writing: a page whose payload is equal to that of others is a revisit of the one
-with the largest page_id; payloads are compared by SHA-1 and length. A response
+with the largest page_id; payloads are compared by SHA-1 and length. Record ids
+hold the row's number in a written table, so that equal rows have their own, and
+revisits refer to one row of the page_id. A response
 block larger than the segment size goes on in continuation records that name the
 origin record and their number; the last carries the total length. Payloads are
 framed by chunked transfer coding. Each record is a gzip member of its own.
@@ -48,8 +50,9 @@ def digest_of(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record_id(page_id, digest: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{digest}')}>"
+def record_id(page_id, digest: str, row: int = 0) -> str:
+    """Of the page in this row of the written table, as rows can be equal in page_id and payload."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{digest}:{row}')}>"
 
 
 def chunked(payload: bytes, size: int = CHUNK_BYTES) -> bytes:
@@ -84,14 +87,14 @@ def _record(fields: dict[str, object], block: bytes) -> bytes:
     return press.compress(head + block + b"\r\n\r\n") + press.flush()
 
 
-def page_records(page_id, url: str | None, payload: bytes, refers_to, segment_bytes: int = SEGMENT_BYTES) -> list[bytes]:
+def page_records(page_id, url: str | None, payload: bytes, refers_to, segment_bytes: int = SEGMENT_BYTES, row: int = 0, refers_row: int = 0) -> list[bytes]:
     """The gzip members of a page: a revisit, or a response with its continuations."""
     digest = digest_of(payload)
-    own = record_id(page_id, digest)
+    own = record_id(page_id, digest, row)
     common = {"WARC-Record-ID": own, "WARC-Date": "1970-01-01T00:00:00Z", "WARC-Target-URI": re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url or ""), "WARC-Payload-Digest": f"sha1:{digest}", "X-Page-Id": page_id}
     head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
     if refers_to is not None:
-        return [_record({"WARC-Type": "revisit", **common, "WARC-Refers-To": record_id(refers_to, digest), "WARC-Profile": PROFILE, "Content-Type": "application/http; msgtype=response"}, head)]
+        return [_record({"WARC-Type": "revisit", **common, "WARC-Refers-To": record_id(refers_to, digest, refers_row), "WARC-Profile": PROFILE, "Content-Type": "application/http; msgtype=response"}, head)]
     block = head + chunked(payload)
     pieces = [block[i : i + segment_bytes] for i in range(0, len(block), segment_bytes)]
     first = {"WARC-Type": "response", **common, "Content-Type": "application/http; msgtype=response"}
@@ -104,15 +107,16 @@ def page_records(page_id, url: str | None, payload: bytes, refers_to, segment_by
     return out
 
 
-def plan_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """page_id, digest, refers_to of the pages that revisit another."""
+def plan_revisits(rows: DataFrame, least_bytes: int = 0) -> DataFrame:
+    """row, refers_to, refers_row of the rows (row, page_id, html) that revisit another."""
 
     payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    digests = pages.select(F.col("page_id").cast("long"), F.sha1(payload).alias("digest"), F.octet_length(payload).alias("size"))
+    digests = rows.select("row", "page_id", F.sha1(payload).alias("digest"), F.octet_length(payload).alias("size"))
     digests = materialize(digests.where(f"size >= {least_bytes}"), "warc-digests")
-    holders = digests.groupBy("digest", "size").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1 AND refers_to IS NOT NULL")
-    revisits = digests.join(holders, ["digest", "size"]).where("NOT page_id <=> refers_to").select("page_id", "refers_to", "digest").distinct()
-    return materialize(revisits, "warc-revisits")
+    held = F.max(F.when(F.col("page_id").isNotNull(), F.struct("page_id", F.col("row").alias("held_row"))))
+    holders = digests.groupBy("digest", "size").agg(held.alias("held"), F.count("*").alias("n")).where("n > 1 AND held IS NOT NULL")
+    holders = holders.select("digest", "size", F.col("held.page_id").alias("refers_to"), F.col("held.held_row").alias("refers_row"))
+    return materialize(digests.join(holders, ["digest", "size"]).where("NOT page_id <=> refers_to").select("row", "refers_to", "refers_row"), "warc-revisits")
 
 
 def write_warc(pages: DataFrame, segment_bytes: int = SEGMENT_BYTES, least_bytes: int = 0, folder: str | None = None) -> DataFrame:
@@ -121,9 +125,10 @@ def write_warc(pages: DataFrame, segment_bytes: int = SEGMENT_BYTES, least_bytes
     small_batches(spark)
     folder = folder or new_path(spark, "warc")
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
-    revisits = plan_revisits(rows, least_bytes).groupBy(F.col("page_id").alias("own")).agg(F.map_from_entries(F.collect_list(F.struct("digest", "refers_to"))).alias("refers"))
-    joined = rows.join(materialize(revisits, "warc-plan"), F.col("page_id").eqNullSafe(F.col("own")), "left")
-    joined = joined.select(F.coalesce(F.col("page_id").cast("string"), F.lit("")).alias("page_id"), "url", "html", F.map_keys("refers").alias("digests"), F.map_values("refers").alias("targets"))
+    # Written with their numbers, so that every use and every rerun of a task sees the same ones.
+    rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "warc-pages")
+    joined = rows.join(plan_revisits(rows, least_bytes), "row", "left")
+    joined = joined.select(F.coalesce(F.col("page_id").cast("string"), F.lit("")).alias("page_id"), "url", "html", "row", F.coalesce("refers_row", F.lit(-1)).alias("refers_row"), F.coalesce(F.col("refers_to").cast("string"), F.lit("")).alias("refers_to"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, number, made, parts, size = TaskContext.get().partitionId(), 0, [], [], 0
@@ -133,12 +138,9 @@ def write_warc(pages: DataFrame, segment_bytes: int = SEGMENT_BYTES, least_bytes
             made.append((path, len(parts), write_file(path, parts)))
 
         for batch in in_chunks(batches, "html"):
-            for page_id, url, html, digests, targets in batch.itertuples(index=False):
+            for page_id, url, html, row, refers_row, refers_to in batch.itertuples(index=False):
                 payload = (html or "").encode("utf-8", "surrogatepass")
-                refers = None
-                if digests is not None and len(digests):
-                    refers = dict(zip(digests, targets, strict=True)).get(hashlib.sha1(payload).hexdigest())
-                new = page_records(page_id or None, url, payload, None if refers is None else int(refers), segment_bytes)
+                new = page_records(page_id or None, url, payload, int(refers_to) if refers_to else None, segment_bytes, row, refers_row)
                 parts += new
                 size += sum(map(len, new))
                 if size >= FILE_BYTES:

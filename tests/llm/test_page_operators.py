@@ -42,6 +42,17 @@ def test_archives_round_trip(spark, data):
     assert warc.round_trip(pages(spark, []), 1000).count() == 0
 
 
+def test_repeated_long_pages_give_a_row_each(spark):
+    rows = [(1, "http://a/1", LONG), (2, "http://a/2", LONG), (2, "http://a/2", LONG), (2, "http://a/3", LONG), (None, "http://a/4", LONG + "x"), (None, "http://a/4", LONG + "x"), (None, "http://a/5", LONG), (None, "http://a/6", "short")]
+    files = warc.write_warc(pages(spark, rows), segment_bytes=1000)
+    read = warc.read_warc(files).collect()
+    assert collections.Counter((r.page_id, r.url, r.record_type) for r in read) == collections.Counter((i, u, "revisit" if i == 1 or u == "http://a/5" else "response") for i, u, _ in rows)
+    assert len({r.record_id for r in read}) == len(rows)
+    assert {r.refers_to_record for r in read if r.record_type == "revisit"} <= {r.record_id for r in read if r.page_id == 2}
+    found = warc.round_trip(pages(spark, rows), segment_bytes=1000).collect()
+    assert collections.Counter((r.page_id, r.payload_bytes, r.refers_to) for r in found) == collections.Counter((i, len(h.encode()), 2 if i == 1 or u == "http://a/5" else None) for i, u, h in rows)
+
+
 def test_payloads_are_read_back(spark):
     rows = [(1, "http://a/", "short"), (2, "http://a/b", LONG)]
     read = {r.page_id: r for r in warc.read_warc(warc.write_warc(pages(spark, rows), segment_bytes=700)).collect()}
