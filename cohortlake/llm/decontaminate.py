@@ -19,7 +19,8 @@ Words are runs of a-z, digits and non-ASCII characters after A-Z are lowered.
 Defined results: null or empty texts have no words and no hits. Items without
 words have no window and are never found. Every row of the documents gives one
 row, repeated ones too; a null doc_id stays null. Items that repeat an item_id
-count once. No item: item list empty, whose digest is that of no bytes.
+count once; those with a null one mark hits, but are in no item list. No item:
+item list empty, whose digest is that of no bytes.
 """
 
 from __future__ import annotations
@@ -40,15 +41,20 @@ MOST_ITEM_BYTES = 32 << 20
 _FOLD = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256)
 )
-_INDEX = "block string, row_ids array<long>, lengths array<int>, terms array<binary>, counts array<int>, positions binary"
+_INDEX = "block string, row_ids array<long>, row_numbers array<long>, lengths array<int>, terms array<binary>, counts array<int>, positions binary"
 
 
 def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_FOLD).split() if text else []
 
 
+def numbered(documents: DataFrame, name: str = "row") -> DataFrame:
+    """documents with a unique number of each row, written so that every use of a row sees the same one."""
+    return materialize(documents.withColumn(name, F.monotonically_increasing_id()), "numbered-documents")
+
+
 def build_index(documents: DataFrame, terms: frozenset[bytes] | None = None) -> DataFrame:
-    """The stored index; with `terms` only their postings are kept, which is all that a search for them reads."""
+    """The stored index of documents with a column row; with `terms` only their postings are kept, which is all that a search for them reads."""
     spark = documents.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(terms)
@@ -72,19 +78,19 @@ def build_index(documents: DataFrame, terms: frozenset[bytes] | None = None) ->
             numbers, counts = np.unique(at[held], return_counts=True)
             names = list(ids)
             yield pd.DataFrame({
-                "block": [""], "row_ids": [[None if pd.isna(i) else int(i) for i in batch["doc_id"]]], "lengths": [np.array(lengths, np.int32)],
+                "block": [""], "row_ids": [[None if pd.isna(i) else int(i) for i in batch["doc_id"]]], "row_numbers": [batch["row"].to_numpy()], "lengths": [np.array(lengths, np.int32)],
                 "terms": [[names[i] for i in numbers]], "counts": [counts.astype(np.int32)], "positions": [held.astype("<u4").tobytes()],
             })
 
-    rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(run, _INDEX)
+    rows = documents.select(F.col("doc_id").cast("long"), F.col("row"), F.col("text").cast("string")).mapInPandas(run, _INDEX)
     return materialize(rows, "positional-index")
 
 
 class Windows:
     """Distinct windows of test items as rows of term numbers, -1 beyond a short item's end."""
 
-    def __init__(self, items: list[tuple[int, str]], width: int):
-        self.ids: list[int] = []
+    def __init__(self, items: list[tuple[int | None, str]], width: int):
+        self.ids: list[int | None] = []
         found: dict[tuple, set[int]] = {}
         for item, text in items:
             words = words_of(text)
@@ -106,7 +112,7 @@ class Block:
     """One row of the index, with term numbers of the windows."""
 
     def __init__(self, row, terms: dict[bytes, int]):
-        self.row_ids, self.lengths = row.row_ids, np.asarray(row.lengths, np.int64)
+        self.row_ids, self.row_numbers, self.lengths = row.row_ids, row.row_numbers, np.asarray(row.lengths, np.int64)
         self.positions = np.frombuffer(row.positions, "<u4").astype(np.int64)
         ends = np.cumsum(np.asarray(row.counts, np.int64))
         self.count = np.zeros(len(terms) + 1, np.int64)
@@ -173,10 +179,10 @@ def union_length(starts: np.ndarray, ends: np.ndarray) -> int:
     return int((ends - np.maximum(starts, np.append(starts[0], ends[:-1]))).clip(0).sum())
 
 
-def _slices(benchmark: DataFrame, most: int) -> Iterator[list[tuple[int, str]]]:
+def _slices(benchmark: DataFrame, most: int) -> Iterator[list[tuple[int | None, str]]]:
     """Test items in slices of bounded text, each small enough to be sent to every task."""
     items, size = [], 0
-    rows = benchmark.select("item_id", F.col("text").cast("string").alias("text")).where("item_id is not null").orderBy("item_id")
+    rows = benchmark.select("item_id", F.col("text").cast("string").alias("text")).orderBy("item_id")
     for row in rows.toLocalIterator():
         here = len(row["text"] or "") * 4
         if items and size + here > most:
@@ -188,7 +194,7 @@ def _slices(benchmark: DataFrame, most: int) -> Iterator[list[tuple[int, str]]]:
 
 
 def find_spans(documents: DataFrame, benchmark: DataFrame, width: int = WINDOW, near_span: int | None = None, most: int = MOST_ITEM_BYTES) -> DataFrame:
-    """One row per document and slice of the benchmark: doc_id, row (a number in its block), block, n_words,
+    """One row per document (doc_id, row, text) and slice of the benchmark: doc_id, row, n_words,
     starts and ends of the hit word spans, items found exactly, items found near (with near_span)."""
     spark = documents.sparkSession
     out = None
@@ -214,19 +220,19 @@ def find_spans(documents: DataFrame, benchmark: DataFrame, width: int = WINDOW,
                         for d, w in zip(block.document(at).tolist(), w_near.tolist(), strict=True):
                             close.setdefault(d, set()).update(windows.items[w])
                     rows = []
-                    for d, (doc_id, length) in enumerate(zip(block.row_ids, block.lengths, strict=True)):
+                    for d, (doc_id, number, length) in enumerate(zip(block.row_ids, block.row_numbers, block.lengths, strict=True)):
                         hits = spans.get(d, [])
                         found = {i for w, _ in hits for i in windows.items[w]}
                         rows.append((
-                            doc_id, int(length), [s for _, s in hits], [s + int(windows.lengths[w]) for w, s in hits],
-                            sorted({windows.ids[i] for i in found}), sorted({windows.ids[i] for i in close.get(d, set())}),
+                            doc_id, int(number), int(length), [s for _, s in hits], [s + int(windows.lengths[w]) for w, s in hits],
+                            sorted({windows.ids[i] for i in found} - {None}), sorted({windows.ids[i] for i in close.get(d, set())} - {None}),
                         ))
-                    frame = pd.DataFrame(rows, columns=["doc_id", "n_words", "starts", "ends", "items", "near_items"])
+                    frame = pd.DataFrame(rows, columns=["doc_id", "row", "n_words", "starts", "ends", "items", "near_items"])
                     frame["doc_id"] = frame["doc_id"].astype("Int64")
                     yield frame
 
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
-        part = index.mapInPandas(run, "doc_id long, n_words long, starts array<long>, ends array<long>, items array<long>, near_items array<long>")
+        part = index.mapInPandas(run, "doc_id long, row long, n_words long, starts array<long>, ends array<long>, items array<long>, near_items array<long>")
         out = part if out is None else out.union(part)
     return out
 
@@ -247,28 +253,41 @@ def _judge(found: DataFrame) -> DataFrame:
     )
 
 
+def _judged_rows(documents: DataFrame, benchmark: DataFrame, width: int, near_span: int | None, most: int) -> DataFrame:
+    """The verdict of each row of documents (doc_id, row, text)."""
+    found = find_spans(documents, benchmark, width, near_span, most)
+    if _several(benchmark, most):
+        # Slices of the benchmark: unite a row's spans and items.
+        found = found.groupBy("row").agg(
+            F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"),
+            F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"), F.array_distinct(F.flatten(F.collect_list("near_items"))).alias("near_items"),
+        )
+    return _judge(found)
+
+
 def contamination(documents: DataFrame, benchmark: DataFrame, width: int = WINDOW, near_span: int | None = None, most: int = MOST_ITEM_BYTES) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near of every document.
 
     contaminated: a word is hit, and a twentieth of the words or more.
     """
     bench = benchmark.select(F.col("item_id").cast("long"), "text").dropDuplicates(["item_id", "text"])
-    found = find_spans(documents, bench, width, near_span, most)
-    if bench.select(F.sum(F.length("text"))).first()[0] and _several(bench, most):
-        # Slices of the benchmark: unite a document's spans and items.
-        found = found.groupBy("doc_id").agg(
-            F.max("n_words").alias("n_words"), F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"),
-            F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"), F.array_distinct(F.flatten(F.collect_list("near_items"))).alias("near_items"),
-        )
-    return _judge(found).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", F.size("near_items").cast("long").alias("n_near"))
+    docs = documents.select("doc_id", "text")
+    # Row numbers unite the slices; a single one needs none that last.
+    docs = numbered(docs) if _several(bench, most) else docs.withColumn("row", F.monotonically_increasing_id())
+    judged = _judged_rows(docs, bench, width, near_span, most)
+    return judged.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", F.size("near_items").cast("long").alias("n_near"))
 
 
 def _several(benchmark: DataFrame, most: int) -> bool:
     return 4 * (benchmark.select(F.sum(F.length("text"))).first()[0] or 0) > most
 
 
-def remove_contaminated(documents: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
-    """documents, all columns, without the contaminated ones; rows with a null doc_id stay."""
-    gone = contamination(documents, benchmark, width).where("contaminated").select(F.col("doc_id").alias("_gone")).distinct()
-    gone = materialize(gone, "contaminated")
-    return documents.join(gone, documents["doc_id"] == gone["_gone"], "left_anti")
+def remove_contaminated(documents: DataFrame, benchmark: DataFrame, width: int = WINDOW, most: int = MOST_ITEM_BYTES) -> DataFrame:
+    """documents, all columns, without the contaminated ones; each row is judged by its own text, whatever its doc_id."""
+    own = "_row"
+    while own in documents.columns:
+        own += "_"
+    docs = numbered(documents, own)
+    bench = benchmark.select(F.col("item_id").cast("long"), "text").dropDuplicates(["item_id", "text"])
+    gone = _judged_rows(docs.select("doc_id", F.col(own).alias("row"), "text"), bench, width, None, most).where("contaminated").select(F.col("row").alias(own))
+    return docs.join(materialize(gone, "contaminated"), own, "left_anti").select(*documents.columns)

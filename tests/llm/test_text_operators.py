@@ -201,6 +201,21 @@ def test_contamination_of_odd_rows_and_near_matches(spark):
     assert {r.n_items for r in decontaminate.contamination(rows(spark), item.limit(0)).collect()} == {0}
 
 
+@pytest.mark.parametrize("most", [1 << 20, 200])
+def test_contamination_of_null_and_repeated_ids(spark, most):
+    items = [*ITEMS, (None, " ".join(f"n{i}" for i in range(20)))]
+    texts = [(6, ITEMS[0][1]), (6, "clean words"), (None, ITEMS[4][1] + " more"), (None, "f " * 30), (50, items[-1][1]), (None, items[-1][1])]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = rows(spark, texts)
+    found = decontaminate.contamination(docs, benchmark, most=most).collect()
+    wanted = list(contaminated([(i, t) for i, t in [*ODD, *texts]], items[:-1]))
+    wanted[-2:] = [(i, 20, 20, 0, hashlib.sha256(b"").hexdigest(), True) for i in (50, None)]
+    assert collections.Counter(tuple(r)[:6] for r in found) == collections.Counter(wanted)
+    stay = decontaminate.remove_contaminated(docs, benchmark, most=most)
+    clean = collections.Counter((i, t) for (i, t), r in zip([*ODD, *texts], wanted, strict=True) if not r[5])
+    assert stay.columns == docs.columns and collections.Counter((r.doc_id, r.text) for r in stay.collect()) == clean
+
+
 def ids_of(texts):
     library = Tokenizer.from_file(VOCABULARY)
     return [x.ids for x in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
