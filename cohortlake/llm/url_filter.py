@@ -28,7 +28,9 @@ from .common import ascii_lower, materialize
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 DAMPING = 0.5
 ROUNDS = 12
-THRESHOLD = 0.5
+#: A host of which four fifths of the links lead to hosts with blocked pages only reaches it, even if those link to no such host:
+#: they keep 1 - DAMPING of their distrust at least, and links hand on DAMPING of it.
+THRESHOLD = 0.8 * DAMPING * (1 - DAMPING)
 _HREF = r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
 
 

@@ -149,6 +149,16 @@ def test_url_rules_and_propagation(spark, data):
     assert url_filter.judge_urls(pages(spark, [])).count() == 0
 
 
+def test_links_alone_block_a_farm_and_no_neighbour(spark):
+    link = lambda n, host: f'<a href="http://{host}/x">x</a>' * n
+    rows = [
+        (1, "http://bad.net/", link(1, "plain.edu")), (2, "http://farm.edu/1", link(50, "bad.net") + "<a href=/in>i</a>"), (3, "http://farm.edu/2", link(49, "bad.net")),
+        (4, "http://clean.edu/", link(9, "plain.edu") + link(1, "bad.net")), (5, "http://plain.edu/", "<a href=/in>i</a>"), (6, "http://linked.edu/", ""), (7, "http://farm.edu/3", link(1, "linked.edu")),
+    ]
+    found = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge_urls(pages(spark, rows)).collect()}
+    assert found == {1: ("net/", "block"), 2: (None, "block"), 3: (None, "block"), 7: (None, "block"), 4: (None, "allow"), 5: (None, "allow"), 6: (None, "allow")}
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body><header>Site</header><nav><ul><li><a href="/x">Menu</a></ul></nav><!-- ad --><div class="ad">Buy</div>
 <article><header><h1>Head &amp; line</h1></header><p><b>One  two.<br>
 <p>Three &lt;b&gt; four <span class="share">Share</span>five</p><div class="comments"><p>Nice!</p></div><aside>Side</aside><form>Name <input value="a>b"></form>last</article><footer>&copy; x</footer></body></html>"""
