@@ -2,7 +2,8 @@
 
 A document's ids (with the end id) are cut into full sequences, then pieces of a
 quarter of the capacity, and a rest. Pieces are dealt into groups of bounded size by a hash of
-document and start, which no document or source can overfill. In each group the
+the task and the piece's number in it, written with the piece, so that no document, source or
+repeated doc_id can overfill one. In each group the
 Karmarkar-Karp method starts with one partial partition for each piece, merges
 the two with the largest imbalance so that the heavy window of one meets the
 light window of the other, and ends with near-equal windows. The window count
@@ -23,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -86,6 +88,7 @@ def cut_pieces(documents: DataFrame, vocabulary: str, capacity: int = CAPACITY,
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of = encoder(vocabulary, REMEMBERED)
+        task, numbers = TaskContext.get().partitionId(), itertools.count()
         for batch in in_chunks(batches):
             rows = []
             for doc_id, ids in zip(batch["doc_id"], of.encode(list(batch["text"])), strict=True):
@@ -95,7 +98,7 @@ def cut_pieces(documents: DataFrame, vocabulary: str, capacity: int = CAPACITY,
                 whole = total // capacity * capacity
                 for start in itertools.chain(range(0, whole, capacity), range(whole, total, quarter)):
                     piece = ids[4 * start : 4 * (start + (capacity if start < whole else quarter))]
-                    rows.append((known, start, len(piece) // 4, zlib.crc32(piece), total, zlib.crc32(f"{known},{start}".encode()), *([piece] if with_ids else [])))
+                    rows.append((known, start, len(piece) // 4, zlib.crc32(piece), total, zlib.crc32(f"{task},{next(numbers)}".encode()), *([piece] if with_ids else [])))
             frame = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "lot", *(["ids"] if with_ids else [])])
             frame["doc_id"] = frame["doc_id"].astype("Int64")
             yield frame

@@ -250,6 +250,13 @@ def test_packing_covers_every_id_once(spark, documents):
     assert packing.pack(empty(spark), VOCABULARY).count() == 0
 
 
+def test_packing_groups_of_null_and_repeated_ids_stay_small(spark):
+    docs = spark.createDataFrame([(None if i % 2 else 7, f"text {i}") for i in range(6000)], "doc_id long, text string")
+    found = packing.pack(docs, VOCABULARY).collect()
+    groups = collections.Counter(r.sequence_id >> 24 for r in found)
+    assert len(found) == 6000 and max(groups.values()) < 2 * packing.GROUP
+
+
 def test_differencing_is_near_equal_and_raises_the_count():
     sizes = [512] * 9 + [3, 500, 77, 401, 2, 2, 333]
     for count in (2, 3, 5):
