@@ -7,8 +7,9 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: ASCII white space, the separators of every word rule here.
@@ -21,13 +22,16 @@ CHUNK_CHARS = 2_000_000
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
-    It is spark.checkpoint.dir. Where that is unset (a local session), a fresh
-    temporary folder of this machine is set and used.
+    It is spark.checkpoint.dir. Where that is unset, a local session sets and
+    uses a fresh folder of its machine; on a cluster that is an error, as
+    executors could not see each other's files.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.cohortlake.localCheckpoints", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.cohortlake.sharedFolder", None)
     if not folder:
+        if not spark.conf.get("spark.master").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.cohortlake.localCheckpoints", folder)
+        spark.conf.set("spark.cohortlake.sharedFolder", folder)
     return folder.rstrip("/")
 
 
@@ -43,6 +47,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(documents: DataFrame, name: str = "row") -> DataFrame:
+    """documents with a unique number of each row, written so that every use of a row sees the same one."""
+    return materialize(documents.withColumn(name, F.monotonically_increasing_id()), "numbered-documents")
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -61,6 +78,17 @@ def in_chunks(batches: Iterator[pd.DataFrame], column: str = "text", most: int =
             yield batch.iloc[start:]
 
 
+def id_columns(name: str = "doc_id") -> list[Column]:
+    """An id and whether it is null, as two columns without nulls: beside a null pandas would round long ids to doubles."""
+    own = F.col(name).cast("long")
+    return [F.coalesce(own, F.lit(0)).alias(name), own.isNull().alias("no_id")]
+
+
+def ids_of(batch: pd.DataFrame, name: str = "doc_id") -> pd.arrays.IntegerArray:
+    """The exact ids of a batch with id_columns, null where they are."""
+    return pd.arrays.IntegerArray(batch[name].to_numpy(np.int64).copy(), batch["no_id"].to_numpy(bool).copy())
+
+
 def strings(values) -> pd.Series:
     """Python strings as they are, which Arrow takes as one array."""
     return pd.Series(list(values), dtype=object)

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_chunks, materialize, small_batches
+from .common import free_name, id_columns, in_chunks, materialize, numbered, small_batches
 
 WINDOW = 13
 #: Text of test items sent to every task at once.
@@ -41,18 +41,13 @@ MOST_ITEM_BYTES = 32 << 20
 _FOLD = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256)
 )
-_INDEX = "block string, row_ids array<long>, row_numbers array<long>, lengths array<int>, terms array<binary>, counts array<int>, positions binary"
+_INDEX = "block string, row_ids array<long>, no_ids array<boolean>, row_numbers array<long>, lengths array<int>, terms array<binary>, counts array<int>, positions binary"
 
 
 def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_FOLD).split() if text else []
 
 
-def numbered(documents: DataFrame, name: str = "row") -> DataFrame:
-    """documents with a unique number of each row, written so that every use of a row sees the same one."""
-    return materialize(documents.withColumn(name, F.monotonically_increasing_id()), "numbered-documents")
-
-
 def build_index(documents: DataFrame, terms: frozenset[bytes] | None = None) -> DataFrame:
     """The stored index of documents with a column row; with `terms` only their postings are kept, which is all that a search for them reads."""
     spark = documents.sparkSession
@@ -78,11 +73,11 @@ def build_index(documents: DataFrame, terms: frozenset[bytes] | None = None) ->
             numbers, counts = np.unique(at[held], return_counts=True)
             names = list(ids)
             yield pd.DataFrame({
-                "block": [""], "row_ids": [[None if pd.isna(i) else int(i) for i in batch["doc_id"]]], "row_numbers": [batch["row"].to_numpy()], "lengths": [np.array(lengths, np.int32)],
+                "block": [""], "row_ids": [batch["doc_id"].to_numpy()], "no_ids": [batch["no_id"].to_numpy()], "row_numbers": [batch["row"].to_numpy()], "lengths": [np.array(lengths, np.int32)],
                 "terms": [[names[i] for i in numbers]], "counts": [counts.astype(np.int32)], "positions": [held.astype("<u4").tobytes()],
             })
 
-    rows = documents.select(F.col("doc_id").cast("long"), F.col("row"), F.col("text").cast("string")).mapInPandas(run, _INDEX)
+    rows = documents.select(*id_columns(), F.col("row"), F.col("text").cast("string")).mapInPandas(run, _INDEX)
     return materialize(rows, "positional-index")
 
 
@@ -112,7 +107,8 @@ class Block:
     """One row of the index, with term numbers of the windows."""
 
     def __init__(self, row, terms: dict[bytes, int]):
-        self.row_ids, self.row_numbers, self.lengths = row.row_ids, row.row_numbers, np.asarray(row.lengths, np.int64)
+        self.row_ids = pd.arrays.IntegerArray(np.array(row.row_ids, np.int64), np.array(row.no_ids, bool))
+        self.row_numbers, self.lengths = row.row_numbers, np.asarray(row.lengths, np.int64)
         self.positions = np.frombuffer(row.positions, "<u4").astype(np.int64)
         ends = np.cumsum(np.asarray(row.counts, np.int64))
         self.count = np.zeros(len(terms) + 1, np.int64)
@@ -220,15 +216,15 @@ def find_spans(documents: DataFrame, benchmark: DataFrame, width: int = WINDOW,
                         for d, w in zip(block.document(at).tolist(), w_near.tolist(), strict=True):
                             close.setdefault(d, set()).update(windows.items[w])
                     rows = []
-                    for d, (doc_id, number, length) in enumerate(zip(block.row_ids, block.row_numbers, block.lengths, strict=True)):
+                    for d, (number, length) in enumerate(zip(block.row_numbers, block.lengths, strict=True)):
                         hits = spans.get(d, [])
                         found = {i for w, _ in hits for i in windows.items[w]}
                         rows.append((
-                            doc_id, int(number), int(length), [s for _, s in hits], [s + int(windows.lengths[w]) for w, s in hits],
+                            int(number), int(length), [s for _, s in hits], [s + int(windows.lengths[w]) for w, s in hits],
                             sorted({windows.ids[i] for i in found} - {None}), sorted({windows.ids[i] for i in close.get(d, set())} - {None}),
                         ))
-                    frame = pd.DataFrame(rows, columns=["doc_id", "row", "n_words", "starts", "ends", "items", "near_items"])
-                    frame["doc_id"] = frame["doc_id"].astype("Int64")
+                    frame = pd.DataFrame(rows, columns=["row", "n_words", "starts", "ends", "items", "near_items"])
+                    frame.insert(0, "doc_id", block.row_ids)
                     yield frame
 
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
@@ -284,9 +280,7 @@ def _several(benchmark: DataFrame, most: int) -> bool:
 
 def remove_contaminated(documents: DataFrame, benchmark: DataFrame, width: int = WINDOW, most: int = MOST_ITEM_BYTES) -> DataFrame:
     """documents, all columns, without the contaminated ones; each row is judged by its own text, whatever its doc_id."""
-    own = "_row"
-    while own in documents.columns:
-        own += "_"
+    own = free_name(documents, "_row")
     docs = numbered(documents, own)
     bench = benchmark.select(F.col("item_id").cast("long"), "text").dropDuplicates(["item_id", "text"])
     gone = _judged_rows(docs.select("doc_id", F.col(own).alias("row"), "text"), bench, width, None, most).where("contaminated").select(F.col("row").alias(own))

@@ -1,20 +1,28 @@
 """N-gram Jaccard join of documents, as a join in the metric space of shingle sets.
 
-Jaccard distance is a metric. The space is cut twice:
+Jaccard distance is a metric. The space is cut in three steps:
 
 1. Pivots of the first level are one-shingle sets {s}. A document x is at
    distance 1 - 1/|x| from each of its own shingles and at distance 1 from the
    others, so its nearest pivots are its shingles; the tie is broken by one
-   global order (shingles that are rare in a bounded sample first). A document
-   within the radius of x may have another first shingle, so x is replicated to
-   the region of every pivot at which such a document can be: by the triangle
-   inequality those of its first |x| - ceil(t|x|) + 1 shingles.
-2. Inside a region the first documents in the global order are pivots, and
-   exact distances to them are computed. What is linked to a pivot is settled
-   with it. Documents of a region that are not yet in one component form a
-   smaller region, which is joined again: only between components, only where
-   sizes and positions allow the link, and only inside the window
-   |d(x,p) - d(y,p)| <= radius of the region's pivot.
+   global order, rare shingles first. A document that is linked to x shares one
+   of the first |x| - ceil(t|x|) + 1 shingles of x in that order (the prefix
+   bound, by the pigeonhole principle), and x is replicated to their regions.
+   The order is learned twice: from a bounded sample, and then from the exact
+   sizes of the regions that it gives, whose largest are moved to its end; the
+   documents in them choose their regions anew.
+2. Inside a region the first documents are pivots, and exact distances to them
+   are computed. What is linked to a pivot is settled with it.
+3. Regions whose documents lie in several components are joined again, between
+   components: in the Hamming space of parity sketches, in which linked
+   documents are at most (1 - t) / (1 + t) * (|x| + |y|) apart. A region that is
+   too large for one task is cut into Voronoi cells of sketch pivots; x is in the
+   cell of its nearest pivot and, by the triangle inequality, is replicated to
+   those whose pivot is at most twice the radius farther. Cells that are still
+   too large are cut again. A region that no pivot can cut, as its documents are
+   all within a radius of each other, is compared in pairs of blocks. Only pairs
+   that size, position and sketch allow leave a region; first the nearest of each two
+   components, then, when what these link is settled, all that are left.
 
 Document pivots alone cannot cut this space: unrelated documents are all at
 distance 1 from each other, so every window would hold every region.
@@ -24,7 +32,7 @@ that whole sets are only fetched for pairs that can be linked.
 
 Copies (equal shingle sets) are one point. Links are decided on whole sets of
 64-bit shingle hashes, with integers; nothing is capped or sampled. The sample
-only sets the order, on which no result depends.
+and the region sizes only set the order, on which no result depends.
 
 Defined results: a document without words or with a null text has no shingles
 and is its own component; fewer words than a shingle are one shingle; rows that
@@ -42,15 +50,23 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_chunks, materialize, small_batches
+from .common import free_name, id_columns, ids_of, in_chunks, materialize, numbered, small_batches
 
 #: Documents from which the order of shingles is learned, and most entries of the order.
 SAMPLE_DOCS = 4_000
 MOST_COMMON = 200_000
 #: Document pivots of a region on the first pass.
 PIVOTS = 2
-#: Bits of the runtime filter on the documents that a candidate names.
-FILTER_BITS = 1 << 23
+#: Rows that make a region worth another order, and rows that one task compares.
+LARGE = 16
+MOST_ROWS = 2_048
+#: Sketch pivots of a region that is cut, and cuts of cuts.
+CELLS = 8
+LEVELS = 6
+#: Least and most bits of a runtime filter on documents, 8 for each of them; a full one only lets more documents pass.
+FILTER_BITS = (1 << 16, 1 << 26)
+#: Words of the sketches that are sent to regions.
+FOLDED = 8
 #: Power of two of the bits of a short document's parity sketch; long ones have 2 to 4 bits a shingle.
 LEAST_PARITIES = 11
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
@@ -96,6 +112,14 @@ def parities(shingles: np.ndarray) -> bytes:
     return np.packbits(np.bincount(at, minlength=classes).astype(np.uint8) & 1).tobytes()
 
 
+def folded(parity: bytes) -> bytes:
+    """The sketch of FOLDED 64-bit words."""
+    x = np.frombuffer(parity, np.uint64)
+    while len(x) > FOLDED:
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return x.tobytes()
+
+
 def bits_apart(x: bytes, y: bytes) -> int:
     x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
     while len(x) > len(y):
@@ -110,24 +134,48 @@ def prefix_length(size: int, percent: int) -> int:
 
 
 def _order(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that three or more of the sampled documents hold, sorted, and in how many."""
+    """Shingles that three or more of the sampled documents hold, sorted, and estimates of how many of all hold them."""
     total = docs.count()
     share = min(1.0, SAMPLE_DOCS / max(1, total))
-    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    sample = docs.sample(fraction=share, seed=1) if share < 1 else docs
 
     def shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in in_chunks(batches):
             sets = [shingle_set(t, width) for t in batch["text"]]
             yield pd.DataFrame({"s": np.concatenate(sets).view(np.int64)})
 
-    common = sample.mapInPandas(shingles, "s long").groupBy("s").count().where("count >= 3").orderBy(F.desc("count"), "s").limit(MOST_COMMON).toPandas()
-    keys = common["s"].to_numpy(np.int64).view(np.uint64)
+    common = sample.select("text").mapInPandas(shingles, "s long").groupBy("s").count().where("count >= 3").orderBy(F.desc("count"), "s").limit(MOST_COMMON).toPandas()
+    return _sorted(common["s"], (common["count"] / share).astype(np.int64))
+
+
+def _sorted(shingles, counts) -> tuple[np.ndarray, np.ndarray]:
+    keys = np.asarray(shingles, np.int64).view(np.uint64)
     by = np.argsort(keys)
-    return keys[by], common["count"].to_numpy(np.int64)[by]
+    return keys[by], np.asarray(counts, np.int64)[by]
+
+
+def _among(ids: DataFrame, name: str):
+    """A column of whether doc_id may be in the column `name` of ids: a bit filter, which passes some others too."""
+    spark = ids.sparkSession
+    least, most = FILTER_BITS
+    size = min(most, max(least, 1 << (8 * ids.count()).bit_length()))
+    words = ids.groupBy((F.pmod(F.xxhash64(name), F.lit(size)) / 32).cast("long").alias("w")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(pmod(xxhash64({name}), {size}L), 32) as int))")).alias("bits")
+    ).toPandas()
+    bits = np.zeros(size // 32, np.uint32)
+    bits[words["w"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
+    shared = spark.sparkContext.broadcast(bits)
+
+    @F.pandas_udf("boolean")
+    def held(slots: pd.Series) -> pd.Series:
+        at = slots.to_numpy(np.int64)
+        return pd.Series((shared.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1)
+
+    return held(F.pmod(F.xxhash64("doc_id"), F.lit(size)))
 
 
 def in_order(shingles: np.ndarray, keys: np.ndarray, counts: np.ndarray, first: int) -> np.ndarray:
-    """The first shingles in the global order: by sample count, then by hash."""
+    """The first shingles in the global order: by known count, then by hash."""
     if not len(keys):
         return shingles[:first]
     at = np.minimum(np.searchsorted(keys, shingles), len(keys) - 1)
@@ -148,15 +196,17 @@ def _features(docs: DataFrame, width: int, percent: int, keys: np.ndarray, count
         keys, counts = shared.value
         for batch in in_chunks(batches):
             sets = [shingle_set(t, width) for t in batch["text"]]
+            sketches = [parities(s) for s in sets]
             yield pd.DataFrame({
-                "doc_id": batch["doc_id"].to_numpy(),
+                "doc_id": ids_of(batch),
                 "n": [len(s) for s in sets],
                 "set_id": [np.int64(np.uint64(xxhash.xxh64_intdigest(s.tobytes())).view(np.int64)) for s in sets],
-                "parity": [parities(s) for s in sets],
+                "parity": sketches,
+                "fold": [folded(x) for x in sketches],
                 "prefix": [in_order(s, keys, counts, prefix_length(len(s), percent) if len(s) else 0).view(np.int64) for s in sets],
             })
 
-    return docs.mapInPandas(features, "doc_id long, n long, set_id long, parity binary, prefix array<long>")
+    return docs.select(*id_columns(), "text").mapInPandas(features, "doc_id long, n long, set_id long, parity binary, fold binary, prefix array<long>")
 
 
 def _allowed(percent: int, size_a, at_a, size_b, at_b):
@@ -217,23 +267,13 @@ def may_link(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
 
 def verified(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
     """Exact common and united shingles of pairs (a, b) of doc_ids: a, b, common, united."""
-    spark = docs.sparkSession
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
-    slot = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
-    words = ids.groupBy((slot / 32).cast("long").alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(pmod(xxhash64(id), {FILTER_BITS}L), 32) as int))")).alias("bits")).toPandas()
-    bits = np.zeros(FILTER_BITS // 32, np.uint32)
-    bits[words["w"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
-    shared = spark.sparkContext.broadcast(bits)
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = shared.value
         for batch in in_chunks(batches):
-            at = batch["slot"].to_numpy(np.int64)
-            own = batch[(bits[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1]
-            if len(own):
-                yield pd.DataFrame({"doc_id": own["doc_id"].to_numpy(), "shingles": [shingle_set(t, width).tobytes() for t in own["text"]]})
+            yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "shingles": [shingle_set(t, width).tobytes() for t in batch["text"]]})
 
-    named = docs.where("doc_id is not null").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("slot")).mapInPandas(sets, "doc_id long, shingles binary")
+    named = docs.where("doc_id is not null").where(_among(ids, "id")).select("doc_id", "text").mapInPandas(sets, "doc_id long, shingles binary")
 
     def overlaps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -268,12 +308,136 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def jaccard_components(documents: DataFrame, width: int = 5, percent: int = 80, pivots: int = PIVOTS) -> DataFrame:
+def _cells(percent: int):
+    """Over rows with their region's pivots: a row for each cell that the document or its window falls into."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            own = _words(batch["fold"])
+            centres = np.full((len(batch), CELLS, FOLDED), 0, np.uint64)
+            there = np.zeros((len(batch), CELLS), bool)
+            for i, x in enumerate(batch["pivots"]):
+                x = np.frombuffer(x, np.uint64).reshape(-1, FOLDED)
+                centres[i, : len(x)], there[i, : len(x)] = x, True
+            far = np.where(there, np.bitwise_count(centres ^ own[:, None]).sum(axis=2).astype(np.int64), 1 << 40)
+            # A linked document has at most 100 * n / percent shingles.
+            n = batch["n"].to_numpy(float)
+            radius = (100 - percent) / (100 + percent) * n * (1 + 100 / percent)
+            row, cell = np.nonzero(far - far.min(axis=1, keepdims=True) <= 2 * radius[:, None] + 1e-6)
+            yield batch.drop(columns=["pivots"]).iloc[row].assign(cell=cell)
+
+    return run
+
+
+_REGION = "region long, rep long, n long, at long, component long, fold binary"
+
+
+def cut_regions(rows: DataFrame, percent: int, most: int = MOST_ROWS, levels: int = LEVELS) -> DataFrame:
+    """Rows of regions, with those of more than `most` rows cut into cells, or else into pairs of blocks.
+
+    Two rows of a region whose documents can be linked are together in one of its parts.
+    """
+    done = None
+    for level in range(levels + 1):
+        sized = materialize(rows.join(rows.groupBy("region").agg(F.count("*").alias("size")), "region"), "jaccard-sized")
+        small = sized.where(f"size <= {most}").drop("size")
+        done = small if done is None else done.unionByName(small)
+        large = sized.where(f"size > {most}")
+        if large.isEmpty():
+            return done
+        draw = F.xxhash64("rep", F.lit(level))
+        pivots = large.groupBy("region", F.pmod(draw, F.lit(CELLS)).alias("slot")).agg(F.min(F.struct(draw, "fold")).alias("p"))
+        # At most CELLS a region; spread over salts, as a region can hold a large share of the rows.
+        pivots = pivots.groupBy("region").agg(F.expr("aggregate(collect_list(p.fold), x'', (x, y) -> x || y)").alias("pivots"))
+        pivots = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(15))))
+        dealt = large.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(16)).cast("int")).join(pivots, ["region", "salt"]).drop("salt")
+        dealt = materialize(dealt.mapInPandas(_cells(percent), _REGION + ", size long, cell long"), "jaccard-cells")
+        work = dealt.groupBy("region", "size", "cell").agg(F.count("*").alias("k")).groupBy("region", "size").agg(F.sum(F.col("k") * F.col("k")).alias("pairs"))
+        useful = materialize(work.select("region", F.expr(f"{level} < {levels} AND 2 * pairs <= size * size").alias("useful")), "jaccard-useful")
+        # What pivots cannot cut goes into pairs of blocks of half the rows that a task compares.
+        count, other = F.expr(f"(2 * size + {most} - 1) div {most}"), F.col("other")
+        blocks = large.join(useful.where("NOT useful"), "region").withColumn("blocks", count).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+        blocks = blocks.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)"))).withColumn("region", F.xxhash64("region", F.lit("blocks"), F.least("block", other), F.greatest("block", other)))
+        done = done.unionByName(blocks.select(*small.columns))
+        rows = dealt.join(useful.where("useful"), "region").withColumn("region", F.xxhash64("region", F.lit(level), "cell")).select(*small.columns)
+    return done
+
+
+def _words(sketches: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(sketches), np.uint64).reshape(-1, FOLDED)
+
+
+def _compare(percent: int, nearest: bool):
+    """Over rows sorted by region and size: the pairs between components that sizes, positions and sketches allow; `nearest`: one for each two components of a region."""
+
+    columns = ("region", "rep", "n", "at", "component")
+
+    def pairs(frame: pd.DataFrame) -> pd.DataFrame:
+        region, rep, n, at, component = (frame[c].to_numpy() for c in columns)
+        own = _words(frame["fold"])
+        left, right, apart = [], [], []
+        x = np.arange(len(frame))
+        for k in range(1, len(frame)):
+            x = x[x + k < len(frame)]
+            # Rows are sorted by size, so what is too large for a row stays so.
+            x = x[(region[x] == region[x + k]) & (100 * n[x] >= percent * n[x + k])]
+            if not len(x):
+                break
+            i = x[component[x] != component[x + k]]
+            i = i[_allowed(percent, n[i], at[i], n[i + k], at[i + k])]
+            bits = np.bitwise_count(own[i] ^ own[i + k]).sum(axis=1).astype(np.int64)
+            fits = (100 + percent) * bits <= (100 - percent) * (n[i] + n[i + k])
+            left.append(i[fits])
+            right.append(i[fits] + k)
+            apart.append(bits[fits])
+        if not left:
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        left, right, apart = map(np.concatenate, (left, right, apart))
+        if nearest:
+            low, high = np.minimum(component[left], component[right]), np.maximum(component[left], component[right])
+            by = np.lexsort((apart, high, low, region[left]))
+            key = np.stack([region[left], low, high])[:, by]
+            first = np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0))[: len(by)]
+            left, right = left[by[first]], right[by[first]]
+        return pd.DataFrame({"a": np.minimum(rep[left], rep[right]), "b": np.maximum(rep[left], rep[right])})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None  # rows of the region that the last batch left open
+        for batch in batches:
+            if rest is not None:
+                batch = pd.concat([rest, batch], ignore_index=True)
+            end = int(np.searchsorted(batch["region"].to_numpy(), batch["region"].iloc[-1])) if len(batch) else 0
+            if end:
+                yield pairs(batch.iloc[:end])
+            rest = batch.iloc[end:]
+        if rest is not None and len(rest):
+            yield pairs(rest)
+
+    return run
+
+
+def between_components(passed: DataFrame, labels: DataFrame, sketches: DataFrame, percent: int, nearest: bool, pivots: int, most: int) -> DataFrame:
+    """Pairs (a, b) of documents of different components that share a region and can be linked."""
+    member = passed.where("kind = 1").select("s", F.col("a").alias("rep"), "n", "at").distinct()
+    member = member.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    # In a region of as many documents as pivots and one, the pivots have met all.
+    open_regions = (
+        member.groupBy("s", "component").agg(F.min("n").alias("n"), F.count("*").alias("rows"))
+        .groupBy("s").agg(F.count("*").alias("parts"), F.sum("rows").alias("rows"), F.min("n").alias("least")).where(f"parts > 1 AND rows > {pivots + 1}")
+    )
+    member = member.join(open_regions.select("s", "least"), "s").where(f"{100 + percent} * (n - at) >= {percent} * (n + greatest(least, n * {percent} div 100))")
+    rows = member.select(F.col("s").alias("region"), "rep", "n", "at", "component").join(sketches.select("rep", "n", "fold"), ["rep", "n"])
+    rows = cut_regions(rows.select("region", "rep", "n", "at", "component", "fold"), percent, most)
+    return rows.repartition("region").sortWithinPartitions("region", "n", "rep").mapInPandas(_compare(percent, nearest), "a long, b long").distinct()
+
+
+def jaccard_components(documents: DataFrame, width: int = 5, percent: int = 80, pivots: int = PIVOTS, most: int = MOST_ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id per row of documents.
 
     Documents whose sets of `width`-word shingles have 100 * intersection >=
     percent * union are linked; component_id is the smallest doc_id reachable
-    by links.
+    by links. `pivots` are the documents of a region that meet all others,
+    `most` are the rows of a region that one task compares.
     """
     small_batches(documents.sparkSession)
     docs = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -281,9 +445,22 @@ def jaccard_components(documents: DataFrame, width: int = 5, percent: int = 80,
     features = materialize(_features(docs, width, percent, keys, counts), "jaccard-features")
     points = features.where("n > 0 and doc_id is not null").groupBy("set_id", "n").agg(F.min("doc_id").alias("rep"))
     points = materialize(points, "jaccard-points")
+    held = points.select(F.col("rep").alias("doc_id"), "set_id")
+
+    # Regions that are large in the first order: their shingles go to the end of the second.
+    first = features.where("n > 0").join(held, ["doc_id", "set_id"], "left_semi").select("doc_id", F.explode("prefix").alias("s"))
+    large = first.groupBy("s").count().where(f"count > {LARGE}").orderBy(F.desc("count"), "s").limit(MOST_COMMON)
+    large = materialize(large, "jaccard-large")
+    found = large.toPandas()
+    chosen = features.where("n > 0").select("doc_id", "set_id", "n", "prefix")
+    if len(found):
+        order = pd.concat([pd.DataFrame({"s": keys.view(np.int64), "count": counts}), found]).groupby("s")["count"].max()
+        # At most MOST_COMMON rows are sent to the tasks.
+        moved = _among(first.join(F.broadcast(large.select("s")), "s", "left_semi").select(F.col("doc_id").alias("id")).distinct(), "id")
+        anew = _features(docs.where("doc_id is not null").where(moved), width, percent, *_sorted(order.index, order))
+        chosen = chosen.where(~moved).unionByName(anew.where("n > 0").select("doc_id", "set_id", "n", "prefix"))
     rows = (
-        features.where("n > 0").join(points.select(F.col("rep").alias("doc_id"), "set_id"), ["doc_id", "set_id"], "left_semi")
-        .dropDuplicates(["doc_id", "set_id"])
+        chosen.join(held, ["doc_id", "set_id"], "left_semi").dropDuplicates(["doc_id", "set_id"])
         .select(F.col("doc_id").alias("rep"), "n", F.posexplode("prefix").alias("at", "s"))
         .select("s", "rep", "n", F.col("at").cast("long"))
     )
@@ -291,7 +468,8 @@ def jaccard_components(documents: DataFrame, width: int = 5, percent: int = 80,
         _region_pass(percent, pivots), "s long, a long, b long, n long, at long, kind int"
     )
     passed = materialize(passed, "jaccard-regions")
-    sketches = materialize(features.select(F.col("doc_id").alias("rep"), "set_id", "n", "parity").join(points, ["rep", "set_id", "n"], "left_semi").dropDuplicates(["rep", "set_id"]), "jaccard-sketches")
+    sketches = features.select(F.col("doc_id").alias("rep"), "set_id", "n", "parity", "fold").join(points, ["rep", "set_id", "n"], "left_semi").dropDuplicates(["rep", "set_id"])
+    sketches = materialize(sketches, "jaccard-sketches")
     pairs = materialize(may_link(passed.where("kind = 0").select("a", "b").distinct(), sketches, percent), "jaccard-pairs")
     checked = materialize(verified(docs, pairs, width), "jaccard-checked")
     linked = F.expr(f"100 * common >= {percent} * united")
@@ -302,37 +480,19 @@ def jaccard_components(documents: DataFrame, width: int = 5, percent: int = 80,
     edges = materialize(checked.where(linked).select("a", "b").union(tied), "jaccard-links")
     labels = components(edges)
 
-    # Regions whose documents lie in several components are joined again, between components.
-    member = passed.where("kind = 1").select("s", F.col("a").alias("rep"), "n", "at").distinct()
-    member = member.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    open_regions = (
-        member.groupBy("s", "component").agg(F.min("n").alias("n"))
-        .groupBy("s").agg(F.count("*").alias("parts"), F.min("n").alias("least")).where("parts > 1")
-    )
-    member = member.join(open_regions.select("s", "least"), "s").where(f"{100 + percent} * (n - at) >= {percent} * (n + greatest(least, n * {percent} div 100))")
-    member = materialize(member.drop("least"), "jaccard-open")
-    x = member.select("s", *[F.col(c).alias(f"{c}_x") for c in ("rep", "n", "at", "component")])
-    y = member.select("s", *[F.col(c).alias(f"{c}_y") for c in ("rep", "n", "at", "component")])
-    again = x.join(y, "s").where(
-        f"component_x <> component_y and rep_x < rep_y and 100 * least(n_x, n_y) >= {percent} * greatest(n_x, n_y)"
-        f" and {100 + percent} * least(n_x - at_x, n_y - at_y) >= {percent} * (n_x + n_y)"
-    ).select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b")).distinct()
+    # Regions of several components: the nearest of each two components, then all that are left.
     known = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    again = materialize(may_link(again.join(known, ["a", "b"], "left_anti"), sketches, percent), "jaccard-again")
-    if not again.isEmpty():
-        # The triangle window: a pivot that both were measured against.
-        # A doc_id that stands for several texts has no one distance.
-        several = points.groupBy("rep").count().where("count > 1").select("rep")
-        far = checked.select("a", "b", (1 - F.col("common") / F.col("united")).alias("d"))
-        far = far.join(several, far["a"] == several["rep"], "left_anti").join(several, far["b"] == several["rep"], "left_anti")
-        near = far.groupBy("b").agg(F.min(F.struct("a", "d")).alias("to"))
-        of = lambda c: near.select(F.col("b").alias(c), F.col("to").alias(f"to_{c}"))
-        again = again.join(of("a"), "a", "left").join(of("b"), "b", "left").where(
-            f"to_a is null or to_b is null or to_a.a <> to_b.a or abs(to_a.d - to_b.d) <= {1 - percent / 100 + 1e-9}"
-        ).select("a", "b")
-        more = materialize(verified(docs, again, width).where(linked).select("a", "b"), "jaccard-links")
+    for nearest in (True, False):
+        again = between_components(passed, labels, sketches, percent, nearest, pivots, most)
+        again = materialize(may_link(again.join(known, ["a", "b"], "left_anti"), sketches, percent), "jaccard-again")
+        if again.isEmpty():
+            continue
+        more = materialize(verified(docs, again, width), "jaccard-checked")
+        known = known.union(more.select("a", "b"))
+        more = more.where(linked).select("a", "b")
         if not more.isEmpty():
-            labels = components(edges.union(more))
+            edges = materialize(edges.union(more), "jaccard-links")
+            labels = components(edges)
     of_set = points.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("set_id", "n", F.coalesce("component", "rep").alias("component"))
     return (
         features.select("doc_id", "n", F.when(F.col("n") > 0, F.col("set_id")).alias("set_id"))
@@ -342,7 +502,14 @@ def jaccard_components(documents: DataFrame, width: int = 5, percent: int = 80,
 
 
 def keep_one(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """documents without those that a component already holds under a smaller doc_id."""
-    gone = jaccard_components(documents, width, percent).where("component_id <> doc_id").select(F.col("doc_id").alias("_gone"))
-    gone = materialize(gone.distinct(), "jaccard-gone")
-    return documents.join(gone, documents["doc_id"] == gone["_gone"], "left_anti")
+    """documents, all columns, of which each component keeps its first row.
+
+    Rows are told apart by their number in a written table, so that null and
+    repeated doc_ids do not matter: of equal rows one stays. Rows without words
+    are linked with nothing and all stay. An empty table stays empty.
+    """
+    own = free_name(documents, "_row")
+    docs = numbered(documents, own)
+    found = jaccard_components(docs.select(F.col(own).alias("doc_id"), "text"), width, percent)
+    gone = materialize(found.where("component_id <> doc_id").select(F.col("doc_id").alias(own)), "jaccard-gone")
+    return docs.join(gone, own, "left_anti").select(*documents.columns)

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_chunks, small_batches
+from .common import id_columns, ids_of, in_chunks, small_batches
 
 #: Bounds of the fit: labelled documents of each label, features, rounds.
 MOST_TRAINED = 8_000
@@ -202,13 +202,14 @@ def offending(documents: DataFrame, model: Model, least: float = 0.5) -> DataFra
         for batch in in_chunks(batches):
             rows = [
                 (i, m.start(), len(m[0]), m[0], p)
-                for i, text in zip(batch["doc_id"], batch["text"], strict=True) if text
+                for i, text in enumerate(batch["text"]) if text
                 for m in _SENTENCE.finditer(text)
                 if _WORD.search(m[0]) and (p := float(model.sentence(m[0].lower()))) >= least
             ]
-            yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "sentence", "score"])
+            frame = pd.DataFrame(rows, columns=["doc_id", "start", "length", "sentence", "score"])
+            yield frame.assign(doc_id=ids_of(batch)[frame["doc_id"].to_numpy(int)])
 
-    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(run, "doc_id long, start long, length long, sentence string, score double")
+    return documents.select(*id_columns(), F.col("text").cast("string")).mapInPandas(run, "doc_id long, start long, length long, sentence string, score double")
 
 
 def reject_toxic(documents: DataFrame, labels: DataFrame, usable: Column, threshold: float = THRESHOLD) -> DataFrame:
