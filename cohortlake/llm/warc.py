@@ -5,7 +5,8 @@ with the largest page_id; payloads are compared by SHA-1 and length. Record ids
 hold the row's number in a written table, so that equal rows have their own, and
 revisits refer to one row of the page_id. A response
 block larger than the segment size goes on in continuation records that name the
-origin record and their number; the last carries the total length. Payloads are
+origin record and their number; the last carries the total length. Segments
+stand in files of their own, which are the only ones that reassembly reads. Payloads are
 framed by chunked transfer coding. Each record is a gzip member of its own.
 
 Reading: records are parsed where the file is. Whole records are decoded at
@@ -41,8 +42,9 @@ SEGMENT_BYTES = 32 << 10
 CHUNK_BYTES = 8 << 10
 FILE_BYTES = 16 << 20
 LEVEL = 3
+STEP_BYTES = 4 << 10
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-_RECORD = "record_id string, record_type string, page_id long, url string, refers_to_record string, payload_digest string, origin_id string, segment int, total_length long, block binary"
+_RECORD = "record_id string, record_type string, page_id long, url string, refers_to_record string, payload_digest string, origin_id string, segment int, total_length long, content binary, size long, found string"
 
 
 def digest_of(payload: bytes) -> str:
@@ -120,7 +122,7 @@ def plan_revisits(rows: DataFrame, least_bytes: int = 0) -> DataFrame:
 
 
 def write_warc(pages: DataFrame, segment_bytes: int = SEGMENT_BYTES, least_bytes: int = 0, folder: str | None = None) -> DataFrame:
-    """Write the pages to .warc.gz files of the shared folder; path, records and bytes of each."""
+    """Write the pages to .warc.gz files of the shared folder; path, records and bytes of each, and whether it holds segments (and nothing else)."""
     spark = pages.sparkSession
     small_batches(spark)
     folder = folder or new_path(spark, "warc")
@@ -131,35 +133,44 @@ def write_warc(pages: DataFrame, segment_bytes: int = SEGMENT_BYTES, least_bytes
     joined = joined.select(F.coalesce(F.col("page_id").cast("string"), F.lit("")).alias("page_id"), "url", "html", "row", F.coalesce("refers_row", F.lit(-1)).alias("refers_row"), F.coalesce(F.col("refers_to").cast("string"), F.lit("")).alias("refers_to"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, number, made, parts, size = TaskContext.get().partitionId(), 0, [], [], 0
+        part, made = TaskContext.get().partitionId(), []
+        number, parts, size = [0, 0], [[], []], [0, 0]  # of the files of whole records, and of those of segments
 
-        def close():
-            path = f"{folder}/part-{part:06d}-{number:06d}.warc.gz"
-            made.append((path, len(parts), write_file(path, parts)))
+        def close(kind: int):
+            path = f"{folder}/part-{part:06d}-{number[kind]:06d}{'-segments' * kind}.warc.gz"
+            made.append((path, len(parts[kind]), write_file(path, parts[kind]), bool(kind)))
+            number[kind], parts[kind], size[kind] = number[kind] + 1, [], 0
 
         for batch in in_chunks(batches, "html"):
             for page_id, url, html, row, refers_row, refers_to in batch.itertuples(index=False):
                 payload = (html or "").encode("utf-8", "surrogatepass")
                 new = page_records(page_id or None, url, payload, int(refers_to) if refers_to else None, segment_bytes, row, refers_row)
-                parts += new
-                size += sum(map(len, new))
-                if size >= FILE_BYTES:
-                    close()
-                    number, parts, size = number + 1, [], 0
-        if parts:
-            close()
-        yield pd.DataFrame(made, columns=["path", "records", "bytes"])
+                kind = int(len(new) > 1)
+                parts[kind] += new
+                size[kind] += sum(map(len, new))
+                if size[kind] >= FILE_BYTES:
+                    close(kind)
+        for kind in (0, 1):
+            if parts[kind]:
+                close(kind)
+        yield pd.DataFrame(made, columns=["path", "records", "bytes", "segmented"])
 
-    return materialize(joined.mapInPandas(run, "path string, records long, bytes long"), "warc-index")
+    return materialize(joined.mapInPandas(run, "path string, records long, bytes long, segmented boolean"), "warc-index")
 
 
 def parse_file(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Header fields and block of each record of a file with a gzip member for each record."""
-    while data:
-        press = zlib.decompressobj(31)
-        raw = press.decompress(data) + press.flush()
-        data = press.unused_data
-        head, _, rest = raw.partition(b"\r\n\r\n")
+    view, at = memoryview(data), 0
+    while at < len(view):
+        # In small steps, as what follows a member is copied out of the step that ends it.
+        press, parts = zlib.decompressobj(31), []
+        while not press.eof:
+            if at >= len(view):
+                raise ValueError("a record is cut off")
+            step = view[at : at + STEP_BYTES]
+            parts.append(press.decompress(step))
+            at += len(step) - len(press.unused_data)
+        head, _, rest = b"".join(parts).partition(b"\r\n\r\n")
         lines = head.decode().split("\r\n")
         if not lines[0].startswith("WARC/"):
             raise ValueError("not a WARC record")
@@ -170,11 +181,10 @@ def parse_file(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         yield fields, rest[:length]
 
 
-def read_records(files: DataFrame, segmented: bool) -> DataFrame:
-    """The records of the files that are segments of one, or those that are not."""
+def read_records(files: DataFrame, segmented: bool, keep: bool = True) -> DataFrame:
+    """The records of the files that are segments of one, with their blocks, or those that are not, decoded; without `keep` payloads stay where they are read."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [x.split(" ")[0] for x in _RECORD.split(", ")]
         for batch in batches:
             for path in batch["path"]:
                 rows, size = [], 0
@@ -184,71 +194,73 @@ def read_records(files: DataFrame, segmented: bool) -> DataFrame:
                     number = f.get("WARC-Segment-Number")
                     if (number is not None) != segmented:
                         continue
-                    page_id = f.get("X-Page-Id")
+                    page_id, kind = f.get("X-Page-Id"), f["WARC-Type"]
+                    content = block if segmented else None if kind == "revisit" else payload_of(block)
+                    measured = (None, None) if segmented or content is None else (len(content), digest_of(content))
                     rows.append((
-                        f["WARC-Record-ID"], f["WARC-Type"], int(page_id) if page_id else None, f.get("WARC-Target-URI"), f.get("WARC-Refers-To"), f.get("WARC-Payload-Digest", "").removeprefix("sha1:"),
+                        f["WARC-Record-ID"], kind, int(page_id) if page_id else None, f.get("WARC-Target-URI"), f.get("WARC-Refers-To"), f.get("WARC-Payload-Digest", "").removeprefix("sha1:"),
                         f.get("WARC-Segment-Origin-ID", f["WARC-Record-ID"]), int(number or 0), int(f["WARC-Segment-Total-Length"]) if "WARC-Segment-Total-Length" in f else None,
-                        None if f["WARC-Type"] == "revisit" else block,
+                        content if keep or segmented else None, *measured,
                     ))
-                    size += len(block)
+                    size += len(block) + 200
                     if size > 4_000_000:
-                        yield _typed(rows, names)
+                        yield _typed(rows)
                         rows, size = [], 0
                 if rows:
-                    yield _typed(rows, names)
+                    yield _typed(rows)
 
-    return files.select("path").repartition(max(1, files.count()), "path").mapInPandas(run, _RECORD)
+    if "segmented" in files.columns:
+        files = files.where("segmented" if segmented else "NOT segmented")
+    # By range, as a hash of the names would deal several files to some tasks and none to others.
+    return files.select("path").repartitionByRange(max(1, files.count()), "path").mapInPandas(run, _RECORD)
 
 
-def _typed(rows: list[tuple], names: list[str]) -> pd.DataFrame:
+def _typed(rows: list[tuple]) -> pd.DataFrame:
+    names = [x.split(" ")[0] for x in _RECORD.split(", ")]
     frame = pd.DataFrame({name: strings(column) for name, column in zip(names, zip(*rows, strict=True), strict=True)})
-    for name in ("page_id", "total_length"):
-        frame[name] = frame[name].astype("Int64")
+    for name in ("page_id", "total_length", "size"):
+        frame[name] = pd.array(frame[name].tolist(), dtype="Int64")
     frame["segment"] = frame["segment"].astype("int32")
     return frame
 
 
-def reassemble(segments: DataFrame) -> DataFrame:
-    """One record for each origin: its segments in order, checked for gaps and for the total length."""
+def reassemble(segments: DataFrame, keep: bool = True) -> DataFrame:
+    """One decoded record for each origin: its segments in order, checked for gaps and for the total length."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("segment", kind="stable").drop_duplicates("segment")
         if frame["segment"].tolist() != list(range(1, len(frame) + 1)):
             raise ValueError(f"segments of {frame['origin_id'].iloc[0]} are missing")
-        block, total = b"".join(frame["block"]), frame["total_length"].iloc[-1]
-        if pd.isna(total) or int(total) != len(block):
+        block, total = b"".join(frame["content"]), frame["total_length"].iloc[-1]
+        if not total or int(total) != len(block):
             raise ValueError(f"segments of {frame['origin_id'].iloc[0]} are not as long as their total says")
-        first = frame.iloc[[0]].copy()
-        first["block"] = strings([block]).to_numpy()
-        return first
+        payload, first = payload_of(block), frame.iloc[0]
+        return _typed([(
+            first["record_id"], first["record_type"], int(first["page_id"]) if first["page_id"] else None, first["url"], first["refers_to_record"], first["payload_digest"], first["origin_id"],
+            0, len(block), payload if keep else None, len(payload), digest_of(payload),
+        )])
 
-    return segments.groupBy("origin_id").applyInPandas(run, _RECORD)
+    # Numbers as strings, as pandas would round long ids beside nulls.
+    as_text = segments.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("page_id", "total_length")})
+    return as_text.groupBy("origin_id").applyInPandas(run, _RECORD)
 
 
-def read_warc(files: DataFrame) -> DataFrame:
-    """page_id, url, record_type, payload_digest, record_id, refers_to_record and payload (null for revisits) of every page."""
-    spark = files.sparkSession
-    small_batches(spark)
+def _all_records(files: DataFrame, keep: bool) -> DataFrame:
+    small_batches(files.sparkSession)
+    return read_records(files, False, keep).unionByName(reassemble(read_records(files, True), keep))
 
-    @F.pandas_udf("binary")
-    def payload(blocks: pd.Series) -> pd.Series:
-        return strings(None if x is None else payload_of(x) for x in blocks)
 
-    records = read_records(files, False).unionByName(reassemble(read_records(files, True)))
-    return records.select("page_id", "url", "record_type", "payload_digest", "record_id", "refers_to_record", payload("block").alias("payload"))
+def read_warc(files: DataFrame) -> DataFrame:
+    """page_id, url, record_type, payload_digest, record_id, refers_to_record and payload (null for revisits) of every page."""
+    return _all_records(files, True).select("page_id", "url", "record_type", "payload_digest", "record_id", "refers_to_record", F.col("content").alias("payload"))
 
 
 def round_trip(pages: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to of every page, from its archive records."""
-
-    @F.pandas_udf("string")
-    def digest(payloads: pd.Series) -> pd.Series:
-        return strings(None if x is None else digest_of(x) for x in payloads)
-
-    read = read_warc(write_warc(pages, segment_bytes))
-    rows = read.select("page_id", "record_type", "record_id", "refers_to_record", "payload_digest", F.octet_length("payload").cast("long").alias("size"), digest("payload").alias("found"))
+    rows = _all_records(write_warc(pages, segment_bytes), False).select("page_id", "record_type", "record_id", "refers_to_record", "size", "found")
     rows = materialize(rows, "warc-read")
-    held = rows.where("record_type = 'response'").groupBy(F.col("record_id").alias("refers_to_record")).agg(F.max("page_id").alias("refers_to"), F.max("size").alias("held_size"), F.max("found").alias("held_digest"))
-    whole = rows.where("record_type = 'response'").select("page_id", F.col("size").alias("payload_bytes"), F.col("found").alias("payload_digest"), "record_type", F.lit(None).cast("long").alias("refers_to"))
+    responses = rows.where("record_type = 'response'")
+    held = responses.select(F.col("record_id").alias("refers_to_record"), F.col("page_id").alias("refers_to"), F.col("size").alias("held_size"), F.col("found").alias("held_digest"))
+    whole = responses.select("page_id", F.col("size").alias("payload_bytes"), F.col("found").alias("payload_digest"), "record_type", F.lit(None).cast("long").alias("refers_to"))
     again = rows.where("record_type = 'revisit'").join(held, "refers_to_record", "left").select("page_id", F.col("held_size").alias("payload_bytes"), F.col("held_digest").alias("payload_digest"), "record_type", "refers_to")
     return whole.unionByName(again)

@@ -73,7 +73,7 @@ def test_chunks_and_damage(spark):
 
 
 def test_lost_segments_are_found(spark):
-    parts = [("r", "response", 1, "u", None, "d", "o", 1, None, b"ab"), ("s", "continuation", None, None, None, "", "o", 3, 3, b"c")]
+    parts = [("r", "response", 1, "u", None, "d", "o", 1, None, b"ab", None, None), ("s", "continuation", None, None, None, "", "o", 3, 3, b"c", None, None)]
     df = spark.createDataFrame(parts, warc._RECORD)
     with pytest.raises(Exception, match="missing"):
         warc.reassemble(df).collect()
