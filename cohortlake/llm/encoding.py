@@ -1,25 +1,31 @@
 """Token ids of whole texts, from a vocabulary file of the tokenizers library.
 
-A byte-level tokenizer splits a text before it merges bytes, and no piece of
-the split holds a space except at its start or in a run of white space. So the
-text is cut before every space, each distinct cut is encoded once by the
-library, and the ids are joined. Texts in which white space could be split
-otherwise (a space after white space and before white space or the end) are
-encoded whole.
+A byte-level tokenizer splits a text before it merges bytes. Of a run of white
+space it takes all but the last character as one piece, and a last space belongs
+to the word behind it. So a text can be cut before each space that follows no
+white space or precedes none; the pieces are those of the whole text. Every
+distinct cut is encoded once for the texts that hold it, many cuts in one call,
+and the ids are joined. Strings of added tokens are taken out of the text first,
+as the library does.
 """
 
 from __future__ import annotations
 
-import itertools
 import os
 import re
 import sys
 from array import array
 
-#: Distinct cuts that a worker remembers between batches. Beyond them it keeps the
-#: first half: frequent cuts come early.
-MOST_REMEMBERED = 600_000
-_JOINED = re.compile(r"\s (?:\s|\Z)")
+import numpy as np
+
+#: Cuts of one generation that a worker remembers; it keeps two, of about 220 bytes a cut, so at most some 100 MB with the last batch.
+MOST_REMEMBERED = 200_000
+#: Cuts that one call of the library encodes as one text.
+JOINED = 200
+# The white space of the tokenizer's patterns.
+_WHITE = "".join(map(chr, [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+_UNSAFE = re.compile(rf" (?<=[{_WHITE}] )(?:[{_WHITE}]|\Z)")
+_SAFE = re.compile(rf"(?<![{_WHITE}]) | (?=[^{_WHITE}])")
 _LOADED: dict[str, Encoder] = {}
 
 
@@ -30,6 +36,11 @@ def _bytes(ids: list[int]) -> bytes:
     return out.tobytes()
 
 
+def cut(text: str) -> list[str]:
+    """The text's cuts, each but the first without its leading space."""
+    return _SAFE.split(text) if _UNSAFE.search(text) else text.split(" ")
+
+
 class Encoder:
     def __init__(self, path: str, most: int = MOST_REMEMBERED):
         self.most = most
@@ -39,11 +50,19 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
+        added = list(self.tokenizer.get_added_tokens_decoder().values())
+        self.added = re.compile("(" + "|".join(re.escape(x.content) for x in sorted(added, key=lambda x: -len(x.content))) + ")") if added else None
+        if any(x.lstrip or x.rstrip or x.single_word for x in added):
+            raise ValueError("an added token of this vocabulary takes in what surrounds it")
+        words = self.tokenizer.get_vocab()
+        self.spaced = np.zeros(max(words.values()) + 1, bool)  # tokens that begin with a space
+        self.spaced[[i for word, i in words.items() if word.startswith("Ġ")]] = True
         self.known: dict[str, bytes] = {}  # by the cut without its leading space
+        self.old: dict[str, bytes] = {}
 
-    def cuttable(self, text: str) -> bool:
-        return not _JOINED.search(text) and not any(x in text for x in self.added)
+    def segments(self, text: str) -> list[str]:
+        """The text between added tokens, and these."""
+        return [x for x in self.added.split(text) if x] if self.added and self.added.search(text) else [text]
 
     def whole(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text, by the library alone."""
@@ -52,32 +71,42 @@ class Encoder:
     def count(self, texts: list[str]) -> list[int]:
         return [len(x) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn(self, cuts: set[str]) -> None:
+        """Encode cuts that are not known; those without white space at their ends or spaces inside share calls."""
+        plain = [x for x in cuts if x and x.strip(_WHITE) == x and " " not in x]
+        other = list(cuts.difference(plain))
+        groups = [plain[i : i + JOINED] for i in range(0, len(plain), JOINED)]
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast([" " + " ".join(x) for x in groups], add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, "<u4")
+            raw, at = ids.tobytes(), (4 * np.flatnonzero(self.spaced[ids])).tolist()
+            self.known.update(zip(group, [raw[i:j] for i, j in zip(at, [*at[1:], len(raw)], strict=True)], strict=True))
+        self.known.update(zip(other, self.whole([" " + x for x in other]), strict=True))
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        if len(self.known) > self.most:
-            self.known = dict(itertools.islice(self.known.items(), self.most // 2))
-        whole, cuts, new = {}, {}, {}
+        owner, begin, rest = [], [], []
         for i, text in enumerate(texts):
-            if not text:
-                continue
-            if not self.cuttable(text):
-                whole[i] = text
-                continue
-            first, *rest = text.split(" ")
-            if first:
-                whole[i] = first
-            cuts[i] = rest
-            new.update(dict.fromkeys(set(rest).difference(self.known)))
-        ids = dict(zip(new, self.whole([" " + x for x in new]), strict=True)) if new else {}
-        starts = dict(zip(whole, self.whole(list(whole.values())), strict=True)) if whole else {}
-        self.known |= ids
+            for segment in self.segments(text) if text else ():
+                first, *others = cut(segment)
+                owner.append(i)
+                begin.append(first)
+                rest.append(others)
+        new = set().union(*rest).difference(self.known)
+        back = new.intersection(self.old)
+        self.known.update((x, self.old[x]) for x in back)
+        self._learn(new - back)
         get = self.known.__getitem__
-        return [starts.get(i, b"") + b"".join(map(get, cuts.get(i, ()))) for i in range(len(texts))]
+        out = [b""] * len(texts)
+        for i, first, others in zip(owner, self.whole(begin) if begin else (), rest, strict=True):
+            found = first + b"".join(map(get, others))
+            out[i] = out[i] + found if out[i] else found
+        if len(self.known) > self.most:
+            self.old, self.known = self.known, {}
+        return out
 
 
-def encoder(path: str, most: int = MOST_REMEMBERED) -> Encoder:
-    """The worker's encoder of this vocabulary file, which remembers at most so many cuts."""
+def encoder(path: str) -> Encoder:
+    """The worker's encoder of this vocabulary file."""
     if path not in _LOADED:
         _LOADED[path] = Encoder(path)
-    _LOADED[path].most = most
     return _LOADED[path]

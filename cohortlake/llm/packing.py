@@ -2,8 +2,8 @@
 
 A document's ids (with the end id) are cut into full sequences, then pieces of a
 quarter of the capacity, and a rest. Pieces are dealt into groups of bounded size by a hash of
-the task and the piece's number in it, written with the piece, so that no document, source or
-repeated doc_id can overfill one. In each group the
+the task and the piece's number in it, written with the piece, so that no document, source,
+null or repeated doc_id can overfill one. In each group the
 Karmarkar-Karp method starts with one partial partition for each piece, merges
 the two with the largest imbalance so that the heavy window of one meets the
 light window of the other, and ends with near-equal windows. The window count
@@ -28,15 +28,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_chunks, materialize, small_batches
+from .common import id_columns, ids_of, in_chunks, materialize, small_batches, strings
 from .encoding import encoder
 
 CAPACITY = 2048
 END_ID = 1
 #: Mean pieces of a group. The window count of a group is about a quarter of it.
 GROUP = 120
-#: Cuts that a worker remembers while it encodes, of about 250 bytes each.
-REMEMBERED = 1_200_000
+#: Groups that one call of a task packs, one after the other.
+TOGETHER = 16
+_MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9)]
 _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, lot long"
 
 
@@ -44,25 +45,27 @@ def difference(sizes: list[int], count: int) -> list[list[int]]:
     """Karmarkar-Karp: `count` lists of item numbers with near-equal sums of sizes."""
     if count == 1:
         return [list(range(len(sizes)))]
-    # A partial partition: sums from heavy to light, less the lightest, and the items behind each.
-    heap = []
-    for i, size in enumerate(sizes):
-        sums = [0] * count
-        sums[0] = size
-        heap.append((-size, i, sums, [[i], *([] for _ in range(count - 1))]))
+    # A partial partition: sums from heavy to light, less the lightest, and the items behind each;
+    # windows that hold no item yet are left out, they are the lightest.
+    heap = [(-size, i, [size], [[i]]) for i, size in enumerate(sizes)]
     heapq.heapify(heap)
     tag = len(sizes)
     while len(heap) > 1:
         _, _, a, in_a = heapq.heappop(heap)
         _, _, b, in_b = heapq.heappop(heap)
-        merged = [x + y for x, y in zip(a, reversed(b), strict=True)]
-        items = [x + y if y else x for x, y in zip(in_a, reversed(in_b), strict=True)]
-        order = sorted(range(count), key=merged.__getitem__, reverse=True)
-        low = merged[order[-1]]
+        alone_a, alone_b = count - len(b), count - len(a)  # heavy windows of each meet an empty one of the other
+        if alone_b >= len(b):
+            merged, items = a + b, in_a + in_b
+        else:
+            both = range(alone_a, len(a))
+            merged = a[:alone_a] + [a[i] + b[count - 1 - i] for i in both] + b[:alone_b]
+            items = in_a[:alone_a] + [in_a[i] + in_b[count - 1 - i] for i in both] + in_b[:alone_b]
+        order = sorted(range(len(merged)), key=merged.__getitem__, reverse=True)
+        low = merged[order[-1]] if len(merged) == count else 0
         sums = [merged[k] - low for k in order]
         heapq.heappush(heap, (-sums[0], tag, sums, [items[k] for k in order]))
         tag += 1
-    return heap[0][3] if heap else [[] for _ in range(count)]
+    return heap[0][3] if heap else []
 
 
 def windows_of(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -87,23 +90,30 @@ def cut_pieces(documents: DataFrame, vocabulary: str, capacity: int = CAPACITY,
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        of = encoder(vocabulary, REMEMBERED)
-        task, numbers = TaskContext.get().partitionId(), itertools.count()
+        of = encoder(vocabulary)
+        made, lot = 0, np.uint64(TaskContext.get().partitionId() + 1) * _MIX[0]
         for batch in in_chunks(batches):
-            rows = []
-            for doc_id, ids in zip(batch["doc_id"], of.encode(list(batch["text"])), strict=True):
+            at, rows, pieces = [], [], []
+            for i, ids in enumerate(of.encode(list(batch["text"]))):
                 ids += end
                 total = len(ids) // 4
-                known = None if pd.isna(doc_id) else int(doc_id)
                 whole = total // capacity * capacity
                 for start in itertools.chain(range(0, whole, capacity), range(whole, total, quarter)):
                     piece = ids[4 * start : 4 * (start + (capacity if start < whole else quarter))]
-                    rows.append((known, start, len(piece) // 4, zlib.crc32(piece), total, zlib.crc32(f"{task},{next(numbers)}".encode()), *([piece] if with_ids else [])))
-            frame = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "lot", *(["ids"] if with_ids else [])])
-            frame["doc_id"] = frame["doc_id"].astype("Int64")
+                    at.append(i)
+                    rows.append((start, len(piece) // 4, zlib.crc32(piece), total))
+                    if with_ids:
+                        pieces.append(piece)
+            frame = pd.DataFrame(np.array(rows, np.int64).reshape(-1, 4), columns=["start", "length", "ids_crc32", "doc_tokens"])
+            number = (lot ^ np.arange(made, made + len(frame), dtype=np.uint64)) * _MIX[1]
+            made += len(frame)
+            frame.insert(0, "doc_id", ids_of(batch)[at])
+            frame["lot"] = ((number ^ (number >> np.uint64(29))) * _MIX[0] >> np.uint64(2)).astype(np.int64)
+            if with_ids:
+                frame["ids"] = strings(pieces)
             yield frame
 
-    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(run, _PIECE + ", ids binary" * with_ids)
+    return documents.select(*id_columns(), F.col("text").cast("string")).mapInPandas(run, _PIECE + ", ids binary" * with_ids)
 
 
 def pack(documents: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
@@ -114,17 +124,22 @@ def pack(documents: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id
     columns = [x.split(" ")[0] for x in _PIECE.split(", ")[:-1]] + ["ids"] * with_ids
     schema = _PIECE.replace(", lot long", ", sequence_id long, offset long") + ", ids binary" * with_ids
 
-    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["length", "lot", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True, True], kind="stable").reset_index(drop=True)
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["group", "length", "lot", "doc_id", "start", "ids_crc32"], ascending=[True, False, True, True, True, True], kind="stable").reset_index(drop=True)
+        group, sizes = frame["group"].to_numpy(np.int64), frame["length"].to_numpy(np.int64)
         sequence, offset = np.zeros(len(frame), np.int64), np.zeros(len(frame), np.int64)
-        sizes = frame["length"].tolist()
-        for number, items in enumerate(windows_of(sizes, capacity)):
-            at = 0
-            for i in sorted(items):
-                sequence[i], offset[i] = (key[0] << 24) + number, at
-                at += sizes[i]
+        starts = np.flatnonzero(np.append(True, group[1:] != group[:-1])).tolist()
+        for first, end in zip(starts, [*starts[1:], len(frame)], strict=True):
+            own = sizes[first:end].tolist()
+            for number, items in enumerate(windows_of(own, capacity), int(group[first]) << 24):
+                at = 0
+                for i in sorted(items):
+                    sequence[first + i], offset[first + i] = number, at
+                    at += own[i]
         frame["sequence_id"], frame["offset"] = sequence, offset
+        frame["doc_id"] = ids_of(frame)
         return frame[[*columns[:5], "sequence_id", "offset", *columns[5:]]]
 
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
-    return pieces.withColumn("_group", F.pmod("lot", F.lit(groups))).groupBy("_group").applyInPandas(run, schema)
+    rows = pieces.select(*id_columns(), *columns[1:5], "lot", *columns[5:], F.pmod("lot", F.lit(groups)).alias("group"))
+    return rows.groupBy(F.expr(f"group div {TOGETHER}")).applyInPandas(run, schema)

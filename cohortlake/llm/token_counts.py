@@ -2,7 +2,7 @@
 
 1. The distinct pre-tokens of the corpus are gathered with their frequencies, and
    the library counts the pieces of each once. Pre-tokens are the cuts before
-   spaces of `encoding`; a text that cannot be cut is a pre-token as a whole.
+   spaces of `encoding`; strings of added tokens are pre-tokens of their own.
 2. Each document's pre-token frequencies are joined to the piece counts and
    summed. The most frequent pre-tokens, at most MOST_SENT of them, are sent to
    the tasks, so that their share of the join happens where the document is; the
@@ -22,8 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_chunks, materialize, small_batches, strings
-from .encoding import encoder
+from .common import id_columns, ids_of, in_chunks, materialize, small_batches, strings
+from .encoding import cut, encoder
 
 #: Piece counts sent to every task, and distinct pre-tokens that a task gathers before it passes them on.
 MOST_SENT = 400_000
@@ -31,10 +31,13 @@ MOST_GATHERED = 300_000
 
 
 def pre_tokens(of, text: str) -> list[str]:
-    if not of.cuttable(text):
-        return [text]
-    first, *rest = text.split(" ")
-    return ([first] if first else []) + [" " + x for x in rest]
+    out = []
+    for segment in of.segments(text):
+        first, *rest = cut(segment)
+        if first:
+            out.append(first)
+        out += [" " + x for x in rest]
+    return out
 
 
 def vocabulary_counts(documents: DataFrame, vocabulary: str) -> DataFrame:
@@ -65,7 +68,7 @@ def token_counts(documents: DataFrame, vocabulary: str, limit: int = 512) -> Dat
     """doc_id, n_bytes, n_tokens, over_limit of every document."""
     spark = documents.sparkSession
     small_batches(spark)
-    docs = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    docs = documents.select(*id_columns(), F.col("text").cast("string"))
     counted = vocabulary_counts(docs, vocabulary)
     # Frequent pre-tokens first; a threshold on the frequency keeps the number sent below its bound.
     sent = counted.where("length(piece) <= 64").groupBy("n").count().orderBy(F.desc("n")).limit(100_000).toPandas()
@@ -76,11 +79,9 @@ def token_counts(documents: DataFrame, vocabulary: str, limit: int = 512) -> Dat
 
     def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of, known = encoder(vocabulary), shared.value
-        row = 0
         for batch in in_chunks(batches):
             out = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                doc_id = None if pd.isna(doc_id) else int(doc_id)
+            for text in batch["text"]:
                 tokens, rest = 0, Counter()
                 for piece in pre_tokens(of, text) if text else ():
                     n = known.get(piece)
@@ -88,10 +89,9 @@ def token_counts(documents: DataFrame, vocabulary: str, limit: int = 512) -> Dat
                         rest[piece] += 1
                     else:
                         tokens += n
-                out.append((doc_id, tokens, len(text.encode("utf-8", "surrogatepass")) if text else 0, list(rest), list(rest.values())))
-                row += 1
-            frame = pd.DataFrame(out, columns=["doc_id", "tokens", "n_bytes", "rest", "times"])
-            frame["doc_id"] = frame["doc_id"].astype("Int64")
+                out.append((tokens, len(text.encode("utf-8", "surrogatepass")) if text else 0, list(rest), list(rest.values())))
+            frame = pd.DataFrame(out, columns=["tokens", "n_bytes", "rest", "times"])
+            frame.insert(0, "doc_id", ids_of(batch))
             yield frame
 
     rows = docs.mapInPandas(local, "doc_id long, tokens long, n_bytes long, rest array<string>, times array<long>")
