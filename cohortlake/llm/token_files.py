@@ -19,8 +19,8 @@ that a lost executor left half is never visible, as names appear only at the end
 and a rerun writes the same bytes under the same name.
 
 Defined results: a null or empty text is the end id alone; rows with a null doc_id
-come first; rows that repeat a doc_id are neighbours, ordered by text. Other
-columns are ignored. An empty table gives no rows.
+come first; rows that repeat a doc_id are neighbours, ordered by a hash of the
+text and the text. Other columns are ignored. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import in_chunks, materialize, new_path, open_file, small_batches, write_file
+from .common import id_columns, in_chunks, materialize, new_path, open_file, small_batches, strings, write_file
 from .encoding import encoder
 
 # Fixed values of the format.
@@ -145,8 +145,8 @@ def write_token_files(documents: DataFrame, vocabulary: str, end_id: int = 0, fo
 
         for batch in in_chunks(batches):
             part = int(batch["part"].iloc[0])
-            for doc_id, ids in zip(batch["doc_id"], of.encode(list(batch["text"])), strict=True):
-                parts += writer.add(None if pd.isna(doc_id) else int(doc_id), ids + end)
+            for doc_id, none, ids in zip(batch["doc_id"].tolist(), batch["no_id"].tolist(), of.encode(list(batch["text"])), strict=True):
+                parts += writer.add(None if none else doc_id, ids + end)
                 if writer.total >= FILE_IDS:
                     close()
                     number, writer, parts = number + 1, Writer(), []
@@ -154,13 +154,15 @@ def write_token_files(documents: DataFrame, vocabulary: str, end_id: int = 0, fo
             close()
         yield pd.DataFrame(made, columns=["path", "part", "number", "documents", "ids"])
 
+    # The text's hash is in the order so that a range can end inside the rows of one doc_id, or of null.
+    order = [F.col("doc_id").cast("long"), F.xxhash64("text"), "text"]
     docs = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    ordered = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").withColumn("part", F.spark_partition_id())
+    ordered = docs.repartitionByRange(*order[:2]).sortWithinPartitions(*order).select(*id_columns(), "text", F.spark_partition_id().alias("part"))
     return materialize(ordered.mapInPandas(run, "path string, part int, number int, documents long, ids long"), "token-index")
 
 
-def read_token_files(files: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens, ids of every document in the files, in any order of rows; ids as little-endian 32-bit bytes."""
+def read_token_files(files: DataFrame, with_ids: bool = True) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 and ids of every document in the files, in any order of rows; ids as little-endian 32-bit bytes."""
     spark = files.sparkSession
     # Sums over the parts (one row for each partition of the writer), then inside each part.
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -174,23 +176,22 @@ def read_token_files(files: DataFrame) -> DataFrame:
                 with open_file(path) as source:
                     reader = Reader(source)
                     for first in range(0, len(reader.lengths), 256):
-                        rows = []
-                        for i in range(first, min(first + 256, len(reader.lengths))):
-                            doc_id = int(reader.doc_ids[i])
-                            rows.append((None if doc_id == NO_ID else doc_id, int(base + reader.starts[i]), int(reader.lengths[i]), reader.read(i)))
-                        frame = pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids"])
-                        frame["doc_id"] = frame["doc_id"].astype("Int64")
+                        here = slice(first, first + 256)
+                        ids = [reader.read(i) for i in range(*here.indices(len(reader.lengths)))]
+                        none = reader.doc_ids[here] == NO_ID
+                        frame = pd.DataFrame({
+                            "doc_id": pd.arrays.IntegerArray(np.where(none, 0, reader.doc_ids[here]), none), "start": base + reader.starts[:-1][here],
+                            "n_tokens": reader.lengths[here].copy(), "ids_crc32": np.array([zlib.crc32(x) for x in ids], np.int64),
+                        })
+                        if with_ids:
+                            frame["ids"] = strings(ids)
                         yield frame
 
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
-    return placed.repartition(max(1, files.count()), "path").mapInPandas(run, "doc_id long, start long, n_tokens long, ids binary")
+    # By range, as a hash of the names would deal several files to some tasks and none to others.
+    return placed.repartitionByRange(max(1, files.count()), "path").mapInPandas(run, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids)
 
 
 def round_trip(documents: DataFrame, vocabulary: str, end_id: int = 0) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, read back from the files."""
-
-    @F.pandas_udf("long")
-    def crc32(ids: pd.Series) -> pd.Series:
-        return pd.Series([zlib.crc32(x) for x in ids], dtype="int64")
-
-    return read_token_files(write_token_files(documents, vocabulary, end_id)).select("doc_id", "start", "n_tokens", crc32("ids").alias("ids_crc32"))
+    return read_token_files(write_token_files(documents, vocabulary, end_id), with_ids=False)
