@@ -50,7 +50,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, id_columns, ids_of, in_chunks, materialize, numbered, small_batches
+from .common import free_name, id_columns, ids_of, in_chunks, materialize, numbered, remember_only, small_batches
 
 #: Documents from which the order of shingles is learned, and most entries of the order.
 SAMPLE_DOCS = 4_000
@@ -76,7 +76,7 @@ class WordHashes(dict):
     """64-bit hash of a word, remembered."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 150_000:
+        if len(self) > 100_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
@@ -154,24 +154,40 @@ def _sorted(shingles, counts) -> tuple[np.ndarray, np.ndarray]:
     return keys[by], np.asarray(counts, np.int64)[by]
 
 
-def _among(ids: DataFrame, name: str):
-    """A column of whether doc_id may be in the column `name` of ids: a bit filter, which passes some others too."""
-    spark = ids.sparkSession
-    least, most = FILTER_BITS
-    size = min(most, max(least, 1 << (8 * ids.count()).bit_length()))
-    words = ids.groupBy((F.pmod(F.xxhash64(name), F.lit(size)) / 32).cast("long").alias("w")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(pmod(xxhash64({name}), {size}L), 32) as int))")).alias("bits")
-    ).toPandas()
-    bits = np.zeros(size // 32, np.uint32)
-    bits[words["w"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
-    shared = spark.sparkContext.broadcast(bits)
+class Among:
+    """A bit filter on the column `name` of ids; it passes some others too, more when it is full."""
 
-    @F.pandas_udf("boolean")
-    def held(slots: pd.Series) -> pd.Series:
-        at = slots.to_numpy(np.int64)
-        return pd.Series((shared.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1)
+    def __init__(self, ids: DataFrame, name: str):
+        least, most = FILTER_BITS
+        self.size = min(most, max(least, 1 << (8 * ids.count()).bit_length()))
+        slot = F.pmod(F.xxhash64(name), F.lit(self.size))
+        words = ids.groupBy((slot / 32).cast("long").alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(pmod(xxhash64({name}), {self.size}L), 32) as int))")).alias("bits")).toPandas()
+        bits = np.zeros(self.size // 32, np.uint32)
+        bits[words["w"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
+        self.shared = ids.sparkSession.sparkContext.broadcast(bits)
 
-    return held(F.pmod(F.xxhash64("doc_id"), F.lit(size)))
+    def slot(self):
+        return F.pmod(F.xxhash64("doc_id"), F.lit(self.size)).alias("slot")
+
+    def reader(self):
+        """For a function in tasks: the rows of a batch (with its slots) that may be among the ids."""
+        shared = self.shared
+
+        def held(batch: pd.DataFrame) -> np.ndarray:
+            at = batch["slot"].to_numpy(np.int64)
+            return (shared.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1
+
+        return held
+
+    def without(self, rows: DataFrame) -> DataFrame:
+        """The rows whose doc_id is not passed."""
+        held = self.reader()
+
+        @F.pandas_udf("boolean")
+        def passed(slots: pd.Series) -> pd.Series:
+            return pd.Series(held(pd.DataFrame({"slot": slots})))
+
+        return rows.where(~passed(self.slot()))
 
 
 def in_order(shingles: np.ndarray, keys: np.ndarray, counts: np.ndarray, first: int) -> np.ndarray:
@@ -189,12 +205,17 @@ def in_order(shingles: np.ndarray, keys: np.ndarray, counts: np.ndarray, first:
     return np.concatenate([rare, frequent[np.lexsort((frequent, counts[at[known]]))]])[:first]
 
 
-def _features(docs: DataFrame, width: int, percent: int, keys: np.ndarray, counts: np.ndarray) -> DataFrame:
+def _features(docs: DataFrame, width: int, percent: int, keys: np.ndarray, counts: np.ndarray, among: Among | None = None) -> DataFrame:
+    """Size, sketches and prefix of each document, or of those that a filter passes."""
     shared = docs.sparkSession.sparkContext.broadcast((keys, counts))
+    held = among.reader() if among else None
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        remember_only("shingles", _HASHES.clear)
         keys, counts = shared.value
         for batch in in_chunks(batches):
+            if held is not None:
+                batch = batch[held(batch)]
             sets = [shingle_set(t, width) for t in batch["text"]]
             sketches = [parities(s) for s in sets]
             yield pd.DataFrame({
@@ -206,7 +227,7 @@ def _features(docs: DataFrame, width: int, percent: int, keys: np.ndarray, count
                 "prefix": [in_order(s, keys, counts, prefix_length(len(s), percent) if len(s) else 0).view(np.int64) for s in sets],
             })
 
-    return docs.select(*id_columns(), "text").mapInPandas(features, "doc_id long, n long, set_id long, parity binary, fold binary, prefix array<long>")
+    return docs.select(*id_columns(), "text", *([among.slot()] if among else [])).mapInPandas(features, "doc_id long, n long, set_id long, parity binary, fold binary, prefix array<long>")
 
 
 def _allowed(percent: int, size_a, at_a, size_b, at_b):
@@ -269,11 +290,16 @@ def verified(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
     """Exact common and united shingles of pairs (a, b) of doc_ids: a, b, common, united."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
 
+    among = Among(ids, "id")
+    held = among.reader()
+
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        remember_only("shingles", _HASHES.clear)
         for batch in in_chunks(batches):
+            batch = batch[held(batch)]
             yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "shingles": [shingle_set(t, width).tobytes() for t in batch["text"]]})
 
-    named = docs.where("doc_id is not null").where(_among(ids, "id")).select("doc_id", "text").mapInPandas(sets, "doc_id long, shingles binary")
+    named = docs.where("doc_id is not null").select("doc_id", "text", among.slot()).mapInPandas(sets, "doc_id long, shingles binary")
 
     def overlaps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -416,14 +442,12 @@ def _compare(percent: int, nearest: bool):
     return run
 
 
-def between_components(passed: DataFrame, labels: DataFrame, sketches: DataFrame, percent: int, nearest: bool, pivots: int, most: int) -> DataFrame:
+def between_components(members: DataFrame, labels: DataFrame, sketches: DataFrame, percent: int, nearest: bool, most: int) -> DataFrame:
     """Pairs (a, b) of documents of different components that share a region and can be linked."""
-    member = passed.where("kind = 1").select("s", F.col("a").alias("rep"), "n", "at").distinct()
-    member = member.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    # In a region of as many documents as pivots and one, the pivots have met all.
+    member = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     open_regions = (
-        member.groupBy("s", "component").agg(F.min("n").alias("n"), F.count("*").alias("rows"))
-        .groupBy("s").agg(F.count("*").alias("parts"), F.sum("rows").alias("rows"), F.min("n").alias("least")).where(f"parts > 1 AND rows > {pivots + 1}")
+        member.groupBy("s", "component").agg(F.min("n").alias("n"))
+        .groupBy("s").agg(F.count("*").alias("parts"), F.min("n").alias("least")).where("parts > 1")
     )
     member = member.join(open_regions.select("s", "least"), "s").where(f"{100 + percent} * (n - at) >= {percent} * (n + greatest(least, n * {percent} div 100))")
     rows = member.select(F.col("s").alias("region"), "rep", "n", "at", "component").join(sketches.select("rep", "n", "fold"), ["rep", "n"])
@@ -448,7 +472,8 @@ def jaccard_components(documents: DataFrame, width: int = 5, percent: int = 80,
     held = points.select(F.col("rep").alias("doc_id"), "set_id")
 
     # Regions that are large in the first order: their shingles go to the end of the second.
-    first = features.where("n > 0").join(held, ["doc_id", "set_id"], "left_semi").select("doc_id", F.explode("prefix").alias("s"))
+    # Copies count as well here, which spares a join and changes no result.
+    first = features.where("n > 0 and doc_id is not null").select("doc_id", F.explode("prefix").alias("s"))
     large = first.groupBy("s").count().where(f"count > {LARGE}").orderBy(F.desc("count"), "s").limit(MOST_COMMON)
     large = materialize(large, "jaccard-large")
     found = large.toPandas()
@@ -456,9 +481,9 @@ def jaccard_components(documents: DataFrame, width: int = 5, percent: int = 80,
     if len(found):
         order = pd.concat([pd.DataFrame({"s": keys.view(np.int64), "count": counts}), found]).groupby("s")["count"].max()
         # At most MOST_COMMON rows are sent to the tasks.
-        moved = _among(first.join(F.broadcast(large.select("s")), "s", "left_semi").select(F.col("doc_id").alias("id")).distinct(), "id")
-        anew = _features(docs.where("doc_id is not null").where(moved), width, percent, *_sorted(order.index, order))
-        chosen = chosen.where(~moved).unionByName(anew.where("n > 0").select("doc_id", "set_id", "n", "prefix"))
+        moved = Among(first.join(F.broadcast(large.select("s")), "s", "left_semi").select(F.col("doc_id").alias("id")).distinct(), "id")
+        anew = _features(docs.where("doc_id is not null"), width, percent, *_sorted(order.index, order), moved)
+        chosen = moved.without(chosen).unionByName(anew.where("n > 0").select("doc_id", "set_id", "n", "prefix"))
     rows = (
         chosen.join(held, ["doc_id", "set_id"], "left_semi").dropDuplicates(["doc_id", "set_id"])
         .select(F.col("doc_id").alias("rep"), "n", F.posexplode("prefix").alias("at", "s"))
@@ -480,10 +505,14 @@ def jaccard_components(documents: DataFrame, width: int = 5, percent: int = 80,
     edges = materialize(checked.where(linked).select("a", "b").union(tied), "jaccard-links")
     labels = components(edges)
 
+    # In a region of as many documents as pivots and one, the pivots have met all.
+    members = passed.where("kind = 1").select("s", F.col("a").alias("rep"), "n", "at").distinct()
+    members = materialize(members.join(members.groupBy("s").count().where(f"count > {pivots + 1}").select("s"), "s", "left_semi"), "jaccard-members")
+
     # Regions of several components: the nearest of each two components, then all that are left.
     known = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     for nearest in (True, False):
-        again = between_components(passed, labels, sketches, percent, nearest, pivots, most)
+        again = between_components(members, labels, sketches, percent, nearest, most)
         again = materialize(may_link(again.join(known, ["a", "b"], "left_anti"), sketches, percent), "jaccard-again")
         if again.isEmpty():
             continue
