@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -89,6 +92,21 @@ def ids_of(batch: pd.DataFrame, name: str = "doc_id") -> pd.arrays.IntegerArray:
     return pd.arrays.IntegerArray(batch[name].to_numpy(np.int64).copy(), batch["no_id"].to_numpy(bool).copy())
 
 
+_REMEMBERED: dict[str, Callable[[], None]] = {}
+
+
+def remember_only(name: str, clear: Callable[[], None] = lambda: None) -> None:
+    """Drop what other operators remember in this worker, which serves one of them at a time; `clear` drops what this one will."""
+    others = [k for k in _REMEMBERED if k != name]
+    for k in others:
+        _REMEMBERED.pop(k)()
+    _REMEMBERED[name] = clear
+    if others:
+        gc.collect()
+        with contextlib.suppress(OSError, AttributeError):  # where the C library can give memory back
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 def strings(values) -> pd.Series:
     """Python strings as they are, which Arrow takes as one array."""
     return pd.Series(list(values), dtype=object)

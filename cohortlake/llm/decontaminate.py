@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, id_columns, in_chunks, materialize, numbered, small_batches
+from .common import free_name, id_columns, in_chunks, materialize, numbered, remember_only, small_batches
 
 WINDOW = 13
 #: Text of test items sent to every task at once.
@@ -55,6 +55,7 @@ def build_index(documents: DataFrame, terms: frozenset[bytes] | None = None) ->
     shared = spark.sparkContext.broadcast(terms)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        remember_only("decontamination")
         known = shared.value
         for batch in in_chunks(batches):
             ids: dict[bytes, int] = {} if known is None else {t: i for i, t in enumerate(sorted(known))}
@@ -166,15 +167,6 @@ class Block:
         return np.searchsorted(self.first, position, "right") - 1
 
 
-def union_length(starts: np.ndarray, ends: np.ndarray) -> int:
-    """Positions in the union of the half-open spans."""
-    if not len(starts):
-        return 0
-    order = np.argsort(starts, kind="stable")
-    starts, ends = starts[order], np.maximum.accumulate(ends[order])
-    return int((ends - np.maximum(starts, np.append(starts[0], ends[:-1]))).clip(0).sum())
-
-
 def _slices(benchmark: DataFrame, most: int) -> Iterator[list[tuple[int | None, str]]]:
     """Test items in slices of bounded text, each small enough to be sent to every task."""
     items, size = [], 0
@@ -236,13 +228,14 @@ def find_spans(documents: DataFrame, benchmark: DataFrame, width: int = WINDOW,
 def _judge(found: DataFrame) -> DataFrame:
     """Per row: n_hit, n_items, digest and verdict."""
 
-    @F.pandas_udf("long")
-    def hit_words(starts: pd.Series, ends: pd.Series) -> pd.Series:
-        return pd.Series([union_length(np.asarray(s, np.int64), np.asarray(e, np.int64)) for s, e in zip(starts, ends, strict=True)], dtype="int64")
-
+    # Words in the union of the spans, taken by their starts.
+    hit_words = F.expr(
+        "aggregate(array_sort(arrays_zip(starts, ends)), named_struct('n', 0L, 'last', 0L), (s, x) -> named_struct("
+        "'n', s.n + greatest(0L, x.ends - greatest(x.starts, s.last)), 'last', greatest(s.last, x.ends)), s -> s.n)"
+    )
     listed = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
     return (
-        found.withColumn("n_hit", hit_words("starts", "ends"))
+        found.withColumn("n_hit", hit_words)
         .withColumn("n_items", F.size("items").cast("long"))
         .withColumn("items_sha256", F.sha2(listed, 256))
         .withColumn("contaminated", F.expr("n_hit > 0 AND 20 * n_hit >= n_words"))

@@ -18,8 +18,12 @@ from array import array
 
 import numpy as np
 
-#: Cuts of one generation that a worker remembers; it keeps two, of about 220 bytes a cut, so at most some 100 MB with the last batch.
-MOST_REMEMBERED = 200_000
+from .common import remember_only
+
+#: Cuts of one generation that a worker remembers; it keeps two, of about 220 bytes a cut, so at most some 30 MB with the last batch.
+MOST_REMEMBERED = 60_000
+#: Characters of text that are cut at once.
+CHUNK_CHARS = 500_000
 #: Cuts that one call of the library encodes as one text.
 JOINED = 200
 # The white space of the tokenizer's patterns.
@@ -107,6 +111,7 @@ class Encoder:
 
 def encoder(path: str) -> Encoder:
     """The worker's encoder of this vocabulary file."""
+    remember_only("encoder", _LOADED.clear)
     if path not in _LOADED:
         _LOADED[path] = Encoder(path)
     return _LOADED[path]

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_columns, ids_of, in_chunks, materialize, small_batches, strings
-from .encoding import encoder
+from .encoding import CHUNK_CHARS, encoder
 
 CAPACITY = 2048
 END_ID = 1
@@ -92,7 +92,7 @@ def cut_pieces(documents: DataFrame, vocabulary: str, capacity: int = CAPACITY,
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of = encoder(vocabulary)
         made, lot = 0, np.uint64(TaskContext.get().partitionId() + 1) * _MIX[0]
-        for batch in in_chunks(batches):
+        for batch in in_chunks(batches, most=CHUNK_CHARS):
             at, rows, pieces = [], [], []
             for i, ids in enumerate(of.encode(list(batch["text"]))):
                 ids += end

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import id_columns, in_chunks, materialize, new_path, open_file, small_batches, strings, write_file
-from .encoding import encoder
+from .encoding import CHUNK_CHARS, encoder
 
 # Fixed values of the format.
 INDEX_MAGIC = 0x184D2A5D
@@ -143,7 +143,7 @@ def write_token_files(documents: DataFrame, vocabulary: str, end_id: int = 0, fo
             write_file(path, [*parts, *writer.end()])
             made.append((path, part, number, len(writer.index), writer.total))
 
-        for batch in in_chunks(batches):
+        for batch in in_chunks(batches, most=CHUNK_CHARS):
             part = int(batch["part"].iloc[0])
             for doc_id, none, ids in zip(batch["doc_id"].tolist(), batch["no_id"].tolist(), of.encode(list(batch["text"])), strict=True):
                 parts += writer.add(None if none else doc_id, ids + end)

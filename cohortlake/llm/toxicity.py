@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_columns, ids_of, in_chunks, small_batches
+from .common import id_columns, ids_of, in_chunks, remember_only, small_batches
 
 #: Bounds of the fit: labelled documents of each label, features, rounds.
 MOST_TRAINED = 8_000
@@ -61,7 +61,7 @@ class Model:
 
     def features(self, word: str) -> tuple[str, ...]:
         if (found := self._words.get(word)) is None:
-            if len(self._words) > 150_000:
+            if len(self._words) > 100_000:
                 self._words.clear()
             found = self._words[word] = tuple(f for f in word_features(word) if f in self.weights)
         return found
@@ -105,6 +105,7 @@ def _training(documents: DataFrame, labels: DataFrame, usable: Column) -> DataFr
 
 
 def _count_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    remember_only("toxicity")
     counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
     docs = [0, 0]
     for batch in batches:
@@ -189,6 +190,7 @@ def score(model: Model, text: str = "text") -> Column:
 
     @F.pandas_udf("double")
     def noisy_or(texts: pd.Series) -> pd.Series:
+        remember_only("toxicity")
         return pd.Series([model.document(t) for t in texts], dtype=float)
 
     return noisy_or(F.col(text).cast("string"))
