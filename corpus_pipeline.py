@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 as Parquet and read again as the next stage's docs. All but the last keep the
 columns of documents.
+
+Defined results of every stage: each row is judged by its own text, so rows with
+null or repeated doc_ids are rows like others; other columns, whatever their
+names, are handed on as they are; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -20,22 +24,27 @@ from cohortlake.llm.toxicity import reject_toxic
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that score below the threshold; null and empty texts score 0 and stay."""
     return reject_toxic(docs, table(spark, sf_dir, "labels"), F.expr(LEARNABLE))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that base and rules pass; null and empty texts have too few words and go."""
     return filter_quality(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first row of each group of near copies; rows without words are near nothing and stay."""
     return keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose text holds no benchmark passage, or little of one; null and empty texts stay."""
     return remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of every row; a null or empty text is one piece with the end id."""
     return pack(docs, vocabulary())
 
 
