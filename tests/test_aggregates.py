@@ -23,16 +23,25 @@ def make(spark, rows, bounds=BOUNDS):
 
 
 def test_citation_age(spark):
-    rows = [(2020, AI, "A", {2020: 1}), (2018, AI, "A", {2020: 3}), (2017, AI, "A", {2020: 4}), (2014, AI, "A", {2020: 4}), (2009, AI, "A", {2020: 4}), (2019, CV, "V", {2020: 2}), (2009, None, None, {2020: 1}), (2021, AI, "A", {2020: 7}), (2018, AI, "A", {2021: 7}), (2020, AI, "A", {2020: 0})]
-    df = citation_age.citation_age_by_year(make(spark, rows), BOUNDS)
+    bounds = replace(BOUNDS, age_year_min=2015, age_year_max=2016)
+    rows = [
+        (2015, AI, "A", {2015: 2, 2016: 5}), (2012, AI, "A", {2015: 6, 2016: 1, 2017: 50}), (2004, AI, "A", {2016: 2}),
+        (2013, CV, "V", {2016: 9, 2012: 4}), (2016, CV, "V", {2015: 3, 2016: 0}),  # before publication, and none
+        (2010, "s/9", "N", {2015: 1}), (2003, None, None, {2015: 3}),
+    ]
+    df = citation_age.citation_age_by_year(make(spark, rows, bounds), bounds)
     assert differences(df.schema, CITATION_AGE) == []
-    assert {tuple(r)[1:] for r in df.collect()} == {("ai", 16, 5, 2, 3, 6, 0.25, 0.5, 0.75), ("cv_pr", 2, 1, 1, 1, 1, 1.0, 1.0, 1.0), ("rest_cs", 1, 1, 11, 11, 11, 0.0, 0.0, 0.0)}
+    # Ages and weights: ai 2015 0:2 3:6; ai 2016 1:5 4:1 12:2; cv 2016 3:9; rest 2015 5:1 12:3.
+    assert {tuple(r) for r in df.collect()} == {
+        (2015, "ai", 8, 2, 0, 3, 3, 0.25, 1.0, 1.0), (2016, "ai", 8, 3, 1, 1, 4, 0.625, 0.75, 0.75),
+        (2016, "cv_pr", 9, 1, 3, 3, 3, 0.0, 1.0, 1.0), (2015, "rest_cs", 4, 2, 5, 12, 12, 0.0, 0.25, 0.25),
+    }
 
 
 def subfield_rows():
-    ten = lambda sf, n: [(2020, sf, sf.upper(), {2021: 10} if i < 2 else {}) for i in range(n)]
-    ai = [{2021: 10}, {2022: 10}, {2022: 10}, {2020: 5}] + [{}] * 97
-    return [(2020, AI, "AI", e) for e in ai] + ten("n100", 100) + ten("n20", 20) + ten("n10", 10) + [(2020, None, None, {2020: 7}), (2020, "zero", None, {})]
+    own = [{2021: 6, 2022: 2}, {2021: 2}, {2023: 4}, {2020: 5}] + [{}] * 4
+    many = [{2022: 5}, {2022: 5}, {2022: 2}] + [{}] * 18
+    return [(2020, AI, "Own", e) for e in own] + [(2020, "many", "Many", e) for e in many] + [(2020, None, None, {2020: 3, 2023: 1}), (2020, "bare", None, {})]
 
 
 def test_concentration_by_subfield(spark):
@@ -40,31 +49,40 @@ def test_concentration_by_subfield(spark):
     df = concentration.concentration_by_subfield(works, BOUNDS)
     assert differences(df.schema, BY_SUBFIELD) == []
     cells = {(r.subfield_id, r.citation_age): r for r in df.collect()}
-    assert len(cells) == 18
-    measures = lambda k: tuple(cells[k])[6:]
-    assert measures((AI, 1)) == (101, 10, 100 / 101, 100 / 101, 0.0, 1.0, 1.0, 1.0, 1 / 3, 99 / 101)
-    for age in (2, 3):
-        assert measures((AI, age)) == (101, 30, 98 / 101, 98 / 101, 0.0, 2 / 3, 1.0, 1.0, 1 / 7, 97 / 101)
-    for age in (1, 2, 3):
-        assert measures(("n100", age)) == (100, 20, 0.98, 0.98, 0.0, 0.5, 1.0, 1.0, 0.0, 0.98)
-        assert measures(("n20", age)) == (20, 20, 0.9, 0.9, 0.0, 0.5, 0.5, 1.0, 0.0, 0.9)
-        assert measures(("n10", age)) == (10, 20, 0.8, 0.8, 0.0, 0.5, 0.5, 0.5, 0.0, 0.8)
-        assert measures(("__unclassified__", age)) == (1, 0, 1.0, None, None, None, None, None, 1.0, 0.0)
-        assert measures(("zero", age)) == (1, 0, 1.0, None, None, None, None, None, None, 1.0)
+    assert len(cells) == 12
+    # gini = sum((2 i - n - 1) x_i) / (n * total) over counts in rising order; a top share holds ceil(n * percent) papers.
+    wanted = {
+        (AI, 1): (8, 8, 6 / 8, 52 / 64, 4 / 16, 6 / 8, 6 / 8, 6 / 8, 5 / 13, 5 / 8),  # 6, 2
+        (AI, 2): (8, 10, 6 / 8, 66 / 80, 6 / 20, 0.8, 0.8, 0.8, 5 / 15, 5 / 8),  # 8, 2
+        (AI, 3): (8, 14, 5 / 8, 82 / 112, 12 / 42, 8 / 14, 8 / 14, 8 / 14, 5 / 19, 4 / 8),  # 8, 4, 2
+        ("many", 1): (21, 0, 1.0, None, None, None, None, None, None, 1.0),
+        ("many", 2): (21, 12, 18 / 21, 222 / 252, 6 / 36, 5 / 12, 10 / 12, 1.0, 0.0, 18 / 21),  # 5, 5, 2: tops of 1, 2 and 3 papers
+        ("__unclassified__", 1): (1, 0, 1.0, None, None, None, None, None, 1.0, 0.0),
+        ("__unclassified__", 3): (1, 1, 0.0, 0.0, 0.0, 1.0, 1.0, 1.0, 3 / 4, 0.0),
+        ("bare", 2): (1, 0, 1.0, None, None, None, None, None, None, 1.0),
+    }
+    assert {k: tuple(cells[k])[6:] for k in wanted} == wanted
+    assert tuple(cells["many", 3])[6:] == wanted["many", 2]
     labels = {r.subfield_id: (r.subfield_display_name, r.is_ai_strict, r.is_ai_broad) for r in cells.values()}
-    assert labels["__unclassified__"] == ("Unclassified", False, False) and labels["zero"] == ("zero", False, False) and labels[AI] == ("AI", True, True)
+    assert labels["__unclassified__"] == ("Unclassified", False, False) and labels["bare"] == ("bare", False, False) and labels[AI] == ("Own", True, True)
 
 
 def test_concentration_by_group(spark):
-    rows = [(2020, AI, "A", {2020: 4}), (2020, AI, "A", {2021: 3, 2022: 2}), (2020, AI, "A", {2021: 1}), (2020, AI, "A", {}), (2020, CV, "V", {2021: 1}), (2020, None, None, {2020: 3, 2022: 1})]
+    rows = [
+        (2020, AI, "A", {2021: 1, 2022: 3}), (2020, AI, "A", {2022: 1}), (2020, AI, "A", {}), (2020, AI, "A", {2020: 2}),
+        (2020, CV, "V", {2023: 2}), (2020, CV, "V", {2021: 1}), (2020, "q", "Q", {2020: 1}), (2020, None, None, {2021: 4}),
+    ]
     df = concentration.concentration_by_group(make(spark, rows), BOUNDS)
     assert differences(df.schema, BY_GROUP) == []
     cells = {(r.cited_group, r.citation_age): tuple(r)[3:] for r in df.collect()}
-    assert cells["ai", 1] == (4, 4, 0.5, 0.625, 0.25, 0.75, 0.75, 0.75, 0.5, 0.25)
-    assert cells["ai", 2] == cells["ai", 3] == (4, 6, 0.5, 2 / 3, 1 / 3, 5 / 6, 5 / 6, 5 / 6, 0.4, 0.25)
-    assert {cells["cv_pr", a] for a in (1, 2, 3)} == {(1, 1, 0.0, 0.0, 0.0, 1.0, 1.0, 1.0, 0.0, 0.0)}
-    assert cells["rest_cs", 1] == (1, 0, 1.0, None, None, None, None, None, 1.0, 0.0)
-    assert cells["rest_cs", 2] == cells["rest_cs", 3] == (1, 1, 0.0, 0.0, 0.0, 1.0, 1.0, 1.0, 0.75, 0.0)
+    one = (2, 1, 1 / 2, 1 / 2, 0.0, 1.0, 1.0, 1.0, 0.0, 1 / 2)
+    rest = (2, 4, 1 / 2, 4 / 8, 0.0, 1.0, 1.0, 1.0, 1 / 5, 0.0)
+    later = (4, 5, 2 / 4, 13 / 20, 3 / 10, 4 / 5, 4 / 5, 4 / 5, 2 / 7, 1 / 4)
+    assert cells == {
+        ("ai", 1): (4, 1, 3 / 4, 3 / 4, 0.0, 1.0, 1.0, 1.0, 2 / 3, 2 / 4), ("ai", 2): later, ("ai", 3): later,
+        ("cv_pr", 1): one, ("cv_pr", 2): one, ("cv_pr", 3): (2, 3, 0.0, 1 / 6, 1 / 6, 2 / 3, 2 / 3, 2 / 3, 0.0, 0.0),
+        ("rest_cs", 1): rest, ("rest_cs", 2): rest, ("rest_cs", 3): rest,
+    }
 
 
 def test_measures_equal_the_rank_formula_in_any_order(spark):
@@ -110,6 +128,6 @@ def test_evidence(spark):
     works = make(spark, subfield_rows())
     assert evidence.negative_ages(works).first().entries == 0
     ranks = {(r.subfield_id, r.citation_age): r.position for r in evidence.rank_among_peers(concentration.concentration_by_subfield(works, BOUNDS)).collect()}
-    assert ranks[AI, 1] == 1 and ranks["n10", 1] == 4 and ("__unclassified__", 1) not in ranks
+    assert ranks[AI, 1] == 1 and ranks["many", 2] == 1 and ranks[AI, 2] == 2 and ("__unclassified__", 1) not in ranks
     shifted = {(r.cited_group, r.citation_age): r.delta_zero_share for r in evidence.age0_sensitivity(works, BOUNDS).collect()}
-    assert shifted["ai", 1] == pytest.approx(-1 / 101)
+    assert shifted["ai", 1] == pytest.approx(-1 / 8)
