@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..bounds import Bounds
@@ -23,20 +23,24 @@ def age_bins(events: DataFrame) -> DataFrame:
     return events.groupBy(*GRAIN, "age").agg(F.sum("weight").alias("weight"))
 
 
-def weighted_quantiles(bins: DataFrame, keys: list[str], value: str, weight: str, quarters: dict[str, int]) -> DataFrame:
-    """For each name its discrete quantile: the least value whose running weight reaches that many quarters of the total; total too."""
+def weighted_quantiles(bins: DataFrame, keys: list[str], value: str, weight: str, quarters: dict[str, int], *more: Column) -> DataFrame:
+    """For each name its discrete quantile: the least value whose running weight reaches that many quarters of the total; total too, and more aggregates of the bins."""
     cell = Window.partitionBy(*keys)
     ranked = bins.withColumns({
         "_total": F.sum(weight).over(cell),
         "_running": F.sum(weight).over(cell.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)),
     })
     reach = [F.min(F.when(4 * F.col("_running") >= k * F.col("_total"), F.col(value))).alias(name) for name, k in quarters.items()]
-    return ranked.groupBy(*keys).agg(F.max("_total").alias("total"), *reach)
+    return ranked.groupBy(*keys).agg(F.max("_total").alias("total"), *reach, *more)
+
+
+def recency_columns(value: str, weight: str, limits: tuple[int, ...]) -> list[Column]:
+    return [(F.sum(F.when(F.col(value) <= k, F.col(weight)).otherwise(0)) / F.sum(weight)).alias(f"share_within_{k}") for k in limits]
 
 
 def recency_shares(bins: DataFrame, keys: list[str], value: str, weight: str, limits: tuple[int, ...]) -> DataFrame:
     """share_within_<limit>: weight at values up to the limit over all weight."""
-    return bins.groupBy(*keys).agg(*[(F.sum(F.when(F.col(value) <= k, F.col(weight)).otherwise(0)) / F.sum(weight)).alias(f"share_within_{k}") for k in limits])
+    return bins.groupBy(*keys).agg(*recency_columns(value, weight, limits))
 
 
 def cited_works(events: DataFrame) -> DataFrame:
@@ -45,8 +49,9 @@ def cited_works(events: DataFrame) -> DataFrame:
 
 
 def citation_age_by_year(works: DataFrame, bounds: Bounds) -> DataFrame:
-    events = eligible_events(works, bounds)
-    bins = age_bins(events)
-    ages = weighted_quantiles(bins, GRAIN, "age", "weight", {"p25_age": 1, "median_age": 2, "p75_age": 3}).withColumnRenamed("total", "citation_events")
-    out = ages.join(recency_shares(bins, GRAIN, "age", "weight", (2, 5, 10)), GRAIN).join(cited_works(events), GRAIN)
+    # Works are aggregated once: in a citation year a work has one age, so its ages' distinct works add up.
+    bins = eligible_events(works, bounds).groupBy(*GRAIN, "age").agg(F.sum("weight").alias("weight"), F.countDistinct("id").alias("works"))
+    out = weighted_quantiles(
+        bins, GRAIN, "age", "weight", {"p25_age": 1, "median_age": 2, "p75_age": 3}, F.sum("works").alias("cited_works"), *recency_columns("age", "weight", (2, 5, 10))
+    ).withColumnRenamed("total", "citation_events")
     return out.select(*GRAIN, "citation_events", "cited_works", "p25_age", "median_age", "p75_age", "share_within_2", "share_within_5", "share_within_10")
