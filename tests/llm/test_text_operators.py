@@ -181,10 +181,10 @@ def contaminated(texts, items, width=13):
 def test_contamination(spark, documents, data, most):
     texts = [(30, "pre " + ITEMS[0][1] + " post"), (31, " ".join(f"f{i}" for i in range(400)) + " " + ITEMS[0][1].upper()), (32, "t0 " * 20), (33, "short, item."), (34, "a b " * 30), (35, "t0 t1")]
     benchmark = spark.createDataFrame(ITEMS, "item_id long, text string").union(spark.read.parquet(f"{data}/benchmark.parquet").select("item_id", "text"))
-    docs = rows(spark, texts).where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(documents.where("doc_id > 50").select("doc_id", "text"), allowMissingColumns=True)
+    docs = rows(spark, texts).unionByName(documents.select("doc_id", "text"), allowMissingColumns=True)
     found = decontaminate.contamination(docs, benchmark, near_span=26, most=most)
-    wanted = set(contaminated([tuple(r) for r in docs.select("doc_id", "text").collect()], [tuple(r) for r in benchmark.collect()]))
-    assert {tuple(r)[:6] for r in found.collect()} == wanted
+    wanted = collections.Counter(contaminated([tuple(r) for r in docs.select("doc_id", "text").collect()], [tuple(r) for r in benchmark.collect()]))
+    assert collections.Counter(tuple(r)[:6] for r in found.collect()) == wanted
 
 
 def test_contamination_of_odd_rows_and_near_matches(spark):
