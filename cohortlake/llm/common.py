@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -103,6 +104,7 @@ def remember_only(name: str, clear: Callable[[], None] = lambda: None) -> None:
     _REMEMBERED[name] = clear
     if others:
         gc.collect()
+        pa.default_memory_pool().release_unused()
         with contextlib.suppress(OSError, AttributeError):  # where the C library can give memory back
             ctypes.CDLL(None).malloc_trim(0)
 

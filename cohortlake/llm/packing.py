@@ -85,7 +85,7 @@ def windows_of(sizes: list[int], capacity: int) -> list[list[int]]:
 
 def cut_pieces(documents: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """Pieces of the encoded documents, with their ids in `ids` if asked for."""
-    small_batches(documents.sparkSession)
+    small_batches(documents.sparkSession, "1m")
     quarter = max(1, capacity // 4)
     end = np.array([end_id], "<u4").tobytes()
 
