@@ -53,5 +53,5 @@ def _leaf(x: Column, path: str) -> Column:
 
 def mask_first(query: Column, clause: Column, mark: str = "*") -> Column:
     """query with the first occurrence of clause replaced by the mark; unchanged without one."""
-    at = F.locate_col(clause, query) if hasattr(F, "locate_col") else F.position(clause, query)
+    at = F.position(clause, query)
     return F.when((at > 0) & (F.length(clause) > 0), F.concat(F.substring(query, F.lit(1), at - 1), F.lit(mark), F.substring(query, at + F.length(clause), F.length(query)))).otherwise(query)

@@ -14,18 +14,32 @@ class IntegrityError(ValueError):
 
 
 def ingest(spark: SparkSession, root: str, base: str, states: DataFrame) -> int:
-    """Write all READY years to bronze in one job; null ids and counts that differ from the reports stop it before anything is written."""
-    ready = sorted(r[0] for r in states.where("bronze = 'READY'").select("publication_year").collect())  # one value for each year
-    if not ready:
+    """Write all READY years to bronze in one job, and a file without rows for each EMPTY one.
+
+    Null ids and counts that differ from the reports stop it before anything is written.
+    """
+    found = states.where("bronze IN ('READY', 'EMPTY')").select("publication_year", "bronze").collect()  # one row for each year
+    ready, empty = (sorted(y for y, state in found if state == wanted) for wanted in ("READY", "EMPTY"))
+    if not found:
         return 0
+    reports = landing.read_reports(spark, root).select("year", "records_fetched")
+    bad = reports.where(F.col("year").isin(empty) & ~F.col("records_fetched").eqNullSafe(F.lit(0))).limit(10).collect()
+    if bad:
+        raise IntegrityError(f"years {sorted(r['year'] for r in bad)}: no records, though the report says otherwise")
+    if ready:
+        _ingest_ready(spark, root, base, ready, reports)
+    for year in empty:
+        tables.write_empty_year(spark, base, year)
+    return len(found)
+
+
+def _ingest_ready(spark: SparkSession, root: str, base: str, ready: list[int], reports: DataFrame) -> None:
     rows = landing.read_pages(spark, [f"{root}/{y}/page-*.jsonl" for y in ready])
     found = rows.groupBy(F.regexp_extract(F.col("_metadata.file_path"), r"/(\d+)/[^/]+$", 1).cast("bigint").alias("year")).agg(F.count("*").alias("n"), F.count_if(F.col("id").isNull()).alias("nulls"))
-    reports = landing.read_reports(spark, root).select("year", "records_fetched")
     bad = found.join(reports, "year", "left").where("nulls > 0 OR NOT (n <=> records_fetched)").limit(10).collect()
     if bad:
         raise IntegrityError(f"years {sorted(r['year'] for r in bad)}: null ids, or not as many records as fetched")
     tables.write_bronze(rows, base)
-    return len(ready)
 
 
 def bronze_manifest(states: DataFrame, reports: DataFrame, bronze: DataFrame, files: DataFrame) -> DataFrame:
@@ -36,6 +50,8 @@ def bronze_manifest(states: DataFrame, reports: DataFrame, bronze: DataFrame, fi
     written = written.groupBy("publication_year").agg(F.max("folder").alias("bronze_file_path"), F.max("modified").alias("ingested_at"))
     own = reports.withColumnRenamed("year", "publication_year").withColumnRenamed("completed_at", "extraction_completed_at")
     rows = states.select("publication_year", F.col("bronze").alias("status")).join(own, "publication_year", "left").join(counts, "publication_year", "left").join(written, "publication_year", "left")
+    counted = ("bronze_row_count", "duplicate_id_count")
+    rows = rows.withColumns({c: F.when(F.col("status") == "INGESTED", F.coalesce(c, F.lit(0))).otherwise(F.col(c)) for c in counted})
     return rows.select(*BRONZE_MANIFEST.fieldNames())
 
 

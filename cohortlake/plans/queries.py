@@ -9,7 +9,8 @@ from ..bounds import STANDIN as B
 from ..functions.parsing import mask_first, records
 from ..operators import citation_age, concentration, evidence, profiling, share, staging, works as classes
 from ..sources import landing, tables
-from ..standin import table, works
+from ..schemas import BRONZE, WORKS
+from ..standin import bronze as bronze_records, table, works
 from . import checks, manifests, quality
 
 QUERIES: dict = {}
@@ -286,15 +287,22 @@ def terminal_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evidence.terminal_edge(concentration.concentration_by_group(works(spark, sf_dir), B), B)
 
 
-@query()
+@query(f"""WITH a AS ({_cell_sql("g").replace("c.y > w.py AND", "c.y >= w.py AND")}), b AS ({_cell_sql("g")})
+SELECT a.cell AS cited_group, a.publication_year, a.citation_age, {", ".join(f"a.{c} - b.{c} AS delta_{c}" for c in evidence.DELTAS)}
+FROM a JOIN b ON a.cell = b.cell AND a.publication_year = b.publication_year AND a.citation_age = b.citation_age""")
 def age0_sensitivity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evidence.age0_sensitivity(works(spark, sf_dir), B)
 
 
-@query()
+@query(f"""WITH s AS ({_cell_sql("sf")}), g AS ({_cell_sql("g")}),
+m AS (SELECT CASE cell WHEN '1-URGENT' THEN 'ai' WHEN '2-HIGH' THEN 'cv_pr' ELSE 'rest_cs' END AS cell, publication_year, citation_age, avg(gini) AS mean, stddev_samp(gini) AS sd, count(gini) AS members FROM s GROUP BY 1, 2, 3)
+SELECT g.cell AS cited_group, g.publication_year, g.citation_age, g.gini AS pooled_gini, round(m.mean, 9) AS mean_member_gini, round(m.sd, 9) AS sd_member_gini, m.members
+FROM g JOIN m ON g.cell = m.cell AND g.publication_year = m.publication_year AND g.citation_age = m.citation_age""")
 def pooled_against_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means and spreads are rounded to nine digits, as their sums depend on the order of members."""
     rows = works(spark, sf_dir)
-    return evidence.pooled_against_members(concentration.concentration_by_subfield(rows, B), concentration.concentration_by_group(rows, B), classes.cited_group(F.col("subfield_id"), B))
+    found = evidence.pooled_against_members(concentration.concentration_by_subfield(rows, B), concentration.concentration_by_group(rows, B), classes.cited_group(F.col("subfield_id"), B))
+    return found.withColumns({c: F.round(c, 9) for c in ("mean_member_gini", "sd_member_gini")})
 
 
 _CHANGED_CELLS = _cell_sql("g").replace("FROM lineitem GROUP BY", "FROM lineitem WHERE year(l_shipdate) <> 1998 GROUP BY").replace("FROM orders)", "FROM orders WHERE o_orderpriority <> '2-HIGH')")
@@ -322,11 +330,145 @@ def landed_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     states = landing.shard_states(zone.inventory(), landing.year_axis(spark, B.year_min, B.year_max), rows.limit(0).select("publication_year"))
     manifests.ingest(spark, root, base, states)
     bronze = tables.read_bronze(spark, base)
-    states = landing.shard_states(zone.inventory(), landing.year_axis(spark, B.year_min, B.year_max), bronze.select("publication_year"))
     files = landing.landing_inventory(spark, base)
+    states = landing.shard_states(zone.inventory(), landing.year_axis(spark, B.year_min, B.year_max), landing.ingested_years(files))
     return manifests.bronze_manifest(states, landing.read_reports(spark, root), bronze, files).select("publication_year", "status", "records_fetched", "bronze_row_count", "duplicate_id_count")
 
 
+_STAGED = """n AS (SELECT l_orderkey AS k, count(DISTINCT year(l_shipdate)) AS years, CAST(sum(l_quantity) AS BIGINT) AS total FROM lineitem GROUP BY 1),
+s AS (SELECT o.*, CAST(year(o_orderdate) AS BIGINT) AS y, coalesce(n.years, 0) AS years, CAST(coalesce(n.total, 0) AS BIGINT) AS total, o_orderkey AS k FROM orders o LEFT JOIN n ON n.k = o_orderkey
+  WHERE o_orderstatus <> 'P' AND o_orderkey % 11 <> 0 AND year(o_orderdate) BETWEEN 1995 AND 2001)"""
+
+
+@query(f"""WITH {_STAGED} SELECT 'W' || k AS id, 'order ' || k AS title, y AS publication_year, CASE WHEN k % 7 <> 0 THEN CAST(o_orderdate AS DATE) END AS publication_date, o_orderdate AS updated_date,
+o_orderstatus AS primary_topic_id, CAST(k % 4 AS DOUBLE) AS primary_topic_score, o_orderpriority AS primary_topic_subfield_id, substr(o_orderpriority, 3) AS primary_topic_subfield_display_name, 'f' AS primary_topic_field_id,
+CAST(NULL AS VARCHAR) AS primary_topic_field_display_name, CASE WHEN k % 2 = 0 THEN true END AS is_oa, o_orderstatus AS oa_status, k % 100 AS cited_by_percentile_year_min, CAST(NULL AS BIGINT) AS cited_by_percentile_year_max,
+o_totalprice / 1000 AS citation_normalized_percentile_value, o_totalprice > 250000 AS is_in_top_1_percent, CAST(NULL AS BOOLEAN) AS is_in_top_10_percent, 'doi:' || k AS doi_url, CAST(k AS VARCHAR) AS mag_id,
+CAST(k % 3 AS INTEGER) AS n_topics, CASE WHEN k % 3 > 0 THEN o_orderpriority END AS first_topic_subfield, CAST(k % 2 AS INTEGER) AS n_keywords, CAST(NULL AS DOUBLE) AS first_keyword_score, CAST(years AS INTEGER) AS n_years FROM s""")
+def staged_works(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of JSON texts staged: filtered, parsed, typed, and the freshest of each id kept; arrays as their sizes and first elements."""
+    rows = staging.stage(bronze_records(spark, sf_dir), B)
+    return rows.select(
+        "id", "title", "publication_year", "publication_date", "updated_date", "primary_topic_id", "primary_topic_score", "primary_topic_subfield_id", "primary_topic_subfield_display_name", "primary_topic_field_id",
+        "primary_topic_field_display_name", "is_oa", "oa_status", "cited_by_percentile_year_min", "cited_by_percentile_year_max", "citation_normalized_percentile_value", "is_in_top_1_percent", "is_in_top_10_percent",
+        "doi_url", "mag_id", F.size("topics").alias("n_topics"), F.get("topics", F.lit(0))["subfield_id"].alias("first_topic_subfield"), F.size("keywords").alias("n_keywords"),
+        F.get("keywords", F.lit(0))["score"].alias("first_keyword_score"), F.size("counts_by_year").alias("n_years"),
+    )
+
+
+@query(f"""WITH {_STAGED} SELECT 'W' || k AS id, y AS publication_year, CASE WHEN k % 7 <> 0 THEN CAST(o_orderdate AS DATE) END AS publication_date, o_orderstatus AS primary_topic_id, o_orderstatus AS primary_topic_display_name,
+o_orderpriority AS primary_topic_subfield_id, substr(o_orderpriority, 3) AS primary_topic_subfield_display_name, o_orderpriority = '1-URGENT' AS is_ai_strict, o_orderpriority IN ('1-URGENT', '2-HIGH') AS is_ai_broad,
+total AS cited_by_count, o_totalprice AS fwci, CAST(years AS INTEGER) AS n_years, total AS entries_total FROM s""")
+def landed_silver_works(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From a landing zone of records in their full schema over bronze and staging to classified works."""
+    root, base = tables.scratch(spark, "landing"), tables.scratch(spark, "bronze")
+    zone = LandingZone(spark, root)
+    zone.write(bronze_records(spark, sf_dir))
+    inventory = zone.inventory()
+    manifests.ingest(spark, root, base, landing.shard_states(inventory, landing.discover_years(inventory), landing.discover_years(inventory).limit(0)))
+    rows = classes.silver_works(staging.stage(tables.read_bronze(spark, base), B), B)
+    total = F.aggregate("counts_by_year", F.lit(0).cast("long"), lambda s, e: s + e["cited_by_count"])
+    return rows.select(*[c for c in WORKS.fieldNames() if c != "counts_by_year"], F.size("counts_by_year").alias("n_years"), total.alias("entries_total"))
+
+
+_REPORTS = "r AS (SELECT CAST(year(o_orderdate) AS BIGINT) AS year, count(*) AS expected_count, count(*) FILTER (WHERE o_totalprice > 1000 * year(o_orderdate) - 1990000) AS records_fetched FROM orders GROUP BY 1)"
+
+
+@query(f"""WITH {_REPORTS} SELECT year, expected_count, records_fetched, records_fetched - expected_count AS drift, records_fetched <> expected_count AS differs,
+abs(records_fetched - expected_count) > greatest(5, 0.01 * expected_count) AS alarm FROM r""")
+def count_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of a year against those above a price, which falls behind more from year to year."""
+    year = F.year("o_orderdate")
+    rows = table(spark, sf_dir, "orders").groupBy(year.cast("long").alias("year")).agg(F.count("*").alias("expected_count"), F.count_if(F.col("o_totalprice") > 1000 * year - 1990000).alias("records_fetched"))
+    return landing.count_drift(rows, least=5, share=0.01)
+
+
+@query("""SELECT 'filter=*,status:' || o_orderstatus AS masked, CAST(len(list(DISTINCT year(o_orderdate))) AS INTEGER) AS n_years, CAST(min(year(o_orderdate)) AS BIGINT) AS first_year FROM orders GROUP BY 1""")
+def query_homogeneity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries of a year and a status: one for each status is left when the year is masked."""
+    year = F.year("o_orderdate").cast("long")
+    reports = table(spark, sf_dir, "orders").select(year.alias("year"), F.concat(F.lit("filter=publication_year:"), year, F.lit(",status:"), "o_orderstatus").alias("query")).distinct()
+    return landing.query_homogeneity(reports).select("masked", F.size("years").alias("n_years"), F.get("years", F.lit(0)).alias("first_year"))
+
+
+_TIMES = """o AS (SELECT o_orderkey AS key, o_orderdate AS modified FROM orders), i AS (SELECT l_orderkey AS key, min(l_shipdate) AS modified FROM lineitem WHERE l_returnflag <> 'R' GROUP BY 1)"""
+
+
+def _layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_orderdate").alias("modified"), (F.col("o_orderstatus") != "P").alias("complete"))
+    items = table(spark, sf_dir, "lineitem").where("l_returnflag <> 'R'").groupBy(F.col("l_orderkey").alias("key")).agg(F.min("l_shipdate").alias("modified")).withColumn("complete", F.lit(True))
+    return orders, items
+
+
+@query(f"WITH {_TIMES} SELECT key FROM o WHERE NOT EXISTS (SELECT 1 FROM i WHERE i.key = o.key AND i.modified >= o.modified)")
+def stale_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of which no item was shipped, or one before the order."""
+    return manifests.stale_partitions(*_layers(spark, sf_dir), key="key")
+
+
+@query(f"""WITH {_TIMES} SELECT o_orderkey AS key FROM orders WHERE o_orderstatus = 'P' OR o_orderkey NOT IN (SELECT o.key FROM o JOIN i ON i.key = o.key WHERE i.modified >= o.modified)""")
+def layer_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders that are not complete, or whose items are missing or older."""
+    orders, items = _layers(spark, sf_dir)
+    return manifests.layer_gaps(orders.select("key"), [orders, items], key="key")
+
+
+@query("""WITH m AS (SELECT CAST(year(o_orderdate) AS BIGINT) AS y, count(*) AS n, count(*) FILTER (WHERE o_orderstatus = 'F') AS timed FROM orders WHERE year(o_orderdate) <> 1996 AND o_custkey % 2 = 0 GROUP BY 1, o_orderstatus), a AS (SELECT unnest(range(1994, 2000)) AS y)
+SELECT a.y AS publication_year, 'missing' AS problem FROM a WHERE y NOT IN (SELECT y FROM m) UNION ALL SELECT DISTINCT y, 'unexpected' FROM m WHERE y NOT IN (SELECT y FROM a)
+UNION ALL SELECT y, 'repeated' FROM m GROUP BY 1 HAVING count(*) > 1 UNION ALL SELECT y, 'no_time' FROM m WHERE timed = 0""")
+def manifest_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A manifest with a row for each year and status, a time for one status only and a year left out, against the years 1994 to 1999."""
+    orders = table(spark, sf_dir, "orders").where("year(o_orderdate) <> 1996 AND o_custkey % 2 = 0")
+    rows = orders.groupBy(F.year("o_orderdate").cast("long").alias("publication_year"), "o_orderstatus").agg(F.sum("o_custkey").alias("file_size_bytes"), F.max(F.when(F.col("o_orderstatus") == "F", F.col("o_orderdate").cast("timestamp"))).alias("uploaded_at"))
+    rows = rows.select("publication_year", F.col("o_orderstatus").alias("path"), "file_size_bytes", "uploaded_at")
+    return manifests.manifest_problems(rows, landing.year_axis(spark, 1994, 1999))
+
+
+@query("""SELECT (SELECT event_type FROM events WHERE event_type <> 'error' ORDER BY event_id LIMIT 1) AS event_type, (SELECT value FROM events WHERE value > 100 ORDER BY event_id LIMIT 1) AS value""")
+def first_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "events").select("event_id", F.expr("nullif(event_type, 'error')").alias("event_type"), F.expr("CASE WHEN value > 100 THEN value END").alias("value"))
+    return profiling.first_values(rows, ["event_type", "value"], "event_id")
+
+
+@query("""SELECT count(quality) AS kept, count(*) - count(quality) AS dropped FROM documents LEFT JOIN labels USING (doc_id)""")
+def drop_missing_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = table(spark, sf_dir, "documents").select("doc_id").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    kept, dropped = profiling.drop_missing_ids(labelled, "quality")
+    return kept.agg(F.count("*").alias("kept")).crossJoin(dropped)
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def missing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.missing_keys(table(spark, sf_dir, "documents").select("doc_id"), table(spark, sf_dir, "labels").select("doc_id"), ["doc_id"])
+
+
+@query("SELECT 'W' || o_orderkey AS id FROM orders WHERE o_orderstatus <> 'P' AND o_orderkey % 11 <> 0 AND o_orderkey % 7 = 0 AND year(o_orderdate) BETWEEN 1995 AND 2001")
+def unparsed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of staged works whose publication date did not parse."""
+    raw = bronze_records(spark, sf_dir)
+    return checks.unparsed(raw, staging.stage(raw, B), "publication_date").distinct()
+
+
+@query("""SELECT CAST(year(o_orderdate) AS BIGINT) AS publication_year, count(*) FILTER (WHERE year(o_orderdate) <> 1997 OR o_orderstatus = 'F') AS n,
+CAST(sum(o_orderkey) FILTER (WHERE year(o_orderdate) <> 1997 OR o_orderstatus = 'F') AS BIGINT) AS keys FROM orders GROUP BY 1""")
+def rebuilt_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze of all years of which one is then derived anew, from finished orders only; the others stay."""
+    base = tables.scratch(spark, "bronze")
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderstatus").alias("title"), F.year("o_orderdate").cast("long").alias("publication_year"))
+    rows = rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast(BRONZE[c].dataType).alias(c) for c in BRONZE.fieldNames()])
+    tables.write_bronze(rows, base)
+    manifests.rebuild_year(rows.where("title = 'F'"), base, 1997)
+    return tables.read_bronze(spark, base).groupBy("publication_year").agg(F.count("*").alias("n"), F.sum(F.col("id").cast("long")).alias("keys"))
+
+
+@query("SELECT o_orderpriority AS primary_topic_subfield_id, CAST(year(o_orderdate) AS BIGINT) AS publication_year, count(*) AS n FROM orders GROUP BY 1, 2")
+def written_works(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Works written by year and subfield, and read again."""
+    path = tables.scratch(spark, "works")
+    tables.write_works(works(spark, sf_dir), path)
+    return spark.read.parquet(path).groupBy("primary_topic_subfield_id", F.col("publication_year").cast("long").alias("publication_year")).agg(F.count("*").alias("n"))
+
+
 class LandingZone:
     """A landing zone in the shared folder, made of a table with publication_year."""
 

@@ -55,6 +55,12 @@ def discover_years(inventory: DataFrame) -> DataFrame:
     return inventory.select(year.try_cast("bigint").alias("publication_year")).where("publication_year is not null").distinct()
 
 
+def ingested_years(inventory: DataFrame) -> DataFrame:
+    """publication_year of every partition of bronze that holds a file, with rows or without."""
+    year = F.regexp_extract("path", r"/publication_year=(\d+)/[^/]+\.parquet$", 1).try_cast("bigint")
+    return inventory.select(year.alias("publication_year")).where("publication_year IS NOT NULL").distinct()
+
+
 def year_axis(spark: SparkSession, low: int, high: int) -> DataFrame:
     """publication_year from low to high; empty if high is below low."""
     return spark.range(low, high + 1).select(F.col("id").alias("publication_year"))

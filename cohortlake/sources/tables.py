@@ -32,6 +32,11 @@ def write_bronze(df: DataFrame, base: str) -> None:
     df.select(*BRONZE.fieldNames()).repartition("publication_year", F.pmod(F.xxhash64("id"), F.lit(8))).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("publication_year").parquet(base)
 
 
+def write_empty_year(spark: SparkSession, base: str, year: int) -> None:
+    """A file without rows, so that the year is there and keeps the schema."""
+    spark.createDataFrame([], BRONZE).drop("publication_year").write.mode("overwrite").parquet(f"{base}/publication_year={year}")
+
+
 def write_works(df: DataFrame, path: str, splits: int = 8) -> None:
     """By year, sorted by subfield in each file, so that row groups can be skipped. A large year is dealt to several tasks."""
     df.repartition("publication_year", F.pmod(F.xxhash64("primary_topic_subfield_id"), F.lit(splits))).sortWithinPartitions("publication_year", "primary_topic_subfield_id").write.mode("overwrite").partitionBy("publication_year").parquet(path)

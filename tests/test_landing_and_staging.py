@@ -59,24 +59,35 @@ def test_ingest_and_manifest(spark, tmp_path):
     root, base = tmp_path / "in", str(tmp_path / "bronze")
     land(root, 2020, [[{"id": i} for i in ("W1", "W1", "W1")], [{"id": i} for i in ("W2", "W2", "W3")]])
     land(root, 2021, [[{"id": "W9", "ids": {"doi": " spaced",  "n": 1}}]])
-    assert manifests.ingest(spark, str(root), base, states(spark, root)) == 2
+    land(root, 2019, [[]])
+    assert manifests.ingest(spark, str(root), base, states(spark, root)) == 3
     bronze = tables.read_bronze(spark, base)
     assert differences(bronze.select(*BRONZE.fieldNames()).schema, BRONZE) == []
     assert bronze.where("id = 'W9'").first().ids == '{"doi": " spaced", "n": 1}'
     manifest = manifests.bronze_manifest(states(spark, root, (2020, 2022), [2020, 2021]), landing.read_reports(spark, str(root)), bronze, landing.landing_inventory(spark, base))
     rows = {r.publication_year: r for r in manifest.collect()}
     assert (rows[2020].status, rows[2020].bronze_row_count, rows[2020].duplicate_id_count) == ("INGESTED", 6, 3)
+    done = {r[0] for r in landing.ingested_years(landing.landing_inventory(spark, base)).collect()}
+    assert done == {2019, 2020, 2021} and {r.publication_year: r.bronze for r in states(spark, root, (2019, 2020), done).collect()} == {2019: "INGESTED", 2020: "INGESTED"}
+    assert bronze.where("publication_year = 2019").count() == 0 and spark.read.parquet(f"{base}/publication_year=2019").columns == [c for c in BRONZE.fieldNames() if c != "publication_year"]
     assert rows[2022].status == "PENDING" and rows[2021].ingested_at is not None and rows[2021].bronze_file_path.endswith("publication_year=2021")
     assert manifests.manifest_mismatches(manifest).isEmpty()
     spark.catalog.clearCache()
     land(root, 2022, [[{"id": "W5"}]])
-    assert manifests.ingest(spark, str(root), base, states(spark, root, done=[2020, 2021])) == 1
+    assert manifests.ingest(spark, str(root), base, states(spark, root, done=[2019, 2020, 2021])) == 1
     assert tables.read_bronze(spark, base).count() == 8
     assert landing.query_homogeneity(landing.read_reports(spark, str(root))).count() == 1
     land(root, 2023, [[{}]], query="filter=publication_year:2023,other")
     assert landing.query_homogeneity(landing.read_reports(spark, str(root))).count() == 2
 
 
+def test_an_empty_year_must_have_fetched_nothing(spark, tmp_path):
+    land(tmp_path / "in", 2019, [[]], fetched=2)
+    with pytest.raises(manifests.IntegrityError):
+        manifests.ingest(spark, str(tmp_path / "in"), str(tmp_path / "bronze"), states(spark, tmp_path / "in"))
+    assert not (tmp_path / "bronze").exists()
+
+
 @pytest.mark.parametrize("page", [[{"id": None}], ["{broken\n"], [{"cited_by_count": "lots"}], [{}, {}, {}]])
 def test_bad_shards_write_nothing(spark, tmp_path, page):
     root, base = tmp_path / "in", tmp_path / "bronze"
