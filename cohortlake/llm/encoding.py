@@ -109,9 +109,10 @@ class Encoder:
         return out
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder of this vocabulary file."""
+def encoder(path: str, most: int = MOST_REMEMBERED) -> Encoder:
+    """The worker's encoder of this vocabulary file, which remembers at most two generations of `most` cuts."""
     remember_only("encoder", _LOADED.clear)
     if path not in _LOADED:
         _LOADED[path] = Encoder(path)
+    _LOADED[path].most = most
     return _LOADED[path]

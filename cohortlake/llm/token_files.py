@@ -49,6 +49,8 @@ NO_ID = -(1 << 63)
 
 FRAME_IDS = 1 << 18
 FILE_IDS = 1 << 24
+#: Cuts of one generation that a writer remembers: with two of them, some 90 MB a worker.
+MOST_CUTS = 200_000
 LEVEL = 1
 
 
@@ -135,7 +137,7 @@ def write_token_files(documents: DataFrame, vocabulary: str, end_id: int = 0, fo
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        of, made = encoder(vocabulary), []
+        of, made = encoder(vocabulary, MOST_CUTS), []
         part, number, writer, parts = None, 0, Writer(), []
 
         def close():
