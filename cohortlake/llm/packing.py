@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_columns, ids_of, in_chunks, materialize, small_batches, strings
-from .encoding import CHUNK_CHARS, encoder
+from .encoding import CHUNK_CHARS, MOST_REMEMBERED, encoder
 
 CAPACITY = 2048
 END_ID = 1
@@ -83,14 +83,14 @@ def windows_of(sizes: list[int], capacity: int) -> list[list[int]]:
         count += 1
 
 
-def cut_pieces(documents: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
-    """Pieces of the encoded documents, with their ids in `ids` if asked for."""
+def cut_pieces(documents: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False, remembered: int = MOST_REMEMBERED) -> DataFrame:
+    """Pieces of the encoded documents, with their ids in `ids` if asked for; a worker keeps at most two generations of `remembered` cuts."""
     small_batches(documents.sparkSession, "1m")
     quarter = max(1, capacity // 4)
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        of = encoder(vocabulary)
+        of = encoder(vocabulary, remembered)
         made, lot = 0, np.uint64(TaskContext.get().partitionId() + 1) * _MIX[0]
         for batch in in_chunks(batches, most=CHUNK_CHARS):
             at, rows, pieces = [], [], []
@@ -116,10 +116,10 @@ def cut_pieces(documents: DataFrame, vocabulary: str, capacity: int = CAPACITY,
     return documents.select(*id_columns(), F.col("text").cast("string")).mapInPandas(run, _PIECE + ", ids binary" * with_ids)
 
 
-def pack(documents: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+def pack(documents: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False, remembered: int = MOST_REMEMBERED) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids) of every piece."""
     spark = documents.sparkSession
-    pieces = materialize(cut_pieces(documents, vocabulary, capacity, end_id, with_ids), "pieces")
+    pieces = materialize(cut_pieces(documents, vocabulary, capacity, end_id, with_ids, remembered), "pieces")
     groups = max(1, -(-pieces.count() // GROUP))
     columns = [x.split(" ")[0] for x in _PIECE.split(", ")[:-1]] + ["ids"] * with_ids
     schema = _PIECE.replace(", lot long", ", sequence_id long, offset long") + ", ids binary" * with_ids

@@ -56,7 +56,8 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"), vocabulary())
+    # No other operator shares these workers' memory, so they remember as many cuts as the writers of token files.
+    return pack(table(spark, sf_dir, "documents"), vocabulary(), remembered=token_files.MOST_CUTS)
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
