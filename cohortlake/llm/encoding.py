@@ -30,6 +30,9 @@ JOINED = 200
 _WHITE = "".join(map(chr, [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 _UNSAFE = re.compile(rf" (?<=[{_WHITE}] )(?:[{_WHITE}]|\Z)")
 _SAFE = re.compile(rf"(?<![{_WHITE}]) | (?=[^{_WHITE}])")
+# Marks that end words; one or two of them behind a Latin letter are a piece of their own.
+_MARKS = ".,;:!?)\""
+_LATIN_END = 0x250
 _LOADED: dict[str, Encoder] = {}
 
 
@@ -61,6 +64,9 @@ class Encoder:
         words = self.tokenizer.get_vocab()
         self.spaced = np.zeros(max(words.values()) + 1, bool)  # tokens that begin with a space
         self.spaced[[i for word, i in words.items() if word.startswith("Ġ")]] = True
+        split = self.tokenizer.pre_tokenizer.pre_tokenize_str if self.tokenizer.pre_tokenizer else lambda x: [x]
+        tails = [*_MARKS, *(a + b for a in _MARKS for b in _MARKS)]
+        self.tails = dict(zip(tails, self.whole(tails), strict=True)) if all(len(split(" a" + x)) == 2 for x in tails) else {}
         self.known: dict[str, bytes] = {}  # by the cut without its leading space
         self.old: dict[str, bytes] = {}
 
@@ -75,8 +81,23 @@ class Encoder:
     def count(self, texts: list[str]) -> list[int]:
         return [len(x) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _parts(self, cut: str) -> tuple[str, str] | None:
+        """The word and the marks behind it, where the tokenizer parts them."""
+        word = cut.rstrip(_MARKS)
+        tail = cut[len(word) :]
+        return (word, tail) if word and tail in self.tails and word[-1].isalpha() and ord(word[-1]) < _LATIN_END else None
+
     def _learn(self, cuts: set[str]) -> None:
-        """Encode cuts that are not known; those without white space at their ends or spaces inside share calls."""
+        """Encode cuts that are not known: words once for all the marks that follow them."""
+        parted = {x: parts for x in cuts if x and x[-1] in _MARKS and (parts := self._parts(x))}
+        words = {word for word, _ in parted.values()}.difference(self.known)
+        back = {x: self.old[x] for x in words if x in self.old}
+        self.known.update(back)
+        self._encode(cuts.difference(parted) | words.difference(back))
+        self.known.update((x, self.known[word] + self.tails[tail]) for x, (word, tail) in parted.items())
+
+    def _encode(self, cuts: set[str]) -> None:
+        """Encode cuts by the library; those without white space at their ends or spaces inside share calls."""
         plain = [x for x in cuts if x and x.strip(_WHITE) == x and " " not in x]
         other = list(cuts.difference(plain))
         groups = [plain[i : i + JOINED] for i in range(0, len(plain), JOINED)]
@@ -96,9 +117,9 @@ class Encoder:
                 begin.append(first)
                 rest.append(others)
         new = set().union(*rest).difference(self.known)
-        back = new.intersection(self.old)
-        self.known.update((x, self.old[x]) for x in back)
-        self._learn(new - back)
+        back = {x: self.old[x] for x in new if x in self.old}
+        self.known.update(back)
+        self._learn(new.difference(back))
         get = self.known.__getitem__
         out = [b""] * len(texts)
         for i, first, others in zip(owner, self.whole(begin) if begin else (), rest, strict=True):

@@ -31,6 +31,16 @@ def test_long_ids_stay_exact_beside_nulls(spark):
     assert {r.component_id for r in found[0].collect()} == {BIG, None}
 
 
+def test_words_are_parted_from_marks_as_the_library_does():
+    of = Encoder(public_tokenizers.path("byte_bpe_50k.json"), most=3)
+    texts = ["a.", "é.", "a!?", "ab.\n", "x) y", "don't. it's, 'q'", 'a." b.""" c', "ñ;: 5. 5, ª. 漢. 漢", "a..\n.b", "a.  b. ", "ʰ. Ա. é. \u0301.", "word word. word, word.) word", "", None]
+    assert of.tails
+    for _ in range(2):
+        for text in texts:
+            assert of.encode([text]) == of.whole([text or ""])
+    assert of.encode(texts) == of.whole([x or "" for x in texts])
+
+
 def test_cuts_give_the_ids_of_the_library():
     rng = random.Random(5)
     parts = ["a", "b ", " ", "  ", "\n", "\t", "<|endoftext|>", "<|endo", "'s", "n't", "é", "1", "23", "!!", "\xa0", "　", "\x1c", "日本", "\r\n", " \n", "#", "word", "\x85", "_"]
