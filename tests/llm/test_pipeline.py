@@ -1,7 +1,10 @@
+import collections
+
 import corpus_pipeline
 
 from cohortlake.llm import queries
 from cohortlake.llm.common import materialize
+from test_text_operators import components, contaminated
 
 
 def test_stages_keep_the_columns_and_shrink(spark, data):
@@ -15,5 +18,23 @@ def test_stages_keep_the_columns_and_shrink(spark, data):
     assert packed.select("doc_id").distinct().count() == before
 
 
+def test_copies_and_contamination_by_brute_force_on_each_own_input(spark, data):
+    """Exactly one document of each group of near copies stays, and exactly the documents without benchmark passages."""
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    texts = [(r.doc_id, r.text) for r in docs.collect()]
+    assert len({i for i, _ in texts}) == len(texts)
+    kept = materialize(stages["near_copies"](spark, docs, data), "kept")
+    ids = {r.doc_id for r in kept.collect()}
+    sizes = collections.Counter()
+    for i, component in components(texts, 5, 80).items():
+        sizes[component] += i in ids
+    assert set(sizes.values()) == {1} and len(ids) < len(texts)
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{data}/benchmark.parquet").collect()]
+    dirty = {x[0] for x in contaminated([x for x in texts if x[0] in ids], items) if x[-1]}
+    clean = {r.doc_id for r in stages["decontamination"](spark, kept, data).collect()}
+    assert dirty and clean == ids - dirty
+
+
 def test_one_query_for_each_operator():
     assert [int(x[2:].split("_")[0]) for x in queries.QUERIES] == list(range(1, 11))
