@@ -216,6 +216,8 @@ def _features(docs: DataFrame, width: int, percent: int, keys: np.ndarray, count
         for batch in in_chunks(batches):
             if held is not None:
                 batch = batch[held(batch)]
+                if batch.empty:  # its columns would have no types
+                    continue
             sets = [shingle_set(t, width) for t in batch["text"]]
             sketches = [parities(s) for s in sets]
             yield pd.DataFrame({
@@ -297,6 +299,8 @@ def verified(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
         remember_only("shingles", _HASHES.clear)
         for batch in in_chunks(batches):
             batch = batch[held(batch)]
+            if batch.empty:
+                continue
             yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "shingles": [shingle_set(t, width).tobytes() for t in batch["text"]]})
 
     named = docs.where("doc_id is not null").select("doc_id", "text", among.slot()).mapInPandas(sets, "doc_id long, shingles binary")

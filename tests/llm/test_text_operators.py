@@ -77,6 +77,25 @@ def test_components_are_those_of_all_pairs(spark, documents, width, percent):
     assert sum(r.n_shingles == 0 for r in found if r.doc_id in (1, 2, 3)) == 3
 
 
+def test_a_filter_that_empties_every_batch(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, f"alone {k} and no other document has these words") for k in range(40)], "doc_id long, text string")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    monkeypatch.setattr(jaccard_join, "LARGE", 0)
+    try:
+        none = jaccard_join.Among(docs.where("doc_id < 0").select(F.col("doc_id").alias("id")), "id")
+        import numpy as np
+
+        keys, n = np.empty(0, np.uint64), np.empty(0, np.int64)
+        assert jaccard_join._features(docs, 5, 80, keys, n, none).count() == 0
+        pairs = spark.createDataFrame([(1, 2)], "a long, b long")
+        assert [r.united > r.common for r in jaccard_join.verified(docs, pairs, 5).collect()] == [True]
+        copies = docs.unionByName(docs.select((F.col("doc_id") + 100).alias("doc_id"), "text"))
+        assert {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(copies).collect()} == {k: k % 100 for k in [*range(40), *range(100, 140)]}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 def test_components_in_small_regions_and_one_document_stays(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "PIVOTS", 1)
     docs = rows(spark, [(100 + k, " ".join(f"z{i}" for i in range(k, k + 50))) for k in range(25)])
