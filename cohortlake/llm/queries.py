@@ -12,6 +12,7 @@ from .html_text import extract_text
 from .jaccard_join import jaccard_components
 from .packing import pack
 from .quality_rules import judge
+from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
 from .toxicity import THRESHOLD, fit, score
 from .url_filter import judge_urls
@@ -72,11 +73,17 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"))
 
 
+def op13_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents"), length=200)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard_join, op2_url_filters, op3_quality_rules, op4_toxicity, op5_benchmark_decontamination,
         op6_warc, op7_packing, op8_token_counts, op9_token_files, op10_html_extraction,
+        op13_suffix_array_dedup,
     )
 }
 ORACLE_SQL: dict[str, str] = {}
