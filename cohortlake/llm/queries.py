@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +14,7 @@ from .decontaminate import contamination
 from .html_text import extract_text
 from .jaccard_join import jaccard_components
 from .packing import pack
+from .periodic_runs import digests, periodic_runs
 from .quality_rules import judge
 from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
@@ -73,6 +77,21 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"))
 
 
+def planted(doc_id: int, order: np.ndarray) -> np.ndarray:
+    """The words of a document of which one in ten repeats a stretch up to its end, as the query's contract has it."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(order)
+    if h % 10:
+        return order
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return np.where(order < a, order, a + (order - a) % p)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(periodic_runs(table(spark, sf_dir, "documents"), planted))
+
+
 def op13_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(table(spark, sf_dir, "documents"), length=200)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -83,7 +102,7 @@ QUERIES = {
     for f in (
         op1_ngram_jaccard_join, op2_url_filters, op3_quality_rules, op4_toxicity, op5_benchmark_decontamination,
         op6_warc, op7_packing, op8_token_counts, op9_token_files, op10_html_extraction,
-        op13_suffix_array_dedup,
+        op12_periodic_runs, op13_suffix_array_dedup,
     )
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -8,7 +8,7 @@ import zlib
 
 import pytest
 
-from cohortlake.llm import queries, suffix_dedup
+from cohortlake.llm import periodic_runs, queries, suffix_dedup
 
 SCHEMA = "doc_id long, text string, n long, seed string, pos string, t1 string"
 
@@ -64,3 +64,51 @@ def test_repeats_of_the_documents(spark, data):
     wanted = without_repeats([r.text for r in docs], 200)
     assert {(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found} == {(d.doc_id, *x) for d, x in zip(docs, wanted, strict=True)}
     assert sum(r.n_removed for r in found) > 0
+
+
+def runs_of(w):
+    found = set()
+    for q in range(1, len(w) // 4 + 1):
+        i = 0
+        while i + q < len(w):
+            j = i
+            while j + q < len(w) and w[j] == w[j + q]:
+                j += 1
+            if j > i and j + q - i >= max(6, 4 * q) and not any((i, j + q) == x[:2] for x in found):
+                found.add((i, j + q, q))
+            i = max(j, i + 1)
+    return sorted((i, q, j) for i, j, q in found)
+
+
+def run_row(doc_id, text):
+    w = (text or "").encode().split()
+    n, h = len(w), zlib.crc32(str(doc_id).encode())
+    g = h // 10
+    if doc_id is not None and h % 10 == 0 and n:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        w = [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+    found = runs_of(w)
+    gone = {k for i, q, j in found for k in range(i + q, j)}
+    best = min(((i - j, i, q) for i, q, j in found), default=None)
+    longest = (best[1], -best[0], best[2], 1000 * -best[0] // best[2]) if best else (None,) * 4
+    lines = "".join(f"{i},{j - i},{q}\n" for i, q, j in found)
+    kept = b" ".join(x for k, x in enumerate(w) if k not in gone)
+    return (doc_id, len(found), *longest, hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(kept).hexdigest())
+
+
+def test_runs_of_odd_texts(spark):
+    draw = random.Random(3)
+    texts = [None, "", " \n", "a", "a a a a a", "a a a a a a", "b a a a a a a a c", "a b " * 3, "a b " * 4, "x " + "a b " * 4 + "a", "a b c " * 4 + "d " + "a b c " * 5, "a a b a a b a a b a a b", ("a b " * 5 + "c ") * 6]
+    texts += [" ".join(draw.choice("ab") for _ in range(draw.randrange(6, 90))) for _ in range(60)] + [" ".join(draw.choice("abc") for _ in range(12)) * 7, "z " * 5000, "p q r s t " * 900]
+    ids = [*range(len(texts) - 2), 4, None]
+    found = queries.digests(periodic_runs.periodic_runs(rows(spark, list(zip(ids, texts, strict=True))), queries.planted)).collect()
+    assert collections.Counter(map(tuple, found)) == collections.Counter(run_row(*x) for x in zip(ids, texts, strict=True))
+    assert periodic_runs.periodic_runs(rows(spark, [])).count() == 0
+
+
+def test_runs_of_the_documents(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet").where("length(text) < 6000").collect()
+    found = {r.doc_id: tuple(r) for r in queries.op12_periodic_runs(spark, data).collect()}
+    assert {d.doc_id: found[d.doc_id] for d in docs} == {d.doc_id: run_row(d.doc_id, d.text) for d in docs}
+    assert sum(r[1] > 0 for r in found.values()) >= len(found) // 20
