@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import token_files, warc
+from .alignment import align
 from .common import table
 from .decontaminate import contamination
 from .html_text import extract_text
@@ -23,14 +24,16 @@ from .url_filter import judge_urls
 
 #: The vocabulary file of the queries on tokens.
 VOCABULARY = "byte_bpe_50k.json"
+#: The model file of the other side of alignments.
+PIECES = "piece_bpe_32k.model"
 #: Rows whose labels may be learned; the others are held out.
 LEARNABLE = "pmod(crc32(cast(doc_id as string)), 3) <> 1"
 
 
-def vocabulary() -> str:
+def vocabulary(name: str = VOCABULARY) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(VOCABULARY)
+    return public_tokenizers.path(name)
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +80,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"))
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(table(spark, sf_dir, "documents"), vocabulary(), vocabulary(PIECES))
+
+
 def planted(doc_id: int, order: np.ndarray) -> np.ndarray:
     """The words of a document of which one in ten repeats a stretch up to its end, as the query's contract has it."""
     h, n = zlib.crc32(str(doc_id).encode()), len(order)
@@ -102,7 +109,7 @@ QUERIES = {
     for f in (
         op1_ngram_jaccard_join, op2_url_filters, op3_quality_rules, op4_toxicity, op5_benchmark_decontamination,
         op6_warc, op7_packing, op8_token_counts, op9_token_files, op10_html_extraction,
-        op12_periodic_runs, op13_suffix_array_dedup,
+        op11_cross_tokenizer_alignment, op12_periodic_runs, op13_suffix_array_dedup,
     )
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -8,7 +8,7 @@ import zlib
 
 import pytest
 
-from cohortlake.llm import periodic_runs, queries, suffix_dedup
+from cohortlake.llm import alignment, periodic_runs, queries, suffix_dedup
 
 SCHEMA = "doc_id long, text string, n long, seed string, pos string, t1 string"
 
@@ -112,3 +112,68 @@ def test_runs_of_the_documents(spark, data):
     found = {r.doc_id: tuple(r) for r in queries.op12_periodic_runs(spark, data).collect()}
     assert {d.doc_id: found[d.doc_id] for d in docs} == {d.doc_id: run_row(d.doc_id, d.text) for d in docs}
     assert sum(r[1] > 0 for r in found.values()) >= len(found) // 20
+
+
+def alignments(texts):
+    """Rows of all texts by the two libraries, whole text by whole text."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a_side = Tokenizer.from_file(queries.vocabulary())
+    a_side.encode_special_tokens = True
+    b_side = sentencepiece.SentencePieceProcessor(model_file=queries.vocabulary(queries.PIECES))
+    names = {i: t for t, i in a_side.get_vocab().items()}
+    value = alignment.byte_values()
+    rows, links_of, seen = [], [], collections.Counter()
+    for text in texts:
+        whole = (" " + (text or "")).encode()
+        a = a_side.encode(" " + text, add_special_tokens=False).ids if text else []
+        b = b_side.encode(text) if text else []
+        a_bytes = [bytes(value[c] for c in names[i]) for i in a]
+        b_bytes = [bytes([int(b_side.id_to_piece(i)[3:5], 16)]) if b_side.is_byte(i) else b_side.id_to_piece(i).replace("\u2581", " ").encode() for i in b]
+        if b"".join(a_bytes) != whole or b"".join(b_bytes) != whole:
+            a, b, a_bytes, b_bytes = [], [], [], []
+        a_ends, b_ends = list(itertools.accumulate(map(len, a_bytes))), list(itertools.accumulate(map(len, b_bytes)))
+        both = [0, *sorted(set(a_ends) & set(b_ends))]
+        groups = ";".join(
+            ",".join(str(i) for i, e in zip(a, a_ends, strict=True) if lo < e <= hi) + "|" + ",".join(str(i) for i, e in zip(b, b_ends, strict=True) if lo < e <= hi)
+            for lo, hi in itertools.pairwise(both)
+        )
+        owner_a = [i for i, x in enumerate(a_bytes) for _ in x]
+        owner_b = [i for i, x in enumerate(b_bytes) for _ in x]
+        links = [(a[i], b[j]) for i, j in sorted(set(zip(owner_a, owner_b, strict=True)))]
+        seen.update(set(links))
+        links_of.append(links)
+        rows.append((len(a), len(b), len(both) - 1, len(links), groups))
+    highest = collections.defaultdict(int)
+    for (x, _), n in seen.items():
+        highest[x] = max(highest[x], n)
+    return [(*r[:4], sum(seen[p] == highest[p[0]] for p in links), sum(seen[p] for p in links), hashlib.sha256(r[4].encode()).hexdigest() if r[0] else "", r[4]) for r, links in zip(rows, links_of, strict=True)], seen
+
+
+ODD_TEXTS = [
+    None, "", " ", "  ", "one", "one two", " one  two ", "one two", "tail ", "\n\n x \t y", "a\u2581b and more", "\u2581", "<|endoftext|> is <s> text </s> <unk>", "na\u00efve caf\u00e9 \U0001f600\U0001f600 \u4e2d\u6587",
+    "x\u00a0y \u3000z", "3.14, (\"quoted\")... don't!", "zero\x00byte", "<0x41> A", "word " * 3000, "\u0301combining", "end\r\n next",
+]
+
+
+@pytest.mark.parametrize(("spill", "radix", "fan_in"), [(1_000_000, 32, 64), (40, 4, 4)])
+def test_alignment_of_odd_texts(spark, spill, radix, fan_in):
+    ids = [*range(len(ODD_TEXTS) - 2), 5, None]
+    docs = rows(spark, list(zip(ids, ODD_TEXTS, strict=True)))
+    wanted, seen = alignments(ODD_TEXTS)
+    found = alignment.align(docs, queries.vocabulary(), queries.vocabulary(queries.PIECES), True, spill, radix, fan_in).collect()
+    assert collections.Counter(map(tuple, found)) == collections.Counter((i, *w) for i, w in zip(ids, wanted, strict=True))
+    runs = alignment.spill_runs(docs, queries.vocabulary(), queries.vocabulary(queries.PIECES), spill=spill, radix=radix)
+    counted = alignment.pair_counts(alignment.count_pairs(runs, radix, fan_in)).collect()
+    assert {(r.a, r.b): r.documents for r in counted} == seen and len(counted) == len(seen)
+    assert alignment.align(rows(spark, []), queries.vocabulary(), queries.vocabulary(queries.PIECES)).count() == 0
+
+
+def test_alignment_of_the_documents_in_few_remembered_parts(spark, data, monkeypatch):
+    monkeypatch.setattr(alignment, "MOST_PARTS", 300)
+    monkeypatch.setattr(alignment, "CHUNK_CHARS", 20_000)
+    docs = spark.read.parquet(f"{data}/documents.parquet").collect()
+    wanted, _ = alignments([d.text for d in docs])
+    found = queries.op11_cross_tokenizer_alignment(spark, data).collect()
+    assert {tuple(r) for r in found} == {(d.doc_id, *w[:-1]) for d, w in zip(docs, wanted, strict=True)}
