@@ -1,17 +1,27 @@
 """Toxicity by multiple-instance learning.
 
-A document is a bag of sentences. A logistic model scores each sentence, the
-document is toxic if any sentence is: score = 1 - prod(1 - p_sentence), the
-noisy-or. Only documents have labels; the gradient of the document's likelihood
-reaches the sentences through the noisy-or, and the fitted sentence scores then
-locate the offending sentences.
+A document is a bag of sentences and is toxic if any sentence is: score = 1 -
+(1 - leak) * prod(1 - p_sentence), the noisy-or. Only documents have labels; the
+gradient of the document's likelihood reaches the sentences through the noisy-or,
+and the fitted sentence scores then locate the offending sentences.
+
+Of a sentence with the summed weight z of its known features, p = 1 - exp(-max(0,
+z + bias)): a sentence without known features, or with too little weight, has
+exactly no probability, so that clean texts do not become toxic by their length.
+What labels leave unexplained is one leak of each document, not of each sentence.
+Sentences with the same features count once, as saying a thing again is no new
+evidence; a text and the same text a thousand times over score alike. The fit also
+sees long clean documents, made of many clean ones. Where no sentence has a
+probability the leak is graded by the mean of the sentences' logistic weights, which
+orders such documents.
 
 Features of a sentence are beginnings of its words (3 to 7 letters) and whole
 short words, so that other endings of a known stem count as well. Which of them
 are kept is decided by counts over the training documents.
 
-The model is fitted on a bounded sample of labelled rows, at most MOST_TRAINED
-of each label, drawn by a hash of doc_id. Scoring covers every whole text.
+The model is fitted on a bounded sample of labelled rows: about MOST_TRAINED of each
+label, drawn by a hash of doc_id, as far as they have MOST_CHARS bytes of text. These
+bounds hold for the fit alone; scoring covers every whole text.
 
 Defined results: a null or empty text, or one without letters, scores 0. Labels
 that are null, or whose document is missing, are not used. Without a toxic label
@@ -33,8 +43,11 @@ from .common import id_columns, ids_of, in_chunks, remember_only, small_batches
 
 #: Bounds of the fit: labelled documents of each label, features, rounds.
 MOST_TRAINED = 8_000
+MOST_CHARS = 32_000_000
 MOST_FEATURES = 4_000
-ROUNDS = 150
+ROUNDS = 200
+#: Long clean documents that the fit makes, and clean documents in each.
+LONG_BAGS, LONG = 200, 30
 THRESHOLD = 0.7
 
 _SENTENCE = re.compile(r"[^.!?\n]+")
@@ -47,14 +60,14 @@ def word_features(word: str) -> list[str]:
 
 
 class Model:
-    """Weights of a sentence's features and the bias."""
+    """Weights of a sentence's features, their bias, and the leak of a document."""
 
-    def __init__(self, weights: dict[str, float], bias: float):
-        self.weights, self.bias = weights, bias
+    def __init__(self, weights: dict[str, float], bias: float, leak: float = 0.0):
+        self.weights, self.bias, self.leak = weights, bias, leak
         self._words: dict[str, tuple] = {}
 
     def __getstate__(self):
-        return self.weights, self.bias
+        return self.weights, self.bias, self.leak
 
     def __setstate__(self, state):
         self.__init__(*state)
@@ -66,42 +79,53 @@ class Model:
             found = self._words[word] = tuple(f for f in word_features(word) if f in self.weights)
         return found
 
+    def known(self, text: str) -> frozenset[str]:
+        """The known features of a sentence in lower case."""
+        return frozenset(f for w in set(_WORD.findall(text)) for f in self.features(w))
+
+    def weight(self, known: frozenset[str]) -> float:
+        return self.bias + sum(self.weights[f] for f in sorted(known))
+
     def sentence(self, text: str) -> float:
-        """Probability that this sentence is toxic."""
-        known = {f for w in set(_WORD.findall(text)) for f in self.features(w)}
-        return 1 / (1 + np.exp(-(self.bias + sum(self.weights[f] for f in sorted(known)))))
+        """Probability that this sentence, in lower case, is toxic."""
+        known = self.known(text)
+        return float(-np.expm1(-max(0.0, self.weight(known)))) if known else 0.0
 
     def document(self, text: str | None) -> float:
-        """Noisy-or over the sentences."""
+        """Noisy-or over the distinct sentences."""
         if not text or not self.weights:
             return 0.0
-        lower, plain, found = text.lower(), 0, []
-        features = self.features
-        for part in _SENTENCE.findall(lower):
-            if words := set(_WORD.findall(part)):
-                known = {f for w in words for f in features(w)}
-                if known:
-                    found.append(self.bias + sum(self.weights[f] for f in sorted(known)))
-                else:
-                    plain += 1
-        if not found and not plain:
+        lower = text.lower()
+        found = {self.known(part) for part in _SENTENCE.findall(lower)}
+        found.discard(frozenset())
+        if not found and not _WORD.search(lower):
             return 0.0
-        return float(-np.expm1(-np.logaddexp(0, np.array(found)).sum() - plain * np.logaddexp(0, self.bias)))
+        z = np.sort(np.array([self.weight(x) for x in found]))  # in one order, so that equal sets have equal sums
+        grade = (1 / (1 + np.exp(-z))).mean() if len(z) else 0.0
+        return float(-np.expm1(-(self.leak * grade + np.maximum(z, 0).sum())))
 
 
 def _training(documents: DataFrame, labels: DataFrame, usable: Column) -> DataFrame:
     """text, toxic and weight of the bounded sample of labelled documents."""
     spark = documents.sparkSession
+    schema = "doc_id long, toxic int, weight double"
     own = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)").where(usable).distinct()
     counts = {r["toxic"]: r["count"] for r in own.groupBy("toxic").count().collect()}
-    share = {k: min(1.0, MOST_TRAINED / v) for k, v in counts.items()}
-    if len(share) < 2:
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    if len(counts) < 2:
+        return spark.createDataFrame([], "text string, toxic int, weight double")
+    share = {k: int(min(1.0, MOST_TRAINED / v) * (1 << 30)) for k, v in counts.items()}
+    hashed = F.xxhash64("doc_id")
+    drawn = own.where(F.pmod(hashed, F.lit(1 << 30)) < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]))
+    # About 2 * MOST_TRAINED rows without their texts: which of them fit into the bytes is decided on the driver.
+    found = docs.select("doc_id", F.octet_length("text").alias("size")).join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "toxic").agg(F.coalesce(F.sum("size"), F.lit(0)).alias("size"))
+    found = found.select("doc_id", "toxic", "size", hashed.alias("order")).toPandas().sort_values(["toxic", "order", "doc_id"])
+    held = found[found.groupby("toxic")["size"].cumsum() <= MOST_CHARS]
+    if held["toxic"].nunique() < 2:
         return spark.createDataFrame([], "text string, toxic int, weight double")
-    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.when(F.col("toxic") == 1, int(share[1] * (1 << 30))).otherwise(int(share[0] * (1 << 30)))
-    weight = F.when(F.col("toxic") == 1, 1 / share[1]).otherwise(1 / share[0])
-    # At most about 2 * MOST_TRAINED rows, so they can be sent to every executor.
-    chosen = F.broadcast(own.where(drawn).withColumn("weight", weight))
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(chosen, "doc_id").select("text", "toxic", "weight")
+    kept = held.groupby("toxic").size()
+    rows = [(int(i), int(y), counts[y] / int(kept[y])) for i, y in zip(held["doc_id"], held["toxic"], strict=True)]
+    return docs.join(F.broadcast(spark.createDataFrame(rows, schema)), "doc_id").select("text", "toxic", "weight")
 
 
 def _count_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -122,16 +146,9 @@ def _bags(known: dict[str, int]):
         for batch in batches:
             rows = []
             for text in batch["text"]:
-                flat, plain = [], 0
-                for part in _SENTENCE.findall((text or "").lower()):
-                    words = set(_WORD.findall(part))
-                    ids = {known[f] for w in words for f in word_features(w) if f in known}
-                    if ids:
-                        flat += [*sorted(ids), -1]
-                    elif words:
-                        plain += 1
-                rows.append((flat, plain))
-            yield pd.DataFrame({"flat": [r[0] for r in rows], "plain": [r[1] for r in rows], "toxic": batch["toxic"].to_numpy(), "weight": batch["weight"].to_numpy()})
+                sentences = {tuple(sorted({known[f] for w in set(_WORD.findall(part)) for f in word_features(w) if f in known})) for part in _SENTENCE.findall((text or "").lower())}
+                rows.append([i for x in sorted(sentences) if x for i in (*x, -1)])
+            yield pd.DataFrame({"flat": rows, "toxic": batch["toxic"].to_numpy(), "weight": batch["weight"].to_numpy()})
 
     return run
 
@@ -143,7 +160,7 @@ def fit(documents: DataFrame, labels: DataFrame, usable: Column) -> Model:
     counts = rows.mapInPandas(_count_features, "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     totals = counts.where("feature = ''").collect()
     if not totals or not totals[0]["clean"] or not totals[0]["toxic"]:
-        return Model({}, -10.0)
+        return Model({}, 0.0)
     clean, toxic = totals[0]["clean"], totals[0]["toxic"]
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (clean + 1.0))
     strength = F.abs(F.col("toxic") / toxic - F.col("clean") / clean) / F.sqrt((F.col("toxic") + F.col("clean") + 1.0) / (toxic + clean))
@@ -152,37 +169,48 @@ def fit(documents: DataFrame, labels: DataFrame, usable: Column) -> Model:
         .where("abs(odds) >= 1").orderBy(F.desc("strength"), "feature").limit(MOST_FEATURES).toPandas()
     )
     if not len(chosen):
-        return Model({}, -10.0)
+        return Model({}, 0.0)
     known = {f: i for i, f in enumerate(chosen["feature"])}
-    bags = rows.mapInPandas(_bags(known), "flat array<int>, plain long, toxic int, weight double").toPandas()
-    weights, bias = _descend(bags, np.clip(chosen["odds"].to_numpy(float), -3, 3) / 3)
-    return Model(dict(zip(chosen["feature"], weights.tolist(), strict=True)), float(bias))
-
-
-def _descend(bags: pd.DataFrame, weights: np.ndarray) -> tuple[np.ndarray, float]:
-    """Likelihood of the document labels under the noisy-or, by AdaGrad over all rows."""
-    lengths = np.array([len(x) for x in bags["flat"]])
-    flat = np.concatenate([np.asarray(x, np.int64) for x in bags["flat"]]) if lengths.sum() else np.empty(0, np.int64)
+    bags = rows.mapInPandas(_bags(known), "flat array<int>, toxic int, weight double").toPandas()
+    bags = bags.assign(key=[bytes(np.asarray(x, np.int32)) for x in bags["flat"]]).sort_values(["toxic", "key"]).drop(columns="key")  # tasks end in any order
+    weights, bias, leak = _descend(bags, np.clip(chosen["odds"].to_numpy(float), -3, 3) / 3)
+    return Model(dict(zip(chosen["feature"], weights.tolist(), strict=True)), float(bias), float(leak))
+
+
+def _descend(bags: pd.DataFrame, weights: np.ndarray) -> tuple[np.ndarray, float, float]:
+    """Weights, bias and leak of the likeliest labels under the noisy-or, by AdaGrad over all rows.
+
+    The hinge of a sentence begins as a soft one, so that sentences below it still
+    have a gradient, and sharpens over the rounds.
+    """
+    flats = [np.asarray(x, np.int64) for x in bags["flat"]]
+    y, weight = bags["toxic"].tolist(), bags["weight"].tolist()
+    clean = [k for k, label in enumerate(y) if label == 0]
+    draw = np.random.default_rng(1)
+    for _ in range(min(LONG_BAGS, len(clean) // 8)):
+        flats.append(np.concatenate([flats[k] for k in draw.choice(clean, LONG)]))
+        y.append(0)
+        weight.append(1.0)
+    lengths = np.array([len(x) for x in flats])
+    flat = np.concatenate(flats)
     end = flat == -1
     sentence = (np.cumsum(end) - end)[~end]
     feature = flat[~end]
-    doc_of_sentence = np.repeat(np.arange(len(bags)), lengths)[end]
-    plain, y, weight = bags["plain"].to_numpy(float), bags["toxic"].to_numpy(float), bags["weight"].to_numpy(float)
-    weight = weight / weight.sum()
-    bias, n_s = -4.0, int(end.sum())
-    past = np.full(len(weights) + 1, 1e-8)
-    for _ in range(ROUNDS):
-        z = bias + np.bincount(sentence, weights[feature], n_s)
-        none = np.bincount(doc_of_sentence, np.logaddexp(0, z), len(bags)) + plain * np.logaddexp(0, bias)  # -log of no toxic sentence
-        p_doc = np.clip(-np.expm1(-none), 1e-9, 1)
-        # d loss / d z = p_sentence * outer
-        outer = weight * np.where(y == 1, -np.exp(-none) / p_doc, 1.0)
-        g_z = outer[doc_of_sentence] / (1 + np.exp(-z))
-        g = np.append(np.bincount(feature, g_z[sentence], len(weights)) + 3e-6 * weights, g_z.sum() + (outer * plain).sum() / (1 + np.exp(-bias)))
+    document = np.repeat(np.arange(len(flats)), lengths)[end]
+    y, weight = np.array(y, float), np.array(weight) / np.sum(weight)
+    bias, leak, n_s = -0.5, -4.0, int(end.sum())  # the leak as a logarithm
+    past = np.full(len(weights) + 2, 1e-8)
+    for k in range(ROUNDS):
+        sharp = 1 + 19 * min(1, k / (0.7 * ROUNDS))
+        z = sharp * (bias + np.bincount(sentence, weights[feature], n_s))
+        none = np.exp(leak) + np.bincount(document, np.logaddexp(0, z) / sharp, len(flats))  # -log of no toxic sentence
+        outer = weight * np.where(y == 1, -np.exp(-none) / np.clip(-np.expm1(-none), 1e-9, 1), 1.0)
+        g_z = outer[document] / (1 + np.exp(-np.clip(z, -50, 50)))
+        g = np.concatenate([np.bincount(feature, g_z[sentence], len(weights)) + 3e-6 * weights, [g_z.sum(), outer.sum() * np.exp(leak)]])
         past += g * g
         step = 0.3 * g / np.sqrt(past)
-        weights, bias = weights - step[:-1], bias - step[-1]
-    return weights, bias
+        weights, bias, leak = weights - step[:-2], bias - step[-2], leak - step[-1]
+    return weights, bias, np.exp(leak)
 
 
 def score(model: Model, text: str = "text") -> Column:

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cohortlake.llm import decontaminate, jaccard_join, packing, quality_rules, token_counts, token_files, toxicity
+from cohortlake.llm import decontaminate, jaccard_join, packing, quality_rules, queries, token_counts, token_files, toxicity
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 SCHEMA = "doc_id long, text string, n long, a string, part string, _words string"
@@ -166,6 +166,41 @@ def test_toxicity_on_held_out_documents(spark):
     assert kept.columns == docs.columns and 440 <= kept.count() <= 500
 
 
+def test_long_clean_texts_stay_clean(spark):
+    docs, labels = toxic_corpus(spark)
+    model = toxicity.fit(docs, labels, F.expr("doc_id % 3 <> 1"))
+    clean = [r.text for r in docs.where("doc_id % 5 <> 0").collect()]
+    rude = docs.where("doc_id = 5").first().text
+    for text in (clean[0], clean[1], rude, "you grumbold. nothing else"):
+        assert model.document("\n".join([text] * 1000)) == model.document(text)
+    joined = "\n".join(clean * 20)
+    assert len(joined) > 1_000_000 and model.document(joined) < 0.1
+    assert model.document("qzx wvb. " * 10_000) < 0.05 and model.document(joined + "\n" + rude) >= 0.7
+
+
+def test_fit_is_bounded_in_bytes(spark, monkeypatch):
+    docs, labels = toxic_corpus(spark)
+    monkeypatch.setattr(toxicity, "MOST_CHARS", 20_000)
+    sample = toxicity._training(docs, labels, F.lit(True)).collect()
+    for label, all_of in ((0, 480), (1, 120)):
+        own = [r for r in sample if r.toxic == label]
+        assert 0 < sum(len(r.text) for r in own) <= 20_000 and abs(sum(r.weight for r in own) - all_of) <= 2  # two toxic labels have no document
+    model = toxicity.fit(docs, labels, F.lit(True))
+    assert model.document("you grumbold there.") > model.document("you there.")
+
+
+def test_query_of_toxicity_on_labels(spark):
+    sf = "/root/testdata/sf0.01"
+    found = {r.doc_id: r for r in queries.op4_toxicity(spark, sf).collect()}
+    truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").where("toxic IS NOT NULL").collect() if r.doc_id in found}
+    assert len(found) == spark.read.parquet(f"{sf}/documents.parquet").count()
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 3 == 1) and r.predicted == int(r.score >= 0.7) and 0 <= r.score <= 1 for i, r in found.items())
+    held = [(found[i].score, y) for i, y in truth.items() if found[i].held_out]
+    toxic, clean = [s for s, y in held if y == 1], [s for s, y in held if y == 0]
+    assert sum((s >= 0.7) == (y == 1) for s, y in held) >= 0.94 * len(held) and sum(s >= 0.7 for s in toxic) >= 0.75 * len(toxic)
+    assert sum((a > b) + 0.5 * (a == b) for a in toxic for b in clean) >= 0.93 * len(toxic) * len(clean)
+
+
 def test_toxicity_of_odd_texts_and_without_labels(spark):
     docs, labels = toxic_corpus(spark)
     model = toxicity.fit(docs, labels, F.lit(True))
