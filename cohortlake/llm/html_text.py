@@ -7,11 +7,23 @@ delete each other's whole text. The text lines (blocks) of the two pages are ali
 subsequence, and the lines that they share are deleted: menus, notices and
 footers repeat from page to page, the article does not.
 
-Two rules frame this. Blocks inside elements that are never the article (menus,
-headers, footers, sidebars, forms, comments, adverts, notices, scripts, styles)
-are no text at all. And where a page marks its article (article, main, or a
-main role), the text is that element's, and a shared line in it is not deleted:
-copies of an article on two pages share all of it.
+What differencing leaves decides about everything that a page does not say itself:
+
+* Elements whose tag or role, or whose class and id alone, say that they are never the
+  article (menus, headers, footers, sidebars, forms, comments, adverts, notices,
+  scripts, styles) are no text at all.
+* Elements with such a word among others in class or id (as `notice-board related`)
+  are only suspects: their lines go if the neighbour has them too, else they stay.
+* On a page without a marked article (article, main, or such a role), and outside
+  of one, every line that the neighbour shares goes.
+* A marked article is the text, unless more text than it has is left outside: then the
+  mark was a teaser's and what is left outside is the text. Of several marked
+  articles, those that the neighbour has whole go if another is left.
+
+Lines of a marked article that are no suspects stay, shared or not: pages quote each
+other, and a page must not lose its sentences to one that copied them.
+
+The parser reads a page once from start to end, whatever its faults.
 
 The order over all pages is computed by a range sort of keys and a global
 number, so that a host of any size is spread over tasks; the neighbours' lines
@@ -49,34 +61,111 @@ NEVER_NAMES = frozenset(
     " newsletter subscribe signup paywall social share sharing comment comments commentlist disqus reply replies respond discussion sidebar aside menu nav navbar navigation breadcrumb"
     " breadcrumbs pager pagination related recommended recommendations widget footer masthead toolbar skip".split()
 )
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME = re.compile(r"[a-z]+")
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_MAIN = re.compile(r"role\s*=\s*[\"']?(?:main|article)\b", re.I)
 _SPACE = re.compile(r"\s+")
+# Parts of a name that only say how an element is laid out.
+LAYOUT = frozenset("area bar block box button buttons container content inner item items link links list main outer panel posts section top wrap wrapper bottom left right".split())
+#: Elements that the next of their kind ends, and elements that this does not reach through.
+SELF_ENDING = frozenset("p li dt dd tr td th option".split())
+BARRIERS = frozenset("ul ol dl table div article section td th".split())
 #: Cells of an alignment kept at once; larger ones are halved first.
 MOST_CELLS = 200_000_000
 
 
-def _never(tag: str, attributes: str, inside: bool) -> bool:
-    """Whether an element is never the article's; inside: it stands in a marked article."""
+def _judged(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
+    """Whether an element is never the article's, and whether it is a suspect; inside: it stands in a marked article."""
     if tag in NEVER or tag == "header" and not inside:
-        return True
+        return True, False
     if not attributes:
-        return False
+        return False, False
     found = {m[1].lower(): next((x for x in m.groups()[1:] if x is not None), "").lower() for m in _ATTRIBUTE.finditer(attributes)}
     if "hidden" in found or found.get("aria-hidden") == "true" or found.get("role") in NEVER_ROLES:
-        return True
+        return True, False
     if tag in ARTICLE or tag in ("body", "html"):
-        return False
-    return any(x in NEVER_NAMES for x in _NAME.findall(f"{found.get('class', '')} {found.get('id', '')}"))
-
-
-def blocks_of(page: str | None) -> list[tuple[str, bool, bool]]:
-    """Text blocks in page order: text, whether inside a marked article, whether inside an element that is never the article."""
-    out: list[tuple[str, bool, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, article, never
+        return False, False
+    names = [set(_NAME.findall(x)) for x in f"{found.get('class', '')} {found.get('id', '')}".split()]
+    listed = [x <= NEVER_NAMES | LAYOUT and not x.isdisjoint(NEVER_NAMES) for x in names]
+    if any(listed) and (all(listed) or not inside):
+        return True, False
+    return False, any(not x.isdisjoint(NEVER_NAMES) for x in names)
+
+
+class _Scanner:
+    """Tags of a page, found from start to end: no stretch is scanned for a tag's end more than twice."""
+
+    def __init__(self, page: str):
+        self.page, self.quoted, self.last = page, True, page.rfind(">")
+
+    def end_of_tag(self, at: int) -> int:
+        """Index of the > that ends the tag whose name ends at `at`, or -1. Quoted values can hold a >, until the page turns out not to close one."""
+        if at > self.last:
+            return -1
+        page, begin = self.page, at
+        end = page.find(">", at)
+        while self.quoted and end >= 0:
+            equal = page.find("=", at, end)
+            if equal < 0:
+                return end
+            at = equal + 1
+            while page[at] in " \t\r\n\f":
+                at += 1
+            if page[at] in "\"'":
+                close = page.find(page[at], at + 1)
+                if close < 0:
+                    break
+                at = close + 1
+                if at > end:
+                    end = page.find(">", at)
+        self.quoted = False
+        return page.find(">", begin)
+
+
+class _Open:
+    """The open elements: tag and what holds inside of it."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, tuple]] = []
+        self.where: dict[str, list[int]] = {}
+        self.barriers: list[int] = []
+
+    def push(self, tag: str, state: tuple) -> None:
+        self.where.setdefault(tag, []).append(len(self.stack))
+        if tag in BARRIERS:
+            self.barriers.append(len(self.stack))
+        self.stack.append((tag, state))
+
+    def has(self, tag: str) -> bool:
+        return bool(self.where.get(tag))
+
+    def close(self, tag: str) -> None:
+        """Close the innermost element of this tag and all inside of it."""
+        at = self.where[tag][-1]
+        while len(self.stack) > at:
+            name, _ = self.stack.pop()
+            self.where[name].pop()
+            if name in BARRIERS:
+                self.barriers.pop()
+
+    def ends_next(self, tag: str) -> bool:
+        """Whether an element of this tag is open that the next of its kind ends."""
+        found = self.where.get(tag)
+        return bool(found) and (not self.barriers or found[-1] >= self.barriers[-1])
+
+    @property
+    def state(self) -> tuple:
+        return self.stack[-1][1] if self.stack else (-1, False, False)
+
+
+def blocks_of(page: str | None) -> list[tuple[str, int, bool, bool]]:
+    """Text blocks in page order: text, number of the outermost marked article around it (or -1), whether inside an element that is never the article, and whether inside a suspect."""
+    out: list[tuple[str, int, bool, bool]] = []
     words: list[str] = []
-    state = (False, False)
+    page, at, marked = page or "", 0, 0
+    scanner, open_ = _Scanner(page), _Open()
+    state = open_.state
 
     def flush():
         if words:
@@ -84,64 +173,84 @@ def blocks_of(page: str | None) -> list[tuple[str, bool, bool]]:
                 out.append((text, *state))
             words.clear()
 
-    page, at = page or "", 0
     while at < len(page):
-        m = _TOKEN.search(page, at)
-        if m is None:
+        start = page.find("<", at)
+        if start < 0:
             words.append(page[at:])
             break
-        if m.start() > at:
-            words.append(page[at : m.start()])
-        at = m.end()
-        tag = (m[2] or "").lower()
-        if not tag:
+        if start > at:
+            words.append(page[at:start])
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            at = end + 3 if end >= 0 else len(page)
+            continue
+        m = _TAG.match(page, start)
+        if m is None:
+            end = page.find(">", start) if page[start + 1 : start + 2] in ("!", "?") and start < scanner.last else -1
+            if end < 0:
+                words.append("<")
+            at = max(start, end) + 1
             continue
-        if tag in INLINE and not m[3] and not any(x[0] == tag for x in stack):
+        end = scanner.end_of_tag(m.end())
+        if end < 0:
+            words.append("<")
+            at = start + 1
+            continue
+        closing, tag, attributes, at = bool(m[1]), m[2].lower(), page[m.end() : end], end + 1
+        if tag in INLINE and not attributes and not open_.has(tag):
             if tag == "br":
                 words.append(" ")
             continue
-        if not m[1]:
-            if tag in RAW and not m[3].rstrip().endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-                at = end.end() if end else len(page)
-                continue
-            if tag in VOID or m[3].rstrip().endswith("/"):
-                if tag not in INLINE:
+        if closing:
+            if open_.has(tag):
+                open_.close(tag)
+                if tag not in INLINE or open_.state != state:
                     flush()
-                elif tag == "br":
-                    words.append(" ")
-                continue
-            never = state[1] or _never(tag, m[3], state[0])
-            if tag in INLINE and (not never or state[1] and not any(x[0] == tag for x in stack)):
+                state = open_.state
+            elif tag not in INLINE:
+                flush()
+            continue
+        alone = attributes.rstrip().endswith("/")
+        if tag in RAW and not alone:
+            found = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            at = found.end() if found else len(page)
+            continue
+        if tag in VOID or alone:
+            if tag not in INLINE:
+                flush()
+            elif tag == "br":
+                words.append(" ")
+            continue
+        if tag in INLINE:
+            never, suspect = _judged(tag, attributes, state[0] >= 0)
+            # Those that say nothing of their own are not kept open; inside of what says something, the same tag has to be counted.
+            if not open_.has(tag) and (state[1] or not never and not suspect):
                 continue
-            flush()
-            if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
-                # An open element of the kind ends where the next begins.
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == tag:
-                        del stack[k:]
-                        break
-                    if stack[k][0] in ("ul", "ol", "dl", "table", "div", "article", "section", "td", "th"):
-                        break
-                state = stack[-1][1:] if stack else (False, False)
-                never = state[1] or _never(tag, m[3], state[0])
-            main = state[0] or not never and (tag in ARTICLE or "role" in m[3] and re.search(r"role\s*=\s*[\"']?(?:main|article)\b", m[3], re.I) is not None)
-            stack.append((tag, main, never))
-            state = (main, never)
         else:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    flush()
-                    del stack[k:]
-                    state = stack[-1][1:] if stack else (False, False)
-                    break
-            else:
-                if tag not in INLINE:
-                    flush()
+            flush()
+        if tag in SELF_ENDING and open_.ends_next(tag):
+            open_.close(tag)
+            state = open_.state
+        region, never, suspect = state
+        if not never:
+            never, doubt = _judged(tag, attributes, region >= 0)
+            suspect = suspect or doubt
+            if region < 0 and not never and (tag in ARTICLE or "role" in attributes and _MAIN.search(attributes)):
+                region, marked = marked, marked + 1
+        if (region, never, suspect) != state:
+            flush()
+        state = (region, never, suspect)
+        open_.push(tag, state)
     flush()
     return out
 
 
+def undecided(found: list[tuple[str, int, bool, bool]]) -> bool:
+    """Whether the text of these blocks depends on what a neighbour shares."""
+    kept = [x for x in found if not x[2]]
+    return any(region < 0 or suspect for _, region, _, suspect in kept) or len({x[1] for x in kept}) > 1
+
+
 def _lengths(a: list[int], b: list[int]) -> list[int]:
     """LCS lengths of a with every beginning of b, by bit vectors."""
     where: dict[int, int] = {}
@@ -249,7 +358,7 @@ def neighbours(pages: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def _lines(pages: DataFrame) -> DataFrame:
-    """key, lines (hashes), free: whether a line stands neither in a marked article nor in what is never one."""
+    """key, lines (hashes), open: whether the text depends on what a neighbour shares."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in in_chunks(batches, "html"):
@@ -257,14 +366,14 @@ def _lines(pages: DataFrame) -> DataFrame:
             yield pd.DataFrame({
                 "key": batch["key"].to_numpy(),
                 "lines": [np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) for t, *_ in x], np.uint64).view(np.int64) for x in found],
-                "free": [[not main and not never for _, main, never in x] if not any(main and not never for _, main, never in x) else [] for x in found],
+                "open": [undecided(x) for x in found],
             })
 
-    return _pages(pages).select(row_key().alias("key"), "html").mapInPandas(run, "key long, lines array<long>, free array<boolean>").dropDuplicates(["key"])
+    return _pages(pages).select(row_key().alias("key"), "html").mapInPandas(run, "key long, lines array<long>, open boolean").dropDuplicates(["key"])
 
 
 def shared_with_neighbour(pages: DataFrame) -> DataFrame:
-    """key, shared: positions of the lines that differencing deletes; only pages that lose any."""
+    """key, shared: positions of the lines that the neighbour shares, of pages whose text depends on them."""
     lines = materialize(_lines(pages), "page-lines")
     near = materialize(neighbours(pages, lines), "page-neighbours")
 
@@ -272,21 +381,24 @@ def shared_with_neighbour(pages: DataFrame) -> DataFrame:
     def aligned(own: pd.Series, others: pd.Series) -> pd.Series:
         return pd.Series([sorted(shared_lines(a.tolist(), b.tolist())) for a, b in zip(own, others, strict=True)])
 
-    # Copies of a run have one alignment with a neighbour; which of its lines are free is each page's own.
-    free = near.join(lines.where("exists(free, x -> x)").select("key", "free"), "key")
-    pairs = free.select("copy", "other").distinct().join(lines.select(F.col("key").alias("copy"), "lines"), "copy")
+    # Copies of a run have one alignment with a neighbour.
+    asked = near.join(lines.where("open").select("key"), "key")
+    pairs = asked.select("copy", "other").distinct().join(lines.select(F.col("key").alias("copy"), "lines"), "copy")
     pairs = pairs.join(lines.select(F.col("key").alias("other"), F.col("lines").alias("other_lines")), "other")
-    found = pairs.select("copy", "other", aligned("lines", "other_lines").alias("positions"))
-    return free.join(found, ["copy", "other"]).select("key", F.expr("filter(positions, i -> free[i])").alias("shared")).where("size(shared) > 0")
+    found = pairs.select("copy", "other", aligned("lines", "other_lines").alias("shared")).where("size(shared) > 0")
+    return asked.join(found, ["copy", "other"]).select("key", "shared")
 
 
 def text_of(page: str | None, shared=()) -> str:
-    """The kept blocks, one to a line."""
-    found = blocks_of(page)
-    if any(main and not never for _, main, never in found):
-        return "\n".join(t for t, main, never in found if main and not never)
-    gone = set(shared)
-    return "\n".join(t for i, (t, _, never) in enumerate(found) if not never and i not in gone)
+    """The blocks of the article, one to a line, given the positions of blocks that the neighbour shares."""
+    found, gone = blocks_of(page), set(shared)
+    kept = [(i, text, region, suspect) for i, (text, region, never, suspect) in enumerate(found) if not never]
+    outside = [text for i, text, region, _ in kept if region < 0 and i not in gone]
+    marked = [x for x in kept if x[2] >= 0]
+    if sum(map(len, outside)) > sum(len(text) for _, text, *_ in marked):
+        return "\n".join(outside)
+    left = {region for i, _, region, _ in marked if i not in gone}
+    return "\n".join(text for i, text, region, suspect in marked if (not left or region in left) and not (suspect and i in gone))
 
 
 def extract_text(pages: DataFrame) -> DataFrame:

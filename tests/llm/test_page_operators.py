@@ -3,7 +3,10 @@
 import base64
 import collections
 import hashlib
+import html.parser
 import random
+import re
+import time
 import zlib
 
 import pytest
@@ -186,6 +189,62 @@ def test_differencing_of_unmarked_pages(spark, data):
     assert texts == {r[0]: html_text.text_of(r[1]) for r in table.select("page_id", "html").collect()} and all(texts.values())
 
 
+class Articles(html.parser.HTMLParser):
+    """An independent reading of pages whose article is marked once and holds headings, paragraphs and inline elements."""
+
+    def __init__(self):
+        super().__init__()
+        self.depth, self.blocks = 0, [""]
+
+    def handle_starttag(self, tag, attrs):
+        self.depth += tag == "article"
+        if tag in ("article", "h1", "h2", "p", "div", "ul", "li"):
+            self.blocks.append("")
+        elif tag == "br":
+            self.blocks[-1] += " "
+
+    def handle_endtag(self, tag):
+        if tag in ("article", "h1", "h2", "p", "div", "ul", "li"):
+            self.blocks.append("")
+        self.depth -= tag == "article"
+
+    def handle_data(self, data):
+        if self.depth:
+            self.blocks[-1] += data
+
+
+def test_text_of_the_table_by_another_parser(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    found = {r.page_id: r.text for r in html_text.extract_text(table).collect()}
+    for r in table.collect():
+        other = Articles()
+        other.feed(r.html)
+        other.close()
+        assert found[r.page_id] == "\n".join(x for x in (re.sub(r"\s+", " ", b).strip() for b in other.blocks) if x)
+
+
+@pytest.mark.parametrize("part", ["<a ", "<div a='b\" ", '<p a="', "</p>", "<x><p></p>", "<li>", "<span class=related>", "<!-- ", "<![", "<a b=", "<i x=1><", "a<b ", "<div><span class='ad'>", "<a b='>' "])
+def test_parser_is_linear_on_malformed_pages(part):
+    start = time.perf_counter()
+    html_text.blocks_of("<div class='related'><span id=q>" + "<y>" * 4000 + part * (2_000_000 // len(part)))
+    assert time.perf_counter() - start < 20
+
+
+def test_differencing_decides_what_is_the_article(spark):
+    story = "".join(f"<p>Sentence {{0}} {k} of a story that is longer than its teaser.</p>" for k in range(4))
+    teaser = "<div>Welcome</div><article><p>Read our other story</p></article>"
+    inner = "<article><h1>{0}</h1><section class='share-prices'><p>Prices {0}</p></section><div class='notice-board related'><p>Board {0}</p><p>Shared board</p></div><div class='comments'><p>Nice {0}</p></div><p>quoted</p></article>"
+    two = "<article><p>Everywhere</p></article><article><p>Own {0}</p></article>"
+    rows = [(10 * k + i, f"http://{h}/{i}", t.format(f"w{i}")) for k, (h, t) in enumerate([("t", teaser + story), ("c", inner), ("m", two)]) for i in range(3)]
+    found = {r.page_id: r.text for r in html_text.extract_text(pages(spark, rows)).collect()}
+    for i in range(3):
+        assert found[i] == "\n".join(f"Sentence w{i} {k} of a story that is longer than its teaser." for k in range(4))
+        assert found[10 + i] == f"w{i}\nPrices w{i}\nBoard w{i}\nquoted"
+        assert found[20 + i] == f"Own w{i}"
+    alone = html_text.extract_text(pages(spark, [(1, "http://t/1", rows[0][2]), (2, "http://c/1", rows[3][2])])).collect()
+    assert {r.page_id: r.text.split("\n")[-1] for r in alone} == {1: "Sentence w0 3 of a story that is longer than its teaser.", 2: "quoted"}
+
+
 @pytest.mark.parametrize("partitions", ["1", "4"])
 def test_copies_are_no_neighbours(spark, monkeypatch, partitions):
     page = lambda *own: "<div>Welcome</div>" + "".join(f"<p>{x}</p>" for x in own) + "<div>Bye</div>"
