@@ -51,6 +51,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def freed(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files of steps that are written; it does so when the driver collects its garbage, which else may be half an hour away."""
+    gc.collect()
+    if (jvm := getattr(spark.sparkContext, "_jvm", None)) is not None:
+        jvm.System.gc()
+
+
 def numbered(documents: DataFrame, name: str = "row") -> DataFrame:
     """documents with a unique number of each row, written so that every use of a row sees the same one."""
     return materialize(documents.withColumn(name, F.monotonically_increasing_id()), "numbered-documents")

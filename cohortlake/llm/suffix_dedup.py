@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_columns, ids_of, in_chunks, materialize, remember_only, small_batches, strings
+from .common import freed, id_columns, ids_of, in_chunks, materialize, remember_only, small_batches, strings
 
 LENGTH = 200
 #: Bytes of a seed, as a share of the length; the rest of a string is where its anchor may lie.
@@ -202,32 +202,29 @@ def _blocks(docs: DataFrame, length: int, seed: int, passes: SeedFilter) -> Data
     return docs.select("t1", "t2", "text").mapInPandas(run, _BLOCK)
 
 
-def _ranked(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """pos and rank of the rows that share their keys with another row; the rank is the least pos of those that do."""
+def _ranked(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows that share their keys with another row, with the least pos of those that do as their rank."""
     shared = rows.groupBy(*keys).agg(F.min("pos").alias("rank"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return materialize(rows.join(shared, keys).select("pos", "rank"), name)
+    return materialize(rows.join(shared, keys).drop(*(k for k in keys if k != "offset")), "suffix-ranks")
 
 
 def _doubled(blocks: DataFrame) -> DataFrame:
     """pos and rank of the blocks whose strings, all of them, are repeated together elsewhere."""
-    spark = blocks.sparkSession
-    ranks = _ranked(blocks.select("pos", "n1", "n2"), ["n1", "n2"], "suffix-ranks")
     longest = blocks.agg(F.max("reach")).first()[0] or 0
+    ranks = _ranked(blocks.select("pos", "reach", "top", "n1", "n2"), ["n1", "n2"])
     done, span = [], 1
     while span <= longest:
-        # The threshold lies before twice the span: two ranks that overlap reach it.
-        ends = blocks.where(f"reach >= {span} AND reach < {2 * span}").select("pos", (F.col("reach") - span).alias("offset"))
-        ends = ends.join(ranks.withColumnRenamed("rank", "x"), "pos").withColumn("next", F.col("pos") + F.col("offset"))
-        ends = ends.join(ranks.select(F.col("pos").alias("next"), F.col("rank").alias("y")), "next").select("pos", "offset", "x", "y")
-        done.append(_ranked(ends, ["x", "y", "offset"], "suffix-covered"))
-        if 2 * span > longest:
-            break
-        level = span.bit_length()
-        live = ranks.join(blocks.where(f"top >= {level}").select("pos"), "pos")
-        pairs = live.withColumnRenamed("rank", "x").join(ranks.select((F.col("pos") - span).alias("pos"), F.col("rank").alias("y")), "pos")
-        ranks = _ranked(pairs, ["x", "y"], "suffix-ranks")
+        # Where the threshold lies before twice the span, two ranks that overlap end at it; where ranks of twice the span are needed, two that adjoin make one.
+        ends = ranks.where(f"reach >= {span} AND reach < {2 * span}").withColumn("offset", F.col("reach") - span)
+        twice = ranks.where(f"top >= {(2 * span).bit_length() - 1}").withColumn("offset", F.lit(span).cast("long"))
+        left = ends.unionByName(twice).withColumnRenamed("rank", "x").withColumn("next", F.col("pos") + F.col("offset"))
+        pairs = left.join(ranks.select(F.col("pos").alias("next"), F.col("rank").alias("y")), "next").drop("next")
+        found = _ranked(pairs, ["x", "y", "offset"])
+        freed(blocks.sparkSession)
+        done.append(found.where(f"offset < {span}").select("pos", "rank"))
+        ranks = found.where(f"offset = {span}").drop("offset")
         span *= 2
-    out = spark.createDataFrame([], "pos long, rank long")
+    out = blocks.sparkSession.createDataFrame([], "pos long, rank long")
     for x in done:
         out = out.unionByName(x)
     return out
@@ -315,24 +312,28 @@ def _compare_many(blocks: DataFrame, length: int) -> DataFrame:
 
 
 def repeated_ranges(docs: DataFrame, length: int, together: int = TOGETHER) -> DataFrame:
-    """t1, t2, from, to: byte ranges of the texts (by their hashes t1 and t2) that repeated strings cover; ranges overlap."""
+    """t1, t2, from, to: byte ranges of the texts (by their hashes t1 and t2) that repeated strings cover; ranges overlap and repeat."""
     seed = max(1, int(length * SEED_SHARE))
     docs = docs.where(f"octet_length(text) >= {length}")
     repeated = materialize(_seeds(docs, length, seed), "suffix-seeds")
     blocks = materialize(_blocks(docs, length, seed, SeedFilter(repeated)), "suffix-blocks")
-    covered = materialize(_doubled(blocks), "suffix-doubled")
-    whole = blocks.join(covered, "pos").select("t1", "t2", F.col("lo").alias("from"), (F.col("lo") + F.col("strings") - 1 + length).alias("to"))
+    covered = _doubled(blocks)
+    state = blocks.select("pos", "t1", "t2", "lo", "strings", "anchor", "seed").join(covered, "pos", "left")
+    state = materialize(state, "suffix-state")
+    freed(docs.sparkSession)
+    whole = state.where("rank IS NOT NULL").select("t1", "t2", F.col("lo").alias("from"), (F.col("lo") + F.col("strings") - 1 + length).alias("to"))
 
     # Open blocks, and of the covered ones that of each rank.
-    part = blocks.select("pos", "t1", "t2", "lo", "strings", "anchor", "seed").join(covered, "pos", "left").where("rank IS NULL OR rank = pos")
+    part = state.where("rank IS NULL OR rank = pos")
     open_seeds = part.groupBy("seed").agg(F.count("*").alias("size"), F.bool_or(F.col("rank").isNull()).alias("open")).where("size > 1 AND open").drop("open")
     part = part.join(open_seeds, "seed")
     flat = F.flatten(F.collect_list(F.array("pos", "seed", "size", "lo", "strings", "anchor"))).alias("open")
     # One of equal texts, chosen before the shuffle where copies meet.
     texts = docs.select("t1", "t2", "text").dropDuplicates(["t1", "t2"]).join(part.groupBy("t1", "t2").agg(flat), ["t1", "t2"])
     context = materialize(texts.mapInPandas(_context(length), _CONTEXT), "suffix-open")
+    freed(docs.sparkSession)
     few = context.where(f"size <= {together}").repartition("seed").sortWithinPartitions("seed").mapInPandas(_compare(length), "t1 long, t2 long, from long, to long")
-    return whole.unionByName(few).unionByName(_compare_many(context.where(f"size > {together}"), length)).distinct()
+    return whole.unionByName(few).unionByName(_compare_many(context.where(f"size > {together}"), length))
 
 
 def remove_repeats(documents: DataFrame, length: int = LENGTH, together: int = TOGETHER) -> DataFrame:
@@ -342,8 +343,10 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, together: int = T
     text = F.col("text").cast("string")
     docs = documents.select(*id_columns(), text.alias("text"), F.xxhash64(F.lit(1), text).alias("t1"), F.xxhash64(F.lit(2), text).alias("t2"))
     ranges = repeated_ranges(docs, length, together)
-    flat = F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("from", "to"))), lambda x: F.array(x["from"], x["to"])))
-    of_text = ranges.groupBy("t1", "t2").agg(flat.alias("ranges"))
+    flat = F.flatten(F.transform(F.sort_array(F.collect_set(F.struct("from", "to"))), lambda x: F.array(x["from"], x["to"])))
+    # Copies of a text have equal ranges, which are combined before they are shuffled.
+    of_text = materialize(ranges.groupBy("t1", "t2").agg(flat.alias("ranges")), "suffix-ranges")
+    freed(spark)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in in_chunks(batches):
