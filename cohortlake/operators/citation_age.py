@@ -19,10 +19,6 @@ def eligible_events(works: DataFrame, bounds: Bounds) -> DataFrame:
     ).select(F.col("year").alias("citation_year"), "cited_group", (F.col("year") - F.col("publication_year")).alias("age"), F.col("cited_by_count").alias("weight"), "id")
 
 
-def age_bins(events: DataFrame) -> DataFrame:
-    return events.groupBy(*GRAIN, "age").agg(F.sum("weight").alias("weight"))
-
-
 def weighted_quantiles(bins: DataFrame, keys: list[str], value: str, weight: str, quarters: dict[str, int], *more: Column) -> DataFrame:
     """For each name its discrete quantile: the least value whose running weight reaches that many quarters of the total; total too, and more aggregates of the bins."""
     cell = Window.partitionBy(*keys)
@@ -38,16 +34,6 @@ def recency_columns(value: str, weight: str, limits: tuple[int, ...]) -> list[Co
     return [(F.sum(F.when(F.col(value) <= k, F.col(weight)).otherwise(0)) / F.sum(weight)).alias(f"share_within_{k}") for k in limits]
 
 
-def recency_shares(bins: DataFrame, keys: list[str], value: str, weight: str, limits: tuple[int, ...]) -> DataFrame:
-    """share_within_<limit>: weight at values up to the limit over all weight."""
-    return bins.groupBy(*keys).agg(*recency_columns(value, weight, limits))
-
-
-def cited_works(events: DataFrame) -> DataFrame:
-    """Exact number of distinct works for each grain."""
-    return events.groupBy(*GRAIN).agg(F.countDistinct("id").alias("cited_works"))
-
-
 def citation_age_by_year(works: DataFrame, bounds: Bounds) -> DataFrame:
     # Works are aggregated once: in a citation year a work has one age, so its ages' distinct works add up.
     bins = eligible_events(works, bounds).groupBy(*GRAIN, "age").agg(F.sum("weight").alias("weight"), F.countDistinct("id").alias("works"))

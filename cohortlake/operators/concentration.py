@@ -103,6 +103,3 @@ def concentration_by_group(works: DataFrame, bounds: Bounds, first_age: int = 1)
 
 _MEASURES = ["n_papers", "total_citations", "zero_share", "gini", "gini_cited_only", "top1_share", "top5_share", "top10_share", "age0_citation_share", "zero_share_including_age0"]
 
-
-def is_synthetic(subfield):
-    return subfield == UNCLASSIFIED

@@ -149,18 +149,14 @@ def generic_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]).drop("severity")
 
 
-@query()
+@query(f"""WITH {_WORKS} early AS (SELECT count(*) AS n FROM w JOIN c USING (k) WHERE c.y BETWEEN 1995 AND 2001 AND c.y < w.py AND c.n > 0),
+names AS (SELECT unnest(['works_entries_valid', 'works_entries_before_publication', 'share_strict_below_broad', 'ages_groups_complete', 'ages_reconcile', 'subfield_strict_present', 'subfield_cohort_floor', 'source_retains_floor',
+'subfield_labels', 'subfield_bucket', 'grains_agree', 'by_subfield_triangle', 'by_subfield_source_reconcile', 'by_group_triangle', 'by_group_source_reconcile']) AS name)
+SELECT name AS check_name, CASE name WHEN 'works_entries_before_publication' THEN 'warn' ELSE 'error' END AS severity, CASE name WHEN 'works_entries_before_publication' THEN n ELSE 0 END AS violations FROM names, early""")
 def corpus_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Violations of every check on works and gold tables; the gold tables are written once and read by all checks."""
-    rows = works(spark, sf_dir)
-
-    def kept(df: DataFrame, name: str) -> DataFrame:
-        path = tables.scratch(spark, name)
-        df.write.parquet(path)
-        return spark.read.parquet(path)
-
-    rows = kept(rows, "works")
-    gold = [kept(f(rows, B), f.__name__) for f in (share.share_by_year, citation_age.citation_age_by_year, concentration.concentration_by_subfield, concentration.concentration_by_group)]
+    """Violations of every check that compares works and gold tables; these are written once and read by all checks."""
+    rows = tables.written(works(spark, sf_dir), "works")
+    gold = [tables.written(f(rows, B), f.__name__) for f in (share.share_by_year, citation_age.citation_age_by_year, concentration.concentration_by_subfield, concentration.concentration_by_group)]
     return quality.report(checks.corpus_checks(spark, rows, *gold, B))
 
 
@@ -169,12 +165,6 @@ def entries_before_publication(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.entries_before_publication(works(spark, sf_dir), B)
 
 
-@query("""SELECT CAST(o_custkey AS BIGINT) AS key, CASE WHEN c_custkey IS NULL THEN 'unexpected' ELSE 'missing' END AS problem FROM (SELECT DISTINCT o_custkey FROM orders) o FULL JOIN customer ON o_custkey = c_custkey WHERE c_custkey IS NULL
-UNION ALL SELECT c_custkey, 'missing' FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""")
-def customer_key_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.key_difference(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key")), table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key")), ["key"])
-
-
 @query("""SELECT page_id AS key, 'missing' AS problem FROM (SELECT DISTINCT page_id FROM pages) WHERE page_id NOT IN (SELECT doc_id FROM labels)
 UNION ALL SELECT DISTINCT doc_id, 'unexpected' FROM labels WHERE doc_id NOT IN (SELECT page_id FROM pages)""")
 def labelled_key_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -492,3 +482,6 @@ class LandingZone:
 
     def inventory(self) -> DataFrame:
         return landing.landing_inventory(self.spark, self.root)
+
+
+from . import check_queries  # noqa: E402, F401  registers its queries

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -17,11 +17,22 @@ class ContractError(ValueError):
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder below the one that driver and executors share."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    """A new folder below the one that driver and executors share; where none is set, a local session takes one of its machine and a cluster is an error."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.conf.get("spark.master").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df written to the shared folder and read again."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_bronze(spark: SparkSession, base: str) -> DataFrame:
     """The bronze table; the year comes from the path."""
     return spark.read.schema(BRONZE).parquet(base)
@@ -74,7 +85,3 @@ def export_slice(df: DataFrame, predicate: str, columns: list[str], path: str, b
 def read_extract(spark: SparkSession, path: str, contract: StructType) -> DataFrame:
     """A published CSV under its contract; a header that differs fails."""
     return spark.read.schema(contract).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
-
-
-def fingerprint(*columns: str) -> Column:
-    return F.xxhash64(*columns)

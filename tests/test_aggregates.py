@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from cohortlake.bounds import Bounds
 from cohortlake.operators import citation_age, concentration, evidence, share
 from cohortlake.operators.works import classify
-from cohortlake.plans import checks, quality
+from cohortlake.plans import check_queries, checks, quality, table_checks
 from cohortlake.schemas import BY_GROUP, BY_SUBFIELD, CITATION_AGE, SHARE, differences
 
 AI, CV = "s/1702", "s/1707"
@@ -91,7 +91,28 @@ def test_measures_equal_the_rank_formula_in_any_order(spark):
     works = make(spark, rows)
     for table, key in ((concentration.concentration_by_group(works.repartition(7), BOUNDS), "cited_group"), (concentration.concentration_by_subfield(works, BOUNDS), "subfield_id")):
         assert checks.cell_differences(table, works, BOUNDS, key).isEmpty()
-        assert checks.undecomposed(table).isEmpty()
+        rules = [r for r in table_checks.corpus_rules(BOUNDS) if r.table == ("by_group" if key == "cited_group" else "by_subfield")]
+        assert not [r for r in table_checks.count_all({rules[0].table: table}, rules).collect() if r.violations]
+
+
+@pytest.mark.parametrize("partitions", ["1", "5"])
+def test_ranks_of_cells_larger_than_a_task(spark, partitions):
+    rng = random.Random(4)
+    data = [(rng.choice(["a", "a", "a", None, "b"]), rng.randrange(7), i) for i in range(500)] + [("c", 1, 1000)]
+    rows = spark.createDataFrame(data, "cell STRING, v BIGINT, id BIGINT")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = {tuple(r) for r in checks.ranked(rows, ["cell"], ["v", "id"]).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    wanted = set()
+    for cell in ("a", "b", "c", None):
+        own = sorted((v, i) for c, v, i in data if c == cell)
+        wanted |= {(cell, v, i, k, len(own)) for k, (v, i) in enumerate(own, 1)}
+    assert found == wanted
 
 
 def test_share_and_rows_of_the_cohort_bounds(spark):
@@ -110,20 +131,35 @@ def test_all_checks_pass_on_built_tables_and_find_faults(spark):
     gold = [share.share_by_year(works, bounds), citation_age.citation_age_by_year(works, bounds), concentration.concentration_by_subfield(works, bounds), concentration.concentration_by_group(works, bounds)]
     found = {r.check_name: r.violations for r in quality.report(checks.corpus_checks(spark, works, *gold, bounds)).collect()}
     assert {k: v for k, v in found.items() if v} == {"works_entries_before_publication": 15}
+    rules = table_checks.corpus_rules(bounds)[1:]
+    tables = dict(zip(("works", "share", "ages", "by_subfield", "by_group"), (works, *gold), strict=True))
+    assert not [r for r in table_checks.count_all(tables, rules).collect() if r.violations]
     by_subfield, by_group = gold[2], gold[3]
     assert checks.triangle_gaps(by_subfield.where("citation_age < 2"), bounds, "subfield_id").count() == 3
-    assert checks.missing_strict_cohorts(spark, by_subfield.where(F.col("subfield_id") != AI), bounds).count() == 2
     assert checks.bucket_problems(works, by_subfield.where("subfield_id <> '__unclassified__'"), bounds).count() == 1
-    assert checks.cross_grain(by_subfield.where("citation_age = 1"), by_group, bounds).count() == 3
-    assert checks.cohort_floor(by_subfield.where("publication_year > 2020"), bounds).count() == 1
-    assert checks.tail_disorder(by_group.withColumn("top1_share", F.lit(2.0))).count() == by_group.count()
-    assert checks.not_cumulative(by_group.withColumn("total_citations", -F.col("citation_age")), "cited_group").count() == 3
+    tops = {r.check_name: r.violations for r in table_checks.count_violations(by_group.withColumn("top1_share", F.lit(2.0)), rules[-1]).collect()}
+    assert tops["tail order"] == tops["top1_share in range"] == by_group.count() and tops["gini in range"] == 0
     bad = make(spark, [(2020, AI, "A", {2021: -1, None: 2})], bounds)
     assert {r.problem for r in checks.invalid_entries(bad, bounds).collect()} == {"bad_count", "null_year"}
     assert checks.floor_not_retained(spark, works.limit(0), bounds).count() == 1
     assert checks.row_counts_differ(works, works.limit(2)).count() == 1
 
 
+def test_a_table_is_scanned_once_for_all_rules(spark, tmp_path):
+    works = make(spark, subfield_rows())
+    for of, table in ((r, t) for r in table_checks.corpus_rules(BOUNDS) for name, t in (("by_group", concentration.concentration_by_group(works, BOUNDS)), ("works", works)) if r.table == name):
+        table.write.parquet(f"{tmp_path}/{of.table}")
+        plan = table_checks.count_violations(spark.read.parquet(f"{tmp_path}/{of.table}"), of)._jdf.queryExecution().executedPlan().toString()
+        # One scan; the keys' shuffle and the last sum.
+        assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_every_declared_rule_finds_its_fault(spark, data):
+    found = check_queries.declared_checks_find_faults(spark, data).collect()
+    assert len(found) == 109 and not [r for r in found if r.violations == 0]
+    assert not [r for r in check_queries.corpus_checks_find_faults(spark, data).collect() if r.violations == 0]
+
+
 def test_evidence(spark):
     works = make(spark, subfield_rows())
     assert evidence.negative_ages(works).first().entries == 0
