@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import BRONZE_MANIFEST, UPLOAD_MANIFEST, differences
@@ -34,12 +36,23 @@ def ingest(spark: SparkSession, root: str, base: str, states: DataFrame) -> int:
 
 
 def _ingest_ready(spark: SparkSession, root: str, base: str, ready: list[int], reports: DataFrame) -> None:
+    """Parse the pages once, into a staging place beside the years; what the write counted on its way decides whether they are put in place."""
+    fetched = {r["year"]: r["records_fetched"] for r in reports.where(F.col("year").isin(ready)).collect()}  # one for each year
     rows = landing.read_pages(spark, [f"{root}/{y}/page-*.jsonl" for y in ready])
-    found = rows.groupBy(F.regexp_extract(F.col("_metadata.file_path"), r"/(\d+)/[^/]+$", 1).cast("bigint").alias("year")).agg(F.count("*").alias("n"), F.count_if(F.col("id").isNull()).alias("nulls"))
-    bad = found.join(reports, "year", "left").where("nulls > 0 OR NOT (n <=> records_fetched)").limit(10).collect()
-    if bad:
-        raise IntegrityError(f"years {sorted(r['year'] for r in bad)}: null ids, or not as many records as fetched")
-    tables.write_bronze(rows, base)
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d+)/[^/]+$", 1).cast("bigint")
+    seen = Observation()
+    counts = [x for y in ready for x in (F.count_if(F.col("_folder") == y).alias(f"n{y}"), F.count_if((F.col("_folder") == y) & F.col("id").isNull()).alias(f"null{y}"))]
+    rows = rows.withColumn("_folder", folder).observe(seen, *counts).drop("_folder")
+    staged = f"{base.rstrip('/')}-staged-{uuid.uuid4().hex}"
+    try:
+        tables.write_bronze(rows, staged)
+        found = seen.get
+        bad = [y for y in ready if found[f"null{y}"] or found[f"n{y}"] != fetched.get(y)]
+        if bad:
+            raise IntegrityError(f"years {bad}: null ids, or not as many records as fetched")
+        tables.swap_years(spark, staged, base)
+    finally:
+        tables.discard(spark, staged)
 
 
 def bronze_manifest(states: DataFrame, reports: DataFrame, bronze: DataFrame, files: DataFrame) -> DataFrame:

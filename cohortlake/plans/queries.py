@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import json
+import os
+import uuid
+
+import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -325,6 +331,28 @@ def landed_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifests.bronze_manifest(states, landing.read_reports(spark, root), bronze, files).select("publication_year", "status", "records_fetched", "bronze_row_count", "duplicate_id_count")
 
 
+@query("""SELECT CAST(year(o_orderdate) AS BIGINT) AS publication_year, CASE WHEN year(o_orderdate) = 1997 THEN 'READY' ELSE 'INGESTED' END AS status, count(*) + CASE WHEN year(o_orderdate) = 1997 THEN 1 ELSE 0 END AS records_fetched,
+CASE WHEN year(o_orderdate) <> 1997 THEN count(*) END AS bronze_row_count, CAST(0 AS BIGINT) AS rows_after_refusal FROM orders GROUP BY year(o_orderdate)""")
+def refused_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landing zone of which one year's report says a record more than there is: ingesting all years leaves nothing, ingesting the others leaves these."""
+    root, base = tables.scratch(spark, "landing"), tables.scratch(spark, "bronze")
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderstatus").alias("title"), F.year("o_orderdate").cast("long").alias("publication_year"))
+    zone = LandingZone(spark, root)
+    zone.write(rows, rows.where("publication_year = 1997").groupBy("publication_year").agg((F.count("*") + 1).alias("records_fetched")))
+    axis = landing.discover_years(zone.inventory())
+    states = landing.shard_states(zone.inventory(), axis, rows.limit(0).select("publication_year"))
+    try:
+        manifests.ingest(spark, root, base, states)
+        raise AssertionError("a report that does not agree has to stop the ingest")
+    except manifests.IntegrityError:
+        left = landing.landing_inventory(spark, base).count()
+    manifests.ingest(spark, root, base, states.where("publication_year <> 1997"))
+    files = landing.landing_inventory(spark, base)
+    states = landing.shard_states(zone.inventory(), axis, landing.ingested_years(files))
+    found = manifests.bronze_manifest(states, landing.read_reports(spark, root), tables.read_bronze(spark, base), files)
+    return found.select("publication_year", "status", "records_fetched", "bronze_row_count", F.lit(left).cast("long").alias("rows_after_refusal"))
+
+
 _STAGED = """n AS (SELECT l_orderkey AS k, count(DISTINCT year(l_shipdate)) AS years, CAST(sum(l_quantity) AS BIGINT) AS total FROM lineitem GROUP BY 1),
 s AS (SELECT o.*, CAST(year(o_orderdate) AS BIGINT) AS y, coalesce(n.years, 0) AS years, CAST(coalesce(n.total, 0) AS BIGINT) AS total, o_orderkey AS k FROM orders o LEFT JOIN n ON n.k = o_orderkey
   WHERE o_orderstatus <> 'P' AND o_orderkey % 11 <> 0 AND year(o_orderdate) BETWEEN 1995 AND 2001)"""
@@ -460,28 +488,59 @@ def written_works(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class LandingZone:
-    """A landing zone in the shared folder, made of a table with publication_year."""
+    """A landing zone in the shared folder, made of a table with publication_year; tasks write the pages and then the reports."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
 
-    def write(self, rows: DataFrame) -> None:
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        rows.withColumn("_year", F.col("publication_year")).repartition("_year").write.partitionBy("_year").option("ignoreNullFields", True).json(f"{self.root}/_made")
-        counts = {r["publication_year"]: r["count"] for r in rows.groupBy("publication_year").count().collect()}  # one value for each year
-        for year, n in counts.items():
-            folder = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{year}")
-            files.mkdirs(folder)
-            for i, part in enumerate(files.globStatus(jvm.org.apache.hadoop.fs.Path(f"{self.root}/_made/_year={year}/part-*")), 1):
-                files.rename(part.getPath(), jvm.org.apache.hadoop.fs.Path(f"{self.root}/{year}/page-{i:04d}.jsonl"))
-            out = files.create(jvm.org.apache.hadoop.fs.Path(f"{self.root}/{year}/{landing.REPORT_NAME}"))
-            out.writeBytes(f'{{"query": "filter=publication_year:{year}", "year": {year}, "expected_count": {n}, "records_fetched": {n}, "page_count": 1, "count_mismatch": false}}')
-            out.close()
+    def write(self, rows: DataFrame, expected: DataFrame | None = None) -> None:
+        """expected: publication_year, records_fetched where a report shall say otherwise."""
+        root = self.root
+
+        def pages(batches):
+            part, number = TaskContext.get().partitionId(), 0
+            for batch in batches:
+                for year, own in batch.groupby("year", sort=True):
+                    put(f"{root}/{year}/page-{part:05d}{number:05d}.jsonl", "".join(x + "\n" for x in own["line"]))
+                    number += 1
+                    yield pd.DataFrame({"year": [year], "n": [len(own)]})
+
+        def reports(batches):
+            for batch in batches:
+                for year, n, number in zip(batch["year"], batch["n"], batch["pages"], strict=True):
+                    report = {"query": f"filter=publication_year:{year}", "year": year, "expected_count": n, "records_fetched": n, "page_count": number, "count_mismatch": False}
+                    put(f"{root}/{year}/{landing.REPORT_NAME}", json.dumps(report))
+                yield batch[["year"]]
+
+        lines = rows.select(F.col("publication_year").alias("year"), F.to_json(F.struct(*rows.columns)).alias("line"))
+        made = tables.written(tables.by_size(lines, "year").mapInPandas(pages, "year long, n long"), "landed")
+        totals = made.groupBy("year").agg(F.sum("n").alias("n"), F.count("*").alias("pages"))
+        if expected is not None:
+            said = expected.select(F.col("publication_year").alias("year"), "records_fetched")
+            totals = totals.join(said, "year", "left").select("year", F.coalesce("records_fetched", "n").alias("n"), "pages")
+        totals.mapInPandas(reports, "year long").write.format("noop").mode("overwrite").save()
 
     def inventory(self) -> DataFrame:
         return landing.landing_inventory(self.spark, self.root)
 
 
+def put(path: str, text: str) -> None:
+    """Write a file of the shared folder from a task; a rerun writes the same name again."""
+    if path.startswith("file:"):
+        path = "/" + path[5:].lstrip("/")
+    if "://" in path:
+        from pyarrow import fs
+
+        store, inner = fs.FileSystem.from_uri(path)
+        store.create_dir(os.path.dirname(inner), recursive=True)
+        with store.open_output_stream(inner) as out:
+            out.write(text.encode())
+        return
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    aside = f"{os.path.dirname(os.path.dirname(path))}/.{uuid.uuid4().hex}"
+    with open(aside, "w", encoding="utf-8") as out:
+        out.write(text)
+    os.replace(aside, path)
+
+
 from . import check_queries  # noqa: E402, F401  registers its queries

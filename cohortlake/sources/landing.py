@@ -8,6 +8,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.parsing import mask_first
 from ..schemas import BRONZE, REPORT
+from .folders import folder_files
 
 REPORT_NAME, META_NAME, CURSOR_NAME = "_YEAR_REPORT.json", "_META.json", "_CURSOR.json"
 
@@ -17,35 +18,15 @@ def read_pages(spark: SparkSession, paths: list[str], schema: StructType = BRONZ
     return spark.read.schema(schema).option("mode", "FAILFAST").json(paths)
 
 
-def _skipped_files(spark: SparkSession, root: str) -> tuple:
-    """The file system, and the statuses of the files that Spark's readers skip: underscored markers and pages of no bytes.
-
-    Only statuses are looked at, of one folder level; no content.
-    """
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/*/*")
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = [s for s in files.globStatus(path) or [] if (s.getLen() == 0 or s.getPath().getName().startswith("_")) and s.isFile()]
-    return files, found
+def read_reports(spark: SparkSession, root: str) -> DataFrame:
+    """The report of every shard; one that is no report fails the read."""
+    found = folder_files(spark, root, (REPORT_NAME,)).where(F.col("name") == REPORT_NAME)
+    return found.select(F.from_json("content", REPORT, {"mode": "FAILFAST"}).alias("r")).select("r.*")
 
 
-def read_reports(spark: SparkSession, root: str) -> DataFrame:
-    files, found = _skipped_files(spark, root)
-    texts = []
-    for status in found:
-        if status.getPath().getName() == REPORT_NAME:
-            stream = files.open(status.getPath())
-            texts.append((spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"),))
-            stream.close()
-    return spark.createDataFrame(texts, "value STRING").select(F.from_json("value", REPORT, {"mode": "FAILFAST"}).alias("r")).select("r.*")
-
-
-def landing_inventory(spark: SparkSession, root: str, pattern: str = "*/*") -> DataFrame:
-    """path, name, folder, length, modified of every file; contents are not read."""
-    files = spark.read.format("binaryFile").load(f"{root}/{pattern}").select("path", "length", F.col("modificationTime").alias("modified"))
-    skipped = [(s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in _skipped_files(spark, root)[1] if not s.getPath().getName().endswith(".crc")]
-    skipped = spark.createDataFrame(skipped, "path STRING, length BIGINT, millis BIGINT").select("path", "length", F.timestamp_millis("millis").alias("modified"))
-    files = files.unionByName(skipped)
-    return files.select("path", F.regexp_extract("path", "([^/]+)$", 1).alias("name"), F.regexp_extract("path", "([^/]+)/[^/]+$", 1).alias("folder"), "length", "modified")
+def landing_inventory(spark: SparkSession, root: str) -> DataFrame:
+    """path, name, folder, length, modified of every file in a folder below root; contents are not read."""
+    return folder_files(spark, root).drop("content")
 
 
 def discover_years(inventory: DataFrame) -> DataFrame:

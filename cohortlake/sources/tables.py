@@ -38,9 +38,32 @@ def read_bronze(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.schema(BRONZE).parquet(base)
 
 
+def by_size(df: DataFrame, *columns: str) -> DataFrame:
+    """df dealt by columns into partitions of the advisory size: small ones are joined, a large one is split, also one of a single value."""
+    return df.hint("rebalance", *columns)
+
+
 def write_bronze(df: DataFrame, base: str) -> None:
     """Replace the years in df and no others; a year is there when its job is committed."""
-    df.select(*BRONZE.fieldNames()).repartition("publication_year", F.pmod(F.xxhash64("id"), F.lit(8))).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("publication_year").parquet(base)
+    by_size(df.select(*BRONZE.fieldNames()), "publication_year").write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("publication_year").parquet(base)
+
+
+def swap_years(spark: SparkSession, staged: str, base: str) -> None:
+    """Move the years of a staged bronze table into base in place of those there; only folders are renamed."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    files = path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path(base))
+    for status in files.globStatus(path(f"{staged}/publication_year=*")) or []:  # one for each year
+        target = path(f"{base}/{status.getPath().getName()}")
+        files.delete(target, True)
+        if not files.rename(status.getPath(), target):
+            raise OSError(f"{target} could not be put in place")
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_empty_year(spark: SparkSession, base: str, year: int) -> None:
@@ -48,9 +71,10 @@ def write_empty_year(spark: SparkSession, base: str, year: int) -> None:
     spark.createDataFrame([], BRONZE).drop("publication_year").write.mode("overwrite").parquet(f"{base}/publication_year={year}")
 
 
-def write_works(df: DataFrame, path: str, splits: int = 8) -> None:
-    """By year, sorted by subfield in each file, so that row groups can be skipped. A large year is dealt to several tasks."""
-    df.repartition("publication_year", F.pmod(F.xxhash64("primary_topic_subfield_id"), F.lit(splits))).sortWithinPartitions("publication_year", "primary_topic_subfield_id").write.mode("overwrite").partitionBy("publication_year").parquet(path)
+def write_works(df: DataFrame, path: str) -> None:
+    """By year, sorted by subfield in each file, so that row groups can be skipped; files have the advisory size, whatever years and subfields weigh."""
+    keys = ("publication_year", "primary_topic_subfield_id")
+    by_size(df, *keys).sortWithinPartitions(*keys).write.mode("overwrite").partitionBy("publication_year").parquet(path)
 
 
 def check_contract(df: DataFrame, contract: StructType) -> DataFrame:

@@ -5,6 +5,7 @@ from dataclasses import replace
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from cohortlake.operators import profiling, staging
 from cohortlake.operators.works import silver_works
@@ -88,7 +89,7 @@ def test_an_empty_year_must_have_fetched_nothing(spark, tmp_path):
     assert not (tmp_path / "bronze").exists()
 
 
-@pytest.mark.parametrize("page", [[{"id": None}], ["{broken\n"], [{"cited_by_count": "lots"}], [{}, {}, {}]])
+@pytest.mark.parametrize("page", [[{"id": None}], ["{broken\n"], [{"cited_by_count": "three"}], [{}, {}, {}]])
 def test_bad_shards_write_nothing(spark, tmp_path, page):
     root, base = tmp_path / "in", tmp_path / "bronze"
     land(root, 2020, [page], fetched=1)
@@ -97,6 +98,46 @@ def test_bad_shards_write_nothing(spark, tmp_path, page):
     assert not base.exists()
 
 
+def test_a_bad_shard_leaves_the_years_that_are_there(spark, tmp_path):
+    root, base = tmp_path / "in", tmp_path / "bronze"
+    land(root, 2020, [[{}]])
+    assert manifests.ingest(spark, str(root), str(base), states(spark, root)) == 1
+    land(root, 2021, [[{}, {}]], fetched=3)
+    land(root, 2022, [[{}]])
+    with pytest.raises(manifests.IntegrityError, match="2021"):
+        manifests.ingest(spark, str(root), str(base), states(spark, root, done=[2020]))
+    assert sorted(x.name for x in tmp_path.iterdir()) == ["bronze", "in"] and [x.name for x in base.iterdir()] == ["publication_year=2020"]
+
+
+def test_folders_are_partitions_of_the_inventory(spark, tmp_path):
+    for year in range(2000, 2012):
+        land(tmp_path, year, [[{}], []], meta=True)
+    (tmp_path / "loose.txt").write_text("not in a folder")
+    found = landing.landing_inventory(spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() == 12 and found.count() == 48
+    blank = {(r.folder, r.name): r.length for r in found.where("length = 0").collect()}
+    assert len(blank) == 12 and set(blank.values()) == {0}
+    assert landing.landing_inventory(spark, str(tmp_path / "missing")).isEmpty() and landing.read_reports(spark, str(tmp_path / "missing")).isEmpty()
+    (tmp_path / "2000" / landing.REPORT_NAME).write_text("{broken")
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        landing.read_reports(spark, str(tmp_path)).collect()
+
+
+def test_a_year_of_one_subfield_is_dealt_to_several_sorted_files(spark, tmp_path):
+    rows = spark.range(40_000).select(F.sha2(F.col("id").cast("string"), 256).alias("id"), F.lit(2020).cast("long").alias("publication_year"), F.lit("s/1").alias("primary_topic_subfield_id")).repartition(8)
+    few = spark.range(40).select(F.col("id").cast("string").alias("id"), F.lit(2021).cast("long").alias("publication_year"), (F.col("id") % 5).cast("string").alias("primary_topic_subfield_id"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        tables.write_works(rows.unionByName(few), str(tmp_path / "w"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "w" / "publication_year=2020").glob("part-*"))) > 3
+    for file in (tmp_path / "w" / "publication_year=2021").glob("part-*"):
+        own = [r[0] for r in spark.read.parquet(str(file)).select("primary_topic_subfield_id").collect()]
+        assert own == sorted(own)
+    assert spark.read.parquet(str(tmp_path / "w")).count() == 40_040
+
+
 def bronze_rows(spark, *changes):
     text = lambda r: tuple(json.dumps(v) if isinstance(v, dict | list) else v for v in (r[c] for c in BRONZE.fieldNames()))
     return spark.createDataFrame([text({**RECORD, **c}) for c in changes], BRONZE)
@@ -153,7 +194,7 @@ def test_quality_operators(spark):
 
 
 def test_text_measures_and_rollup(spark):
-    df = spark.createDataFrame([("abcdefghijkl\n",), ("",), ("a\nb",), ("café\n",), ("a\r\nb\r\n\r\n",), ("x" * 10,)], "t STRING")
+    df = spark.createDataFrame([("one two six.\n",), ("",), ("a\nb",), ("café\n",), ("a\r\nb\r\n\r\n",), ("x" * 10,)], "t STRING")
     found = [tuple(r) for r in df.select(*profiling.measure_text(df["t"]).values()).collect()]
     assert found == [(13, 1, 3), (0, 0, 0), (3, 2, 1), (5, 1, 1), (8, 3, 2), (10, 1, 2)]
     files = spark.createDataFrame([("a/b/c.txt", 1), ("a/d.txt", 2), ("e.txt", 4), ("a/b/f/g.txt", 8)], "p STRING, n BIGINT")
