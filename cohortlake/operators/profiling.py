@@ -18,15 +18,50 @@ def duplicated_ids(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(F.col(key).alias("id")).agg(F.count("*").alias("n")).where("n > 1")
 
 
+def source_masks(sources: dict[str, DataFrame]) -> DataFrame:
+    """id, mask: every id of the named sources once, with a bit for each source that holds it, the first source's lowest; ids of all sources meet in one shuffle."""
+    tagged = reduce(DataFrame.unionByName, [df.select(F.col(df.columns[0]).cast("string").alias("id"), F.lit(1 << k).cast("long").alias("mask")) for k, df in enumerate(sources.values())])
+    return tagged.where("id IS NOT NULL").groupBy("id").agg(F.bit_or("mask").alias("mask"))
+
+
+def id_set(masks: DataFrame, names: list[str], expression: str) -> DataFrame:
+    """The ids for which an expression over the sources' names holds, as `a AND b AND NOT c`."""
+    held = masks.select("id", *[(F.col("mask").bitwiseAND(F.lit(1 << k).cast("long")) != 0).alias(name) for k, name in enumerate(names)])
+    return held.where(expression).select("id")
+
+
 def compare_sources(sources: dict[str, DataFrame]) -> DataFrame:
-    """left_source, right_source, only_left, only_right, both for each pair of named id sets; ids meet in one shuffle."""
+    """left_source, right_source, only_left, only_right, both for each pair of named id sets: the few masks that occur are counted, and pairs added up from them."""
+    names = sorted(sources)
+    counts = source_masks({k: sources[k] for k in names}).groupBy("mask").count()
+    pairs = [(a, b) for a in range(len(names)) for b in range(a + 1, len(names))]
+    has = lambda k: F.col("mask").bitwiseAND(F.lit(1 << k).cast("long")) != 0
+    total = lambda c: F.coalesce(F.sum(F.when(c, F.col("count"))), F.lit(0))
+    rows = [
+        F.struct(F.lit(names[a]).alias("left_source"), F.lit(names[b]).alias("right_source"), total(has(a) & ~has(b)).alias("only_left"), total(~has(a) & has(b)).alias("only_right"), total(has(a) & has(b)).alias("both"))
+        for a, b in pairs
+    ]
+    return counts.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+
+
+def differing_ids(sources: dict[str, DataFrame]) -> DataFrame:
+    """left_source, right_source, side, id: for each pair of named id sets the ids that only one of the two holds, as rows."""
     names = sorted(sources)
-    tagged = reduce(DataFrame.unionByName, [df.select(F.col(df.columns[0]).cast("string").alias("id"), *[F.lit(x == name).alias(x) for x in names]) for name, df in sources.items()])
-    held = tagged.where("id IS NOT NULL").groupBy("id").agg(*[F.bool_or(x).alias(x) for x in names])
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
-    counts = held.agg(*[F.count_if(c).alias(f"{a}|{b}|{k}") for a, b in pairs for k, c in (("only_left", F.col(a) & ~F.col(b)), ("only_right", ~F.col(a) & F.col(b)), ("both", F.col(a) & F.col(b)))])
-    rows = F.array(*[F.struct(F.lit(a).alias("left_source"), F.lit(b).alias("right_source"), *[F.col(f"`{a}|{b}|{k}`").alias(k) for k in ("only_left", "only_right", "both")]) for a, b in pairs])
-    return counts.select(F.inline(rows))
+    bit = lambda k: F.col("mask").bitwiseAND(F.lit(1 << k).cast("long")) != 0
+    pairs = [F.struct(F.lit(names[a]).alias("left_source"), F.lit(names[b]).alias("right_source"), bit(a).alias("l"), bit(b).alias("r")) for a in range(len(names)) for b in range(a + 1, len(names))]
+    rows = source_masks({k: sources[k] for k in names}).select("id", F.inline(F.array(*pairs))).where("l <> r")
+    return rows.select("left_source", "right_source", F.when(F.col("l"), "left").otherwise("right").alias("side"), "id")
+
+
+def summarize_source(df: DataFrame, key: str) -> DataFrame:
+    """One row: records, missing (without an id), ids, repeated (ids that occur more than once) and excess (their further records)."""
+    per_id = df.groupBy(F.col(key).alias("id")).agg(F.count("*").alias("n"))
+    known = F.col("id").isNotNull()
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    return per_id.agg(
+        zero(F.sum("n")).alias("records"), zero(F.sum(F.when(~known, F.col("n")))).alias("missing"), F.count_if(known).alias("ids"),
+        F.count_if(known & (F.col("n") > 1)).alias("repeated"), zero(F.sum(F.when(known, F.col("n") - 1))).alias("excess"),
+    )
 
 
 def nest_hierarchy(df: DataFrame, parent: list[str], child: list[str], position: str) -> DataFrame:
@@ -78,8 +113,77 @@ def run_totals(df: DataFrame, status: str, year: str, size: str, moved: str) ->
 
 def schema_signatures(lines: DataFrame, shard: str, text: str) -> DataFrame:
     """signature, shards, n: shards whose JSON lines have the same inferred schema."""
-    own = lines.groupBy(F.col(shard).alias("shard")).agg(F.expr(f"schema_of_variant_agg(try_parse_json({text}))").alias("signature"))
-    return own.groupBy("signature").agg(F.array_sort(F.collect_list("shard")).alias("shards"), F.count("*").alias("n"))
+    return _signatures(lines, shard, text).groupBy("signature").agg(F.array_sort(F.collect_list("shard")).alias("shards"), F.count("*").alias("n"))
+
+
+def _signatures(lines: DataFrame, shard: str, text: str) -> DataFrame:
+    return lines.groupBy(F.col(shard).alias("shard")).agg(F.expr(f"schema_of_variant_agg(try_parse_json({text}))").alias("signature"))
+
+
+def paths_of(signature: str) -> dict[str, str]:
+    """The paths of a variant's schema, as OBJECT<a: BIGINT, b: ARRAY<OBJECT<c: STRING>>>, with their types; elements of arrays are [*]."""
+    found: dict[str, str] = {}
+
+    def walk(kind: str, path: str) -> None:
+        head, _, inner = kind.partition("<")
+        found[path or "$"] = head
+        if not inner:
+            return
+        inner = inner[:-1]
+        if head == "ARRAY":
+            walk(inner, f"{path}[*]")
+        elif head == "OBJECT":
+            for field in _fields(inner):
+                name, _, own = _name_and_type(field)
+                walk(own, f"{path}.{name}" if path else name)
+        else:
+            found[path or "$"] = kind
+
+    walk(signature, "")
+    return found
+
+
+def _fields(text: str) -> list[str]:
+    """Cut at commas outside brackets and back quotes."""
+    out, depth, quoted, begin = [], 0, False, 0
+    for i, c in enumerate(text):
+        if c == "`":
+            quoted = not quoted
+        elif not quoted:
+            depth += (c in "<(") - (c in ">)")
+            if c == "," and not depth:
+                out.append(text[begin:i].strip())
+                begin = i + 1
+    return [*out, text[begin:].strip()] if text.strip() else []
+
+
+def _name_and_type(field: str) -> tuple[str, str, str]:
+    if field.startswith("`"):
+        end = field.index("`: ", 1)
+        return field[1:end].replace("``", "`"), ": ", field[end + 3 :]
+    return field.partition(": ")
+
+
+def schema_drift(lines: DataFrame, shard: str, text: str) -> DataFrame:
+    """shard, path, change (added, removed, retyped), expected, found: how the inferred schemas of shards differ from the commonest one.
+
+    Of schemas that are equally common the first in the order of their texts is expected. A
+    shard whose lines have no schema (none parses) lost all paths.
+    """
+    own = _signatures(lines, shard, text).withColumn("signature", F.coalesce("signature", F.lit("VOID")))
+    paths = F.udf(paths_of, "map<string,string>")
+    kinds = own.groupBy("signature").count().withColumn("paths", paths("signature"))  # one call for each schema that occurs
+    usual = kinds.orderBy(F.desc("count"), "signature").limit(1).select(F.col("signature").alias("usual"), F.col("paths").alias("wanted"))
+    pairs = kinds.crossJoin(F.broadcast(usual)).where("signature <> usual")
+    each = pairs.select("signature", "wanted", "paths", F.explode(F.array_distinct(F.concat(F.map_keys("wanted"), F.map_keys("paths")))).alias("path"))
+    each = each.select("signature", "path", F.try_element_at("wanted", F.col("path")).alias("expected"), F.try_element_at("paths", F.col("path")).alias("found"))
+    changes = each.where("NOT expected <=> found").withColumn("change", F.expr("CASE WHEN expected IS NULL THEN 'added' WHEN found IS NULL THEN 'removed' ELSE 'retyped' END"))
+    return own.join(changes, "signature").select("shard", "path", "change", "expected", "found")
+
+
+def _canonical(value: Column) -> Column:
+    """A text of a JSON value that does not depend on the order of its keys; null for JSON's null."""
+    return F.nullif(F.to_json(value), F.lit("null"))
 
 
 def json_fidelity(df: DataFrame, source: str, stored: str) -> DataFrame:
@@ -88,6 +192,29 @@ def json_fidelity(df: DataFrame, source: str, stored: str) -> DataFrame:
     return df.agg(F.count("*").alias("n"), F.count_if(F.try_parse_json(stored).isNotNull()).alias("parsed"), F.count_if(value(source).eqNullSafe(value(stored))).alias("same"))
 
 
+def landed_fidelity(lines: DataFrame, text: str, stored: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """json_column, ids, values, parsed, same: landed lines against the stored records of the same id, for each column that keeps JSON text.
+
+    values are the stored texts that are not null, parsed those that parse; same counts the ids
+    whose stored values are the landed ones, as many times each and whatever the order of keys.
+    """
+    line = F.try_parse_json(text)
+    raw = lines.select(F.try_variant_get(line, f"$.{key}", "string").alias("id"), *[_canonical(F.try_variant_get(line, f"$.{c}", "variant")).alias(c) for c in columns])
+    gather = lambda c: F.array_sort(F.collect_list(F.coalesce(c, F.lit("null"))))
+    left = raw.where("id IS NOT NULL").groupBy("id").agg(*[gather(F.col(c)).alias(c) for c in columns])
+    parsed = lambda c: F.try_parse_json(c)
+    own = stored.select(F.col(key).alias("id"), *columns, *[F.when(F.col(c).isNotNull(), F.coalesce(F.to_json(parsed(c)), F.lit("broken"))).alias(f"_{c}") for c in columns])
+    right = own.where("id IS NOT NULL").groupBy("id").agg(
+        *[gather(F.nullif(f"_{c}", F.lit("null"))).alias(f"_{c}") for c in columns], *[F.count(c).alias(f"n_{c}") for c in columns], *[F.count_if(F.col(f"_{c}") != "broken").alias(f"p_{c}") for c in columns]
+    )
+    both = left.join(right, "id", "full")
+    zero = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    rows = [
+        F.struct(F.lit(c).alias("json_column"), F.count("*").alias("ids"), zero(f"n_{c}").alias("values"), zero(f"p_{c}").alias("parsed"), F.count_if(F.col(c) == F.col(f"_{c}")).alias("same")) for c in columns
+    ]
+    return both.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+
+
 def drop_missing_ids(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """Rows with an id, and a row with the number of those without."""
     return df.where(F.col(key).isNotNull()), df.agg(F.count_if(F.col(key).isNull()).alias("dropped"))

@@ -5,17 +5,19 @@ from __future__ import annotations
 import json
 import os
 import uuid
+from functools import reduce
 
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from ..bounds import STANDIN as B
 from ..functions.parsing import mask_first, records
-from ..operators import citation_age, concentration, evidence, profiling, share, staging, works as classes
+from ..operators import citation_age, concentration, evidence, intervals, profiling, share, staging, works as classes
 from ..sources import landing, tables
-from ..schemas import BRONZE, WORKS
+from ..schemas import BRONZE, BY_GROUP, UPLOAD_MANIFEST, WORKS
 from ..standin import bronze as bronze_records, table, works
 from . import checks, manifests, quality
 
@@ -193,6 +195,42 @@ def compare_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiling.compare_sources({"documents": table(spark, sf_dir, "documents").select("doc_id"), "labels": table(spark, sf_dir, "labels").select("doc_id"), "pages": table(spark, sf_dir, "pages").select("page_id")})
 
 
+_SOURCES = "s AS (SELECT DISTINCT CAST(doc_id AS VARCHAR) AS id, 'documents' AS s FROM documents UNION SELECT CAST(doc_id AS VARCHAR), 'labels' FROM labels UNION SELECT CAST(page_id AS VARCHAR), 'pages' FROM pages)"
+
+
+def _sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {"documents": table(spark, sf_dir, "documents").select("doc_id"), "labels": table(spark, sf_dir, "labels").select("doc_id"), "pages": table(spark, sf_dir, "pages").select("page_id")}
+
+
+@query(f"""WITH {_SOURCES}, p AS (SELECT 'documents' AS a, 'labels' AS b UNION ALL SELECT 'documents', 'pages' UNION ALL SELECT 'labels', 'pages')
+SELECT a AS left_source, b AS right_source, 'left' AS side, id FROM p, s x WHERE x.s = a AND id NOT IN (SELECT id FROM s y WHERE y.s = b)
+UNION ALL SELECT a, b, 'right', id FROM p, s x WHERE x.s = b AND id NOT IN (SELECT id FROM s y WHERE y.s = a)""")
+def differing_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profiling.differing_ids(_sources(spark, sf_dir))
+
+
+@query(f"""WITH {_SOURCES} (SELECT id FROM s WHERE s = 'documents' EXCEPT SELECT id FROM s WHERE s = 'labels') UNION ((SELECT id FROM s WHERE s = 'labels') INTERSECT (SELECT id FROM s WHERE s = 'pages'))""")
+def id_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of documents without a label, and labelled ids that are a page's too."""
+    sources = _sources(spark, sf_dir)
+    return profiling.id_set(profiling.source_masks(sources), list(sources), "documents AND NOT labels OR labels AND pages")
+
+
+@query("""WITH k AS (SELECT nullif(user_id, 7) AS id, count(*) AS n FROM events GROUP BY 1) SELECT CAST(sum(n) AS BIGINT) AS records, CAST(sum(n) FILTER (WHERE id IS NULL) AS BIGINT) AS missing, count(id) AS ids,
+count(*) FILTER (WHERE id IS NOT NULL AND n > 1) AS repeated, CAST(sum(n - 1) FILTER (WHERE id IS NOT NULL) AS BIGINT) AS excess FROM k""")
+def summarize_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profiling.summarize_source(table(spark, sf_dir, "events").select(F.expr("nullif(user_id, 7)").alias("user_id")), "user_id")
+
+
+@query("""SELECT e.event_id, e.user_id, epoch_us(e.ts) AS at, i.event_id AS error_id, epoch_us(i.ts) AS low, epoch_us(i.ts) + CAST(floor(i.value * 600) AS BIGINT) * 1000000 AS high FROM events e
+LEFT JOIN events i ON i.event_type = 'error' AND i.user_id = e.user_id AND epoch_us(e.ts) BETWEEN epoch_us(i.ts) AND epoch_us(i.ts) + CAST(floor(i.value * 600) AS BIGINT) * 1000000""")
+def events_in_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event beside the intervals after errors of its user that it falls into; their lengths go from seconds to days."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"), "value")
+    errors = events.where("event_type = 'error'").select("user_id", F.col("event_id").alias("error_id"), F.col("at").alias("low"), (F.col("at") + F.floor(F.col("value") * 600) * 1_000_000).alias("high"))
+    return intervals.left_interval_join(events.select("event_id", "user_id", "at"), errors, "event_id", ["user_id"], "at", "low", "high", width=1 << 30)
+
+
 @query("SELECT event_type, count(*) AS \"rows\", count(DISTINCT user_id) AS keys, count(*) - count(DISTINCT user_id) AS excess FROM events GROUP BY 1")
 def duplicate_excess(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiling.duplicate_excess(table(spark, sf_dir, "events"), "user_id", ["event_type"])
@@ -233,9 +271,47 @@ def run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiling.run_totals(table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate")), "o_orderstatus", "year", "o_custkey", "F")
 
 
-@query()
+@query("""SELECT CASE WHEN event_type IN ('click', 'view') THEN 'OBJECT<k: BIGINT>' ELSE 'OBJECT<k: VARIANT>' END AS signature, list(DISTINCT event_type ORDER BY event_type) AS shards, count(DISTINCT event_type) AS n FROM events GROUP BY 1""")
 def schema_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profiling.schema_signatures(table(spark, sf_dir, "events"), "event_type", "props")
+    """Properties of events, of which some types hold a text once in a while."""
+    props = F.when(~F.col("event_type").isin("click", "view") & (F.col("event_id") % 5 == 0), '{"k": "many"}').otherwise(F.col("props"))
+    return profiling.schema_signatures(table(spark, sf_dir, "events").withColumn("props", props), "event_type", "props")
+
+
+@query("""SELECT DISTINCT y AS shard, d.path, d.change, d.expected, d.found FROM (SELECT CAST(year(o_orderdate) AS VARCHAR) AS y FROM orders) JOIN (VALUES ('1997', 'topic.size', 'removed', 'BIGINT', NULL), ('1998', 'topic.size', 'retyped', 'BIGINT', 'STRING'),
+('1999', 'tags', 'added', NULL, 'ARRAY'), ('1999', 'tags[*]', 'added', NULL, 'OBJECT'), ('1999', 'tags[*].name', 'added', NULL, 'STRING'), ('2000', 'topic', 'retyped', 'OBJECT', 'STRING'), ('2000', 'topic.id', 'removed', 'STRING', NULL), ('2000', 'topic.size', 'removed', 'BIGINT', NULL))
+d(shard, path, change, expected, found) ON d.shard = y""")
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed lines of which four years have drifted, each in another way; a line's shard is the folder of its file."""
+    year, size = F.year("o_orderdate"), F.col("o_custkey").cast("long")
+    topic = lambda *fields: F.to_json(F.struct(F.col("o_orderpriority").alias("id"), *fields))
+    rows = table(spark, sf_dir, "orders").select(year.cast("long").alias("publication_year"), F.concat(F.lit("W"), "o_orderkey").alias("id"), F.parse_json(
+        F.when(year == 1997, topic()).when(year == 1998, topic(size.cast("string").alias("size"))).when(year == 2000, F.to_json(F.array("o_orderpriority")).substr(F.lit(2), F.length("o_orderpriority") + 2)).otherwise(topic(size.alias("size")))
+    ).alias("topic"), F.when(year == 1999, F.array(F.struct(F.col("o_orderstatus").alias("name")))).alias("tags"))
+    root = tables.scratch(spark, "landing")
+    LandingZone(spark, root).write(rows)
+    return profiling.schema_drift(landing.read_lines(spark, root), "folder", "value")
+
+
+@query("""WITH o AS (SELECT o_orderkey AS k, year(o_orderdate) AS y FROM orders), n AS (SELECT l_orderkey AS k FROM lineitem GROUP BY 1)
+SELECT 'counts_by_year' AS json_column, count(*) AS ids, count(n.k) AS "values", count(n.k) FILTER (WHERE y <> 1997) AS parsed, count(*) FILTER (WHERE n.k IS NULL OR y <> 1997) AS same FROM o LEFT JOIN n USING (k)
+UNION ALL SELECT 'open_access', count(*), count(*), count(*), count(*) FILTER (WHERE y <> 1998) FROM o UNION ALL SELECT 'ids', count(*), count(*), count(*), count(*) FROM o""")
+def landed_fidelity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed lines with nested values against the bronze made of them, in which one column's texts are cut off in a year, another's changed in a year, and a third's keys are in another order."""
+    names = ["counts_by_year", "open_access", "ids"]
+    records = bronze_records(spark, sf_dir).where("title <> 'a'")
+    nested = records.select(*[F.parse_json(c).alias(c) if c in names else F.col(c) for c in records.columns])
+    root, base = tables.scratch(spark, "landing"), tables.scratch(spark, "bronze")
+    zone = LandingZone(spark, root)
+    zone.write(nested)
+    found = landing.discover_years(zone.inventory())
+    manifests.ingest(spark, root, base, landing.shard_states(zone.inventory(), found, found.limit(0)))
+    ids = F.from_json("ids", "doi STRING, mag BIGINT")
+    stored = tables.read_bronze(spark, base).withColumns({
+        "counts_by_year": F.expr("IF(publication_year = 1997, left(counts_by_year, 9), counts_by_year)"), "open_access": F.expr("IF(publication_year = 1998, replace(open_access, 'oa_status', 'status'), open_access)"),
+        "ids": F.to_json(F.struct(ids["mag"].alias("mag"), ids["doi"].alias("doi"))),
+    })
+    return profiling.landed_fidelity(landing.read_lines(spark, root), "value", stored, "id", names)
 
 
 @query("SELECT count(*) AS n, count(*) FILTER (WHERE l_linenumber <> 1) AS parsed, count(*) FILTER (WHERE l_linenumber <> 1 AND l_returnflag <> 'R') AS same FROM lineitem")
@@ -276,11 +352,29 @@ def negative_ages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evidence.negative_ages(works(spark, sf_dir))
 
 
-@query(f"""WITH b AS ({_cell_sql('g')}), s AS (SELECT cell, 'age ' || citation_age AS view, publication_year, gini, lag(gini) OVER (PARTITION BY cell, citation_age ORDER BY publication_year) AS before, max(publication_year) OVER (PARTITION BY cell, citation_age) AS m FROM b WHERE citation_age IN (3, 5)),
-d AS (SELECT cell, 'diagonal ' || publication_year AS view, gini, lag(gini) OVER (PARTITION BY cell ORDER BY publication_year) AS before FROM b WHERE publication_year + citation_age = 2001)
-SELECT cell AS cited_group, view, gini, before, gini - before AS step FROM s WHERE publication_year = m UNION ALL SELECT cell, view, gini, before, gini - before FROM d WHERE before IS NOT NULL""")
+def _edge_sql(key: str, name: str) -> str:
+    measures = ", ".join(evidence.MEASURES)
+    window = lambda part, order: f"OVER (PARTITION BY cell, measure, {part} ORDER BY {order})"
+    before = lambda part, order: f"OVER (PARTITION BY cell, measure, {part} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+
+    def edge(part: str, order: str, view: str, rows: str) -> str:
+        w, p = window(part, order), before(part, order)
+        return f"""SELECT cell AS {name}, measure, {view} AS view, before, value, step, count(step) {p} AS earlier_steps, max(step) {p} - min(step) {p} AS earlier_spread, publication_year + citation_age AS ends
+        FROM (SELECT *, lag(value) {w} AS before, value - lag(value) {w} AS step FROM m WHERE {rows})"""
+
+    return f"""WITH b AS ({_cell_sql(key)}), m AS (FROM (SELECT cell, publication_year, citation_age, {measures} FROM b) UNPIVOT INCLUDE NULLS (value FOR measure IN ({measures})))
+    SELECT * EXCLUDE (ends) FROM ({edge("citation_age", "publication_year", "'age ' || citation_age", "citation_age IN (3, 5)")} UNION ALL {edge("publication_year", "citation_age", "'cohort ' || publication_year", "true")})
+    WHERE ends = 2001 AND before IS NOT NULL"""
+
+
+@query(_edge_sql("g", "cited_group"))
 def terminal_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evidence.terminal_edge(concentration.concentration_by_group(works(spark, sf_dir), B), B)
+    return evidence.terminal_edge(concentration.concentration_by_group(works(spark, sf_dir), B), "cited_group", B)
+
+
+@query(_edge_sql("sf", "subfield_id"))
+def terminal_edge_of_subfields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evidence.terminal_edge(concentration.concentration_by_subfield(works(spark, sf_dir), B), "subfield_id", B)
 
 
 @query(f"""WITH a AS ({_cell_sql("g").replace("c.y > w.py AND", "c.y >= w.py AND")}), b AS ({_cell_sql("g")})
@@ -301,19 +395,35 @@ def pooled_against_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns({c: F.round(c, 9) for c in ("mean_member_gini", "sd_member_gini")})
 
 
-_CHANGED_CELLS = _cell_sql("g").replace("FROM lineitem GROUP BY", "FROM lineitem WHERE year(l_shipdate) <> 1998 GROUP BY").replace("FROM orders)", "FROM orders WHERE o_orderpriority <> '2-HIGH')")
+_CHANGED_CELLS = _cell_sql("sf").replace("FROM lineitem GROUP BY", "FROM lineitem WHERE year(l_shipdate) <> 1998 GROUP BY").replace("FROM orders)", "FROM orders WHERE o_orderpriority <> '5-LOW')")
+_COMPARED = """SELECT count(*) FILTER (WHERE a.cell IS NULL) AS missing_left, count(*) FILTER (WHERE b.cell IS NULL) AS missing_right,
+count(*) FILTER (WHERE a.cell IS NOT NULL AND b.cell IS NOT NULL AND a.strict IS DISTINCT FROM b.strict) AS changed_is_ai_strict, count(*) FILTER (WHERE a.cell IS NOT NULL AND b.cell IS NOT NULL AND a.broad IS DISTINCT FROM b.broad) AS changed_is_ai_broad,
+CAST(sum(abs(a.n_papers - b.n_papers)) AS BIGINT) AS apart_n_papers, CAST(sum(abs(a.total_citations - b.total_citations)) AS BIGINT) AS apart_total_citations,
+max(abs(a.n_papers - b.n_papers)) AS worst_n_papers, max(abs(a.total_citations - b.total_citations)) AS worst_total_citations, max(abs(a.gini - b.gini)) AS worst_gini, max(abs(a.top1_share - b.top1_share)) AS worst_top1_share,
+count(*) FILTER (WHERE a.cell IS NOT NULL AND b.cell IS NOT NULL AND (a.strict IS DISTINCT FROM b.strict OR a.broad IS DISTINCT FROM b.broad OR abs(a.n_papers - b.n_papers) > 0.05 * greatest(a.n_papers, b.n_papers)
+  OR coalesce(abs(a.total_citations - b.total_citations) > 0.05 * greatest(a.total_citations, b.total_citations), false) OR coalesce(abs(a.gini - b.gini) > 0.02, false) OR coalesce(abs(a.top1_share - b.top1_share) > 0.02, false)
+  OR (a.gini IS NULL) <> (b.gini IS NULL) OR (a.top1_share IS NULL) <> (b.top1_share IS NULL))) AS cells_beyond
+FROM a FULL JOIN b ON a.cell = b.cell AND a.publication_year = b.publication_year AND a.citation_age = b.citation_age"""
+_FLAGGED = "SELECT *, cell = '1-URGENT' AS strict, cell IN ('1-URGENT', '2-HIGH') AS broad FROM"
 
 
-@query(f"""WITH a AS ({_cell_sql("g")}), b AS ({_CHANGED_CELLS})
-SELECT count(*) FILTER (WHERE a.cell IS NULL) AS missing_left, count(*) FILTER (WHERE b.cell IS NULL) AS missing_right, CAST(sum(abs(a.n_papers - b.n_papers)) AS BIGINT) AS apart_n_papers,
-CAST(sum(abs(a.total_citations - b.total_citations)) AS BIGINT) AS apart_total_citations, max(abs(a.gini - b.gini)) AS worst_gini
-FROM a FULL JOIN b ON a.cell = b.cell AND a.publication_year = b.publication_year AND a.citation_age = b.citation_age""")
-def compare_builds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The grouped table against one built from works without one subfield and without the entries of one year."""
+def _compared(spark: SparkSession, sf_dir: str, change) -> DataFrame:
     rows = works(spark, sf_dir)
-    changed = rows.where("primary_topic_subfield_id <> '2-HIGH'").withColumn("counts_by_year", F.expr("filter(counts_by_year, e -> e.year <> 1998)"))
-    a, b = concentration.concentration_by_group(rows, B), concentration.concentration_by_group(changed, B)
-    return evidence.compare_builds(a, b, ["cited_group", "publication_year", "citation_age"], ["n_papers", "total_citations"], ["gini"])
+    a, b = concentration.concentration_by_subfield(rows, B), concentration.concentration_by_subfield(change(rows), B)
+    return evidence.compare_builds(a, b, ["subfield_id", "publication_year", "citation_age"], ["n_papers", "total_citations"], ["gini", "top1_share"], ("is_ai_strict", "is_ai_broad"), 0.05, 0.02)
+
+
+@query(f"""WITH a AS ({_FLAGGED} ({_cell_sql("sf")})), b AS (SELECT * EXCLUDE (strict), strict AND cell <> '1-URGENT' AS strict FROM ({_FLAGGED} ({_CHANGED_CELLS}))), c AS ({_COMPARED})
+SELECT *, missing_left + missing_right + cells_beyond = 0 AS agree FROM c""")
+def compare_builds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table by subfield against one built from works without a subfield, without the entries of one year, and with a flag lost."""
+    return _compared(spark, sf_dir, lambda rows: rows.where("primary_topic_subfield_id <> '5-LOW'").withColumns({"counts_by_year": F.expr("filter(counts_by_year, e -> e.year <> 1998)"), "is_ai_strict": F.lit(False)}))
+
+
+@query(f"WITH a AS ({_FLAGGED} ({_cell_sql('sf')})), b AS (SELECT * FROM a), c AS ({_COMPARED}) SELECT *, missing_left + missing_right + cells_beyond = 0 AS agree FROM c")
+def compare_equal_builds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table built twice, from works in another order."""
+    return _compared(spark, sf_dir, lambda rows: rows.repartition(7))
 
 
 @query("SELECT CAST(year(o_orderdate) AS BIGINT) AS publication_year, 'INGESTED' AS status, count(*) AS records_fetched, count(*) AS bronze_row_count, CAST(0 AS BIGINT) AS duplicate_id_count FROM orders GROUP BY 1")
@@ -487,6 +597,93 @@ def written_works(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).groupBy("primary_topic_subfield_id", F.col("publication_year").cast("long").alias("publication_year")).agg(F.count("*").alias("n"))
 
 
+@query(ORACLE_SQL["concentration_by_group"])
+def published_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grouped table, published as one file after its contract held, and read again."""
+    path = tables.scratch(spark, "gold")
+    tables.write_gold(concentration.concentration_by_group(works(spark, sf_dir), B), path, BY_GROUP)
+    return spark.read.schema(BY_GROUP).parquet(path)
+
+
+@query("""SELECT CAST(year(o_orderdate) AS BIGINT) AS publication_year, min(o_orderstatus) AS path, CAST(sum(o_custkey) AS BIGINT) AS file_size_bytes, epoch_us(max(o_orderdate)) AS uploaded FROM orders GROUP BY 1""")
+def published_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An upload manifest of orders as files, written outside of the tables and read again."""
+    files = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("b/publication_year="), F.year("o_orderdate"), F.lit("/"), "o_orderstatus").alias("path"), F.col("o_custkey").cast("long").alias("length"), F.col("o_orderdate").cast("timestamp").alias("modified")
+    )
+    path = tables.scratch(spark, "manifest")
+    tables.write_manifest(manifests.upload_manifest(files), path)
+    found = spark.read.schema(UPLOAD_MANIFEST).parquet(path)
+    return found.select("publication_year", F.substring_index("path", "/", -1).alias("path"), "file_size_bytes", F.unix_micros("uploaded_at").alias("uploaded"))
+
+
+@query("""SELECT '{"key":' || o_orderkey || CASE WHEN o_orderstatus = 'P' THEN '' ELSE ',"status":"' || o_orderstatus || '"' END || '}' AS line FROM orders""")
+def exported_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as JSON lines of allowed columns; nulls are left out."""
+    path = tables.scratch(spark, "lines")
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), F.expr("nullif(o_orderstatus, 'P')").alias("status"), F.col("o_custkey").alias("secret"))
+    tables.write_jsonl(rows, ["key", "status"], path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+_SLICE = StructType([StructField("cited_group", StringType()), StructField("citation_age", LongType()), StructField("n_papers", LongType()), StructField("gini", DoubleType())])
+
+
+@query(f"WITH b AS ({_cell_sql('g')}) SELECT cell AS cited_group, citation_age, n_papers, gini FROM b WHERE publication_year = 1996")
+def published_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One cohort published as a CSV with group names cut from paths, and read again under its contract, slice and row set."""
+    path, ages = tables.scratch(spark, "slice"), B.cohort_citation_max - 1996
+    rows = concentration.concentration_by_group(works(spark, sf_dir), B).withColumn("cited_group", F.concat(F.lit("groups/"), "cited_group"))
+    tables.export_slice(rows, "publication_year = 1996", _SLICE.fieldNames(), path, ("cited_group",))
+    expected = spark.range(1, ages + 1).select(F.explode(F.array(*map(F.lit, ("ai", "cv_pr", "rest_cs")))).alias("cited_group"), F.col("id").alias("citation_age"))
+    return tables.read_extract(spark, path, _SLICE, ("cited_group", "citation_age"), f"citation_age BETWEEN 1 AND {ages} AND gini BETWEEN 0 AND 1", expected)
+
+
+@query("""SELECT 'missing' AS problem, '{"o_orderkey":' || min(o_orderkey) || '}' AS example, count(*) AS n FROM orders WHERE o_orderstatus = 'P' UNION ALL SELECT 'foreign', '{"o_orderkey":' || min(-1 - o_orderkey) || '}', count(*) FROM orders WHERE o_orderkey < 10
+UNION ALL SELECT 'outside the slice', '{"o_orderkey":' || min(CAST(o_orderkey AS VARCHAR)) || '}', count(*) FROM orders WHERE year(o_orderdate) = 1996 AND o_orderstatus <> 'P'
+UNION ALL SELECT 'repeated', '{"o_orderkey":' || min(CAST(o_orderkey AS VARCHAR)) || '}', count(*) FROM orders WHERE year(o_orderdate) = 1997 AND o_orderstatus <> 'P'""")
+def extract_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is wrong with an extract of orders that lacks a status, repeats a year, holds another year, and has keys that no order has."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"), "o_orderstatus")
+    held = orders.where("o_orderstatus <> 'P'")
+    strange = orders.where("o_orderkey < 10").withColumns({"o_orderkey": -1 - F.col("o_orderkey"), "year": F.lit(2000)})
+    found = tables.extract_problems(held.unionByName(held.where("year = 1997")).unionByName(strange), ("o_orderkey",), "year <> 1996", orders)
+    # The first example in the order of keys as texts, but numbers where the SQL takes those.
+    number = F.when(F.col("problem") == "missing", F.lit(orders.where("o_orderstatus = 'P'").agg(F.min("o_orderkey")).first()[0])).when(F.col("problem") == "foreign", F.lit(strange.agg(F.min("o_orderkey")).first()[0]))
+    return found.withColumn("example", F.when(number.isNotNull(), F.concat(F.lit('{"o_orderkey":'), number, F.lit("}"))).otherwise(F.col("example")))
+
+
+@query("SELECT DISTINCT 'W' || user_id AS id, 'log' AS source FROM events WHERE event_type IN ('error', 'purchase') UNION SELECT DISTINCT 'W' || event_id, 'log' FROM events WHERE event_type = 'error' UNION SELECT DISTINCT 'W' || event_id, 'checkpoint' FROM events WHERE event_type = 'click' UNION SELECT 'W' || event_id, 'file' FROM events WHERE event_type = 'view'")
+def ids_of_a_download(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids from the warnings and errors of a log, from a checkpoint, and from names of files."""
+    events = table(spark, sf_dir, "events")
+    log, checkpoint = tables.scratch(spark, "log"), tables.scratch(spark, "checkpoint")
+    level = F.when(F.col("event_type") == "error", "ERROR").when(F.col("event_type") == "purchase", "WARNING").otherwise("INFO")
+    message = F.when(F.col("event_type") == "error", F.concat(F.lit("no W"), "event_id", F.lit(" - of W"), "user_id")).otherwise(F.concat(F.lit("slow W"), "user_id"))
+    events.select(F.concat_ws(" - ", F.col("ts").cast("string"), level, message)).write.text(log)
+    events.where("event_type = 'click'").groupBy(F.pmod("user_id", F.lit(5))).agg(F.collect_list(F.concat(F.lit("W"), "event_id")).alias("completed_work_ids")).select("completed_work_ids").write.option("maxRecordsPerFile", 1).json(checkpoint)  # a file is one checkpoint
+    inventory = events.where("event_type IN ('view', 'signup')").select(F.concat(F.lit("works/W"), "event_id", F.when(F.col("event_type") == "view", ".json").otherwise(".tmp")).alias("path"))
+    found = {"log": landing.ids_from_log(spark, log), "checkpoint": landing.ids_from_checkpoint(spark, checkpoint), "file": landing.ids_from_filenames(inventory)}
+    return reduce(DataFrame.unionByName, [df.select("id", F.lit(name).alias("source")) for name, df in found.items()])
+
+
+@query("SELECT 'W' || o_orderkey AS id FROM orders WHERE o_orderstatus <> 'P' AND o_orderkey % 11 <> 0 AND o_orderkey % 13 = 0 AND year(o_orderdate) BETWEEN 1995 AND 2001")
+def unparsed_update_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of staged works whose time of update did not parse."""
+    raw = bronze_records(spark, sf_dir).where("title <> 'a'").withColumn("updated_date", F.expr("IF(CAST(substring(id, 2) AS BIGINT) % 13 = 0, 'never', updated_date)"))
+    return checks.unparsed(raw, staging.stage(raw, B), "updated_date")
+
+
+@query("""SELECT 'discount' AS check_name, 'error' AS severity, count(*) AS violations FROM lineitem WHERE l_discount > 0.05""")
+def failed_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of a check that fails, one that only warns and one that passes, the first."""
+    items = table(spark, sf_dir, "lineitem")
+    return quality.failed(quality.report([
+        quality.Check("discount", lambda: quality.accepted_range(items, "l_discount", high=0.05)), quality.Check("flag", lambda: quality.accepted_values(items, "l_returnflag", ["A"]), "warn"),
+        quality.Check("key", lambda: quality.not_null(items, "l_orderkey")),
+    ]))
+
+
 class LandingZone:
     """A landing zone in the shared folder, made of a table with publication_year; tasks write the pages and then the reports."""
 

@@ -18,6 +18,12 @@ def read_pages(spark: SparkSession, paths: list[str], schema: StructType = BRONZ
     return spark.read.schema(schema).option("mode", "FAILFAST").json(paths)
 
 
+def read_lines(spark: SparkSession, root: str) -> DataFrame:
+    """value, folder, file: the lines of all pages as they landed, with the folder and the file of each."""
+    path = F.col("_metadata.file_path")
+    return spark.read.text(f"{root}/*/page-*.jsonl").select("value", F.regexp_extract(path, "([^/]+)/[^/]+$", 1).alias("folder"), F.regexp_extract(path, "([^/]+)$", 1).alias("file"))
+
+
 def read_reports(spark: SparkSession, root: str) -> DataFrame:
     """The report of every shard; one that is no report fails the read."""
     found = folder_files(spark, root, (REPORT_NAME,)).where(F.col("name") == REPORT_NAME)

@@ -106,6 +106,26 @@ def export_slice(df: DataFrame, predicate: str, columns: list[str], path: str, b
     slice_of(df, predicate, columns, bare_ids).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-def read_extract(spark: SparkSession, path: str, contract: StructType) -> DataFrame:
-    """A published CSV under its contract; a header that differs fails."""
-    return spark.read.schema(contract).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
+def read_extract(spark: SparkSession, path: str, contract: StructType, keys: tuple[str, ...] = (), slice_of_rows: str = "TRUE", row_set: DataFrame | None = None) -> DataFrame:
+    """A published CSV under its contract, validated before it is used.
+
+    A header that differs or a value of another type fails the read. slice_of_rows has to hold for
+    each row, keys may not repeat, and the keys have to be those of row_set, where given; what
+    does not agree is named in the error.
+    """
+    found = spark.read.schema(contract).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
+    if problems := extract_problems(found, keys, slice_of_rows, row_set).limit(10).collect():
+        raise ContractError("; ".join(f"{r['problem']}: {r['example']}" for r in problems))
+    return found
+
+
+def extract_problems(found: DataFrame, keys: tuple[str, ...], slice_of_rows: str, row_set: DataFrame | None = None) -> DataFrame:
+    """problem, example, n: rows outside the slice, repeated keys, and keys that are missing from or foreign to the row set."""
+    text = F.to_json(F.struct(*(keys or found.columns)))
+    said = lambda df, problem: df.groupBy(F.lit(problem).alias("problem")).agg(F.min(text).alias("example"), F.count("*").alias("n"))
+    out = said(found.where(~F.coalesce(F.expr(slice_of_rows), F.lit(False))), "outside the slice")
+    if keys:
+        out = out.unionByName(said(found.groupBy(*keys).count().where("count > 1"), "repeated"))
+    if row_set is not None:
+        out = out.unionByName(said(row_set.select(*keys).join(found, list(keys), "left_anti"), "missing")).unionByName(said(found.select(*keys).join(row_set, list(keys), "left_anti"), "foreign"))
+    return out
