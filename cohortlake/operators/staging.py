@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..bounds import Bounds
 from ..functions.parsing import records, to_boolean, to_date, to_instant, to_number
 
+# The keys of the records' nested objects.
 COUNTS = {"year": ("year", "bigint"), "cited_by_count": ("cited_by_count", "bigint")}
 TOPICS = {
     "id": ("id", None), "display_name": ("display_name", None), "score": ("score", "double"), "subfield_id": ("subfield.id", None),

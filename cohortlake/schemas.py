@@ -1,40 +1,42 @@
-"""Schemas, each declared once."""
+"""Schemas, each declared once. The names and types of records are fixed values of the public format they have."""
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, BooleanType, DataType, DateType, DoubleType, LongType, StringType, StructField, StructType, TimestampType
 
-from .functions.ddl import struct
+TEXT, LONG, DOUBLE, FLAG, DATE, TIME = StringType(), LongType(), DoubleType(), BooleanType(), DateType(), TimestampType()
 
-#: Records as they land; nested columns stay JSON text.
+
+def struct(**fields: DataType) -> StructType:
+    return StructType([StructField(name, kind) for name, kind in fields.items()])
+
+
+# Records as they land; nested columns stay JSON text.
 JSON_COLUMNS = ("primary_topic", "topics", "counts_by_year", "cited_by_percentile_year", "citation_normalized_percentile", "open_access", "ids", "keywords")
 BRONZE = struct(
-    "id STRING, title STRING, publication_year BIGINT, publication_date STRING, type STRING, language STRING, is_retracted BOOLEAN, is_paratext BOOLEAN,"
-    " primary_topic STRING, topics STRING, cited_by_count BIGINT, counts_by_year STRING, cited_by_percentile_year STRING, citation_normalized_percentile STRING,"
-    " fwci DOUBLE, referenced_works_count BIGINT, open_access STRING, doi STRING, ids STRING, keywords STRING, updated_date STRING"
+    id=TEXT, title=TEXT, publication_year=LONG, publication_date=TEXT, type=TEXT, language=TEXT, is_retracted=FLAG, is_paratext=FLAG, primary_topic=TEXT, topics=TEXT, cited_by_count=LONG,
+    counts_by_year=TEXT, cited_by_percentile_year=TEXT, citation_normalized_percentile=TEXT, fwci=DOUBLE, referenced_works_count=LONG, open_access=TEXT, doi=TEXT, ids=TEXT, keywords=TEXT, updated_date=TEXT,
 )
-REPORT = struct("query STRING, year BIGINT, started_at STRING, completed_at STRING, expected_count BIGINT, records_fetched BIGINT, page_count BIGINT, count_mismatch BOOLEAN")
+REPORT = struct(query=TEXT, year=LONG, started_at=TEXT, completed_at=TEXT, expected_count=LONG, records_fetched=LONG, page_count=LONG, count_mismatch=FLAG)
 BRONZE_MANIFEST = struct(
-    "publication_year BIGINT, status STRING, query STRING, expected_count BIGINT, records_fetched BIGINT, count_mismatch BOOLEAN, extraction_completed_at STRING,"
-    " bronze_row_count BIGINT, duplicate_id_count BIGINT, bronze_file_path STRING, ingested_at TIMESTAMP"
+    publication_year=LONG, status=TEXT, query=TEXT, expected_count=LONG, records_fetched=LONG, count_mismatch=FLAG, extraction_completed_at=TEXT, bronze_row_count=LONG, duplicate_id_count=LONG,
+    bronze_file_path=TEXT, ingested_at=TIME,
 )
-UPLOAD_MANIFEST = struct("publication_year BIGINT, path STRING, file_size_bytes BIGINT, uploaded_at TIMESTAMP")
+UPLOAD_MANIFEST = struct(publication_year=LONG, path=TEXT, file_size_bytes=LONG, uploaded_at=TIME)
 WORKS = struct(
-    "id STRING, publication_year BIGINT, publication_date DATE, primary_topic_id STRING, primary_topic_display_name STRING, primary_topic_subfield_id STRING,"
-    " primary_topic_subfield_display_name STRING, is_ai_strict BOOLEAN, is_ai_broad BOOLEAN, cited_by_count BIGINT, fwci DOUBLE,"
-    " counts_by_year ARRAY<STRUCT<year: BIGINT, cited_by_count: BIGINT>>"
+    id=TEXT, publication_year=LONG, publication_date=DATE, primary_topic_id=TEXT, primary_topic_display_name=TEXT, primary_topic_subfield_id=TEXT, primary_topic_subfield_display_name=TEXT,
+    is_ai_strict=FLAG, is_ai_broad=FLAG, cited_by_count=LONG, fwci=DOUBLE, counts_by_year=ArrayType(struct(year=LONG, cited_by_count=LONG)),
 )
-SHARE = struct("publication_year BIGINT, variant STRING, cs_works BIGINT, ai_works BIGINT, share DOUBLE, is_partial_year BOOLEAN")
+SHARE = struct(publication_year=LONG, variant=TEXT, cs_works=LONG, ai_works=LONG, share=DOUBLE, is_partial_year=FLAG)
 CITATION_AGE = struct(
-    "citation_year BIGINT, cited_group STRING, citation_events BIGINT, cited_works BIGINT, p25_age BIGINT, median_age BIGINT, p75_age BIGINT,"
-    " share_within_2 DOUBLE, share_within_5 DOUBLE, share_within_10 DOUBLE"
+    citation_year=LONG, cited_group=TEXT, citation_events=LONG, cited_works=LONG, p25_age=LONG, median_age=LONG, p75_age=LONG, share_within_2=DOUBLE, share_within_5=DOUBLE, share_within_10=DOUBLE
 )
-CONCENTRATION = (
-    "citation_age BIGINT, n_papers BIGINT, total_citations BIGINT, zero_share DOUBLE, gini DOUBLE, gini_cited_only DOUBLE, top1_share DOUBLE,"
-    " top5_share DOUBLE, top10_share DOUBLE, age0_citation_share DOUBLE, zero_share_including_age0 DOUBLE"
+_CONCENTRATION = dict(
+    citation_age=LONG, n_papers=LONG, total_citations=LONG, zero_share=DOUBLE, gini=DOUBLE, gini_cited_only=DOUBLE, top1_share=DOUBLE, top5_share=DOUBLE, top10_share=DOUBLE,
+    age0_citation_share=DOUBLE, zero_share_including_age0=DOUBLE,
 )
-BY_SUBFIELD = struct("publication_year BIGINT, subfield_id STRING, subfield_display_name STRING, is_ai_strict BOOLEAN, is_ai_broad BOOLEAN, " + CONCENTRATION)
-BY_GROUP = struct("publication_year BIGINT, cited_group STRING, " + CONCENTRATION)
+BY_SUBFIELD = struct(publication_year=LONG, subfield_id=TEXT, subfield_display_name=TEXT, is_ai_strict=FLAG, is_ai_broad=FLAG, **_CONCENTRATION)
+BY_GROUP = struct(publication_year=LONG, cited_group=TEXT, **_CONCENTRATION)
 
 
 def differences(found: StructType, wanted: StructType) -> list[str]:
