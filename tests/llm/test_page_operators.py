@@ -96,39 +96,40 @@ def rule_of(url):
     return host, path, None, None
 
 
-def scores(rows, damping=url_filter.DAMPING, rounds=url_filter.ROUNDS):
-    import re
+def scores(rows, damping=url_filter.DAMPING):
+    """Relative masses and ranks of each host, by dense matrices."""
+    import numpy as np
 
-    hosts = collections.defaultdict(lambda: [0, 0, 0])
+    pages_of = collections.defaultdict(lambda: [0, 0, 0])
     links = collections.Counter()
     for _, url, html in rows:
         host, _, _, what = rule_of(url)
         if not host:
             continue
-        hosts[host][0] += what == "allow"
-        hosts[host][1] += what == "block"
-        hosts[host][2] += 1
+        pages_of[host][0] += what == "allow"
+        pages_of[host][1] += what == "block"
+        pages_of[host][2] += 1
         for href in re.findall(r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)""", html or ""):
             if not re.match(r"(?i)(mailto|javascript|tel|data):", href):
                 m = re.match(r"(?i)(?:[a-z][a-z0-9+.-]*:)?//([^/?#]+)", href)
                 links[host, m[1].lower() if m else host] += 1
-    totals = collections.Counter()
-    for (a, _), n in links.items():
-        totals[a] += n
-    seeds = {h: (a / n, b / n) for h, (a, b, n) in hosts.items()}
-    state = dict(seeds)
-    for _ in range(rounds):
-        new = collections.defaultdict(lambda: [0.0, 0.0])
-        for h, (t, d) in seeds.items():
-            new[h][0] += (1 - damping) * t
-            new[h][1] += (1 - damping) * d
-        for (a, b), n in links.items():
-            if a in state:
-                new[b][0] += damping * n / totals[a] * state[a][0]
-            if b in state:
-                new[a][1] += damping * n / totals[a] * state[b][1]
-        state = {h: tuple(x) for h, x in new.items()}
-    return state
+    hosts = sorted({*pages_of, *(h for pair in links for h in pair)})
+    at = {h: i for i, h in enumerate(hosts)}
+    count = np.zeros((len(hosts), len(hosts)))
+    for (a, b), n in links.items():
+        count[at[a], at[b]] = n
+    share = lambda x: np.divide(x, x.sum(axis=1, keepdims=True), out=np.zeros_like(x), where=x.sum(axis=1, keepdims=True) > 0)
+    seeds = [np.array([pages_of[h][k] / pages_of[h][2] if h in pages_of else 0.0 for h in hosts]) for k in (0, 1)]
+    out = {}
+    for name, way, seed in (("trust", share(count), seeds[0]), ("distrust", share(count.T), seeds[1])):
+        solve = lambda v, w=way: np.linalg.solve(np.eye(len(hosts)) - damping * w.T, (1 - damping) * v)
+        rank, every = solve(seed), solve(np.ones(len(hosts)))
+        # The textbook's way to the same distribution: rank at hosts without links goes back to the seeds.
+        v, none = seed / seed.sum(), (way.sum(axis=1) == 0).astype(float)
+        full = damping * (way.T + np.outer(v, none))
+        assert np.allclose(np.linalg.solve(np.eye(len(hosts)) - full, (1 - damping) * v), rank / rank.sum())
+        out[name], out["relative_" + name] = rank / rank.sum(), rank / every
+    return {h: {k: x[i] for k, x in out.items()} for h, i in at.items()}
 
 
 def test_url_rules_and_propagation(spark, data):
@@ -142,16 +143,28 @@ def test_url_rules_and_propagation(spark, data):
     wanted = collections.Counter()
     for i, url, _ in rows:
         host, path, rule, what = rule_of(url)
-        trust, distrust = state.get(host, (0, 0))
-        wanted[i, host, path, rule, what or ("block" if distrust >= url_filter.THRESHOLD and distrust > trust else "allow")] += 1
+        own = state.get(host, {"relative_trust": 0, "relative_distrust": 0})
+        bad = own["relative_distrust"] >= url_filter.THRESHOLD and own["relative_distrust"] > own["relative_trust"]
+        wanted[i, host, path, rule, what or ("block" if bad else "allow")] += 1
     found = collections.Counter(map(tuple, url_filter.judge_urls(pages(spark, rows)).collect()))
     assert found == wanted
-    own = {r.host: (r.trust, r.distrust) for r in url_filter.host_scores(pages(spark, rows)).collect()}
-    assert own["farm.example.edu"][1] > own["farm2.example.edu"][1] > own["clean.edu"][1] == 0 and own["clean.edu"][0] > 0
-    assert all(abs(x - y) < 1e-12 for h in own for x, y in zip(own[h], state[h], strict=True))
+    own = {r.host: r.asDict() for r in url_filter.host_scores(pages(spark, rows)).collect()}
+    assert own.keys() == state.keys() and all(abs(own[h][k] - x) < 1e-6 for h in own for k, x in state[h].items())
+    assert abs(sum(x["trust"] for x in own.values()) - 1) < 1e-9 and abs(sum(x["distrust"] for x in own.values()) - 1) < 1e-9
+    assert own["farm.example.edu"]["distrust"] > own["farm2.example.edu"]["distrust"] > own["clean.edu"]["distrust"] == 0 and own["clean.edu"]["trust"] > 0
     assert url_filter.judge_urls(pages(spark, [])).count() == 0
 
 
+def test_a_popular_blocked_host_hands_on_no_more_in_all(spark):
+    link = lambda host: f'<a href="http://{host}/x">x</a>'
+    rows = [(1, "http://bad.net/", ""), (2, "http://hub.net/", ""), (3, "http://one.edu/", link("bad.net"))] + [(10 + k, f"http://many{k}.edu/", link("hub.net") + link("news.org")) for k in range(40)]
+    own = {r.host: r for r in url_filter.host_scores(pages(spark, rows)).collect()}
+    assert own["bad.net"].distrust == pytest.approx(own["hub.net"].distrust)
+    assert own["one.edu"].distrust == pytest.approx(sum(own[f"many{k}.edu"].distrust for k in range(40)))
+    found = {r.host: r.verdict for r in url_filter.judge_urls(pages(spark, rows)).collect()}
+    assert found["one.edu"] == "block" and {found[f"many{k}.edu"] for k in range(40)} == {"allow"}
+
+
 def test_links_alone_block_a_farm_and_no_neighbour(spark):
     link = lambda n, host: f'<a href="http://{host}/x">x</a>' * n
     rows = [
