@@ -1,17 +1,21 @@
 """Benchmark decontamination over a positional inverted index of the documents.
 
 `build_index` cuts the documents into blocks. Each block is one row: its
-documents with their word counts, its terms, and for each term the ascending
-positions of its tokens in the block. The rows are stored in the shared folder.
-`search` takes the windows of the test items, and in each block starts from the
-window's rarest term there: the positions of the others, less their offsets in
-the window, are intersected with it from rare to frequent until no candidate or
-an exact phrase is left. For proximity matches all terms of a window must lie
+documents with their word counts, its terms, and for each term its postings, the
+ascending positions of its tokens in the block. The rows are stored in the shared
+folder, once for all that is searched. `search` looks the windows of the test items up by
+the term of each that is rarest in the whole corpus, so that a block only deals with
+windows whose rarest term it holds. Each posting of that term, less the term's offset, is a
+candidate for the window's start; it is intersected with the offset-adjusted postings
+of the other terms, from the rarest in the block to the most frequent, until no candidate
+or an exact phrase is left. For proximity matches all terms of a window must lie
 within `span` positions of a token of its rarest term, in one document.
 
-The test items are sent to all tasks while their text is at most MOST_ITEM_BYTES;
-a larger benchmark is searched in slices of that size, one after the other, and
-the slices' spans are united. Blocks are bounded by characters, so that no
+Only terms of the benchmark get postings, as no others are looked up, while the
+distinct terms have at most MOST_ITEM_BYTES; beyond that all terms do. The windows
+are sent to all tasks while their items' text is at most MOST_ITEM_BYTES; a larger
+benchmark is searched in slices of that size in the same index, one after the other,
+and the slices' spans are united. Blocks are bounded by characters, so that no
 group of documents, however common its passages, meets in one task.
 
 Words are runs of a-z, digits and non-ASCII characters after A-Z are lowered.
@@ -83,7 +87,7 @@ def build_index(documents: DataFrame, terms: frozenset[bytes] | None = None) ->
 
 
 class Windows:
-    """Distinct windows of test items as rows of term numbers, -1 beyond a short item's end."""
+    """Distinct windows of test items as rows of term numbers, -1 beyond a short item's end, found by one term each."""
 
     def __init__(self, items: list[tuple[int | None, str]], width: int):
         self.ids: list[int | None] = []
@@ -102,6 +106,16 @@ class Windows:
         for row, words in zip(self.table, found, strict=True):
             row[: len(words)] = [number_of[w] for w in words]
         self.lengths = (self.table >= 0).sum(axis=1)
+        self.look_up({})
+
+    def look_up(self, totals: dict[bytes, int]) -> None:
+        """Let each window be found by its term with the least total; terms without one are in no block."""
+        count = np.array([totals.get(t, 0) for t in self.terms], np.int64)
+        ranked = np.where(self.table >= 0, count[self.table] if len(count) else 0, np.iinfo(np.int64).max)
+        self.offset = np.argmin(ranked, axis=1) if len(ranked) else np.empty(0, np.int64)
+        key = self.table[np.arange(len(self.table)), self.offset] if len(ranked) else np.empty(0, np.int64)
+        self.by_key = np.argsort(key, kind="stable")
+        self.key_ends = np.searchsorted(key[self.by_key], np.arange(len(self.terms) + 1))
 
 
 class Block:
@@ -110,63 +124,83 @@ class Block:
     def __init__(self, row, terms: dict[bytes, int]):
         self.row_ids = pd.arrays.IntegerArray(np.array(row.row_ids, np.int64), np.array(row.no_ids, bool))
         self.row_numbers, self.lengths = row.row_numbers, np.asarray(row.lengths, np.int64)
-        self.positions = np.frombuffer(row.positions, "<u4").astype(np.int64)
-        ends = np.cumsum(np.asarray(row.counts, np.int64))
-        self.count = np.zeros(len(terms) + 1, np.int64)
-        self.start = np.zeros(len(terms) + 1, np.int64)
-        size = int((self.lengths + 1).sum())
-        self.term_at = np.full(size, -1, np.int32)
-        for name, count, end in zip(row.terms, row.counts, ends, strict=True):
-            if (number := terms.get(name)) is not None:
-                self.count[number], self.start[number] = count, end - count
-                self.term_at[self.positions[end - count : end]] = number
+        self.size = int((self.lengths + 1).sum()) + 1
+        counts = np.asarray(row.counts, np.int64)
+        number = np.fromiter((terms.get(t, -1) for t in row.terms), np.int64, len(row.terms))
+        begins = np.cumsum(counts) - counts
+        known = np.flatnonzero(number >= 0)
+        known = known[np.argsort(number[known])]
+        self.terms, self.counts = number[known], counts[known]
+        at = np.repeat(begins[known] - (np.cumsum(self.counts) - self.counts), self.counts) + np.arange(self.counts.sum())
+        # All postings in one ascending array of (term, position).
+        self.postings = np.repeat(self.terms, self.counts) * self.size + np.frombuffer(row.positions, "<u4")[at]
+        self.begins = np.cumsum(self.counts) - self.counts
         self.first = np.cumsum(np.append(0, self.lengths + 1))[:-1]  # of each document
 
-    def candidates(self, windows: Windows) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Windows whose terms all occur here, and each posting of their rarest term: window, position, offset; with terms from rare to frequent."""
-        counts = np.where(windows.table >= 0, self.count[windows.table], np.iinfo(np.int64).max)
-        order = np.argsort(counts, axis=1, kind="stable")
-        least = np.take_along_axis(counts, order[:, :1], axis=1)[:, 0]
-        some = np.flatnonzero(least > 0)
-        times = least[some]
-        window = np.repeat(some, times)
-        offset = order[window, 0]
-        begin = np.cumsum(times) - times
-        posting = np.arange(times.sum()) - np.repeat(begin, times) + self.start[windows.table[window, offset]]
-        return window, self.positions[posting], offset, order
+    def count_of(self, terms: np.ndarray) -> np.ndarray:
+        if not len(self.terms):
+            return np.zeros(terms.shape, np.int64)
+        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
+        return np.where(self.terms[at] == terms, self.counts[at], 0)
+
+    def candidates(self, windows: Windows) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Each posting of the terms that windows are found by: window, its row in `order`, position, offset; and `order`, the windows' terms from rare to frequent."""
+        first, last = windows.key_ends[self.terms], windows.key_ends[self.terms + 1]
+        per_term = last - first
+        here = np.repeat(np.arange(len(self.terms)), per_term)
+        window = windows.by_key[np.repeat(first - (np.cumsum(per_term) - per_term), per_term) + np.arange(per_term.sum())]
+        times = self.counts[here]
+        row = np.repeat(np.arange(len(window)), times)
+        posting = np.repeat(self.begins[here] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+        table = windows.table[window]
+        order = np.argsort(np.where(table >= 0, self.count_of(table), np.iinfo(np.int64).max), axis=1, kind="stable")
+        return window[row], row, self.postings[posting] % self.size, windows.offset[window[row]], order
+
+    def held(self, terms: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Whether each term has a posting from low to high."""
+        return np.searchsorted(self.postings, terms * self.size + low) < np.searchsorted(self.postings, terms * self.size + high, "right")
 
     def phrases(self, windows: Windows) -> tuple[np.ndarray, np.ndarray]:
         """Exact occurrences: window and first position."""
-        window, position, offset, order = self.candidates(windows)
+        window, row, position, offset, order = self.candidates(windows)
         start = position - offset
-        ok = (start >= 0) & (start + windows.lengths[window] <= len(self.term_at))
-        window, start = window[ok], start[ok]
-        for k in range(1, order.shape[1]):
-            at = order[window, k]
-            wanted = windows.table[window, at]
-            hit = (wanted < 0) | (self.term_at[np.minimum(start + at, len(self.term_at) - 1)] == wanted)
-            window, start = window[hit], start[hit]
+        ok = (start >= 0) & (start + windows.lengths[window] < self.size)
+        window, row, start = window[ok], row[ok], start[ok]
+        for k in range(order.shape[1]):
+            at = order[row, k]
+            wanted = windows.table[window, at].astype(np.int64)
+            hit = (wanted < 0) | self.held(np.maximum(wanted, 0), start + at, start + at)
+            window, row, start = window[hit], row[hit], start[hit]
         return window, start
 
     def near(self, windows: Windows, span: int) -> tuple[np.ndarray, np.ndarray]:
-        """Positions of the rarest term with all other terms of the window within `span` positions, in the document."""
-        window, position, _, order = self.candidates(windows)
-        for k in range(1, order.shape[1]):
-            wanted = windows.table[window, order[window, k]]
-            hit = wanted < 0
-            for i in np.flatnonzero(~hit):
-                own = self.positions[self.start[wanted[i]] : self.start[wanted[i]] + self.count[wanted[i]]]
-                doc = self.document(position[i])
-                low = max(position[i] - span, self.first[doc])
-                high = min(position[i] + span, self.first[doc] + self.lengths[doc])
-                hit[i] = np.searchsorted(own, low) < np.searchsorted(own, high, "right")
-            window, position = window[hit], position[hit]
+        """Positions of the term that a window is found by with all other terms of the window within `span` positions, in the document."""
+        window, row, position, _, order = self.candidates(windows)
+        for k in range(order.shape[1]):
+            wanted = windows.table[window, order[row, k]].astype(np.int64)
+            doc = self.document(position)
+            low, high = np.maximum(position - span, self.first[doc]), np.minimum(position + span, self.first[doc] + self.lengths[doc])
+            hit = (wanted < 0) | self.held(np.maximum(wanted, 0), low, high)
+            window, row, position = window[hit], row[hit], position[hit]
         return window, position
 
     def document(self, position):
         return np.searchsorted(self.first, position, "right") - 1
 
 
+def distinct_terms(benchmark: DataFrame, most: int) -> frozenset[bytes] | None:
+    """All terms of the test items, or None where they have more than `most` bytes."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in in_chunks(batches):
+            yield pd.DataFrame({"term": list({w for text in batch["text"] for w in words_of(text)})}, dtype=object)
+
+    found = materialize(benchmark.select(F.col("text").cast("string")).mapInPandas(run, "term binary").distinct(), "benchmark-terms")
+    if (found.agg(F.sum(F.octet_length("term"))).first()[0] or 0) > most:
+        return None
+    return frozenset(bytes(r["term"]) for r in found.toLocalIterator())
+
+
 def _slices(benchmark: DataFrame, most: int) -> Iterator[list[tuple[int | None, str]]]:
     """Test items in slices of bounded text, each small enough to be sent to every task."""
     items, size = [], 0
@@ -185,10 +219,13 @@ def find_spans(documents: DataFrame, benchmark: DataFrame, width: int = WINDOW,
     """One row per document (doc_id, row, text) and slice of the benchmark: doc_id, row, n_words,
     starts and ends of the hit word spans, items found exactly, items found near (with near_span)."""
     spark = documents.sparkSession
+    index = build_index(documents, distinct_terms(benchmark, most))
+    totals = materialize(index.select(F.explode(F.arrays_zip("terms", "counts")).alias("x")).groupBy(F.col("x.terms").alias("term")).agg(F.sum("x.counts").alias("n")), "index-totals")
     out = None
     for items in _slices(benchmark, most):
         windows = Windows(items, width)
-        index = build_index(documents, frozenset(windows.terms))
+        asked = spark.createDataFrame([(bytearray(t),) for t in windows.terms], "term binary")  # as bounded as the slice
+        windows.look_up({bytes(r["term"]): r["n"] for r in totals.join(F.broadcast(asked), "term").collect()})
         shared = spark.sparkContext.broadcast(windows)
 
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:

@@ -37,4 +37,4 @@ def test_copies_and_contamination_by_brute_force_on_each_own_input(spark, data):
 
 
 def test_one_query_for_each_operator():
-    assert [int(x[2:].split("_")[0]) for x in queries.QUERIES] == list(range(1, 11))
+    assert [int(x[2:].split("_")[0]) for x in queries.QUERIES] == list(range(1, 14))
