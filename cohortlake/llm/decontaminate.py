@@ -112,7 +112,9 @@ class Windows:
         """Let each window be found by its term with the least total; terms without one are in no block."""
         count = np.array([totals.get(t, 0) for t in self.terms], np.int64)
         ranked = np.where(self.table >= 0, count[self.table] if len(count) else 0, np.iinfo(np.int64).max)
-        self.offset = np.argmin(ranked, axis=1) if len(ranked) else np.empty(0, np.int64)
+        by = np.argpartition(ranked, min(1, ranked.shape[1] - 1), axis=1)[:, :2] if len(ranked) else np.empty((0, 2), np.int64)
+        by = np.take_along_axis(by, np.argsort(np.take_along_axis(ranked, by, axis=1), axis=1, kind="stable"), axis=1) if len(ranked) else by
+        self.offset, self.second = by[:, 0], by[:, -1]
         key = self.table[np.arange(len(self.table)), self.offset] if len(ranked) else np.empty(0, np.int64)
         self.by_key = np.argsort(key, kind="stable")
         self.key_ends = np.searchsorted(key[self.by_key], np.arange(len(self.terms) + 1))
@@ -143,18 +145,20 @@ class Block:
         at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
         return np.where(self.terms[at] == terms, self.counts[at], 0)
 
-    def candidates(self, windows: Windows) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Each posting of the terms that windows are found by: window, its row in `order`, position, offset; and `order`, the windows' terms from rare to frequent."""
+    def candidates(self, windows: Windows) -> tuple[np.ndarray, np.ndarray]:
+        """Each posting of the terms that windows are found by: window and position."""
         first, last = windows.key_ends[self.terms], windows.key_ends[self.terms + 1]
         per_term = last - first
         here = np.repeat(np.arange(len(self.terms)), per_term)
         window = windows.by_key[np.repeat(first - (np.cumsum(per_term) - per_term), per_term) + np.arange(per_term.sum())]
         times = self.counts[here]
-        row = np.repeat(np.arange(len(window)), times)
         posting = np.repeat(self.begins[here] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+        return np.repeat(window, times), self.postings[posting] % self.size
+
+    def in_order(self, windows: Windows, window: np.ndarray) -> np.ndarray:
+        """Offsets of the windows' terms from rare to frequent in this block."""
         table = windows.table[window]
-        order = np.argsort(np.where(table >= 0, self.count_of(table), np.iinfo(np.int64).max), axis=1, kind="stable")
-        return window[row], row, self.postings[posting] % self.size, windows.offset[window[row]], order
+        return np.argsort(np.where(table >= 0, self.count_of(table), np.iinfo(np.int64).max), axis=1, kind="stable")
 
     def held(self, terms: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """Whether each term has a posting from low to high."""
@@ -162,26 +166,40 @@ class Block:
 
     def phrases(self, windows: Windows) -> tuple[np.ndarray, np.ndarray]:
         """Exact occurrences: window and first position."""
-        window, row, position, offset, order = self.candidates(windows)
-        start = position - offset
+        window, position = self.candidates(windows)
+        start = position - windows.offset[window]
         ok = (start >= 0) & (start + windows.lengths[window] < self.size)
-        window, row, start = window[ok], row[ok], start[ok]
-        for k in range(order.shape[1]):
-            at = order[row, k]
+        window, start = window[ok], start[ok]
+
+        def meets(at: np.ndarray) -> np.ndarray:
             wanted = windows.table[window, at].astype(np.int64)
-            hit = (wanted < 0) | self.held(np.maximum(wanted, 0), start + at, start + at)
-            window, row, start = window[hit], row[hit], start[hit]
+            return (wanted < 0) | self.held(np.maximum(wanted, 0), start + at, start + at)
+
+        # The corpus' second rarest term leaves few candidates, whose terms are then put in order.
+        hit = meets(windows.second[window])
+        window, start = window[hit], start[hit]
+        order = self.in_order(windows, window)
+        for k in range(order.shape[1]):
+            hit = meets(order[:, k])
+            window, start, order = window[hit], start[hit], order[hit]
         return window, start
 
     def near(self, windows: Windows, span: int) -> tuple[np.ndarray, np.ndarray]:
         """Positions of the term that a window is found by with all other terms of the window within `span` positions, in the document."""
-        window, row, position, _, order = self.candidates(windows)
-        for k in range(order.shape[1]):
-            wanted = windows.table[window, order[row, k]].astype(np.int64)
+        window, position = self.candidates(windows)
+
+        def meets(at: np.ndarray) -> np.ndarray:
+            wanted = windows.table[window, at].astype(np.int64)
             doc = self.document(position)
             low, high = np.maximum(position - span, self.first[doc]), np.minimum(position + span, self.first[doc] + self.lengths[doc])
-            hit = (wanted < 0) | self.held(np.maximum(wanted, 0), low, high)
-            window, row, position = window[hit], row[hit], position[hit]
+            return (wanted < 0) | self.held(np.maximum(wanted, 0), low, high)
+
+        hit = meets(windows.second[window])
+        window, position = window[hit], position[hit]
+        order = self.in_order(windows, window)
+        for k in range(order.shape[1]):
+            hit = meets(order[:, k])
+            window, position, order = window[hit], position[hit], order[hit]
         return window, position
 
     def document(self, position):
