@@ -17,8 +17,9 @@ in the corpus, in the same text or in another one.
    to the 128-bit hashes of the first ranks.
 3. **Ends of repeats.** Blocks that drop out on the way may still hold some repeated
    strings, next to where a repeat begins or ends. They are compared, string by
-   string, with one block of each rank with the same seed: in one task where
-   these are few, by exploded strings and a grouped count where they are many.
+   string, with one block of each rank with the same seed: in one task up to TOGETHER
+   blocks of a seed, which is linear work, and by exploded strings and a grouped
+   count for seeds with more.
 
 A bit filter of the seeds found more than once spares blocks before they are
 written; it has a fixed size, and a full one only lets more blocks pass.
@@ -48,8 +49,10 @@ LENGTH = 200
 SEED_SHARE = 0.32
 #: Least and most bits of the filter of repeated seeds.
 FILTER_BITS = (1 << 16, 1 << 26)
-#: Blocks of one seed that a task compares at once.
-TOGETHER = 1_024
+#: Blocks of one seed that a task compares at once: their strings are hashed and sorted, some 4 KB for each block.
+TOGETHER = 1 << 15
+#: Blocks whose bytes are hashed at once.
+SLICE = 2_048
 #: Characters that a task hashes at once.
 HASHED_CHARS = 400_000
 
@@ -251,13 +254,18 @@ _CONTEXT = "pos long, seed long, size long, t1 long, t2 long, lo long, strings l
 
 def _string_hashes(frame: pd.DataFrame, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of every string of the blocks: the row of its block, its number there, and two hashes."""
-    x = np.frombuffer(b"".join(frame["bytes"]), np.uint8)
     count = frame["strings"].to_numpy(np.int64)
-    start = np.cumsum(np.append(0, count + length - 1))[:-1]
-    row = np.repeat(np.arange(len(frame)), count)
+    row = np.repeat(np.arange(len(frame), dtype=np.int32), count)
     number = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    at = start[row] + number
-    return row, number, *(gram_hashes(x, length, s)[at] for s in (2, 3))
+    raw, found = frame["bytes"].tolist(), ([], [])
+    for begin in range(0, len(frame), SLICE):
+        x = np.frombuffer(b"".join(raw[begin : begin + SLICE]), np.uint8)
+        own = count[begin : begin + SLICE]
+        start = np.cumsum(np.append(0, own + length - 1))[:-1]
+        at = np.repeat(start - (np.cumsum(own) - own), own) + np.arange(own.sum())
+        for hashes, seed in zip(found, (2, 3), strict=True):
+            hashes.append(gram_hashes(x, length, seed)[at])
+    return row, number, *(np.concatenate(x) if x else np.empty(0, np.uint64) for x in found)
 
 
 def _compare(length: int):

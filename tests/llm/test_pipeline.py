@@ -1,6 +1,9 @@
 import collections
+import zlib
 
 import corpus_pipeline
+import duckdb
+import pytest
 
 from cohortlake.llm import queries
 from cohortlake.llm.common import materialize
@@ -37,4 +40,43 @@ def test_copies_and_contamination_by_brute_force_on_each_own_input(spark, data):
 
 
 def test_one_query_for_each_operator():
-    assert [int(x[2:].split("_")[0]) for x in queries.QUERIES] == list(range(1, 14))
+    assert [int(x[2:].split("_")[0]) for x in queries.QUERIES if x.startswith("op")] == list(range(1, 14))
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_query_equals_its_sql(spark, data, name):
+    con = duckdb.connect()
+    for t in ("documents", "pages", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{data}/{t}.parquet'")
+    cursor = con.execute(queries.ORACLE_SQL[name])
+    names = sorted(c[0] for c in cursor.description)
+    found = queries.QUERIES[name](spark, data)
+    assert sorted(found.columns) == names
+    at = [[c[0] for c in cursor.description].index(n) for n in names]
+    assert sorted(repr(tuple(r[c] for c in names)) for r in found.collect()) == sorted(repr(tuple(r[k] for k in at)) for r in cursor.fetchall())
+
+
+def test_toxicity_quality_and_packing_by_other_ways_on_each_own_input(spark, data):
+    """The toxicity stage drops the rows that op4 predicts, the quality stage those that the SQL of op3 does not keep, and packing loses no id of what is left."""
+    from tokenizers import Tokenizer
+
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    predicted = {r.doc_id for r in queries.op4_toxicity(spark, data).collect() if r.predicted == 0}
+    clean = materialize(stages["toxicity"](spark, docs, data), "clean")
+    assert {r.doc_id for r in clean.collect()} == predicted
+    con = duckdb.connect()
+    con.register("documents", clean.toArrow())
+    kept = {r[0] for r in con.execute(f"SELECT doc_id FROM ({queries.ORACLE_SQL['op3_quality_rules']}) WHERE kept").fetchall()}
+    good = materialize(stages["quality"](spark, clean, data), "good")
+    assert {r.doc_id for r in good.collect()} == kept and 0 < len(kept) < len(predicted)
+    pieces = collections.defaultdict(list)
+    for r in stages["packing"](spark, good, data).collect():
+        pieces[r.doc_id].append((r.start, r.length, r.ids_crc32))
+    library = Tokenizer.from_file(queries.vocabulary())
+    for r in good.collect():
+        ids, at = [*library.encode(r.text, add_special_tokens=False).ids, 1], 0
+        for start, length, crc in sorted(pieces[r.doc_id]):
+            assert start == at and crc == zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids[at : at + length]))
+            at += length
+        assert at == len(ids)
