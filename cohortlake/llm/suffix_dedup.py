@@ -208,6 +208,8 @@ def _blocks(docs: DataFrame, length: int, seed: int, passes: SeedFilter) -> Data
 def _ranked(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The rows that share their keys with another row, with the least pos of those that do as their rank."""
     shared = rows.groupBy(*keys).agg(F.min("pos").alias("rank"), F.count("*").alias("n")).where("n > 1").drop("n")
+    # Written first, so that the join's own shuffles can be split where one pair has a large share of the rows.
+    shared = materialize(shared, "suffix-shared")
     return materialize(rows.join(shared, keys).drop(*(k for k in keys if k != "offset")), "suffix-ranks")
 
 
