@@ -9,9 +9,10 @@ origin record and their number; the last carries the total length. Segments
 stand in files of their own, which are the only ones that reassembly reads. Payloads are
 framed by chunked transfer coding. Each record is a gzip member of its own.
 
-Reading: records are parsed where the file is. Whole records are decoded at
+Reading: files may be plain, one gzip member, or a member for each record, and names of
+header fields in any case. Records are parsed where the file is. Whole records are decoded at
 once; segments are grouped by the origin's identifier, ordered by number,
-checked for gaps and for the total length, joined, and then decoded. A group is
+checked for gaps, for numbers that stand for different segments and for the total length, joined, and then decoded. A group is
 one record, so its size is a page's, whatever the table holds. Revisits are
 joined to the responses that they name.
 
@@ -158,8 +159,38 @@ def write_warc(pages: DataFrame, segment_bytes: int = SEGMENT_BYTES, least_bytes
     return materialize(joined.mapInPandas(run, "path string, records long, bytes long, segmented boolean"), "warc-index")
 
 
-def parse_file(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields and block of each record of a file with a gzip member for each record."""
+class Fields(dict):
+    """Header fields of a record; their names are told apart without regard to case, as the format has it."""
+
+    def __init__(self, lines: list[str]):
+        super().__init__()
+        last = None
+        for line in lines:
+            if line[:1] in (" ", "\t") and last:  # a folded line goes on
+                self[last] += " " + line.strip()
+                continue
+            name, _, value = line.partition(":")
+            last = name.strip().lower()
+            super().__setitem__(last, value.removeprefix(" "))
+
+    def __getitem__(self, name: str) -> str:
+        return super().__getitem__(name.lower())
+
+    def __setitem__(self, name: str, value: str) -> None:
+        super().__setitem__(name.lower(), value)
+
+    def get(self, name: str, default=None):
+        return super().get(name.lower(), default)
+
+    def __contains__(self, name: str) -> bool:
+        return super().__contains__(name.lower())
+
+
+def _members(data: bytes) -> Iterator[bytes]:
+    """What each gzip member of a file holds, or a file that is not compressed as it is."""
+    if data.startswith(b"WARC/"):
+        yield data
+        return
     view, at = memoryview(data), 0
     while at < len(view):
         # In small steps, as what follows a member is copied out of the step that ends it.
@@ -170,15 +201,24 @@ def parse_file(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
             step = view[at : at + STEP_BYTES]
             parts.append(press.decompress(step))
             at += len(step) - len(press.unused_data)
-        head, _, rest = b"".join(parts).partition(b"\r\n\r\n")
-        lines = head.decode().split("\r\n")
-        if not lines[0].startswith("WARC/"):
-            raise ValueError("not a WARC record")
-        fields = dict(x.split(": ", 1) if ": " in x else (x.rstrip(":"), "") for x in lines[1:])
-        length = int(fields["Content-Length"])
-        if rest[length:] != b"\r\n\r\n":
-            raise ValueError("a record is not as long as it says")
-        yield fields, rest[:length]
+        yield b"".join(parts)
+
+
+def parse_file(data: bytes) -> Iterator[tuple[Fields, bytes]]:
+    """Header fields and block of each record of a file: plain, in one gzip member, or in a member for each record."""
+    for member in _members(data):
+        at = 0
+        while at < len(member):
+            end = member.find(b"\r\n\r\n", at)
+            if end < 0 or not member.startswith(b"WARC/", at):
+                raise ValueError("not a WARC record")
+            fields = Fields(member[at:end].decode("utf-8", "replace").split("\r\n")[1:])
+            begin = end + 4
+            stop = begin + int(fields["Content-Length"])
+            if member[stop : stop + 4] != b"\r\n\r\n":
+                raise ValueError("a record is not as long as it says")
+            yield fields, member[begin:stop]
+            at = stop + 4
 
 
 def read_records(files: DataFrame, segmented: bool, keep: bool = True) -> DataFrame:
@@ -228,7 +268,12 @@ def reassemble(segments: DataFrame, keep: bool = True) -> DataFrame:
     """One decoded record for each origin: its segments in order, checked for gaps and for the total length."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("segment", kind="stable").drop_duplicates("segment")
+        frame = frame.sort_values("segment", kind="stable")
+        twice = frame["segment"].duplicated()
+        if twice.any():  # a segment that was stored again is one segment, two that differ are damage
+            if frame.drop_duplicates(["segment", "content", "total_length"])["segment"].duplicated().any():
+                raise ValueError(f"segments of {frame['origin_id'].iloc[0]} with one number differ")
+            frame = frame[~twice]
         if frame["segment"].tolist() != list(range(1, len(frame) + 1)):
             raise ValueError(f"segments of {frame['origin_id'].iloc[0]} are missing")
         block, total = b"".join(frame["content"]), frame["total_length"].iloc[-1]

@@ -75,6 +75,20 @@ def test_chunks_and_damage(spark):
         list(warc.parse_file(__import__("gzip").compress(raw[:-6] + b"\r\n\r\n")))
 
 
+def test_files_of_other_writers():
+    import gzip
+
+    record = lambda name, block: f"WARC/1.0\r\nwarc-type: response\r\nWARC-RECORD-ID:<{name}>\r\nWarc-Target-Uri: http://x/\r\n  y\r\ncontent-length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+    one, two = record("a", b"first \r\n\r\n block"), record("b", b"")
+    for data in (one + two, gzip.compress(one + two), gzip.compress(one) + gzip.compress(two)):
+        found = list(warc.parse_file(data))
+        assert [(f["WARC-Record-ID"], f.get("WARC-Type"), f["WARC-Target-URI"], b) for f, b in found] == [("<a>", "response", "http://x/ y", b"first \r\n\r\n block"), ("<b>", "response", "http://x/ y", b"")]
+    assert "Warc-Record-Id" in found[0][0] and "other" not in found[0][0] and list(warc.parse_file(b"")) == []
+    for bad in (one[:-5], b"WARC/1.0\r\nno end", gzip.compress(one)[:-9], one + b"more", b"junk"):
+        with pytest.raises((ValueError, warc.zlib.error)):
+            list(warc.parse_file(bad))
+
+
 def test_lost_segments_are_found(spark):
     parts = [("r", "response", 1, "u", None, "d", "o", 1, None, b"ab", None, None), ("s", "continuation", None, None, None, "", "o", 3, 3, b"c", None, None)]
     df = spark.createDataFrame(parts, warc._RECORD)
