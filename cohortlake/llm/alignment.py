@@ -36,6 +36,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -87,6 +88,9 @@ class Aligner:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.lengths = [np.array([len(x) for x in side], np.int64) for side in (self.a_bytes, self.b_bytes)]
         self.space = [self.b.piece_to_id("▁")]
+        most = max(len(self.a_bytes), len(self.b_bytes))
+        #: Every id with what may follow it: a further token of its side, the other side, the next group, the next part.
+        self.put = np.array([[f"{i}{mark}" for i in range(most)] for mark in (",", "|", ";", "\n")], object)
         self.forget()
 
     def forget(self) -> None:
@@ -110,50 +114,67 @@ class Aligner:
 
     def learn(self, parts: list[str]) -> None:
         """Encode and align parts that are not known."""
+        if not parts:
+            return
         self.a.known, self.a.old = {}, {}
         self.a._learn(set(parts))
         a_raw = [self.a.known[p] for p in parts]
-        b_ids = [x if p else self.space for x, p in zip(self.b.encode(parts, num_threads=1), parts, strict=True)]
         self.a.known = {}
-        good, a_lists = [], []
-        for part, raw, b in zip(parts, a_raw, b_ids, strict=True):
-            a = np.frombuffer(raw, "<u4").tolist()
-            a_lists.append(a)
-            whole = b" " + part.encode("utf-8", "surrogatepass")
-            good.append(b"".join([self.b_bytes[i] for i in b]) == whole and b"".join([self.a_bytes[i] for i in a]) == whole)
-        a_lists = [x if g else [] for x, g in zip(a_lists, good, strict=True)]
-        b_lists = [x if g else [] for x, g in zip(b_ids, good, strict=True)]
-        flat = [np.array([i for x in side for i in x], np.int64) for side in (a_lists, b_lists)]
-        number = [np.array([len(x) for x in side], np.int64) for side in (a_lists, b_lists)]
+        b_ids = [x if p else self.space for x, p in zip(self.b.encode(parts, num_threads=1), parts, strict=True)]
+        whole = [b" " + p.encode("utf-8", "surrogatepass") for p in parts]
+        flat = [np.frombuffer(b"".join(a_raw), "<u4").astype(np.int64), np.fromiter(itertools.chain.from_iterable(b_ids), np.int64)]
+        number = [np.array([len(x) // 4 for x in a_raw], np.int64), np.array([len(x) for x in b_ids], np.int64)]
+        good = self._unchanged(whole, flat, number)
+        if not good.all():
+            flat = [ids[np.repeat(good, n)] for ids, n in zip(flat, number, strict=True)]
+            number = [np.where(good, n, 0) for n in number]
         ends = [np.cumsum(lengths[ids]) for lengths, ids in zip(self.lengths, flat, strict=True)]
         # Each piece between neighbouring ends of either side is the overlap of one A and one B token.
         every = np.union1d(*ends)
         a_at, b_at = (np.searchsorted(e, every) for e in ends)
         links = flat[0][a_at] << 32 | flat[1][b_at]
         owner = np.repeat(np.arange(len(parts)), number[0])
-        per_part = np.bincount(owner[a_at], minlength=len(parts)) if len(every) else np.zeros(len(parts), np.int64)
+        per_part = np.bincount(owner[a_at], minlength=len(parts))
         common = np.intersect1d(*ends, assume_unique=True)
         group_of = [np.searchsorted(common, e) for e in ends]
-        groups = np.bincount(owner[np.searchsorted(ends[0], common)], minlength=len(parts)) if len(common) else np.zeros(len(parts), np.int64)
-        sides = []
-        for ids, of in zip(flat, group_of, strict=True):
-            cut = np.flatnonzero(np.diff(of, append=-1))
-            text, begin, out = list(map(str, ids.tolist())), 0, []
-            for end in (cut + 1).tolist():
-                out.append(text[begin] if end == begin + 1 else ",".join(text[begin:end]))
-                begin = end
-            sides.append(out)
-        each = [f"{a}|{b}" for a, b in zip(*sides, strict=True)]
-        begin = 0
-        for part, n in zip(parts, groups.tolist(), strict=True):
-            self.number[part] = len(self.groups)
-            self.groups.append(each[begin] if n == 1 else ";".join(each[begin : begin + n]))
-            begin += n
+        groups = np.bincount(owner[np.searchsorted(ends[0], common)], minlength=len(parts))
+        texts = iter(self._texts(flat, group_of, groups))
+        self.number.update(zip(parts, range(len(self.groups), len(self.groups) + len(parts)), strict=True))
+        self.groups += [next(texts) if n else "" for n in groups.tolist()]
         self.good = np.append(self.good, good)
         self.counts = np.concatenate([self.counts, np.stack([*number, groups], 1)])
         self.first = np.append(self.first, self.first[-1] + np.cumsum(per_part))
         self.links = np.append(self.links, links)
 
+    def _unchanged(self, whole: list[bytes], flat: list[np.ndarray], number: list[np.ndarray]) -> np.ndarray:
+        """Which parts' bytes both sides give back."""
+        good = np.ones(len(whole), bool)
+        size = np.array([len(x) for x in whole])
+        joined = b"".join(whole)
+        for names, lengths, ids, n in zip((self.a_bytes, self.b_bytes), self.lengths, flat, number, strict=True):
+            total = np.append(0, np.cumsum(lengths[ids]))
+            end = np.cumsum(n)
+            same = total[end] - total[end - n] == size
+            if not same.all() or b"".join(map(names.__getitem__, ids.tolist())) != joined:
+                # Rare: part by part.
+                tokens = ids.tolist()
+                same &= [b"".join(map(names.__getitem__, tokens[j - k : j])) == x for x, j, k in zip(whole, end.tolist(), n.tolist(), strict=True)]
+            good &= same
+        return good
+
+    def _texts(self, flat: list[np.ndarray], group_of: list[np.ndarray], groups: np.ndarray) -> list[str]:
+        """`a1,a2|b1;a3|b2` of each part that has groups: every id is put down with what follows it, A before B in a group."""
+        (a, b), (in_a, in_b), last_groups = flat, group_of, np.cumsum(groups)[groups > 0] - 1
+        ends_part = np.zeros(int(groups.sum()), np.int64)
+        ends_part[last_groups] = 1
+        same_a, same_b = (np.append(x[1:] == x[:-1], False) for x in (in_a, in_b))
+        n = len(ends_part)
+        a_until, b_until = (np.cumsum(np.bincount(x, minlength=n)) for x in (in_a, in_b))
+        out = np.empty(len(a) + len(b), object)
+        out[np.arange(len(a)) + np.append(0, b_until)[in_a]] = self.put[np.where(same_a, 0, 1), a]
+        out[np.arange(len(b)) + a_until[in_b] if len(b) else []] = self.put[np.where(same_b, 0, 2 + ends_part[in_b]), b]
+        return "".join(out.tolist()).split("\n")
+
     def parts(self, texts: list[str | None]) -> list[np.ndarray]:
         """The numbers of each text's parts, none for a text without tokens."""
         cut = [_PART.split(t) if t else [] for t in texts]
