@@ -214,3 +214,21 @@ def test_id_sources_and_exports(spark, tmp_path):
     assert sorted(r[0] for r in spark.read.text(str(tmp_path / "out")).collect()) == ['{"k":1}', '{"k":2,"n":"n"}']
     tables.export_slice(df, "k = 1", ["k", "id"], str(tmp_path / "csv"), ("id",))
     assert [tuple(r) for r in tables.read_extract(spark, str(tmp_path / "csv"), df.select("k", "id").schema).collect()] == [(1, "17")]
+
+
+def test_written_steps_need_a_shared_folder_on_a_cluster():
+    class Conf:
+        def __init__(self, **held):
+            self.held = held
+
+        def get(self, key, default=None):
+            return self.held.get(key.removeprefix("spark.").replace(".", "_"), default)
+
+    class Session:
+        def __init__(self, **held):
+            self.conf = Conf(**held)
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        tables.scratch(Session(master="spark://host:7077"), "x")
+    assert tables.scratch(Session(master="spark://host:7077", checkpoint_dir="s3://b/steps/"), "x").startswith("s3://b/steps/x-")
+    assert tables.scratch(Session(master="local[2]"), "x").startswith("file:///tmp/spark-")
