@@ -120,9 +120,13 @@ def read_extract(spark: SparkSession, path: str, contract: StructType, keys: tup
 
 
 def extract_problems(found: DataFrame, keys: tuple[str, ...], slice_of_rows: str, row_set: DataFrame | None = None) -> DataFrame:
-    """problem, example, n: rows outside the slice, repeated keys, and keys that are missing from or foreign to the row set."""
-    text = F.to_json(F.struct(*(keys or found.columns)))
-    said = lambda df, problem: df.groupBy(F.lit(problem).alias("problem")).agg(F.min(text).alias("example"), F.count("*").alias("n"))
+    """problem, example, n: rows outside the slice, repeated keys, and keys that are missing from or foreign to the row set.
+
+    The example is the row whose keys (without keys, all columns) come first as texts, one after the other: 12 is before 123.
+    """
+    shown = keys or found.columns
+    text, order = F.to_json(F.struct(*shown)), F.struct(*[F.col(c).cast("string") for c in shown])
+    said = lambda df, problem: df.groupBy(F.lit(problem).alias("problem")).agg(F.min_by(text, order).alias("example"), F.count("*").alias("n"))
     out = said(found.where(~F.coalesce(F.expr(slice_of_rows), F.lit(False))), "outside the slice")
     if keys:
         out = out.unionByName(said(found.groupBy(*keys).count().where("count > 1"), "repeated"))

@@ -86,6 +86,13 @@ def test_an_extract_is_validated(spark, tmp_path):
             ask(bad)
 
 
+def test_an_example_is_the_first_in_the_order_of_keys_as_texts(spark):
+    rows = spark.createDataFrame([(123, "a"), (12, "b"), (9, None)], "k BIGINT, s STRING")
+    example = lambda keys: tables.extract_problems(rows, keys, "false").first().example
+    assert example(("k",)) == '{"k":12}'  # 12 is before 123, though the brace behind it comes after all digits
+    assert example(("s", "k")) == '{"k":9}' and example(()) == '{"k":12,"s":"b"}'
+
+
 def _csv(df, tmp_path):
     path = str(tmp_path / f"csv{len(list(tmp_path.iterdir()))}")
     df.coalesce(1).write.option("header", True).csv(path)
