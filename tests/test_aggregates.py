@@ -6,6 +6,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from cohortlake import standin
 from cohortlake.bounds import Bounds
 from cohortlake.operators import citation_age, concentration, evidence, share
 from cohortlake.operators.works import classify
@@ -167,3 +168,11 @@ def test_evidence(spark):
     assert ranks[AI, 1] == 1 and ranks["many", 2] == 1 and ranks[AI, 2] == 2 and ("__unclassified__", 1) not in ranks
     shifted = {(r.cited_group, r.citation_age): r.delta_zero_share for r in evidence.age0_sensitivity(works, BOUNDS).collect()}
     assert shifted["ai", 1] == pytest.approx(-1 / 8)
+
+
+def test_partitions_by_order_do_not_grow_with_the_items(spark):
+    items = spark.range(4000).select((F.col("id") % 1000).alias("l_orderkey"), F.lit(1995).cast("long").alias("year"), F.lit(2.0).alias("l_quantity"))
+    for most, parts in ((100, 40), (200, 20)):
+        yearly = standin.by_order(items, most).groupBy("l_orderkey", "year").agg(F.sum("l_quantity").alias("n")).withColumn("part", F.spark_partition_id())
+        sizes = {r.part: r.orders for r in yearly.groupBy("part").agg(F.count("*").alias("orders")).collect()}
+        assert sum(sizes.values()) == 1000 and len(sizes) > parts * 0.7 and max(sizes.values()) < 2 * most / 4 + 30  # 4 items an order; the session has 4 partitions
