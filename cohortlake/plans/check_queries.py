@@ -161,7 +161,9 @@ UNION ALL SELECT 'cells apart by_subfield', ({_cells_apart('by_subfield')}) UNIO
 def corpus_checks_find_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each check that compares tables, on tables with a fault that it has to find, and how often it does."""
     t = build(spark, sf_dir)
+    t |= {k: written(t[k], k) for k in ("share", "ages", "by_subfield", "by_group")}  # read by many checks
     rows, ages, by_subfield, by_group = t["works"], t["ages"], t["by_subfield"], t["by_group"]
+    values = written(checks.window_values(rows, B), "values")
     entry = "transform(counts_by_year, e -> IF(publication_year = {0} AND e.year = {0}, {1}, e))"
     null_year = _changed(rows, counts_by_year=entry.format(1996, "named_struct('year', CAST(NULL AS BIGINT), 'cited_by_count', e.cited_by_count)"))
     bad_count = _changed(rows, counts_by_year=entry.format(1997, "named_struct('year', e.year, 'cited_by_count', -1L)"))
@@ -184,7 +186,7 @@ def corpus_checks_find_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
         "grains apart": checks.cross_grain(by_subfield, _changed(by_group, total_citations=_when("total_citations", ("cited_group = 'ai'", "total_citations + 1"))), B),
         "labels": checks.label_problems(renamed, _changed(by_subfield, subfield_display_name=_when("subfield_display_name", ("subfield_id = '3-MEDIUM' AND publication_year = 1996", "'other'")))),
         "bucket missing": checks.bucket_problems(unlabelled, by_subfield, B), "bucket labelled": checks.bucket_problems(unlabelled, bucket, B),
-        "cells apart by_subfield": checks.cell_differences(_changed(by_subfield, **_CELL_FAULTS), rows, B, "subfield_id"), "cells apart by_group": checks.cell_differences(_changed(by_group, **_CELL_FAULTS), rows, B, "cited_group"),
+        "cells apart by_subfield": checks.cell_differences(_changed(by_subfield, **_CELL_FAULTS), rows, B, "subfield_id", values), "cells apart by_group": checks.cell_differences(_changed(by_group, **_CELL_FAULTS), rows, B, "cited_group", values),
     }
     found = quality.report([quality.Check(k, lambda df=df: df) for k, df in faults.items()]).drop("severity")
     return found.unionByName(apart.select(F.expr("stack(2, 'events apart', `events apart`, 'works apart', `works apart`) AS (check_name, violations)")))

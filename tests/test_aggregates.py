@@ -176,3 +176,11 @@ def test_partitions_by_order_do_not_grow_with_the_items(spark):
         yearly = standin.by_order(items, most).groupBy("l_orderkey", "year").agg(F.sum("l_quantity").alias("n")).withColumn("part", F.spark_partition_id())
         sizes = {r.part: r.orders for r in yearly.groupBy("part").agg(F.count("*").alias("orders")).collect()}
         assert sum(sizes.values()) == 1000 and len(sizes) > parts * 0.7 and max(sizes.values()) < 2 * most / 4 + 30  # 4 items an order; the session has 4 partitions
+
+
+def test_window_values_read_works_once(spark):
+    rows = make(spark, [(2020, AI, "A", {2019: 9, 2020: 7, 2021: 2, 2023: 4}), (2021, None, None, {}), (2022, CV, "V", {2023: None})])
+    values = checks.window_values(rows, BOUNDS)
+    found = {(r.id, r.citation_age): r.v for r in values.collect()}
+    assert found == {("p0", 1): 2, ("p0", 2): 2, ("p0", 3): 6, ("p1", 1): 0, ("p1", 2): 0, ("p2", 1): 0}
+    assert "Join" not in values._jdf.queryExecution().executedPlan().toString()
