@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType, VariantType
 
 
 def duplicate_excess(df: DataFrame, key: str, by: list[str] | None = None) -> DataFrame:
@@ -197,20 +198,29 @@ def landed_fidelity(lines: DataFrame, text: str, stored: DataFrame, key: str, co
 
     values are the stored texts that are not null, parsed those that parse; same counts the ids
     whose stored values are the landed ones, as many times each and whatever the order of keys.
+    Of keys that a line repeats the last counts, as when pages are read.
     """
-    line = F.try_parse_json(text)
-    raw = lines.select(F.try_variant_get(line, f"$.{key}", "string").alias("id"), *[_canonical(F.try_variant_get(line, f"$.{c}", "variant")).alias(c) for c in columns])
-    gather = lambda c: F.array_sort(F.collect_list(F.coalesce(c, F.lit("null"))))
-    left = raw.where("id IS NOT NULL").groupBy("id").agg(*[gather(F.col(c)).alias(c) for c in columns])
-    parsed = lambda c: F.try_parse_json(c)
-    own = stored.select(F.col(key).alias("id"), *columns, *[F.when(F.col(c).isNotNull(), F.coalesce(F.to_json(parsed(c)), F.lit("broken"))).alias(f"_{c}") for c in columns])
-    right = own.where("id IS NOT NULL").groupBy("id").agg(
-        *[gather(F.nullif(f"_{c}", F.lit("null"))).alias(f"_{c}") for c in columns], *[F.count(c).alias(f"n_{c}") for c in columns], *[F.count_if(F.col(f"_{c}") != "broken").alias(f"p_{c}") for c in columns]
+    # Only the values that are asked for become variants; a line that is no object, or is broken anywhere, counts for nothing.
+    broken = "_broken line"
+    schema = StructType([StructField(c, VariantType()) for c in dict.fromkeys([key, *columns])] + [StructField(broken, StringType())])
+    line = F.from_json(F.when(F.ltrim(F.col(text), F.lit(" \t")).startswith("{"), F.col(text)), schema, {"columnNameOfCorruptRecord": broken})
+    found = lines.select(line.alias("line")).where(F.col("line")[broken].isNull())
+    left = found.select(
+        F.try_variant_get(F.col("line")[key], "$", "string").alias("id"), F.lit(True).alias("landed"), *[F.coalesce(F.to_json(F.col("line")[c]), F.lit("null")).alias(f"v_{c}") for c in columns], *[F.lit(False).alias(f"n_{c}") for c in columns]
     )
-    both = left.join(right, "id", "full")
+    own = lambda c: F.coalesce(F.to_json(F.try_parse_json(c)), F.when(F.col(c).isNull(), "null").otherwise("broken"))
+    right = stored.select(F.col(key).alias("id"), F.lit(False).alias("landed"), *[own(c).alias(f"v_{c}") for c in columns], *[F.col(c).isNotNull().alias(f"n_{c}") for c in columns])
+    # Both sides meet in one shuffle; of most ids there is one row of each.
+    both = left.unionByName(right).where("id IS NOT NULL").groupBy("id").agg(
+        F.collect_list(F.struct("landed", *[f"v_{c}" for c in columns])).alias("all"), F.count_if("landed").alias("lines"),
+        *[F.count_if(f"n_{c}").alias(f"n_{c}") for c in columns], *[F.count_if(F.col(f"n_{c}") & (F.col(f"v_{c}") != "broken")).alias(f"p_{c}") for c in columns],
+    )
+    side = lambda c, landed: F.array_sort(F.transform(F.filter("all", lambda x: x["landed"] == landed), lambda x: x[f"v_{c}"]))
+    value = lambda c, i: F.get("all", F.lit(i))[f"v_{c}"]
+    same = lambda c: F.when((F.size("all") == 2) & (F.col("lines") == 1), value(c, 0) == value(c, 1)).when(F.size("all") == 2 * F.col("lines"), side(c, True) == side(c, False))
     zero = lambda c: F.coalesce(F.sum(c), F.lit(0))
     rows = [
-        F.struct(F.lit(c).alias("json_column"), F.count("*").alias("ids"), zero(f"n_{c}").alias("values"), zero(f"p_{c}").alias("parsed"), F.count_if(F.col(c) == F.col(f"_{c}")).alias("same")) for c in columns
+        F.struct(F.lit(c).alias("json_column"), F.count("*").alias("ids"), zero(f"n_{c}").alias("values"), zero(f"p_{c}").alias("parsed"), F.count_if(same(c)).alias("same")) for c in columns
     ]
     return both.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
