@@ -39,15 +39,19 @@ def _ingest_ready(spark: SparkSession, root: str, base: str, ready: list[int], r
     """Parse the pages once, into a staging place beside the years; what the write counted on its way decides whether they are put in place."""
     fetched = {r["year"]: r["records_fetched"] for r in reports.where(F.col("year").isin(ready)).collect()}  # one for each year
     rows = landing.read_pages(spark, [f"{root}/{y}/page-*.jsonl" for y in ready])
-    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d+)/[^/]+$", 1).cast("bigint")
+    folder = F.substring_index(F.substring_index(F.col("_metadata.file_path"), "/", -2), "/", 1).cast("bigint")
+    rows = rows.withColumn("_folder", folder)
     seen = Observation()
-    counts = [x for y in ready for x in (F.count_if(F.col("_folder") == y).alias(f"n{y}"), F.count_if((F.col("_folder") == y) & F.col("id").isNull()).alias(f"null{y}"))]
-    rows = rows.withColumn("_folder", folder).observe(seen, *counts).drop("_folder")
+    counted = rows.observe(seen, F.count_if(F.col("id").isNull()).alias("nulls"), F.count_if(~F.col("publication_year").eqNullSafe(F.col("_folder"))).alias("astray")).drop("_folder")
     staged = f"{base.rstrip('/')}-staged-{uuid.uuid4().hex}"
     try:
-        tables.write_bronze(rows, staged)
-        found = seen.get
-        bad = [y for y in ready if found[f"null{y}"] or found[f"n{y}"] != fetched.get(y)]
+        tables.write_bronze(counted, staged)
+        if seen.get["nulls"] or seen.get["astray"]:
+            counts = rows.groupBy("_folder").agg(F.count("*").alias("n"), F.count_if(F.col("id").isNull()).alias("nulls"))
+        else:  # then what was written says it, without another look at the pages
+            counts = tables.read_bronze(spark, staged).groupBy("publication_year").agg(F.count("*").alias("n"), F.lit(0).alias("nulls"))
+        found = {y: (n, nulls) for y, n, nulls in counts.collect()}  # one row for each year
+        bad = [y for y in ready if found.get(y, (0, 0)) != (fetched.get(y), 0)]
         if bad:
             raise IntegrityError(f"years {bad}: null ids, or not as many records as fetched")
         tables.swap_years(spark, staged, base)

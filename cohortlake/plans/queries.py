@@ -7,7 +7,8 @@ import os
 import uuid
 from functools import reduce
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -299,11 +300,9 @@ UNION ALL SELECT 'open_access', count(*), count(*), count(*), count(*) FILTER (W
 def landed_fidelity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed lines with nested values against the bronze made of them, in which one column's texts are cut off in a year, another's changed in a year, and a third's keys are in another order."""
     names = ["counts_by_year", "open_access", "ids"]
-    records = bronze_records(spark, sf_dir).where("title <> 'a'")
-    nested = records.select(*[F.parse_json(c).alias(c) if c in names else F.col(c) for c in records.columns])
     root, base = tables.scratch(spark, "landing"), tables.scratch(spark, "bronze")
     zone = LandingZone(spark, root)
-    zone.write(nested)
+    zone.write(bronze_records(spark, sf_dir, nested=tuple(names)).where("title <> 'a'"))
     found = landing.discover_years(zone.inventory())
     manifests.ingest(spark, root, base, landing.shard_states(zone.inventory(), found, found.limit(0)))
     ids = F.from_json("ids", "doi STRING, mag BIGINT")
@@ -684,6 +683,10 @@ def failed_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]))
 
 
+#: Pages that a task writes at a time, one for each year; with more years it ends them and begins new ones.
+MOST_OPEN = 200
+
+
 class LandingZone:
     """A landing zone in the shared folder, made of a table with publication_year; tasks write the pages and then the reports."""
 
@@ -695,12 +698,28 @@ class LandingZone:
         root = self.root
 
         def pages(batches):
-            part, number = TaskContext.get().partitionId(), 0
+            part, number, made, current = TaskContext.get().partitionId(), 0, [], {}
+
+            def close():
+                for year, page in current.items():
+                    page.close()
+                    made.append((year, page.lines))
+                current.clear()
+
             for batch in batches:
-                for year, own in batch.groupby("year", sort=True):
-                    put(f"{root}/{year}/page-{part:05d}{number:05d}.jsonl", "".join(x + "\n" for x in own["line"]))
-                    number += 1
-                    yield pd.DataFrame({"year": [year], "n": [len(own)]})
+                years = batch.column("year").to_numpy()
+                order = np.argsort(years, kind="stable")
+                lines, years = batch.column("line").cast(pa.large_binary()).take(pa.array(order)), years[order]
+                ends = [*(np.flatnonzero(years[1:] != years[:-1]) + 1).tolist(), len(years)]
+                for first, end in zip([0, *ends], ends, strict=False):
+                    year = int(years[first])
+                    if year not in current:
+                        if len(current) >= MOST_OPEN:
+                            close()
+                        current[year], number = Page(f"{root}/{year}/page-{part:05d}{number:05d}.jsonl"), number + 1
+                    current[year].add(lines[first:end])
+            close()
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in made], pa.int64()) for k in (0, 1)], ["year", "n"])
 
         def reports(batches):
             for batch in batches:
@@ -709,8 +728,8 @@ class LandingZone:
                     put(f"{root}/{year}/{landing.REPORT_NAME}", json.dumps(report))
                 yield batch[["year"]]
 
-        lines = rows.select(F.col("publication_year").alias("year"), F.to_json(F.struct(*rows.columns)).alias("line"))
-        made = tables.written(tables.by_size(lines, "year").mapInPandas(pages, "year long, n long"), "landed")
+        lines = rows.select(F.col("publication_year").alias("year"), F.concat(F.to_json(F.struct(*rows.columns)), F.lit("\n")).alias("line")).where("year IS NOT NULL")
+        made = tables.written(lines.mapInArrow(pages, "year long, n long"), "landed")
         totals = made.groupBy("year").agg(F.sum("n").alias("n"), F.count("*").alias("pages"))
         if expected is not None:
             said = expected.select(F.col("publication_year").alias("year"), "records_fetched")
@@ -721,23 +740,41 @@ class LandingZone:
         return landing.landing_inventory(self.spark, self.root)
 
 
+class Page:
+    """A file of the shared folder that a task writes bit by bit; it is there when it is closed, and a rerun writes the same name again."""
+
+    def __init__(self, path: str):
+        self.lines, self.path, self.aside = 0, path, None
+        if path.startswith("file:"):
+            self.path = "/" + path[5:].lstrip("/")
+        if "://" in self.path:
+            from pyarrow import fs
+
+            store, inner = fs.FileSystem.from_uri(self.path)
+            store.create_dir(os.path.dirname(inner), recursive=True)
+            self.out = store.open_output_stream(inner)
+        else:
+            os.makedirs(os.path.dirname(self.path), exist_ok=True)
+            self.aside = f"{os.path.dirname(os.path.dirname(self.path))}/.{uuid.uuid4().hex}"
+            self.out = open(self.aside, "wb")
+
+    def add(self, lines: pa.LargeBinaryArray) -> None:
+        """Ended lines, as the bytes that Arrow holds in one piece."""
+        _, ends, data = lines.buffers()
+        ends = np.frombuffer(ends, np.int64)[lines.offset : lines.offset + len(lines) + 1]
+        self.out.write(memoryview(data)[ends[0] : ends[-1]])
+        self.lines += len(lines)
+
+    def close(self) -> None:
+        self.out.close()
+        if self.aside:
+            os.replace(self.aside, self.path)
+
+
 def put(path: str, text: str) -> None:
-    """Write a file of the shared folder from a task; a rerun writes the same name again."""
-    if path.startswith("file:"):
-        path = "/" + path[5:].lstrip("/")
-    if "://" in path:
-        from pyarrow import fs
-
-        store, inner = fs.FileSystem.from_uri(path)
-        store.create_dir(os.path.dirname(inner), recursive=True)
-        with store.open_output_stream(inner) as out:
-            out.write(text.encode())
-        return
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    aside = f"{os.path.dirname(os.path.dirname(path))}/.{uuid.uuid4().hex}"
-    with open(aside, "w", encoding="utf-8") as out:
-        out.write(text)
-    os.replace(aside, path)
+    page = Page(path)
+    page.out.write(text.encode())
+    page.close()
 
 
 from . import check_queries  # noqa: E402, F401  registers its queries

@@ -21,7 +21,8 @@ def read_pages(spark: SparkSession, paths: list[str], schema: StructType = BRONZ
 def read_lines(spark: SparkSession, root: str) -> DataFrame:
     """value, folder, file: the lines of all pages as they landed, with the folder and the file of each."""
     path = F.col("_metadata.file_path")
-    return spark.read.text(f"{root}/*/page-*.jsonl").select("value", F.regexp_extract(path, "([^/]+)/[^/]+$", 1).alias("folder"), F.regexp_extract(path, "([^/]+)$", 1).alias("file"))
+    folder, file = F.substring_index(F.substring_index(path, "/", -2), "/", 1), F.substring_index(path, "/", -1)  # for every line, so no patterns
+    return spark.read.text(f"{root}/*/page-*.jsonl").select("value", folder.alias("folder"), file.alias("file"))
 
 
 def read_reports(spark: SparkSession, root: str) -> DataFrame:

@@ -7,9 +7,10 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from cohortlake import standin
 from cohortlake.operators import profiling, staging
 from cohortlake.operators.works import silver_works
-from cohortlake.plans import manifests, quality
+from cohortlake.plans import manifests, quality, queries
 from cohortlake.schemas import BRONZE, WORKS, differences
 from cohortlake.sources import landing, tables
 from tests.test_aggregates import BOUNDS
@@ -123,6 +124,39 @@ def test_folders_are_partitions_of_the_inventory(spark, tmp_path):
         landing.read_reports(spark, str(tmp_path)).collect()
 
 
+def test_pages_are_written_where_their_lines_are(spark, tmp_path):
+    rows = spark.range(0, 900, 1, 2).selectExpr("concat('W', id) AS id", "'é\\n' || id AS title", "nullif(id % 301, 300) AS publication_year")
+    root = f"file://{tmp_path}/landing"
+    before = len(list(tmp_path.iterdir()))
+    zone = queries.LandingZone(spark, root)
+    zone.write(rows)
+    found = landing.read_pages(spark, [f"{root}/*/page-*.jsonl"])
+    assert sorted(map(tuple, found.select("id", "title", "publication_year").collect())) == sorted(map(tuple, rows.where("publication_year IS NOT NULL").collect()))
+    assert {r.year: r.records_fetched for r in landing.read_reports(spark, root).collect()} == {r.publication_year: r["count"] for r in rows.groupBy("publication_year").count().collect() if r.publication_year is not None}
+    # Two tasks write all years from where the rows are: at most a page of each year in each.
+    assert before == 0 and zone.inventory().where("name LIKE 'page%'").groupBy("folder").count().agg({"count": "max"}).first()[0] <= 2
+    assert not [x for x in (tmp_path / "landing").iterdir() if x.is_file()]
+
+
+def test_versions_of_records_share_the_counts_of_line_items(spark, data):
+    rows = standin.bronze(spark, data)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lineitem.parquet") + plan.count("Aggregate [l_orderkey") <= 2 and "Union" not in plan
+    assert rows.where("title = 'a'").count() == rows.where("title <> 'a' AND CAST(substring(id, 2) AS BIGINT) % 5 < 2").count() > 0
+
+
+def test_records_of_another_year_than_their_folder_are_counted_by_folder(spark, tmp_path):
+    root, base = f"{tmp_path}/landing", f"{tmp_path}/bronze"
+    zone = queries.LandingZone(spark, f"file://{root}")
+    rows = spark.range(6).selectExpr("concat('W', id) AS id", "2000 + id % 2 AS publication_year")
+    zone.write(rows)
+    page = next((tmp_path / "landing" / "2000").glob("page-*"))
+    page.write_text(page.read_text().replace('"publication_year":2000', '"publication_year":2001'))
+    states = landing.shard_states(zone.inventory(), landing.discover_years(zone.inventory()), rows.limit(0).select("publication_year"))
+    manifests.ingest(spark, f"file://{root}", f"file://{base}", states)
+    assert tables.read_bronze(spark, f"file://{base}").where("publication_year = 2001").count() > 3
+
+
 def test_a_year_of_one_subfield_is_dealt_to_several_sorted_files(spark, tmp_path):
     rows = spark.range(40_000).select(F.sha2(F.col("id").cast("string"), 256).alias("id"), F.lit(2020).cast("long").alias("publication_year"), F.lit("s/1").alias("primary_topic_subfield_id")).repartition(8)
     few = spark.range(40).select(F.col("id").cast("string").alias("id"), F.lit(2021).cast("long").alias("publication_year"), (F.col("id") % 5).cast("string").alias("primary_topic_subfield_id"))
