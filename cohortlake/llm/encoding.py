@@ -116,15 +116,21 @@ class Encoder:
                 owner.append(i)
                 begin.append(first)
                 rest.append(others)
-        new = set().union(*rest).difference(self.known)
+        # One look at every cut: those that are not known leave gaps, which are filled when they are learned.
+        get = self.known.get
+        found = [list(map(get, others)) for others in rest]
+        gaps = [[k for k, ids in enumerate(x) if ids is None] for x in found]
+        new = {others[k] for others, gap in zip(rest, gaps, strict=True) for k in gap}
         back = {x: self.old[x] for x in new if x in self.old}
         self.known.update(back)
         self._learn(new.difference(back))
-        get = self.known.__getitem__
+        for others, x, gap in zip(rest, found, gaps, strict=True):
+            for k in gap:
+                x[k] = self.known[others[k]]
         out = [b""] * len(texts)
-        for i, first, others in zip(owner, self.whole(begin) if begin else (), rest, strict=True):
-            found = first + b"".join(map(get, others))
-            out[i] = out[i] + found if out[i] else found
+        for i, first, x in zip(owner, self.whole(begin) if begin else (), found, strict=True):
+            ids = first + b"".join(x)
+            out[i] = out[i] + ids if out[i] else ids
         if len(self.known) > self.most:
             self.old, self.known = self.known, {}
         return out

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cohortlake.llm import decontaminate, jaccard_join, packing, quality_rules, queries, token_counts, token_files, toxicity
+from cohortlake.llm import decontaminate, encoding, jaccard_join, packing, quality_rules, queries, token_counts, token_files, toxicity
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 SCHEMA = "doc_id long, text string, n long, a string, part string, _words string"
@@ -304,6 +304,28 @@ def test_packing_covers_every_id_once(spark, documents):
     assert packing.pack(empty(spark), VOCABULARY).count() == 0
 
 
+def test_known_cuts_are_looked_up_once():
+    import public_tokenizers
+
+    class Known(dict):
+        """Words that are known must be found by one look each, and not be gathered in a set before."""
+
+        looks = 0
+
+        def get(self, x):
+            Known.looks += 1
+            return super().get(x)
+
+    of = encoding.Encoder(public_tokenizers.path("byte_bpe_50k.json"), most=50)
+    texts = ["the cat sat on the mat, the end.", None, "", " a  b<|endoftext|>  c ", "zürich the mat the mat", "the"] * 2
+    assert of.encode(texts) == [x if t else b"" for t, x in zip(texts, of.whole([t or "" for t in texts]), strict=True)]
+    of.known, known = Known(of.known), len(of.known)
+    assert of.encode(texts[:1]) == of.whole(texts[:1]) and (Known.looks, len(of.known)) == (7, known)
+    of.most = 0
+    for batch in (texts, texts[::-1], ["quite new words the cat"]):  # generations change after each
+        assert of.encode(batch) == [x if t else b"" for t, x in zip(batch, of.whole([t or "" for t in batch]), strict=True)]
+
+
 def test_packing_groups_of_null_and_repeated_ids_stay_small(spark):
     docs = spark.createDataFrame([(None if i % 2 else 7, f"text {i}") for i in range(6000)], "doc_id long, text string")
     found = packing.pack(docs, VOCABULARY).collect()
