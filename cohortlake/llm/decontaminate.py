@@ -34,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,7 +56,7 @@ def words_of(text: str | None) -> list[bytes]:
 def build_index(documents: DataFrame, terms: frozenset[bytes] | None = None) -> DataFrame:
     """The stored index of documents with a column row; with `terms` only their postings are kept, which is all that a search for them reads."""
     spark = documents.sparkSession
-    small_batches(spark)
+    small_batches(spark, "1m")
     shared = spark.sparkContext.broadcast(terms)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -242,7 +243,8 @@ def find_spans(documents: DataFrame, benchmark: DataFrame, width: int = WINDOW,
     out = None
     for items in _slices(benchmark, most):
         windows = Windows(items, width)
-        asked = spark.createDataFrame([(bytearray(t),) for t in windows.terms], "term binary")  # as bounded as the slice
+        # As bounded as the slice; an Arrow table, as rows of Python would start further workers in the executors, which stay there.
+        asked = spark.createDataFrame(pa.table({"term": pa.array(windows.terms, pa.binary())}))
         windows.look_up({bytes(r["term"]): r["n"] for r in totals.join(F.broadcast(asked), "term").collect()})
         shared = spark.sparkContext.broadcast(windows)
 
@@ -274,7 +276,7 @@ def find_spans(documents: DataFrame, benchmark: DataFrame, width: int = WINDOW,
                     frame.insert(0, "doc_id", block.row_ids)
                     yield frame
 
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+        small_batches(spark, "1m")
         part = index.mapInPandas(run, "doc_id long, row long, n_words long, starts array<long>, ends array<long>, items array<long>, near_items array<long>")
         out = part if out is None else out.union(part)
     return out

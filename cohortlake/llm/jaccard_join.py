@@ -63,6 +63,8 @@ MOST_ROWS = 2_048
 #: Sketch pivots of a region that is cut, and cuts of cuts.
 CELLS = 8
 LEVELS = 6
+#: Words whose hashes a worker remembers, of about 200 bytes each; most words of a corpus are rare, so that more are hardly faster.
+REMEMBERED_WORDS = 25_000
 #: Least and most bits of a runtime filter on documents, 8 for each of them; a full one only lets more documents pass.
 FILTER_BITS = (1 << 16, 1 << 26)
 #: Words of the sketches that are sent to regions.
@@ -76,7 +78,7 @@ class WordHashes(dict):
     """64-bit hash of a word, remembered."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 100_000:
+        if len(self) >= REMEMBERED_WORDS:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
@@ -467,7 +469,7 @@ def jaccard_components(documents: DataFrame, width: int = 5, percent: int = 80,
     by links. `pivots` are the documents of a region that meet all others,
     `most` are the rows of a region that one task compares.
     """
-    small_batches(documents.sparkSession)
+    small_batches(documents.sparkSession, "1m")
     docs = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     keys, counts = _order(docs, width)
     features = materialize(_features(docs, width, percent, keys, counts), "jaccard-features")

@@ -36,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -108,7 +109,6 @@ class Model:
 def _training(documents: DataFrame, labels: DataFrame, usable: Column) -> DataFrame:
     """text, toxic and weight of the bounded sample of labelled documents."""
     spark = documents.sparkSession
-    schema = "doc_id long, toxic int, weight double"
     own = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)").where(usable).distinct()
     counts = {r["toxic"]: r["count"] for r in own.groupBy("toxic").count().collect()}
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -124,8 +124,12 @@ def _training(documents: DataFrame, labels: DataFrame, usable: Column) -> DataFr
     if held["toxic"].nunique() < 2:
         return spark.createDataFrame([], "text string, toxic int, weight double")
     kept = held.groupby("toxic").size()
-    rows = [(int(i), int(y), counts[y] / int(kept[y])) for i, y in zip(held["doc_id"], held["toxic"], strict=True)]
-    return docs.join(F.broadcast(spark.createDataFrame(rows, schema)), "doc_id").select("text", "toxic", "weight")
+    # As an Arrow table: rows of Python would start further workers in the executors, which stay there.
+    rows = pa.table({
+        "doc_id": pa.array(held["doc_id"], pa.int64()), "toxic": pa.array(held["toxic"], pa.int32()),
+        "weight": pa.array([counts[y] / int(kept[y]) for y in held["toxic"]], pa.float64()),
+    })
+    return docs.join(F.broadcast(spark.createDataFrame(rows)), "doc_id").select("text", "toxic", "weight")
 
 
 def _count_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -155,7 +159,7 @@ def _bags(known: dict[str, int]):
 
 def fit(documents: DataFrame, labels: DataFrame, usable: Column) -> Model:
     """Fit on the labelled documents for which `usable` (over doc_id) holds."""
-    small_batches(documents.sparkSession)
+    small_batches(documents.sparkSession, "1m")
     rows = _training(documents, labels, usable)
     counts = rows.mapInPandas(_count_features, "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     totals = counts.where("feature = ''").collect()

@@ -4,8 +4,9 @@ import zlib
 import corpus_pipeline
 import duckdb
 import pytest
+import xxhash
 
-from cohortlake.llm import queries
+from cohortlake.llm import jaccard_join, queries
 from cohortlake.llm.common import materialize
 from test_text_operators import components, contaminated
 
@@ -39,6 +40,29 @@ def test_copies_and_contamination_by_brute_force_on_each_own_input(spark, data):
     assert dirty and clean == ids - dirty
 
 
+@pytest.mark.parametrize("name", ["toxicity", "near_copies", "decontamination"])
+def test_stages_start_no_workers_beside_those_of_sql_and_send_them_little_at_once(spark, data, name, monkeypatch):
+    """An RDD of Python objects has a daemon and workers of its own in each executor, which stay there beside those of SQL functions."""
+
+    def refused(*_, **__):
+        raise AssertionError("rows of Python become an RDD")
+
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", refused)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "64m")
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    assert 0 < dict(corpus_pipeline.STAGES)[name](spark, docs, data).count() <= docs.count()
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "1m"
+
+
+def test_a_worker_remembers_few_words_and_hashes_all_alike():
+    words = [f"word{i}".encode() for i in range(60_000)]
+    known, most = jaccard_join.WordHashes(), 0
+    for word in words:
+        assert known[word] == xxhash.xxh64_intdigest(word)
+        most = max(most, len(known))
+    assert most == jaccard_join.REMEMBERED_WORDS == 25_000
+
+
 def test_one_query_for_each_operator():
     assert [int(x[2:].split("_")[0]) for x in queries.QUERIES if x.startswith("op")] == list(range(1, 14))
 
