@@ -11,17 +11,22 @@ from ..schemas import BRONZE_MANIFEST, UPLOAD_MANIFEST, differences
 from ..sources import landing, tables
 
 
+#: Bytes of pages, as they are stored, whose records are shuffled at a time.
+MOST_AT_ONCE = 512 << 20
+
+
 class IntegrityError(ValueError):
     """Records and their report, or their ids, do not agree."""
 
 
 def ingest(spark: SparkSession, root: str, base: str, states: DataFrame) -> int:
-    """Write all READY years to bronze in one job, and a file without rows for each EMPTY one.
+    """Write all READY years to bronze, and a file without rows for each EMPTY one.
 
     Null ids and counts that differ from the reports stop it before anything is written.
     """
-    found = states.where("bronze IN ('READY', 'EMPTY')").select("publication_year", "bronze").collect()  # one row for each year
-    ready, empty = (sorted(y for y, state in found if state == wanted) for wanted in ("READY", "EMPTY"))
+    found = states.where("bronze IN ('READY', 'EMPTY')").select("publication_year", "bronze", "bytes").collect()  # one row for each year
+    ready, empty = (sorted((y, size) for y, state, size in found if state == wanted) for wanted in ("READY", "EMPTY"))
+    empty = [y for y, _ in empty]
     if not found:
         return 0
     reports = landing.read_reports(spark, root).select("year", "records_fetched")
@@ -35,19 +40,37 @@ def ingest(spark: SparkSession, root: str, base: str, states: DataFrame) -> int:
     return len(found)
 
 
-def _ingest_ready(spark: SparkSession, root: str, base: str, ready: list[int], reports: DataFrame) -> None:
-    """Parse the pages once, into a staging place beside the years; what the write counted on its way decides whether they are put in place."""
+def portions(sizes: list[tuple[int, int]], most: int) -> list[list[int]]:
+    """Years with their bytes as lists of at most so many bytes, in the order of the years; a larger year is a list of its own."""
+    out, held = [], 0
+    for year, size in sizes:
+        if not out or held + size > most:
+            out.append([])
+            held = 0
+        out[-1].append(year)
+        held += size
+    return out
+
+
+def _ingest_ready(spark: SparkSession, root: str, base: str, sizes: list[tuple[int, int]], reports: DataFrame) -> None:
+    """Parse the pages once, into a staging place beside the years; what the writes counted on their way decides whether they are put in place.
+
+    Years are written in portions, a job each, as a job's shuffle holds its records a second time.
+    """
+    ready = [y for y, _ in sizes]
     fetched = {r["year"]: r["records_fetched"] for r in reports.where(F.col("year").isin(ready)).collect()}  # one for each year
-    rows = landing.read_pages(spark, [f"{root}/{y}/page-*.jsonl" for y in ready])
     folder = F.substring_index(F.substring_index(F.col("_metadata.file_path"), "/", -2), "/", 1).cast("bigint")
-    rows = rows.withColumn("_folder", folder)
-    seen = Observation()
-    counted = rows.observe(seen, F.count_if(F.col("id").isNull()).alias("nulls"), F.count_if(~F.col("publication_year").eqNullSafe(F.col("_folder"))).alias("astray")).drop("_folder")
+    records = lambda years: landing.read_pages(spark, [f"{root}/{y}/{landing.PAGES}" for y in years]).withColumn("_folder", folder)
     staged = f"{base.rstrip('/')}-staged-{uuid.uuid4().hex}"
     try:
-        tables.write_bronze(counted, staged)
-        if seen.get["nulls"] or seen.get["astray"]:
-            counts = rows.groupBy("_folder").agg(F.count("*").alias("n"), F.count_if(F.col("id").isNull()).alias("nulls"))
+        strange = 0
+        for years in portions(sizes, MOST_AT_ONCE):
+            seen = Observation()
+            counted = records(years).observe(seen, F.count_if(F.col("id").isNull()).alias("nulls"), F.count_if(~F.col("publication_year").eqNullSafe(F.col("_folder"))).alias("astray"))
+            tables.write_bronze(counted, staged, "append")  # a record may belong to a year of another portion
+            strange += seen.get["nulls"] + seen.get["astray"]
+        if strange:
+            counts = records(ready).groupBy("_folder").agg(F.count("*").alias("n"), F.count_if(F.col("id").isNull()).alias("nulls"))
         else:  # then what was written says it, without another look at the pages
             counts = tables.read_bronze(spark, staged).groupBy("publication_year").agg(F.count("*").alias("n"), F.lit(0).alias("nulls"))
         found = {y: (n, nulls) for y, n, nulls in counts.collect()}  # one row for each year
@@ -55,6 +78,10 @@ def _ingest_ready(spark: SparkSession, root: str, base: str, ready: list[int], r
         if bad:
             raise IntegrityError(f"years {bad}: null ids, or not as many records as fetched")
         tables.swap_years(spark, staged, base)
+        if not strange:
+            for year in ready:
+                if year not in found:  # its pages hold bytes, as gzipped ones do, but no records
+                    tables.write_empty_year(spark, base, year)
     finally:
         tables.discard(spark, staged)
 

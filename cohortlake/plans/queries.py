@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import uuid
+import zlib
 from functools import reduce
 
 import numpy as np
@@ -290,7 +291,7 @@ def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(year == 1997, topic()).when(year == 1998, topic(size.cast("string").alias("size"))).when(year == 2000, F.to_json(F.array("o_orderpriority")).substr(F.lit(2), F.length("o_orderpriority") + 2)).otherwise(topic(size.alias("size")))
     ).alias("topic"), F.when(year == 1999, F.array(F.struct(F.col("o_orderstatus").alias("name")))).alias("tags"))
     root = tables.scratch(spark, "landing")
-    LandingZone(spark, root).write(rows)
+    LandingZone(spark, root, packed=True).write(rows)
     return profiling.schema_drift(landing.read_lines(spark, root), "folder", "value")
 
 
@@ -301,7 +302,7 @@ def landed_fidelity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed lines with nested values against the bronze made of them, in which one column's texts are cut off in a year, another's changed in a year, and a third's keys are in another order."""
     names = ["counts_by_year", "open_access", "ids"]
     root, base = tables.scratch(spark, "landing"), tables.scratch(spark, "bronze")
-    zone = LandingZone(spark, root)
+    zone = LandingZone(spark, root, packed=True)
     zone.write(bronze_records(spark, sf_dir, nested=tuple(names)).where("title <> 'a'"))
     found = landing.discover_years(zone.inventory())
     manifests.ingest(spark, root, base, landing.shard_states(zone.inventory(), found, found.limit(0)))
@@ -430,7 +431,7 @@ def landed_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders written as a landing zone of pages and reports, ingested to bronze, and the manifest of the result."""
     root, base = tables.scratch(spark, "landing"), tables.scratch(spark, "bronze")
     rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderstatus").alias("title"), F.year("o_orderdate").cast("long").alias("publication_year"))
-    zone = LandingZone(spark, root)
+    zone = LandingZone(spark, root, packed=True)
     zone.write(rows)
     states = landing.shard_states(zone.inventory(), landing.year_axis(spark, B.year_min, B.year_max), rows.limit(0).select("publication_year"))
     manifests.ingest(spark, root, base, states)
@@ -446,7 +447,7 @@ def refused_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A landing zone of which one year's report says a record more than there is: ingesting all years leaves nothing, ingesting the others leaves these."""
     root, base = tables.scratch(spark, "landing"), tables.scratch(spark, "bronze")
     rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderstatus").alias("title"), F.year("o_orderdate").cast("long").alias("publication_year"))
-    zone = LandingZone(spark, root)
+    zone = LandingZone(spark, root, packed=True)
     zone.write(rows, rows.where("publication_year = 1997").groupBy("publication_year").agg((F.count("*") + 1).alias("records_fetched")))
     axis = landing.discover_years(zone.inventory())
     states = landing.shard_states(zone.inventory(), axis, rows.limit(0).select("publication_year"))
@@ -489,7 +490,7 @@ total AS cited_by_count, o_totalprice AS fwci, CAST(years AS INTEGER) AS n_years
 def landed_silver_works(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From a landing zone of records in their full schema over bronze and staging to classified works."""
     root, base = tables.scratch(spark, "landing"), tables.scratch(spark, "bronze")
-    zone = LandingZone(spark, root)
+    zone = LandingZone(spark, root, packed=True)
     zone.write(bronze_records(spark, sf_dir))
     inventory = zone.inventory()
     manifests.ingest(spark, root, base, landing.shard_states(inventory, landing.discover_years(inventory), landing.discover_years(inventory).limit(0)))
@@ -685,17 +686,20 @@ def failed_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Pages that a task writes at a time, one for each year; with more years it ends them and begins new ones.
 MOST_OPEN = 200
+#: Bytes of lines in a page, more or less: a gzipped one is read by one task.
+MOST_IN_PAGE = 64 << 20
 
 
 class LandingZone:
     """A landing zone in the shared folder, made of a table with publication_year; tasks write the pages and then the reports."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
+    def __init__(self, spark: SparkSession, root: str, packed: bool = False):
+        """packed: pages are gzipped, which takes about a tenth of the disk."""
+        self.spark, self.root, self.packed = spark, root, packed
 
     def write(self, rows: DataFrame, expected: DataFrame | None = None) -> None:
         """expected: publication_year, records_fetched where a report shall say otherwise."""
-        root = self.root
+        root, ending = self.root, ".jsonl.gz" if self.packed else ".jsonl"
 
         def pages(batches):
             part, number, made, current = TaskContext.get().partitionId(), 0, [], {}
@@ -716,8 +720,13 @@ class LandingZone:
                     if year not in current:
                         if len(current) >= MOST_OPEN:
                             close()
-                        current[year], number = Page(f"{root}/{year}/page-{part:05d}{number:05d}.jsonl"), number + 1
-                    current[year].add(lines[first:end])
+                        current[year], number = Page(f"{root}/{year}/page-{part:05d}{number:05d}{ending}"), number + 1
+                    page = current[year]
+                    page.add(lines[first:end])
+                    if page.bytes >= MOST_IN_PAGE:
+                        page.close()
+                        made.append((year, page.lines))
+                        del current[year]
             close()
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in made], pa.int64()) for k in (0, 1)], ["year", "n"])
 
@@ -729,12 +738,14 @@ class LandingZone:
                 yield batch[["year"]]
 
         lines = rows.select(F.col("publication_year").alias("year"), F.concat(F.to_json(F.struct(*rows.columns)), F.lit("\n")).alias("line")).where("year IS NOT NULL")
-        made = tables.written(lines.mapInArrow(pages, "year long, n long"), "landed")
+        with tables.shuffles_removed(self.spark):
+            made = tables.written(lines.mapInArrow(pages, "year long, n long"), "landed")
         totals = made.groupBy("year").agg(F.sum("n").alias("n"), F.count("*").alias("pages"))
         if expected is not None:
             said = expected.select(F.col("publication_year").alias("year"), "records_fetched")
             totals = totals.join(said, "year", "left").select("year", F.coalesce("records_fetched", "n").alias("n"), "pages")
-        totals.mapInPandas(reports, "year long").write.format("noop").mode("overwrite").save()
+        with tables.shuffles_removed(self.spark):
+            totals.mapInPandas(reports, "year long").write.format("noop").mode("overwrite").save()
 
     def inventory(self) -> DataFrame:
         return landing.landing_inventory(self.spark, self.root)
@@ -744,7 +755,8 @@ class Page:
     """A file of the shared folder that a task writes bit by bit; it is there when it is closed, and a rerun writes the same name again."""
 
     def __init__(self, path: str):
-        self.lines, self.path, self.aside = 0, path, None
+        self.lines, self.bytes, self.path, self.aside = 0, 0, path, None
+        self.zip = zlib.compressobj(2, wbits=31) if path.endswith(".gz") else None
         if path.startswith("file:"):
             self.path = "/" + path[5:].lstrip("/")
         if "://" in self.path:
@@ -752,7 +764,7 @@ class Page:
 
             store, inner = fs.FileSystem.from_uri(self.path)
             store.create_dir(os.path.dirname(inner), recursive=True)
-            self.out = store.open_output_stream(inner)
+            self.out = store.open_output_stream(inner, compression=None)
         else:
             os.makedirs(os.path.dirname(self.path), exist_ok=True)
             self.aside = f"{os.path.dirname(os.path.dirname(self.path))}/.{uuid.uuid4().hex}"
@@ -762,10 +774,13 @@ class Page:
         """Ended lines, as the bytes that Arrow holds in one piece."""
         _, ends, data = lines.buffers()
         ends = np.frombuffer(ends, np.int64)[lines.offset : lines.offset + len(lines) + 1]
-        self.out.write(memoryview(data)[ends[0] : ends[-1]])
-        self.lines += len(lines)
+        text = memoryview(data)[ends[0] : ends[-1]]
+        self.out.write(self.zip.compress(text) if self.zip else text)
+        self.lines, self.bytes = self.lines + len(lines), self.bytes + len(text)
 
     def close(self) -> None:
+        if self.zip:
+            self.out.write(self.zip.flush())
         self.out.close()
         if self.aside:
             os.replace(self.aside, self.path)

@@ -1,4 +1,4 @@
-"""Landing zones: JSONL pages and reports in a folder for each year."""
+"""Landing zones: JSONL pages, plain or gzipped, and reports in a folder for each year."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from ..schemas import BRONZE, REPORT
 from .folders import folder_files
 
 REPORT_NAME, META_NAME, CURSOR_NAME = "_YEAR_REPORT.json", "_META.json", "_CURSOR.json"
+PAGES = "page-*.{jsonl,jsonl.gz}"
 
 
 def read_pages(spark: SparkSession, paths: list[str], schema: StructType = BRONZE) -> DataFrame:
@@ -22,7 +23,7 @@ def read_lines(spark: SparkSession, root: str) -> DataFrame:
     """value, folder, file: the lines of all pages as they landed, with the folder and the file of each."""
     path = F.col("_metadata.file_path")
     folder, file = F.substring_index(F.substring_index(path, "/", -2), "/", 1), F.substring_index(path, "/", -1)  # for every line, so no patterns
-    return spark.read.text(f"{root}/*/page-*.jsonl").select("value", folder.alias("folder"), file.alias("file"))
+    return spark.read.text(f"{root}/*/{PAGES}").select("value", folder.alias("folder"), file.alias("file"))
 
 
 def read_reports(spark: SparkSession, root: str) -> DataFrame:
@@ -55,17 +56,17 @@ def year_axis(spark: SparkSession, low: int, high: int) -> DataFrame:
 
 
 def shard_states(inventory: DataFrame, years: DataFrame, ingested: DataFrame) -> DataFrame:
-    """publication_year, landing, bronze: the state of each year in its two layers.
+    """publication_year, landing, bronze, pages, bytes: the state of each year in its two layers, and how many pages of how many bytes it has.
 
     landing: COMPLETE (a report wins over other markers), IN_PROGRESS (markers or
     pages), FRESH. bronze: INGESTED, else READY, EMPTY (one page of no bytes) or
     CORRUPT (a report without pages, or a page of no bytes beside others) for a
     complete year, else PENDING.
     """
-    page = F.col("name").rlike(r"^page-\d+\.jsonl$")
+    page = F.col("name").rlike(r"^page-\d+\.jsonl(\.gz)?$")
     found = inventory.where(F.col("folder").rlike(r"^\d+$")).groupBy(F.col("folder").cast("bigint").alias("publication_year")).agg(
         F.bool_or(F.col("name") == REPORT_NAME).alias("report"), F.bool_or(F.col("name").isin(META_NAME, CURSOR_NAME)).alias("started"),
-        F.count_if(page).alias("pages"), F.count_if(page & (F.col("length") == 0)).alias("blank"),
+        F.count_if(page).alias("pages"), F.count_if(page & (F.col("length") == 0)).alias("blank"), F.sum(F.when(page, F.col("length"))).alias("bytes"),
     )
     rows = years.select("publication_year").join(found, "publication_year", "left").join(ingested.select("publication_year", F.lit(True).alias("done")).distinct(), "publication_year", "left")
     landing = F.when(F.col("report"), "COMPLETE").when(F.col("started") | (F.col("pages") > 0), "IN_PROGRESS").otherwise("FRESH")
@@ -73,7 +74,7 @@ def shard_states(inventory: DataFrame, years: DataFrame, ingested: DataFrame) ->
         F.when(F.col("done"), "INGESTED").when(~F.coalesce("report", F.lit(False)), "PENDING").when(F.col("pages") == 0, "CORRUPT")
         .when((F.col("pages") == 1) & (F.col("blank") == 1), "EMPTY").when(F.col("blank") > 0, "CORRUPT").otherwise("READY")
     )
-    return rows.select("publication_year", landing.alias("landing"), bronze.alias("bronze"), F.coalesce("pages", F.lit(0)).alias("pages"))
+    return rows.select("publication_year", landing.alias("landing"), bronze.alias("bronze"), *[F.coalesce(c, F.lit(0)).alias(c) for c in ("pages", "bytes")])
 
 
 def query_homogeneity(reports: DataFrame, clause: str = "publication_year:{}") -> DataFrame:

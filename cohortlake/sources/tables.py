@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +35,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """What is written inside leaves no shuffle files behind; they would stay until the driver collects garbage, beside those of the steps to come."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    held = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, held)
+
+
 def read_bronze(spark: SparkSession, base: str) -> DataFrame:
     """The bronze table; the year comes from the path."""
     return spark.read.schema(BRONZE).parquet(base)
@@ -43,9 +57,11 @@ def by_size(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
-def write_bronze(df: DataFrame, base: str) -> None:
-    """Replace the years in df and no others; a year is there when its job is committed."""
-    by_size(df.select(*BRONZE.fieldNames()), "publication_year").write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("publication_year").parquet(base)
+def write_bronze(df: DataFrame, base: str, mode: str = "overwrite") -> None:
+    """Replace the years in df and no others, or append to them; a year is there when its job is committed."""
+    rows = by_size(df.select(*BRONZE.fieldNames()), "publication_year")
+    with shuffles_removed(df.sparkSession):
+        rows.write.option("partitionOverwriteMode", "dynamic").option("compression", "zstd").mode(mode).partitionBy("publication_year").parquet(base)
 
 
 def swap_years(spark: SparkSession, staged: str, base: str) -> None:

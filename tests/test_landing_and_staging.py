@@ -1,8 +1,10 @@
 """Landing zones, bronze, manifests and staging."""
 
+import gzip
 import json
 from dataclasses import replace
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -157,6 +159,98 @@ def test_records_of_another_year_than_their_folder_are_counted_by_folder(spark,
     assert tables.read_bronze(spark, f"file://{base}").where("publication_year = 2001").count() > 3
 
 
+def test_gzipped_pages_hold_the_same_lines_on_less_disk(spark, tmp_path):
+    rows = spark.range(0, 6000, 1, 2).selectExpr("concat('W', id) AS id", "'é\\n' || id AS title", "2000 + id % 3 AS publication_year")
+    zones = {packed: queries.LandingZone(spark, f"file://{tmp_path}/{packed}", packed) for packed in (False, True)}
+    for zone in zones.values():
+        zone.write(rows)
+    lines = {packed: sorted(map(tuple, landing.read_lines(spark, zone.root).select("value", "folder").collect())) for packed, zone in zones.items()}
+    assert lines[True] == lines[False] and len(lines[True]) == 6000
+    pages = sorted((tmp_path / "True").glob("*/page-*"))
+    assert len(pages) == 6 and all(p.name.endswith(".jsonl.gz") for p in pages) and gzip.decompress(pages[0].read_bytes()).count(b"\n") == 1000
+    found = {packed: {r.publication_year: r for r in states(spark, zone.root, (2000, 2002)).collect()} for packed, zone in zones.items()}
+    assert all((r.bronze, r.pages) == ("READY", 2) and 4 * r.bytes < found[False][y].bytes for y, r in found[True].items())
+    bronze = {}
+    for packed, zone in zones.items():
+        assert manifests.ingest(spark, zone.root, f"file://{tmp_path}/b{packed}", states(spark, zone.root, (2000, 2002))) == 3
+        bronze[packed] = sorted(map(tuple, tables.read_bronze(spark, f"file://{tmp_path}/b{packed}").select("id", "title", "publication_year").collect()))
+    assert bronze[True] == bronze[False] == sorted(map(tuple, rows.collect()))
+
+
+def test_a_cut_gzipped_page_writes_nothing_and_a_blank_one_is_an_empty_year(spark, tmp_path):
+    root, base = tmp_path / "in", tmp_path / "bronze"
+    land(root, 2020, [[{}, {}]])
+    whole = gzip.compress((root / "2020" / "page-0001.jsonl").read_bytes() * 500)
+    (root / "2020" / "page-0002.jsonl.gz").write_bytes(whole[: len(whole) // 2])
+    with pytest.raises(Exception):  # noqa: B017
+        manifests.ingest(spark, str(root), str(base), states(spark, root))
+    assert not base.exists()
+    (root / "2020" / "page-0002.jsonl.gz").write_bytes(gzip.compress(b""))
+    land(root, 2021, [], fetched=0)
+    (root / "2021" / "page-0001.jsonl.gz").write_bytes(gzip.compress(b""))
+    assert manifests.ingest(spark, str(root), str(base), states(spark, root)) == 2
+    assert {r[0] for r in landing.ingested_years(landing.landing_inventory(spark, str(base))).collect()} == {2020, 2021} and tables.read_bronze(spark, str(base)).count() == 2
+
+
+def test_a_page_ends_at_its_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "MOST_IN_PAGE", 1000)
+    rows = spark.range(0, 30_000, 1, 1).selectExpr("concat('W', id) AS id", "2000 + id % 2 AS publication_year")
+    zone = queries.LandingZone(spark, f"file://{tmp_path}/landing", packed=True)
+    zone.write(rows)
+    report = {r.year: (r.records_fetched, r.page_count) for r in landing.read_reports(spark, zone.root).collect()}
+    assert report == {y: (15_000, len(list((tmp_path / "landing" / str(y)).glob("page-*")))) for y in (2000, 2001)} and min(n for _, n in report.values()) > 1
+    assert landing.read_pages(spark, [f"{zone.root}/*/{landing.PAGES}"]).select("id").distinct().count() == 30_000
+
+
+def test_a_page_of_a_store_is_gzipped_once(tmp_path, monkeypatch):
+    from pyarrow import array, fs, large_binary
+
+    monkeypatch.setattr(fs, "FileSystem", type("Store", (), {"from_uri": staticmethod(lambda uri: (fs.LocalFileSystem(), str(tmp_path / uri.partition("://")[2])))}))
+    page = queries.Page("store://2020/page-1.jsonl.gz")
+    page.add(array([b"one\n", b"two\n"], large_binary()))
+    page.close()
+    assert (page.lines, page.bytes) == (2, 8) and gzip.decompress((tmp_path / "2020" / "page-1.jsonl.gz").read_bytes()) == b"one\ntwo\n"
+
+
+def test_years_are_ingested_in_portions(spark, tmp_path, monkeypatch):
+    assert manifests.portions([(1, 3), (2, 3), (3, 9), (4, 0), (5, 6), (6, 1)], 6) == [[1, 2], [3], [4, 5], [6]] and manifests.portions([], 6) == []
+    monkeypatch.setattr(manifests, "MOST_AT_ONCE", 1)
+    root, base = tmp_path / "in", str(tmp_path / "bronze")
+    for year in (2020, 2021, 2022):
+        land(root, year, [[{"id": f"W{year}"}, {"id": f"V{year}", "publication_year": 2022}]])
+    assert manifests.ingest(spark, str(root), base, states(spark, root)) == 3
+    found = sorted(map(tuple, tables.read_bronze(spark, base).select("publication_year", "id").collect()))
+    assert found == [(2020, "W2020"), (2021, "W2021"), (2022, "V2020"), (2022, "V2021"), (2022, "V2022"), (2022, "W2022")]  # no portion replaces the record of another
+    land(root, 2023, [[{}]])
+    land(root, 2024, [[{}]], fetched=2)
+    with pytest.raises(manifests.IntegrityError, match="2024"):
+        manifests.ingest(spark, str(root), base, states(spark, root, done=[2020, 2021, 2022]))
+    assert len(list(Path(base).glob("publication_year=*"))) == 3 and len(list(tmp_path.iterdir())) == 2
+
+
+def _shuffle_files(spark):
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {p.name for folder in folders for p in Path(folder).rglob("shuffle_*")}
+
+
+def test_landing_and_ingest_leave_no_shuffles(spark, tmp_path):
+    before = _shuffle_files(spark)
+    zone = queries.LandingZone(spark, f"file://{tmp_path}/landing")
+    zone.write(spark.range(2000).selectExpr("concat('W', id) AS id", "2000 + id % 2 AS publication_year").repartition(3, "id"))
+    tables.write_bronze(landing.read_pages(spark, [f"{zone.root}/*/page-*.jsonl"]), f"file://{tmp_path}/bronze")
+    assert not _shuffle_files(spark) - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_landed_fidelity_keeps_its_landing_small(spark, data, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "scratch", lambda spark, name: f"file://{tmp_path}/{name}")
+    queries.landed_fidelity(spark, data)
+    root = tmp_path / "landing"
+    lines = landing.read_lines(spark, f"file://{root}").agg(F.count("*"), F.sum(F.octet_length("value") + 1)).first()
+    pages = list(root.glob("*/page-*"))
+    assert lines[0] == spark.read.parquet(f"{data}/orders.parquet").count() and 5 * sum(p.stat().st_size for p in pages) < lines[1]
+
+
 def test_a_year_of_one_subfield_is_dealt_to_several_sorted_files(spark, tmp_path):
     rows = spark.range(40_000).select(F.sha2(F.col("id").cast("string"), 256).alias("id"), F.lit(2020).cast("long").alias("publication_year"), F.lit("s/1").alias("primary_topic_subfield_id")).repartition(8)
     few = spark.range(40).select(F.col("id").cast("string").alias("id"), F.lit(2021).cast("long").alias("publication_year"), (F.col("id") % 5).cast("string").alias("primary_topic_subfield_id"))
