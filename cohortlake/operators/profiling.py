@@ -193,12 +193,13 @@ def json_fidelity(df: DataFrame, source: str, stored: str) -> DataFrame:
     return df.agg(F.count("*").alias("n"), F.count_if(F.try_parse_json(stored).isNotNull()).alias("parsed"), F.count_if(value(source).eqNullSafe(value(stored))).alias("same"))
 
 
-def landed_fidelity(lines: DataFrame, text: str, stored: DataFrame, key: str, columns: list[str]) -> DataFrame:
+def landed_fidelity(lines: DataFrame, text: str, stored: DataFrame, key: str, columns: list[str], most: int = 1_000_000) -> DataFrame:
     """json_column, ids, values, parsed, same: landed lines against the stored records of the same id, for each column that keeps JSON text.
 
     values are the stored texts that are not null, parsed those that parse; same counts the ids
     whose stored values are the landed ones, as many times each and whatever the order of keys.
-    Of keys that a line repeats the last counts, as when pages are read.
+    Of keys that a line repeats the last counts, as when pages are read. The session's number of
+    partitions holds as long as about `most` rows of both sides meet in one; more would spill.
     """
     # Only the values that are asked for become variants; a line that is no object, or is broken anywhere, counts for nothing.
     broken = "_broken line"
@@ -211,7 +212,11 @@ def landed_fidelity(lines: DataFrame, text: str, stored: DataFrame, key: str, co
     own = lambda c: F.coalesce(F.to_json(F.try_parse_json(c)), F.when(F.col(c).isNull(), "null").otherwise("broken"))
     right = stored.select(F.col(key).alias("id"), F.lit(False).alias("landed"), *[own(c).alias(f"v_{c}") for c in columns], *[F.col(c).isNotNull().alias(f"n_{c}") for c in columns])
     # Both sides meet in one shuffle; of most ids there is one row of each.
-    both = left.unionByName(right).where("id IS NOT NULL").groupBy("id").agg(
+    met = left.unionByName(right).where("id IS NOT NULL")
+    parts = -(-2 * stored.count() // most)  # of Parquet the footers say it
+    if parts > int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        met = met.repartition(parts, "id")
+    both = met.groupBy("id").agg(
         F.collect_list(F.struct("landed", *[f"v_{c}" for c in columns])).alias("all"), F.count_if("landed").alias("lines"),
         *[F.count_if(f"n_{c}").alias(f"n_{c}") for c in columns], *[F.count_if(F.col(f"n_{c}") & (F.col(f"v_{c}") != "broken")).alias(f"p_{c}") for c in columns],
     )

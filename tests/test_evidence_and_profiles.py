@@ -73,6 +73,15 @@ def test_landed_lines_meet_stored_records_in_one_shuffle(spark):
     assert "Join" not in plan and plan.count("parseJson(value") == 0  # lines are not made variants as a whole, let alone once for each column
 
 
+def test_landed_lines_are_dealt_by_id_if_there_are_many(spark):
+    lines = spark.range(40).selectExpr("to_json(named_struct('id', 'W' || id, 'v', array(id))) AS value")
+    stored = spark.range(40).selectExpr("'W' || id AS id", "'[' || id % 30 || ']' AS v")
+    many, few = profiling.landed_fidelity(lines, "value", stored, "id", ["v"], most=10), profiling.landed_fidelity(lines, "value", stored, "id", ["v"])
+    assert tuple(many.first()) == tuple(few.first()) == ("v", 40, 40, 40, 30)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert plan(many).count("Exchange hashpartitioning") == plan(few).count("Exchange hashpartitioning") == 1 and "8), REPARTITION_BY_NUM" in plan(many)
+
+
 def test_builds_agree_under_a_tolerance(spark):
     schema = "k STRING, n BIGINT, r DOUBLE, f BOOLEAN"
     make = lambda *rows: spark.createDataFrame(rows, schema)
